@@ -75,8 +75,11 @@ def best_row_per_key(df: DataFrame, keys: list[str], order: list[Column], payloa
 def count_per_key(df: DataFrame, keys: list[str], counted: Column, name: str) -> DataFrame:
     """``count(counted) over (partition by keys)`` as aggregate + join back.
 
-    The per-key counts are one row per key; the join back is null-safe so
-    NULL keys form one group, as they do in a window partition.
+    The counts are one row per key (combined map-side, so a hot key is
+    never buffered whole the way a window partition is); the join back is
+    null-safe so NULL keys form one group, as in a window partition.  The
+    input is evaluated by both branches: give it a cheap input (a scan or
+    a short chain), not the end of a long join chain.
     """
     tag = f"_c{next(_uid)}"
     counts = (df.groupBy(*[F.col(k).alias(f"{tag}_{k}") for k in keys])

@@ -99,8 +99,10 @@ def catalog_tables(t) -> dict[str, DataFrame]:
         .alias("ColumnNameForExclusion"),
         F.when(n % 3 == 0, F.concat(F.lit("client"), (ex_key % 3).cast("string"))).otherwise(none).alias("ClientName"))
     in_key = n * 6 + 1
+    # Tables of client1 in the CRM source (keys 6n + 1 are odd and = 1 mod 3).
     inclusions = n_.select(
-        F.lit("CRM").alias("SourceName"), F.lit("client1").alias("ClientName"),
+        F.when(in_key % 2 == 1, "CRM").otherwise("ERP").alias("SourceName"),
+        F.concat(F.lit("client"), (in_key % 3).cast("string")).alias("ClientName"),
         F.concat(F.lit("T"), in_key.cast("string")).alias("TableNameForInclusion"),
         F.when(n % 4 == 0, F.lit(9)).otherwise(in_key % 4).cast("int").alias("SchemaId"))
     return {"objects": objects, "schemas": schemas, "tables": tables, "columns": columns,

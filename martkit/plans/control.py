@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from martkit.functions.text import bracket, concat_blank, concat_strict, underscore_spaces
 from martkit.operators.aggregates import ordered_text_agg, sum_nonzero
 from martkit.operators.joins import (
-    best_row_per_key, count_per_key, left_join_distinct, left_lookup, listed_flag,
+    best_row_per_key, left_join_distinct, left_lookup, listed_flag,
 )
 from martkit.sources.sinks import staging_name
 
@@ -106,7 +106,8 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
     t = left_lookup(t, columns, [(c("object_id"), "object_id")] + obj_on,
                     {"c_name": "name", "c_column_id": "column_id"})
     t = left_lookup(t, tables, [(c("object_id"), "object_id")] + obj_on,
-                    {"t_name": "name", "t_DatabaseName": "DatabaseName"})
+                    {"t_name": "name", "t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName",
+                     "t_ServerName": "ServerName"})
     t = left_lookup(t, p, [(c("object_id"), "object_id")] + obj_on, {"p_rows": "rows"})
     t = left_lookup(t, best,
                     [(c("object_id"), "object_id"), (c("database_id"), "database_id"),
@@ -170,10 +171,24 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         "StagingDataFileName": staging_name(c("s_name"), c("t_name")),
         "PrimaryKeyFileName": staging_name(c("s_name"), c("t_name"), primary_key=True),
     })
-    # "No key column" counts per table name, not per schema.
-    t = count_per_key(t, ["ClientName", "ServerName", "t_DatabaseName", "t_name"],
-                      c("ic_column_id"), "_key_cols")
-    t = t.withColumn("HasNoPK", F.when(c("_key_cols") == 0, 1).otherwise(0))
+    # "No key column" is decided per (client, server, database, table name)
+    # of the catalog table row -- across schemas.  A key row is a column of
+    # a user table that belongs to the table's best index.  Left joins never
+    # remove rows, so the set of keyed table names follows from the catalog
+    # tables alone; one lookup then replaces a window over the whole chain.
+    t_keys = ["t_ClientName", "t_ServerName", "t_DatabaseName", "t_name"]
+    keyed = (o.select("object_id", *DB_KEYS)
+             .join(best.select("object_id", "index_id", *DB_KEYS), ["object_id"] + DB_KEYS)
+             .join(index_columns.select("object_id", "index_id", "column_id", *DB_KEYS),
+                   ["object_id", "index_id"] + DB_KEYS)
+             .join(columns.select("object_id", "column_id", *DB_KEYS), ["object_id", "column_id"] + DB_KEYS,
+                   "left_semi")
+             .join(tables.select("object_id", *DB_KEYS, c("ClientName").alias("t_ClientName"),
+                                 c("ServerName").alias("t_ServerName"), c("DatabaseName").alias("t_DatabaseName"),
+                                 c("name").alias("t_name")), ["object_id"] + DB_KEYS, "left")
+             .select(*t_keys).distinct().withColumn("_keyed", F.lit(1)))
+    t = left_lookup(t, keyed, [(c(k), k) for k in t_keys], {"_keyed": "_keyed"}, null_safe=True)
+    t = t.withColumn("HasNoPK", F.when(c("_keyed").isNull(), 1).otherwise(0))
 
     t = t.filter(c("ExcludeColumn") == 0)
     t = t.select(

@@ -19,6 +19,9 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Call-site capture for error messages costs several JVM round trips per
+    # DataFrame call; plans with hundreds of expressions pay seconds for it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

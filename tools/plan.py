@@ -1,0 +1,22 @@
+"""Print a compact physical-plan summary (joins, exchanges, scans) of queries."""
+import re, sys
+sys.path.insert(0, "/root/repo")
+from martkit.session import build_session
+from martkit.plans.queries import REGISTRY
+
+sf = sys.argv[1]
+spark = build_session("local[8]", 16)
+for n in sys.argv[2:]:
+    df = REGISTRY[n](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString() if False else None
+    import io, contextlib
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    txt = buf.getvalue()
+    head = txt.split("\n\n(1)")[0]
+    ops = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct|Exchange hashpartitioning|Exchange SinglePartition|Exchange rangepartitioning|BroadcastExchange|HashAggregate|ObjectHashAggregate|SortAggregate|Window|Generate|Scan parquet|BatchEvalPython|ArrowEvalPython|TakeOrderedAndProject|Expand)", head)
+    from collections import Counter
+    print(n, dict(Counter(ops)))
+    if "-v" in sys.argv[1:2] or len(sys.argv) == 3:
+        print(head)
