@@ -71,7 +71,12 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def rows_of(pages: DataFrame, field: str = VALUE_LIST, keep: list[str] | None = None) -> DataFrame:
     """One row per element of the list ``field``; keys missing in some rows are NULL."""
     keep = keep or []
-    return pages.select(*keep, F.explode(F.col(field)).alias("_row")).select(*keep, "_row.*")
+    if field not in pages.columns:
+        raise ValueError(f"no {field!r} list in the landed pages")
+    rows = pages.select(*keep, F.explode(F.col(field)).alias("_row"))
+    elem = pages.schema[field].dataType.elementType
+    # Inference gives a list of strings when every landed list was empty.
+    return rows.select(*keep, "_row.*") if isinstance(elem, T.StructType) else rows.withColumnRenamed("_row", field)
 
 
 def tidy(df: DataFrame, run_ts: dt.datetime, flatten: bool = True) -> DataFrame:

@@ -1,0 +1,20 @@
+import datetime as dt
+import json
+import os
+
+from martkit.plans.landing import ACTIVITY_FIELDS
+from martkit.streaming.landing_stream import activity_stream
+
+
+def test_activity_stream_available_now(spark, tmp_dir):
+    landed, out = f"{tmp_dir}/landed", f"{tmp_dir}/out"
+    for day in ("20240128", "20240130"):
+        os.makedirs(f"{landed}/load_day={day}")
+        ents = [{f: None for f in ACTIVITY_FIELDS} | {"Id": f"{day}-{k}"} for k in range(3)]
+        with open(f"{landed}/load_day={day}/p1.json", "w") as f:
+            json.dump({"page_no": 1, "status_code": 200, "activityEventEntities": ents}, f)
+    q = activity_stream(spark, landed, out, dt.datetime(2024, 1, 31), checkpoint=f"{tmp_dir}/ckpt")
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.count() == 6
+    assert sorted({r.load_day for r in got.select("load_day").collect()}) == [20240128, 20240130]
