@@ -30,14 +30,40 @@ def ordered_text_agg(item_col: str, order_cols: list[str], sep: str) -> Column:
 
 
 def group_ordered_text(df: DataFrame, keys: list[str], item: Column, order: list[Column],
-                       sep: str, name: str) -> DataFrame:
+                       sep: str, name: str, chunk_by: Column | None = None, split_hot_groups: bool = False,
+                       partitions: int | None = None) -> DataFrame:
     """One row per key with the ordered text of ``item``.
 
-    The text of a group is a single value, so its pieces meet in one task by
-    necessity; the projection before the shuffle keeps only the key, the
-    piece and its order keys.
+    Only the key, the piece and its order keys are shuffled.  A collecting
+    aggregate shrinks nothing map-side, so rows are hash-partitioned by key
+    first and aggregated once after the shuffle (no partial step in the
+    scan task).
+
+    ``chunk_by``: a bucket that never decreases along ``order`` (e.g. the
+    first order column, a day, a number range).  Each (key, bucket) chunk
+    is built on its own task, then a key's chunks are joined in bucket
+    order: a key with many rows is spread over as many tasks as it has
+    buckets, at the cost of one extra shuffle of chunk texts only.
+
+    ``split_hot_groups``: the same without a known bucket.
+    Rows are range-partitioned by (key, order), so a hot key is cut into
+    contiguous ordered chunks on several tasks; each chunk's text is built
+    in parallel and the chunks are joined in range order.  Only the final
+    text of a key (one value, by definition) meets in one task.
     """
     order_cols = [f"_o{i}" for i in range(len(order))]
+    extra = [chunk_by.alias("_chunk")] if chunk_by is not None else []
     staged = df.select(*[F.col(k) for k in keys], item.alias("_item"),
-                       *[o.alias(c) for o, c in zip(order, order_cols)])
-    return staged.groupBy(*keys).agg(ordered_text_agg("_item", order_cols, sep).alias(name))
+                       *[o.alias(c) for o, c in zip(order, order_cols)], *extra)
+    if chunk_by is not None:
+        chunks = staged.groupBy(*keys, "_chunk").agg(ordered_text_agg("_item", order_cols, sep).alias("_part"))
+        return chunks.groupBy(*keys).agg(ordered_text_agg("_part", ["_chunk"], sep).alias(name))
+    if not split_hot_groups:
+        return staged.repartition(*keys).groupBy(*keys).agg(
+            ordered_text_agg("_item", order_cols, sep).alias(name))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = staged.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys],
+                                       *[F.col(c).asc_nulls_first() for c in order_cols])
+    chunks = (ranged.withColumn("_chunk", F.spark_partition_id())
+              .groupBy(*keys, "_chunk").agg(ordered_text_agg("_item", order_cols, sep).alias("_part")))
+    return chunks.groupBy(*keys).agg(ordered_text_agg("_part", ["_chunk"], sep).alias(name))

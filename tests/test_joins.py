@@ -97,3 +97,19 @@ def test_size_checked_broadcast(spark):
     j2 = spark.range(100).join(size_checked_broadcast(big, max_rows=10), "id")
     assert "broadcast" in j1._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "broadcast" not in j2._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_ordered_text_hot_group_split_matches(spark):
+    # One key holds most rows; the split plan gives the same text, NULLs skipped, all-NULL -> NULL.
+    from martkit.operators import group_ordered_text
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 2500, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("k"),
+        F.col("id"), F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("v"))
+    df = df.unionByName(spark.createDataFrame([("nulls", 1, None)], "k string, id long, v string"))
+    a = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t")
+    b = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", split_hot_groups=True, partitions=6)
+    c = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", chunk_by=F.floor(F.col("id") / 100))
+    assert rows(a) == rows(b) == rows(c)
+    got = dict(rows(b))
+    assert got["nulls"] is None
+    assert got["hot"] == ",".join(str(i) for i in range(2500) if i % 5)
