@@ -36,6 +36,24 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], run_ts: dt.dat
     missing = [c for c in keys + value_cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
+    # Rows with a NULL key part can never match.  They bypass the join: a
+    # hash exchange would send all of them to the one partition of NULL,
+    # and AQE cannot split a full outer join.
+    any_null = None
+    for k in keys:
+        c = F.col(k).isNull()
+        any_null = c if any_null is None else any_null | c
+    stamp_type = target.schema[stamp_col].dataType if stamp_col else None
+    new_null = source.filter(any_null).select(
+        *keys, *value_cols, *([F.lit(None).cast(stamp_type).alias(stamp_col)] if stamp_col else []))
+    old_null = target.filter(any_null)
+    keyed = _upsert_keyed(target.filter(~any_null), source.filter(~any_null), keys, value_cols, run_ts,
+                          stamp_col, only_changed, check_duplicates)
+    return keyed.unionByName(old_null.select(*target.columns)).unionByName(new_null.select(*target.columns))
+
+
+def _upsert_keyed(target: DataFrame, source: DataFrame, keys: list[str], value_cols: list[str], run_ts,
+                  stamp_col: str | None, only_changed: bool, check_duplicates: bool) -> DataFrame:
     s = source.select(*keys, *value_cols)
     if check_duplicates:
         counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -76,7 +94,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], run_ts: dt.dat
         out.append(F.when(inserted | updated, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
     if stamp_col:
         stamp_type = target.schema[stamp_col].dataType
-        out.append(F.when(updated, F.lit(run_ts).cast(stamp_type))
+        stamp = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(stamp_type)   # no local-zone shift
+        out.append(F.when(updated, stamp)
                    .when(inserted, F.lit(None).cast(stamp_type))
                    .otherwise(F.col(f"t_{stamp_col}")).alias(stamp_col))
     return j.select(*out).select(*target.columns)

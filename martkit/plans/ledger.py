@@ -17,8 +17,10 @@ Plan shape (what Spark runs):
 4. The profit rows join on (business unit, year, month), a grain coarser
    than their key, so rows may multiply (kept on purpose).  The profit side
    is broadcast after a bounded size check; above the bound both sides are
-   hash-partitioned by (business unit, year) *before* the unpivot, so the
-   12x larger long rows never cross the network.
+   hash-partitioned by (business unit, year, salt) *before* the unpivot, so
+   the 12x larger long rows never cross the network, and a business unit
+   with a large share of the rows is spread over the salt buckets (the
+   profit rows are repeated once per salt).
 """
 
 from __future__ import annotations
@@ -243,13 +245,13 @@ def ledger_fact(account_balances: DataFrame, account_master: DataFrame, business
                 company_constants: DataFrame, dim_date: DataFrame, codes: DataFrame,
                 profit_recognition: DataFrame, run_ts: dt.datetime,
                 profit_join: str = "auto", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, salt_buckets: int = 16) -> DataFrame:
     """The 49-column ledger fact (see module doc for the plan).
 
     ``profit_join``: ``auto`` (broadcast the profit side when a bounded
     count shows at most ``broadcast_rows`` rows), ``broadcast`` or
-    ``shuffle`` (co-partition both sides by business unit and year before
-    the unpivot).
+    ``shuffle`` (co-partition both sides by business unit, year and a salt
+    before the unpivot; see ``salt_buckets``).
     """
     closed = closed_periods(company_constants, dim_date)
     wide = ledger_wide(account_balances, account_master, business_unit_master, closed, codes, run_ts.year)
@@ -265,16 +267,26 @@ def ledger_fact(account_balances: DataFrame, account_master: DataFrame, business
     if profit_join == "broadcast":
         profit = F.broadcast(profit)
     else:
+        # Salted co-partitioning: each wide row gets one salt (from its
+        # account), each profit row is repeated once per salt, so a business
+        # unit holding a large share of all rows is spread over
+        # ``salt_buckets`` tasks while every pair still meets exactly once.
         n_parts = partitions or int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        wide = wide.repartition(n_parts, "business_unit_code", "_fy")
-        profit = profit.repartition(n_parts, "_pr_bu", "_pr_year")
+        wide = wide.withColumn("_salt", F.pmod(F.xxhash64("account_id", "ledger_type_code"), F.lit(salt_buckets)))
+        profit = profit.withColumn("_pr_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast(
+            "array<bigint>")))
+        wide = wide.repartition(n_parts, "business_unit_code", "_fy", "_salt")
+        profit = profit.repartition(n_parts, "_pr_bu", "_pr_year", "_pr_salt")
 
     keep = [c for c in wide.columns if c not in MONTH_COLUMNS]
     long = unpivot_columns(wide, MONTH_COLUMNS, keep, index_name="fiscal_month",
                            value_name="amount_net_posting", divisor=100)
     long = long.withColumn("_fm", F.col("fiscal_month").cast("int"))
-    j = long.join(profit, (F.col("business_unit_code") == F.col("_pr_bu")) & (F.col("_fy") == F.col("_pr_year"))
-                  & (F.col("_fm") == F.col("_pr_month")), "left")
+    cond = ((F.col("business_unit_code") == F.col("_pr_bu")) & (F.col("_fy") == F.col("_pr_year"))
+            & (F.col("_fm") == F.col("_pr_month")))
+    if profit_join != "broadcast":
+        cond = cond & (F.col("_salt") == F.col("_pr_salt"))
+    j = long.join(profit, cond, "left")
     j = j.withColumn("year_month_id", period_id(F.col("fiscal_year"), F.col("fiscal_month")))
     j = j.withColumn("is_latest_closed_period_flag",
                      closed_flag("year_month_id", "latest_closed_period_year_month_id"))
