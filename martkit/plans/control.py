@@ -94,6 +94,9 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         ["ClientName", "ServerName", "database_id", "DatabaseName", "SourceAbbreviation",
          "SourceSystemName", "DataLakeName", "SourceDataStructure"])
 
+    # Table grain first: every lookup keyed by the table alone runs before
+    # the join that fans out to one row per column (left joins whose
+    # conditions only use earlier tables commute, so the rows are the same).
     obj_on = [(c(k), k) for k in DB_KEYS]
     t = o.select("object_id", "schema_id", "type_desc", "DatabaseName", *DB_KEYS)
     t = left_lookup(t, dbs, obj_on, {"d_ClientName": "ClientName", "d_DataLakeName": "DataLakeName",
@@ -103,8 +106,6 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
                                      "d_database_id": "database_id"})
     t = left_lookup(t, schemas, [(c("schema_id"), "schema_id")] + obj_on,
                     {"s_name": "name", "s_schema_id": "schema_id"})
-    t = left_lookup(t, columns, [(c("object_id"), "object_id")] + obj_on,
-                    {"c_name": "name", "c_column_id": "column_id"})
     t = left_lookup(t, tables, [(c("object_id"), "object_id")] + obj_on,
                     {"t_name": "name", "t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName",
                      "t_ServerName": "ServerName"})
@@ -113,6 +114,30 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
                     [(c("object_id"), "object_id"), (c("database_id"), "database_id"),
                      (c("ServerName"), "ServerName"), (c("ClientName"), "ClientName")],
                     {"i_index_id": "index_id", "i_name": "name"})
+
+    # Block list for whole tables, general or per client.
+    src, tname = c("d_SourceSystemName"), c("t_name")
+    ex = exclusions
+    t = listed_flag(t, [
+        (ex, [(src, "SourceName"), (tname, "TableNameForExclusion")], "TableNameForExclusion",
+         c("ClientName").isNull() & c("ColumnNameForExclusion").isNull()),
+        (ex, [(src, "SourceName"), (tname, "TableNameForExclusion"), (c("ClientName"), "ClientName")],
+         "TableNameForExclusion", c("ColumnNameForExclusion").isNull()),
+    ], "_blocked_table")
+
+    # Allow list, open by default: applies only where the (client, source)
+    # pair has any entry.
+    pairs = inclusions.select("ClientName", "SourceName").distinct().withColumn("_pair", F.lit(1))
+    t = left_lookup(t, inclusions, [(src, "SourceName"), (c("ClientName"), "ClientName"),
+                                    (tname, "TableNameForInclusion"), (c("s_schema_id"), "SchemaId")],
+                    {"_included": "TableNameForInclusion"})
+    t = left_lookup(t, pairs, [(c("ClientName"), "ClientName"), (src, "SourceName")], {"_pair": "_pair"})
+    not_allowed = c("_included").isNull() & c("_pair").isNotNull()
+    t = t.withColumn("ExcludeTable", F.when((c("_blocked_table") == 1) | not_allowed, 1).otherwise(0))
+
+    # Column grain.
+    t = left_lookup(t, columns, [(c("object_id"), "object_id")] + obj_on,
+                    {"c_name": "name", "c_column_id": "column_id"})
     t = left_lookup(t, index_columns,
                     [(c("object_id"), "object_id"), (c("i_index_id"), "index_id"),
                      (c("c_column_id"), "column_id"), (c("database_id"), "database_id"),
@@ -125,7 +150,7 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
                     {"OrdinalPosition": "ORDINAL_POSITION"})
 
     # Delta column: client-specific, then table-specific, then general.
-    src, col_name, tname = c("d_SourceSystemName"), F.trim(c("c_name")), c("t_name")
+    col_name = F.trim(c("c_name"))
     dc = delta_columns
     t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn")], {"_gdc": "DeltaColumn"},
                     right_filter=c("TableName").isNull() & c("ClientName").isNull())
@@ -136,14 +161,7 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
                             (c("ServerName"), "ServerName")], {"_cdc": "DeltaColumn"})
     t = t.withColumn("DeltaColumn", F.coalesce("_cdc", "_tdc", "_gdc"))
 
-    # Block lists: whole tables and single columns, general or per client.
-    ex = exclusions
-    t = listed_flag(t, [
-        (ex, [(src, "SourceName"), (tname, "TableNameForExclusion")], "TableNameForExclusion",
-         c("ClientName").isNull() & c("ColumnNameForExclusion").isNull()),
-        (ex, [(src, "SourceName"), (tname, "TableNameForExclusion"), (c("ClientName"), "ClientName")],
-         "TableNameForExclusion", c("ColumnNameForExclusion").isNull()),
-    ], "_blocked_table")
+    # Block list for single columns, general or per client.
     t = listed_flag(t, [
         (ex, [(src, "SourceName"), (tname, "TableNameForExclusion"), (col_name, "ColumnNameForExclusion")],
          "ColumnNameForExclusion", c("ClientName").isNull()),
@@ -151,25 +169,12 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
               (c("ClientName"), "ClientName")], "ColumnNameForExclusion", None),
     ], "ExcludeColumn")
 
-    # Allow list, open by default: applies only where the (client, source)
-    # pair has any entry.
-    pairs = inclusions.select("ClientName", "SourceName").distinct().withColumn("_pair", F.lit(1))
-    t = left_lookup(t, inclusions, [(src, "SourceName"), (c("ClientName"), "ClientName"),
-                                    (tname, "TableNameForInclusion"), (c("s_schema_id"), "SchemaId")],
-                    {"_included": "TableNameForInclusion"})
-    t = left_lookup(t, pairs, [(c("ClientName"), "ClientName"), (src, "SourceName")], {"_pair": "_pair"})
-    not_allowed = c("_included").isNull() & c("_pair").isNotNull()
-    t = t.withColumn("ExcludeTable", F.when((c("_blocked_table") == 1) | not_allowed, 1).otherwise(0))
-
     # Per-column pieces.
     has_key_col = c("ic_column_id").isNotNull()
     t = t.withColumns({
         "FormattedColumnName": bracket(c("c_name")),
         "FormattedPKColumn": F.when(has_key_col, concat_blank("[", c("c_name"), "]")),
         "PKClauseColumns": F.when(has_key_col, concat_blank("t.", c("c_name"), " = s.", c("c_name"))),
-        "SchemaTable": concat_strict("[", c("s_name"), "].[", c("t_name"), "]"),
-        "StagingDataFileName": staging_name(c("s_name"), c("t_name")),
-        "PrimaryKeyFileName": staging_name(c("s_name"), c("t_name"), primary_key=True),
     })
     # "No key column" is decided per (client, server, database, table name)
     # of the catalog table row -- across schemas.  A key row is a column of
@@ -197,26 +202,32 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         c("d_SourceSystemName").alias("g_SourceSystemName"), c("d_ServerName").alias("g_SourceServerName"),
         c("d_DatabaseName").alias("g_SourceDatabaseName"), c("s_name").alias("g_SourceSchemaName"),
         c("t_name").alias("g_SourceTableName"), c("p_rows").alias("g_SourceRowCount"),
-        c("ExcludeTable").alias("g_ExcludeTable"), c("StagingDataFileName").alias("g_StagingDataFileName"),
-        c("PrimaryKeyFileName").alias("g_PrimaryKeyFileName"), c("HasNoPK").alias("g_HasNoPK"),
-        c("SchemaTable").alias("g_SchemaTable"),
+        c("ExcludeTable").alias("g_ExcludeTable"), c("HasNoPK").alias("g_HasNoPK"),
         select_item(c("FormattedColumnName")).alias("_sel_item"),
         F.when(c("FormattedPKColumn").isNotNull(), select_item(c("FormattedPKColumn"))).alias("_key_item"),
         c("PKClauseColumns").alias("_clause_item"),
         c("OrdinalPosition").alias("_ord"), c("c_column_id").alias("_colid"),
         c("DeltaColumn").alias("_delta"))
+    # One row per (client, source, server, database, schema, table, row
+    # count, flags).  The schema-table text and the staging file names are
+    # functions of schema and table name, so they are derived after the
+    # aggregation instead of being part of the (wide) grouping key.  Text
+    # pieces shrink nothing map-side: hash-partition first, aggregate once.
     group_cols = ["g_ClientName", "g_DataLakeName", "g_SourceDataStructure", "g_SourceSystemName",
                   "g_SourceServerName", "g_SourceDatabaseName", "g_SourceSchemaName", "g_SourceTableName",
-                  "g_SourceRowCount", "g_ExcludeTable", "g_StagingDataFileName", "g_PrimaryKeyFileName",
-                  "g_HasNoPK", "g_SchemaTable"]
+                  "g_SourceRowCount", "g_ExcludeTable", "g_HasNoPK"]
     # Column order: ordinal position, then column id so equal positions
     # (e.g. missing ones) still give one repeatable text.
     order = ["_ord", "_colid"]
-    g = t.groupBy(*group_cols).agg(
+    g = t.repartition(*group_cols).groupBy(*group_cols).agg(
         ordered_text_agg("_sel_item", order, SELECT_SEP).alias("_sel"),
         ordered_text_agg("_key_item", order, KEY_SELECT_SEP).alias("_keys"),
         ordered_text_agg("_clause_item", order, MERGE_SEP).alias("_clauses"),
         F.max("_delta").alias("_max_delta"))
+    schema, table = c("g_SourceSchemaName"), c("g_SourceTableName")
+    g = g.withColumns({"g_SchemaTable": concat_strict("[", schema, "].[", table, "]"),
+                       "g_StagingDataFileName": staging_name(schema, table),
+                       "g_PrimaryKeyFileName": staging_name(schema, table, primary_key=True)})
     row_count = F.coalesce(c("g_SourceRowCount"), F.lit(0))
     return g.select(
         c("g_ClientName").alias("ClientName"), c("g_DataLakeName").alias("DataLakeName"),
