@@ -26,14 +26,22 @@ _uid = itertools.count()
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side holds at most ``max_rows`` rows.
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows, without counting them all.
 
-    The check is a bounded job (``limit(max_rows + 1).count()``); a side
-    above the bound is returned unchanged, so the join stays a shuffle join.
+    Takes ``max_rows + 1`` rows of a literal-only projection: no column is
+    read, the limit scans partitions incrementally and stops as soon as the
+    bound is passed, and at most ``max_rows + 1`` one-byte rows reach the
+    driver.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
+
+
+def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when the side holds at most ``max_rows`` rows
+    (:func:`has_at_most`); above the bound the side is returned unchanged,
+    so the join stays a shuffle join (which AQE may still re-plan)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
 def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[tuple], take: dict[str, str],

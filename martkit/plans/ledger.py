@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from martkit.functions.numbers import div0, hundredths, period_id
 from martkit.functions.text import concat_strict, lpad_number
-from martkit.operators.joins import DEFAULT_BROADCAST_ROWS, left_lookup
+from martkit.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most, left_lookup
 from martkit.operators.shape import unpivot_columns
 
 # ---------------------------------------------------------------------------
@@ -262,8 +262,7 @@ def ledger_fact(account_balances: DataFrame, account_master: DataFrame, business
         *[F.col(a).alias(f"_pr_{a}") for a in PROFIT_AMOUNTS])
 
     if profit_join == "auto":
-        n = profit.limit(broadcast_rows + 1).count()
-        profit_join = "broadcast" if n <= broadcast_rows else "shuffle"
+        profit_join = "broadcast" if has_at_most(profit, broadcast_rows) else "shuffle"
     if profit_join == "broadcast":
         profit = F.broadcast(profit)
     else:
