@@ -65,9 +65,8 @@ def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[tuple], take: dict
         le = as_col(lc)
         c = le.eqNullSafe(F.col(k)) if null_safe else le == F.col(k)
         cond = c if cond is None else cond & c
-    out = df.join(r, cond, "left")
-    return out.select(*[df[c] for c in df.columns],
-                      *[F.col(f"{tag}_{new}").alias(new) for new in take])
+    out = df.join(r, cond, "left").drop(*keys)
+    return out.withColumnsRenamed({f"{tag}_{new}": new for new in take})
 
 
 def best_row_per_key(df: DataFrame, keys: list[str], order: list[Column], payload: list[str]) -> DataFrame:

@@ -18,3 +18,27 @@ def test_activity_stream_available_now(spark, tmp_dir):
     got = spark.read.parquet(out)
     assert got.count() == 6
     assert sorted({r.load_day for r in got.select("load_day").collect()}) == [20240128, 20240130]
+
+
+def test_activity_stream_resumes_from_checkpoint(spark, tmp_dir):
+    # A second run on the same checkpoint picks up only the newly landed day;
+    # the day already landed is not rewritten.
+    landed, out, ckpt = f"{tmp_dir}/landed", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+
+    def land(day, n):
+        os.makedirs(f"{landed}/load_day={day}")
+        ents = [{f: None for f in ACTIVITY_FIELDS} | {"Id": f"{day}-{k}"} for k in range(n)]
+        with open(f"{landed}/load_day={day}/p1.json", "w") as f:
+            json.dump({"page_no": 1, "status_code": 200, "activityEventEntities": ents}, f)
+
+    run = dt.datetime(2024, 1, 31)
+    land("20240127", 2)
+    activity_stream(spark, landed, out, run, checkpoint=ckpt).awaitTermination(120)
+    first = {f for f in os.listdir(out) if f.startswith("load_day=")}
+    stamp = os.path.getmtime(f"{out}/load_day=20240127")
+    land("20240129", 4)
+    activity_stream(spark, landed, out, run, checkpoint=ckpt).awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert first == {"load_day=20240127"}
+    assert got.count() == 6
+    assert os.path.getmtime(f"{out}/load_day=20240127") == stamp
