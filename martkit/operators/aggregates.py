@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +31,26 @@ def ordered_text_agg(item_col: str, order_cols: list[str], sep: str) -> Column:
     return F.expr(f"listagg(`{item_col}`, {sql_text(sep)}) WITHIN GROUP (ORDER BY {order_sql})")
 
 
+def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame | None:
+    """Keys holding more than ``share`` of all rows, or None.
+
+    At most ``ceil(1 / share)`` keys can pass that bar, so the answer is a
+    top-k of the per-key counts (combined map-side) with a proven size
+    bound; it is returned as a small DataFrame for a broadcast join.
+    """
+    total = df.count()
+    if total == 0:
+        return None
+    top = df.groupBy(*keys).count().orderBy(F.desc("count")).limit(math.ceil(1 / share)).collect()
+    hot = [tuple(r[k] for k in keys) for r in top if r["count"] > share * total]
+    if not hot:
+        return None
+    return df.sparkSession.createDataFrame(hot, schema=df.select(*keys).schema)
+
+
 def group_ordered_text(df: DataFrame, keys: list[str], item: Column, order: list[Column],
                        sep: str, name: str, chunk_by: Column | None = None, split_hot_groups: bool = False,
-                       partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None, hot_share: float | None = None) -> DataFrame:
     """One row per key with the ordered text of ``item``.
 
     Only the key, the piece and its order keys are shuffled.  A collecting
@@ -45,6 +64,9 @@ def group_ordered_text(df: DataFrame, keys: list[str], item: Column, order: list
     order: a key with many rows is spread over as many tasks as it has
     buckets, at the cost of one extra shuffle of chunk texts only.
 
+    ``hot_share``: split only keys holding more than this share of the
+    rows (found by :func:`hot_keys`); all other keys take the plain path.
+
     ``split_hot_groups``: the same without a known bucket.
     Rows are range-partitioned by (key, order), so a hot key is cut into
     contiguous ordered chunks on several tasks; each chunk's text is built
@@ -58,10 +80,31 @@ def group_ordered_text(df: DataFrame, keys: list[str], item: Column, order: list
     if chunk_by is not None:
         chunks = staged.groupBy(*keys, "_chunk").agg(ordered_text_agg("_item", order_cols, sep).alias("_part"))
         return chunks.groupBy(*keys).agg(ordered_text_agg("_part", ["_chunk"], sep).alias(name))
+    if hot_share is not None:
+        hot = hot_keys(staged, keys, hot_share)
+        if hot is None:
+            return _plain_text(staged, keys, order_cols, sep, name)
+        hot = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+        cond = None
+        for k in keys:
+            c = F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
+            cond = c if cond is None else cond & c
+        cold_rows = staged.join(hot, cond, "left_anti")
+        hot_rows = staged.join(hot, cond, "left_semi")
+        return _plain_text(cold_rows, keys, order_cols, sep, name).unionByName(
+            _range_split_text(hot_rows, keys, order_cols, sep, name, partitions))
     if not split_hot_groups:
-        return staged.repartition(*keys).groupBy(*keys).agg(
-            ordered_text_agg("_item", order_cols, sep).alias(name))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return _plain_text(staged, keys, order_cols, sep, name)
+    return _range_split_text(staged, keys, order_cols, sep, name, partitions)
+
+
+def _plain_text(staged: DataFrame, keys: list[str], order_cols: list[str], sep: str, name: str) -> DataFrame:
+    return staged.repartition(*keys).groupBy(*keys).agg(ordered_text_agg("_item", order_cols, sep).alias(name))
+
+
+def _range_split_text(staged: DataFrame, keys: list[str], order_cols: list[str], sep: str, name: str,
+                      partitions: int | None) -> DataFrame:
+    n = partitions or int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = staged.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys],
                                        *[F.col(c).asc_nulls_first() for c in order_cols])
     chunks = (ranged.withColumn("_chunk", F.spark_partition_id())

@@ -395,17 +395,24 @@ def _line_order():
     return [c("l_linenumber"), c("l_partkey"), c("l_suppkey")]
 
 
+# An order holding more than 1% of all lines is built by the range-split
+# path (its text in ordered chunks on many tasks); all others in one pass.
+HOT_SHARE = 0.01
+
+
 
 def q_ordered_text(spark, d):
     li = Tables(spark, d).lineitem
     item = ctl.select_item(bracket(_line_column_name()))
-    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.SELECT_SEP, "select_list")
+    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.SELECT_SEP, "select_list",
+                              hot_share=HOT_SHARE)
 
 
 def q_ordered_text_skip_null(spark, d):
     li = Tables(spark, d).lineitem
     item = F.when(c("l_returnflag") == "R", ctl.select_item(bracket(_line_column_name())))
-    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.KEY_SELECT_SEP, "key_list")
+    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.KEY_SELECT_SEP, "key_list",
+                              hot_share=HOT_SHARE)
 
 
 def q_select_text(spark, d):
@@ -416,7 +423,7 @@ def q_select_text(spark, d):
                    F.concat(F.lit("[dbo].[T"), k.cast("string"), F.lit("]")).alias("schema_table"))
     item = ctl.select_item(bracket(_line_column_name()))
     g = group_ordered_text(li, ["l_orderkey", "server", "db", "schema_table"], item, _line_order(),
-                           ctl.SELECT_SEP, "_list")
+                           ctl.SELECT_SEP, "_list", hot_share=HOT_SHARE)
     return g.select("l_orderkey", ctl.statement_text(c("_list"), c("server"), c("db"), c("schema_table"))
                     .alias("source_select_statement"))
 

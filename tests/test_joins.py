@@ -109,7 +109,11 @@ def test_ordered_text_hot_group_split_matches(spark):
     a = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t")
     b = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", split_hot_groups=True, partitions=6)
     c = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", chunk_by=F.floor(F.col("id") / 100))
-    assert rows(a) == rows(b) == rows(c)
+    d = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", hot_share=0.1, partitions=6)
+    assert rows(a) == rows(b) == rows(c) == rows(d)
+    from martkit.operators.aggregates import hot_keys
+    assert [tuple(r) for r in hot_keys(df, ["k"], 0.1).collect()] == [("hot",)]
+    assert hot_keys(df.filter("k <> 'hot'"), ["k"], 0.5) is None
     got = dict(rows(b))
     assert got["nulls"] is None
     assert got["hot"] == ",".join(str(i) for i in range(2500) if i % 5)
