@@ -6,6 +6,11 @@ one full outer join, and :func:`upsert_table` writes it to a new version
 folder and only then records that version in a small append-only log.
 Readers take the highest logged version, so a job that dies half way
 leaves the previous version current.
+
+Skew: only keys with exactly one source row and no NULL part go through
+the full outer join (which AQE cannot split).  NULL-key rows can never
+match and are appended directly; keys with several source rows are checked
+against the distinct target keys with a left join that AQE can split.
 """
 
 from __future__ import annotations
@@ -55,13 +60,29 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], run_ts: dt.dat
 def _upsert_keyed(target: DataFrame, source: DataFrame, keys: list[str], value_cols: list[str], run_ts,
                   stamp_col: str | None, only_changed: bool, check_duplicates: bool) -> DataFrame:
     s = source.select(*keys, *value_cols)
+    stamp_type = target.schema[stamp_col].dataType if stamp_col else None
+    multi_out = None
     if check_duplicates:
+        # Keys with several source rows never reach the full outer join (where
+        # a hot key would sit in one task that AQE cannot split): against the
+        # distinct target keys they are either all inserted (new key) or fail
+        # the job (existing key).  Both joins here can be split by AQE.
         counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        s = s.join(counts, keys, "left")
-    else:
-        s = s.withColumn("_n", F.lit(1).cast("bigint"))
-    s = s.select(*[F.col(c).alias(f"s_{c}") for c in keys + value_cols], "_n",
-                 F.lit(True).alias("_src"))
+        s = s.join(counts, keys, "inner")
+        multi = s.filter(F.col("_n") > 1).drop("_n")
+        s = s.filter(F.col("_n") == 1).drop("_n")
+        tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct().withColumn("_hit", F.lit(True))
+        cond = None
+        for k in keys:
+            c = F.col(k) == F.col(f"_t_{k}")
+            cond = c if cond is None else cond & c
+        m = multi.join(tkeys, cond, "left")
+        first = F.col(keys[0])
+        guard = F.when(F.col("_hit").isNotNull(), F.raise_error(F.concat(
+            F.lit("upsert: several source rows for one target key "), first.cast("string")))).otherwise(first)
+        multi_out = m.select(guard.alias(keys[0]), *keys[1:], *value_cols,
+                             *([F.lit(None).cast(stamp_type).alias(stamp_col)] if stamp_col else []))
+    s = s.select(*[F.col(c).alias(f"s_{c}") for c in keys + value_cols], F.lit(True).alias("_src"))
     tcols = keys + value_cols + ([stamp_col] if stamp_col else [])
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in tcols], F.lit(True).alias("_tgt"))
 
@@ -82,23 +103,16 @@ def _upsert_keyed(target: DataFrame, source: DataFrame, keys: list[str], value_c
     else:
         updated = matched
 
-    out = []
-    for i, k in enumerate(keys):
-        v = F.when(F.col("_src").isNotNull(), F.col(f"s_{k}")).otherwise(F.col(f"t_{k}"))
-        if i == 0 and check_duplicates:
-            v = F.when(matched & (F.col("_n") > 1),
-                       F.raise_error(F.concat(F.lit("upsert: several source rows for one target key "),
-                                              F.col(f"s_{k}").cast("string")))).otherwise(v)
-        out.append(v.alias(k))
+    out = [F.when(F.col("_src").isNotNull(), F.col(f"s_{k}")).otherwise(F.col(f"t_{k}")).alias(k) for k in keys]
     for c in value_cols:
         out.append(F.when(inserted | updated, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
     if stamp_col:
-        stamp_type = target.schema[stamp_col].dataType
         stamp = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(stamp_type)   # no local-zone shift
         out.append(F.when(updated, stamp)
                    .when(inserted, F.lit(None).cast(stamp_type))
                    .otherwise(F.col(f"t_{stamp_col}")).alias(stamp_col))
-    return j.select(*out).select(*target.columns)
+    merged = j.select(*out).select(*target.columns)
+    return merged if multi_out is None else merged.unionByName(multi_out.select(*target.columns))
 
 
 # --- versioned Parquet table -------------------------------------------------

@@ -72,3 +72,13 @@ def test_ledger_hot_business_unit_salted_equals_broadcast(spark):
     assert a.count() == b.count() == 200 * 13
     key = ["account_id", "year_month_id", "profit_recognition_adjusted_projected_final_revenue"]
     assert rows(a, *key) == rows(b, *key)
+
+
+def test_upsert_hot_duplicate_new_key(spark):
+    # 3000 source rows share one new key: all inserted, outside the full outer join.
+    tgt = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("v"))
+    src = spark.range(3000).select(F.lit("new").alias("k"), F.col("id").cast("double").alias("v")).unionByName(
+        spark.createDataFrame([("5", 9.0)], "k string, v double"))
+    out = upsert(tgt, src, ["k"])
+    assert out.count() == 3100 and out.filter("k = 'new'").count() == 3000
+    assert out.filter("k = '5'").first().v == 9.0
