@@ -38,10 +38,12 @@ def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame | None:
     top-k of the per-key counts (combined map-side) with a proven size
     bound; it is returned as a small DataFrame for a broadcast join.
     """
-    total = df.count()
-    if total == 0:
-        return None
-    top = df.groupBy(*keys).count().orderBy(F.desc("count")).limit(math.ceil(1 / share)).collect()
+    counts = df.groupBy(*keys).count()
+    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("top")).first()
+    if stats is None or stats["total"] is None or stats["top"] <= share * stats["total"]:
+        return None   # the usual case: one aggregate job, no hot key
+    total = stats["total"]
+    top = counts.orderBy(F.desc("count")).limit(math.ceil(1 / share)).collect()
     hot = [tuple(r[k] for k in keys) for r in top if r["count"] > share * total]
     if not hot:
         return None

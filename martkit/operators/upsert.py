@@ -71,7 +71,11 @@ def _upsert_keyed(target: DataFrame, source: DataFrame, keys: list[str], value_c
         s = s.join(counts, keys, "inner")
         multi = s.filter(F.col("_n") > 1).drop("_n")
         s = s.filter(F.col("_n") == 1).drop("_n")
-        tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct().withColumn("_hit", F.lit(True))
+        # Only target keys among the duplicated source keys (usually few) are
+        # looked at; the semi join keeps the rest of the target out of it.
+        dup_keys = counts.filter(F.col("_n") > 1).select(*keys)
+        tkeys = (target.select(*keys).join(dup_keys, keys, "left_semi").distinct()
+                 .select(*[F.col(k).alias(f"_t_{k}") for k in keys]).withColumn("_hit", F.lit(True)))
         cond = None
         for k in keys:
             c = F.col(k) == F.col(f"_t_{k}")
