@@ -62,3 +62,13 @@ def test_versioned_table_upsert_twice(spark, tmp_dir):
     cur = read_current(spark, base)
     assert cur.count() == 5 and cur.filter("id is null").count() == 2
     assert {r.id: r.amount for r in cur.filter("id is not null").collect()} == {"1": 1.0, "2": 20.0, "3": 3.0}
+
+
+def test_upsert_twice_equals_once_apart_from_stamp(spark):
+    # Invariant: with unique non-NULL keys, merging the same source again
+    # changes nothing but the modification stamp.
+    src = spark.createDataFrame([("2", "a", 20.0, "s2"), ("3", "a", 3.0, "s3")], SCHEMA)
+    once = upsert(target(spark), src, ["id", "line"], run_ts=TS, stamp_col="modified")
+    twice = upsert(once, src, ["id", "line"], run_ts=dt.datetime(2025, 1, 1), stamp_col="modified")
+    assert rows(once.drop("modified")) == rows(twice.drop("modified"))
+    assert once.count() == twice.count() == 3
