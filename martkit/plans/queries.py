@@ -16,9 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkit.functions import (
-    bracket, concat_blank, div0, hundredths, julian_key, period_id, to_cents, underscore_spaces,
-)
+from martkit.functions import bracket, concat_blank, hundredths, julian_key, period_id, to_cents
 from martkit.operators import (
     allow_list_flag, best_row_per_key, clean_column_names, count_per_key, flatten_structs,
     group_ordered_text, left_join_distinct, left_lookup, listed_flag, ordered_text_agg, semi_by_keys,
@@ -28,7 +26,7 @@ from martkit.operators import (
 from martkit.plans import control as ctl
 from martkit.plans import derived, ledger
 from martkit.sources import (
-    assign_day_window, capped, date_dimension, day_windows, details_for, explode_envelope, load,
+    assign_day_window, capped, day_windows, details_for, explode_envelope, load,
     pages_until_error, union_pages, window_texts,
 )
 
