@@ -87,12 +87,18 @@ def tidy(df: DataFrame, run_ts: dt.datetime, flatten: bool = True) -> DataFrame:
 
 
 def land_endpoint(spark: SparkSession, pages_path: str, out_path: str, run_ts: dt.datetime,
-                  schema: T.StructType | None = None, cap: int | None = None, cap_order: str = "id") -> bool:
-    """Land one endpoint's pages; returns whether anything was written."""
+                  schema: T.StructType | None = None, cap: int | None = None, cap_order: str = "id",
+                  skip_empty: bool = True) -> bool:
+    """Land one endpoint's pages; returns whether anything was written.
+    ``skip_empty=False`` writes an empty result too."""
     rows = rows_of(read_pages(spark, pages_path, schema))
     if cap is not None:
         rows = rows.orderBy(cap_order).limit(cap)
-    return write_if_any(tidy(rows, run_ts), out_path)
+    out = tidy(rows, run_ts)
+    if skip_empty:
+        return write_if_any(out, out_path)
+    write_parquet(out, out_path)
+    return True
 
 
 def active_datasets(groups: DataFrame, datasets: DataFrame) -> DataFrame:
@@ -138,10 +144,14 @@ def activity_rows(pages: DataFrame, run_ts: dt.datetime, n_days: int, quoted: bo
 
 
 def land_activity(spark: SparkSession, pages_path: str, out_base: str, run_ts: dt.datetime,
-                  n_days: int = 30) -> bool:
+                  n_days: int = 30, schema: T.StructType | None = LANDED_ACTIVITY_SCHEMA) -> bool:
     """Write each day's activity rows to ``out_base/load_day=YYYYMMDD``;
-    only the days present are replaced (dynamic partition overwrite)."""
-    pages = read_pages(spark, pages_path, LANDED_ACTIVITY_SCHEMA)
+    only the days present are replaced (dynamic partition overwrite).
+
+    With the given schema a field absent from every row is NULL; with
+    ``schema=None`` it is inferred and the fixed field list raises for it.
+    """
+    pages = read_pages(spark, pages_path, schema)
     rows = activity_rows(pages, run_ts, n_days)
     if rows.isEmpty():
         return False

@@ -109,3 +109,16 @@ def test_land_activity(spark, tmp_dir):
     r = got.filter("Id = '20240130-1'").first()
     assert (r.startDateTime, r.endDateTime, r.complete) == ("'2024-01-30T00:00:00Z'", "'2024-01-30T23:59:59Z'", False)
     assert "Extra" not in got.columns
+
+
+def test_endpoint_empty_and_strict_fields(spark, tmp_dir):
+    import pytest
+    put(f"{tmp_dir}/l/empty/1.json", {"value": []})
+    assert landing.land_endpoint(spark, f"{tmp_dir}/l/empty", f"{tmp_dir}/o/a", RUN) is False
+    assert landing.land_endpoint(spark, f"{tmp_dir}/l/empty", f"{tmp_dir}/o/b", RUN, skip_empty=False) is True
+    assert spark.read.parquet(f"{tmp_dir}/o/b").count() == 0
+    # Inferred schema: a kept field missing from every row fails the job.
+    put(f"{tmp_dir}/act/load_day=20240130/p1.json",
+        {"page_no": 1, "status_code": 200, "activityEventEntities": [{"Id": "a"}]})
+    with pytest.raises(ValueError, match="missing columns"):
+        landing.land_activity(spark, f"{tmp_dir}/act", f"{tmp_dir}/o/c", RUN, schema=None)
