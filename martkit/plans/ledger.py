@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from martkit.functions.numbers import div0, hundredths, period_id
 from martkit.functions.text import concat_strict, lpad_number
-from martkit.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most, left_lookup
+from martkit.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most, left_lookup, size_checked_broadcast
 from martkit.operators.shape import unpivot_columns
 
 # ---------------------------------------------------------------------------
@@ -166,14 +166,20 @@ def add_profit_measures(df: DataFrame, adj_revenue: str, adj_cost: str, earned_r
 
 # --- relations ----------------------------------------------------------------
 
-def closed_periods(company_constants: DataFrame, dim_date: DataFrame) -> DataFrame:
+def _dim(df: DataFrame, name: str, bounded: frozenset) -> DataFrame:
+    """Broadcast a lookup side: directly when the caller states a structural
+    bound for it (``bounded``), otherwise after a bounded size check."""
+    return F.broadcast(df) if name in bounded else size_checked_broadcast(df)
+
+
+def closed_periods(company_constants: DataFrame, dim_date: DataFrame, bounded: frozenset = frozenset()) -> DataFrame:
     """Latest closed period per company as ``YYYYMM`` text.
 
     Current period 1 closes month 12 of the previous fiscal year; otherwise
     period - 1 of the fiscal year.  An unknown fiscal year gives NULL.
     """
-    cc = left_lookup(company_constants, dim_date, [("date_fiscal_year_begins", "julian_date")],
-                     {"fiscal_year_begin_date": "calendar_date"})
+    cc = left_lookup(company_constants, _dim(dim_date, "dim_date", bounded),
+                     [("date_fiscal_year_begins", "julian_date")], {"fiscal_year_begin_date": "calendar_date"})
     fy = F.year("fiscal_year_begin_date")
     first = F.col("period_number_current") == 1
     latest = F.when(first, F.lit(12)).otherwise(F.col("period_number_current") - 1)
@@ -185,15 +191,19 @@ def closed_periods(company_constants: DataFrame, dim_date: DataFrame) -> DataFra
         concat_strict(year.cast("string"), lpad_number(latest, 2)).alias("closedperiod_yearmonthid"))
 
 
-def profit_rows(profit_recognition: DataFrame, dim_date: DataFrame, codes: DataFrame) -> DataFrame:
+def profit_rows(profit_recognition: DataFrame, dim_date: DataFrame, codes: DataFrame,
+                bounded: frozenset = frozenset()) -> DataFrame:
     """Profit rows with calendar year/month and amounts in units.
 
     Record type 0 (project level, no profit data) and NULL types are
     dropped; the type is compared as a number.
     """
     pr = profit_recognition.filter(F.col("type_of_record").cast("int") != 0)
-    pr = pr.join(dim_date, pr["date_effective"] == dim_date["julian_date"], "inner")
-    pr = left_lookup(pr, codes, [("type_of_record", "user_defined_code")],
+    # A calendar has one row per day of its span: broadcast after the check,
+    # so the profit rows are never shuffled on a low-cardinality date key.
+    dd = _dim(dim_date, "dim_date", bounded)
+    pr = pr.join(dd, pr["date_effective"] == dd["julian_date"], "inner")
+    pr = left_lookup(pr, _dim(codes, "codes", bounded), [("type_of_record", "user_defined_code")],
                      {"type_of_record_desc": "description"},
                      right_filter=(F.col("product_code") == RECORD_TYPE_CODES[0])
                      & (F.col("user_defined_codes") == RECORD_TYPE_CODES[1]))
@@ -207,20 +217,26 @@ def profit_rows(profit_recognition: DataFrame, dim_date: DataFrame, codes: DataF
 
 
 def ledger_wide(account_balances: DataFrame, account_master: DataFrame, business_unit_master: DataFrame,
-                closed: DataFrame, codes: DataFrame, run_year: int | None) -> DataFrame:
+                closed: DataFrame, codes: DataFrame, run_year: int | None,
+                bounded: frozenset = frozenset()) -> DataFrame:
     """Balance rows (still 12 month columns) with lookups and flags."""
     ab = account_balances.withColumn("fiscal_year", concat_strict(F.col("century"), F.col("fiscal_year")))
     if run_year is not None:
         ab = ab.filter(F.col("fiscal_year").cast("int") <= run_year)
-    ab = left_lookup(ab, account_master, [("account_id", "account_id")],
+    # Dimension lookups on the wide rows: each side is broadcast when a
+    # bounded check shows it is small, so the wide rows are not shuffled once
+    # per lookup key; a large side (e.g. the account master) stays a shuffle join.
+    ab = left_lookup(ab, _dim(account_master, "account_master", bounded), [("account_id", "account_id")],
                      {"account_level_of_detail": "account_level_of_detail"})
-    ab = left_lookup(ab, business_unit_master, [("business_unit", "business_unit")],
+    ab = left_lookup(ab, _dim(business_unit_master, "business_unit_master", bounded),
+                     [("business_unit", "business_unit")],
                      {"business_unit_type": "business_unit_type",
                       "bu_status": "category_code_business_unit_17",
                       "project_manager_code": "address_number2"})
-    ab = left_lookup(ab, closed, [("company", "company_code")],
+    ab = left_lookup(ab, _dim(closed, "company_constants", bounded), [("company", "company_code")],
                      {"latest_closed_period_year_month_id": "closedperiod_yearmonthid"})
-    ab = left_lookup(ab, codes, [("ledger_types", "user_defined_code")], {"ledger_type_desc": "description"},
+    ab = left_lookup(ab, _dim(codes, "codes", bounded), [("ledger_types", "user_defined_code")],
+                     {"ledger_type_desc": "description"},
                      right_filter=(F.col("product_code") == LEDGER_TYPE_CODES[0])
                      & (F.col("user_defined_codes") == LEDGER_TYPE_CODES[1]))
     sub, acct = F.col("subsidiary"), F.col("object_account")
@@ -245,18 +261,26 @@ def ledger_fact(account_balances: DataFrame, account_master: DataFrame, business
                 company_constants: DataFrame, dim_date: DataFrame, codes: DataFrame,
                 profit_recognition: DataFrame, run_ts: dt.datetime,
                 profit_join: str = "auto", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                partitions: int | None = None, salt_buckets: int = 16) -> DataFrame:
+                partitions: int | None = None, salt_buckets: int = 16,
+                bounded: tuple[str, ...] = ()) -> DataFrame:
     """The 49-column ledger fact (see module doc for the plan).
 
     ``profit_join``: ``auto`` (broadcast the profit side when a bounded
     count shows at most ``broadcast_rows`` rows), ``broadcast`` or
     ``shuffle`` (co-partition both sides by business unit, year and a salt
     before the unpivot; see ``salt_buckets``).
+
+    Dimension lookups are broadcast after a bounded size check, except the
+    inputs named in ``bounded`` (``account_master``,
+    ``business_unit_master``, ``company_constants``, ``codes``,
+    ``dim_date``), whose size the caller knows to be bounded by
+    construction; those are broadcast without a check.
     """
-    closed = closed_periods(company_constants, dim_date)
-    wide = ledger_wide(account_balances, account_master, business_unit_master, closed, codes, run_ts.year)
+    bounded = frozenset(bounded)
+    closed = closed_periods(company_constants, dim_date, bounded)
+    wide = ledger_wide(account_balances, account_master, business_unit_master, closed, codes, run_ts.year, bounded)
     wide = wide.withColumn("_fy", F.col("fiscal_year").cast("int"))
-    profit = profit_rows(profit_recognition, dim_date, codes).select(
+    profit = profit_rows(profit_recognition, dim_date, codes, bounded).select(
         F.col("business_unit_code").alias("_pr_bu"), F.col("year_eff").alias("_pr_year"),
         F.col("month_eff").alias("_pr_month"),
         *[F.col(a).alias(f"_pr_{a}") for a in PROFIT_AMOUNTS])

@@ -89,12 +89,18 @@ def q_year_bound_early(spark, d):
 def q_ledger_fact(spark, d):
     t = Tables(spark, d)
     i = derived.ledger_inputs({n: getattr(t, n) for n in ["orders", "lineitem", "customer", "nation", "region"]})
-    # The derived profit rows are keyed by (month start, record type, business
-    # unit): at most 3 types x 25 units per month of the ship-date span,
-    # whatever the row count, so broadcasting them needs no run-time check.
+    # Size bounds that hold by construction of the derived inputs, whatever
+    # the row count: profit rows are keyed by (month start, record type,
+    # business unit), so at most 3 types x 25 units per month of the
+    # ship-date span; business units come from nation (25 rows), companies
+    # from region (5), codes from fixed code lists (at most 22 rows), and the
+    # calendar has one row per day of the order-date span.  These are
+    # broadcast without a run-time check; the customer-derived account
+    # master grows with the data and is checked.
     return ledger.ledger_fact(i["account_balances"], i["account_master"], i["business_unit_master"],
                               i["company_constants"], i["dim_date"], i["codes"], i["profit_recognition"],
-                              LEDGER_RUN_TS, profit_join="broadcast")
+                              LEDGER_RUN_TS, profit_join="broadcast",
+                              bounded=("business_unit_master", "company_constants", "codes", "dim_date"))
 
 
 def _customer_companies(t: Tables) -> DataFrame:
