@@ -247,6 +247,8 @@ def q_profit_fanout(spark, d):
 
 
 def q_not_equal_filter(spark, d):
+    # The filter is the operator under test (F1: "<> 0" also drops NULL); the
+    # record type is an attribute derived from every order, not a subset.
     t = Tables(spark, d)
     o = t.orders.select("o_orderkey", F.nullif((c("o_orderkey") % 5).cast("string"), F.lit("3")).alias("type_of_record"))
     return o.filter(c("type_of_record").cast("int") != 0)   # NULL is dropped too
@@ -261,6 +263,8 @@ def _partitions(t: Tables) -> DataFrame:
 
 
 def q_presum_having(spark, d):
+    # "index_id < 2" is the row-count rule itself (heap / clustered
+    # partitions only), applied to catalog rows derived from every line.
     p = _partitions(Tables(spark, d)).filter(c("index_id") < 2)
     return sum_nonzero(p, ["object_id", "database_id", "ServerName", "ClientName"], "rows", "rows")
 
