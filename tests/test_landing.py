@@ -122,3 +122,26 @@ def test_endpoint_empty_and_strict_fields(spark, tmp_dir):
         {"page_no": 1, "status_code": 200, "activityEventEntities": [{"Id": "a"}]})
     with pytest.raises(ValueError, match="missing columns"):
         landing.land_activity(spark, f"{tmp_dir}/act", f"{tmp_dir}/o/c", RUN, schema=None)
+
+
+def test_assign_day_window_bounds(spark):
+    # Half-open windows keep 23:59:59.5; the original 23:59:59 end drops it.
+    from martkit.sources import assign_day_window, window_texts
+    ev = spark.sql("select * from values (1, timestamp_ntz'2024-01-30 23:59:59.5'), "
+                   "(2, timestamp_ntz'2024-01-30 00:00:00'), (3, timestamp_ntz'2024-01-31 00:00:00') as t(id, ts)")
+    half = assign_day_window(ev, "ts", day_windows(spark, RUN, 2))
+    closed = assign_day_window(ev, "ts", day_windows(spark, RUN, 2, closed_second=True), closed_second=True)
+    assert sorted(r.id for r in half.collect()) == [1, 2]
+    assert sorted(r.id for r in closed.collect()) == [2]
+    r = window_texts(half.filter("id = 2"), quoted=True).first()
+    assert (r.start_datetime, r.end_datetime, r.load_date) == ("'2024-01-30T00:00:00Z'", "'2024-01-31T00:00:00Z'",
+                                                               "20240130")
+
+
+def test_from_json_col_and_stamp(spark):
+    from martkit.operators import stamp_load_date
+    from martkit.sources import from_json_col
+    df = spark.createDataFrame([('{"k": 5, "x": "a"}',), ('{"x": "b"}',), ("not json",)], "props string")
+    got = [r.k for r in df.select(from_json_col("props", "k int").getField("k").alias("k")).collect()]
+    assert got == [5, None, None]
+    assert stamp_load_date(df, RUN).first().ETLImportDate == "2024-01-31"
