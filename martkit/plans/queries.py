@@ -114,7 +114,9 @@ def _customer_companies(t: Tables) -> DataFrame:
 
 def q_closed_period(spark, d):
     t = Tables(spark, d)
-    return ledger.closed_periods(_customer_companies(t).drop("c_acctbal"), derived.dim_date(t.orders))
+    # The calendar has one row per day of the order-date span: bounded by construction.
+    return ledger.closed_periods(_customer_companies(t).drop("c_acctbal"), derived.dim_date(t.orders),
+                                 bounded=frozenset({"dim_date"}))
 
 
 def q_closed_flag(spark, d):
@@ -122,7 +124,7 @@ def q_closed_flag(spark, d):
     # Customers with a negative balance have no company constants: their
     # closed period is unknown and the flag falls back to 1.
     comp = _customer_companies(t).filter(c("c_acctbal") >= 0).drop("c_acctbal")
-    closed = ledger.closed_periods(comp, derived.dim_date(t.orders))
+    closed = ledger.closed_periods(comp, derived.dim_date(t.orders), bounded=frozenset({"dim_date"}))
     long = _balances_long(t, None)
     j = left_lookup(long, closed, [("account_id", "company_code")],
                     {"latest_closed_period_year_month_id": "closedperiod_yearmonthid"})
@@ -134,7 +136,9 @@ def q_closed_flag(spark, d):
 
 def q_julian_dates(spark, d):
     t = Tables(spark, d)
-    dd = derived.dim_date(t.orders)
+    # One row per day of the order-date span: a bound by construction, so the
+    # orders are never shuffled on the (low-cardinality) date key.
+    dd = F.broadcast(derived.dim_date(t.orders))
     o = t.orders.select("o_orderkey", julian_key("o_orderdate").alias("julian_date"))
     j = o.join(dd, "julian_date", "inner")                       # J1
     j = left_lookup(j, dd, [(c("julian_date") + 1, "julian_date")],  # J2: next day may be missing
