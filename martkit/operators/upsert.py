@@ -16,6 +16,7 @@ against the distinct target keys with a left join that AQE can split.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,34 +126,41 @@ def _log_path(base: str) -> str:
     return base.rstrip("/") + "/_log"
 
 
-def _version_path(base: str, version: int) -> str:
-    return base.rstrip("/") + f"/version={version:08d}"
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """Highest committed version, or None for a table never written."""
+def _latest(spark: SparkSession, base: str):
+    """Latest committed log entry (version, path) or None."""
     try:
-        row = spark.read.parquet(_log_path(base)).agg(F.max("version").alias("v")).first()
+        log = spark.read.parquet(_log_path(base))
     except Exception as e:  # no log yet
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
         raise
-    return None if row is None else row["v"]
+    return log.orderBy(F.desc("version"), F.desc("committed_at"), F.desc("path")).select("version", "path").first()
+
+
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """Highest committed version, or None for a table never written."""
+    row = _latest(spark, base)
+    return None if row is None else row["version"]
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
     """The committed version of a versioned table."""
-    v = current_version(spark, base)
-    if v is None:
+    row = _latest(spark, base)
+    if row is None:
         raise FileNotFoundError(f"no committed version under {base}")
-    return spark.read.parquet(_version_path(base, v))
+    return spark.read.parquet(row["path"])
 
 
 def write_version(spark: SparkSession, base: str, df: DataFrame, run_ts: dt.datetime) -> int:
-    """Write ``df`` as the next version, then commit it to the log."""
+    """Write ``df`` as the next version, then commit it to the log.
+
+    Every attempt writes its own folder, so a failed or concurrent attempt
+    never touches a committed version; only the log entry makes it current.
+    """
     v = (current_version(spark, base) or 0) + 1
-    df.write.mode("overwrite").parquet(_version_path(base, v))
-    log = spark.createDataFrame([(v, run_ts)], "version int, committed_at timestamp")
+    path = base.rstrip("/") + f"/version={v:08d}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    log = spark.createDataFrame([(v, path, run_ts)], "version int, path string, committed_at timestamp")
     log.coalesce(1).write.mode("append").parquet(_log_path(base))
     return v
 
