@@ -72,3 +72,14 @@ def test_upsert_twice_equals_once_apart_from_stamp(spark):
     twice = upsert(once, src, ["id", "line"], run_ts=dt.datetime(2025, 1, 1), stamp_col="modified")
     assert rows(once.drop("modified")) == rows(twice.drop("modified"))
     assert once.count() == twice.count() == 3
+
+
+def test_uncommitted_attempt_is_invisible(spark, tmp_dir):
+    base = f"{tmp_dir}/t"
+    write_version(spark, base, target(spark).drop("modified"), TS)
+    # A job that died after writing data but before committing leaves a folder
+    # that no reader sees.
+    spark.range(3).write.parquet(f"{base}/version=00000002-deadbeef0000")
+    assert read_current(spark, base).count() == 2
+    assert upsert_table(spark, base, source(spark), ["id", "line"], TS) == 2
+    assert read_current(spark, base).count() == 4
