@@ -429,14 +429,16 @@ def q_ordered_text_skip_null(spark, d):
 
 def q_select_text(spark, d):
     li = Tables(spark, d).lineitem
-    k = c("l_orderkey")
-    li = li.select("*", F.concat(F.lit("srv"), (k % 3).cast("string")).alias("server"),
-                   F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("DB"), (k % 5).cast("string"))).alias("db"),
-                   F.concat(F.lit("[dbo].[T"), k.cast("string"), F.lit("]")).alias("schema_table"))
     item = ctl.select_item(bracket(_line_column_name()))
-    g = group_ordered_text(li, ["l_orderkey", "server", "db", "schema_table"], item, _line_order(),
-                           ctl.SELECT_SEP, "_list", hot_share=HOT_SHARE)
-    return g.select("l_orderkey", ctl.statement_text(c("_list"), c("server"), c("db"), c("schema_table"))
+    # Server, database and schema-table all follow from the order key, so the
+    # text is grouped by the key alone (same groups, narrower key) and the
+    # three are derived afterwards.
+    g = group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.SELECT_SEP, "_list", hot_share=HOT_SHARE)
+    k = c("l_orderkey")
+    server = F.concat(F.lit("srv"), (k % 3).cast("string"))
+    db = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("DB"), (k % 5).cast("string")))
+    schema_table = F.concat(F.lit("[dbo].[T"), k.cast("string"), F.lit("]"))
+    return g.select("l_orderkey", ctl.statement_text(c("_list"), server, db, schema_table)
                     .alias("source_select_statement"))
 
 
