@@ -449,15 +449,17 @@ def q_key_text(spark, d):
     o = count_per_key(o, ["o_custkey"], c("key_name"), "_keys")
     o = o.select("*", F.when(c("_keys") == 0, 1).otherwise(0).alias("has_no_pk"),
                  F.when(c("key_name").isNotNull(), ctl.select_item(concat_blank("[", c("key_name"), "]"))).alias("_key_item"),
-                 F.when(c("key_name").isNotNull(), concat_blank("t.", c("key_name"), " = s.", c("key_name"))).alias("_clause"),
-                 F.concat(F.lit("DB"), (c("o_custkey") % 5).cast("string")).alias("db"),
-                 F.concat(F.lit("[dbo].[C"), c("o_custkey").cast("string"), F.lit("]")).alias("schema_table"))
-    g = o.groupBy("o_custkey", "has_no_pk", "db", "schema_table").agg(
+                 F.when(c("key_name").isNotNull(), concat_blank("t.", c("key_name"), " = s.", c("key_name"))).alias("_clause"))
+    # Database and schema-table follow from the customer key and the flag is
+    # constant per customer: group by (customer, flag), derive the rest after.
+    g = o.groupBy("o_custkey", "has_no_pk").agg(
         ordered_text_agg("_key_item", ["o_orderkey"], ctl.KEY_SELECT_SEP).alias("_keys_txt"),
         ordered_text_agg("_clause", ["o_orderkey"], ctl.MERGE_SEP).alias("_clauses"))
+    db = F.concat(F.lit("DB"), (c("o_custkey") % 5).cast("string"))
+    schema_table = F.concat(F.lit("[dbo].[C"), c("o_custkey").cast("string"), F.lit("]"))
     return g.select(
         "o_custkey", "has_no_pk",
-        ctl.statement_text(c("_keys_txt"), F.lit("srv"), c("db"), c("schema_table")).alias("source_select_pk_statement"),
+        ctl.statement_text(c("_keys_txt"), F.lit("srv"), db, schema_table).alias("source_select_pk_statement"),
         F.when(c("has_no_pk") == 0, ctl.merge_text(c("_clauses"))).alias("primary_key_merge_statement"),
         F.when(c("has_no_pk") == 0, F.concat(F.lit("dbo_C"), c("o_custkey").cast("string"), F.lit("_PK.parquet")))
         .alias("primary_key_file_name"))
