@@ -102,3 +102,18 @@ def test_ledger_fact_join_strategies_agree(spark):
     a = ledger.ledger_fact(*ins, run_ts=dt.datetime(2024, 6, 1), profit_join="broadcast")
     b = ledger.ledger_fact(*ins, run_ts=dt.datetime(2024, 6, 1), profit_join="shuffle", partitions=3)
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_ledger_fact_auto_join_picks_by_size(spark):
+    # "auto" broadcasts the profit side under the bound and co-partitions
+    # (salted) above it; both give the same rows.
+    amounts = [-10000, 5000, -20000, 8000, -30000, 9000, -15000, 4000]
+    pr_rows = [(2023032, "1", "BU1", *amounts, 0, 0), (2023032, "2", "BU1", *amounts, 0, 0),
+               (2023001, "1", "BU1", *amounts, 0, 0)]
+    ins = _inputs(spark, pr_rows)
+    run = dt.datetime(2024, 6, 1)
+    small = ledger.ledger_fact(*ins, run_ts=run, broadcast_rows=1000)
+    large = ledger.ledger_fact(*ins, run_ts=run, broadcast_rows=1, partitions=4, salt_buckets=3)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert "_pr_salt" in large._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
