@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +46,12 @@ def cut(df: DataFrame) -> DataFrame:
 def utf8_bytes(text: Column) -> Column:
     """UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(text, F.lit("")).cast("binary")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back (compressed, by column)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import chunk_recipes, language_id, packing, secret_forest, simhash_gray
+from martkit.llm import (
+    chunk_recipes,
+    language_id,
+    packing,
+    quality_trees,
+    ring_shards,
+    secret_forest,
+    simhash_gray,
+    suffix_repeats,
+)
 
 #: Vocabulary file of the packing query.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,13 +45,31 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op6_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring_shards.shard_rows(_documents(spark, sf_dir), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    trees = quality_trees.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_trees.assess(docs, trees)
+
+
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.remove_repeats(_documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), TOKENIZER).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_forest, op3_simhash_gray, op4_chunk_recipes, op5_language_id, op10_packing)
+    f.__name__: f for f in (
+        op2_secret_forest, op3_simhash_gray, op4_chunk_recipes, op5_language_id, op6_ring_shards,
+        op7_quality_trees, op9_suffix_repeats, op10_packing)
 }
 
 ORACLE: dict[str, str] = {
