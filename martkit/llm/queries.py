@@ -17,6 +17,7 @@ from martkit.llm import (
     secret_forest,
     simhash_gray,
     suffix_repeats,
+    warc_derivatives,
 )
 
 #: Vocabulary file of the packing query.
@@ -27,6 +28,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc_derivatives.responses_of_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    made = warc_derivatives.derivatives(responses, "page_id")
+    return made.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "source_payload_digest",
+                       "block_digest", "block", F.crc32("record").alias("record_crc32"))
+
+
 def op2_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_forest.scan(_documents(spark, sf_dir))
 
@@ -68,7 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_secret_forest, op3_simhash_gray, op4_chunk_recipes, op5_language_id, op6_ring_shards,
+        op1_warc_derivatives, op2_secret_forest, op3_simhash_gray, op4_chunk_recipes, op5_language_id, op6_ring_shards,
         op7_quality_trees, op9_suffix_repeats, op10_packing)
 }
 
