@@ -12,6 +12,7 @@ from martkit.llm import (
     chunk_recipes,
     language_id,
     packing,
+    piece_lattice,
     quality_trees,
     ring_shards,
     secret_forest,
@@ -22,6 +23,8 @@ from martkit.llm import (
 
 #: Vocabulary file of the packing query.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Model file of the piece lattice query.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +68,14 @@ def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.assess(docs, trees)
 
 
+def op8_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_lattice.encode(_documents(spark, sf_dir), PIECES)
+    decoded = piece_lattice.decode_column(F.col("ids"), PIECES)
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+                          F.crc32("ids").alias("ids_crc32"), "text_crc32",
+                          (F.crc32(decoded) == F.col("text_crc32")).alias("round_trip"))
+
+
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.remove_repeats(_documents(spark, sf_dir))
 
@@ -77,7 +88,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_derivatives, op2_secret_forest, op3_simhash_gray, op4_chunk_recipes, op5_language_id, op6_ring_shards,
-        op7_quality_trees, op9_suffix_repeats, op10_packing)
+        op7_quality_trees, op8_piece_lattice, op9_suffix_repeats, op10_packing)
 }
 
 ORACLE: dict[str, str] = {
