@@ -133,7 +133,8 @@ def _distinct_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, text in zip(batch["part"], batch["text"], strict=True):
             seen.setdefault(part, set()).update(words_of(text))
     for part, words in seen.items():
-        yield pd.DataFrame({"word": list(words)}).assign(part=np.int64(part))
+        if words:
+            yield pd.DataFrame({"word": sorted(words)}).assign(part=np.int64(part))
 
 
 def _packed_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,9 +185,7 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
                 "doc_id": table.column("doc_id"),
                 "text_crc32": pa.array([zlib.crc32((t or "").encode()) for t in rows], pa.int64()),
                 "ids": pa.array([b"".join([ids[w] for w in words_of(t)]) for t in rows], pa.binary())}))
-        return pa.concat_tables(made) if made else pa.table(
-            {"doc_id": pa.array([], texts.schema.field("part").type), "text_crc32": pa.array([], pa.int64()),
-             "ids": pa.array([], pa.binary())})
+        return pa.concat_tables(made).combine_chunks()
 
     return texts.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
         assemble, f"doc_id {kind}, text_crc32 long, ids binary")

@@ -1,0 +1,425 @@
+"""Operators against brute force on a small table."""
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from martkit.llm import (
+    chunk_recipes, graph, language_id, packing, piece_lattice, quality_trees, ring_shards, secret_forest,
+    simhash_gray, suffix_repeats, warc_derivatives,
+)
+from martkit.llm.queries import PIECES, QUERIES, TOKENIZER
+
+from .conftest import SF_SMALL
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_print(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    grams = [" ".join(words[i:i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(links, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def near_components(texts):
+    prints = {i: brute_print(t) for i, t in texts.items()}
+    links = [(a, b) for a, b in itertools.combinations(sorted(texts), 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    return prints, components(links, texts)
+
+
+def test_simhash(spark, texts):
+    prints, found = near_components(texts)
+    out = QUERIES["op3_simhash_gray"](spark, SF_SMALL).collect()
+    assert {r["doc_id"]: (int(r["fingerprint"], 16), r["component_id"]) for r in out} == {
+        i: (prints[i], found[i]) for i in texts}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_gray_index(spark, seed):
+    rng = random.Random(seed)
+    prints = {0}
+    for _ in range(40):
+        base = rng.getrandbits(64)
+        for _ in range(rng.choice([1, 2, 30])):
+            prints.add(base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(4))))
+    links = [(a, b) for a, b in itertools.combinations(prints, 2) if (a ^ b).bit_count() <= 2]
+    expected = components(links, prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    edges = simhash_gray.link_edges(spark.createDataFrame([(p,) for p in signed], "print long"))
+    got = {r["node"] % (1 << 64): r["component"] for r in graph.connected_components(edges).collect()}
+    classes = {frozenset(n for n in got if got[n] == c) for c in set(got.values())}
+    counts = Counter(expected.values())
+    assert classes == {frozenset(n for n in prints if expected[n] == c) for c in counts if counts[c] > 1}
+
+
+def test_gray_index_prunes_and_finds_all_in_one_group():
+    rng = np.random.default_rng(5)
+    prints = np.unique(rng.integers(0, 1 << 16, 600, dtype=np.uint64))
+    rank = prints.copy()
+    for s in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(s)
+    prints = prints[np.argsort(rank)]
+    index = simhash_gray.GrayIndex(prints, np.zeros(len(prints), dtype=np.int64))
+    got = {(int(a), int(b)) for x, y in index.linked(2) for a, b in zip(x, y, strict=True)}
+    far = np.bitwise_count(prints[:, None] ^ prints[None, :])
+    assert got == {(a, b) for a, b in zip(*np.nonzero(far <= 2), strict=True) if a < b}
+
+
+def test_components_of_a_long_path(spark):
+    nodes = list(range(200))
+    random.Random(1).shuffle(nodes)
+    edges = spark.createDataFrame(list(zip(nodes, nodes[1:], strict=False)), "a long, b long")
+    assert {(r["node"], r["component"]) for r in graph.connected_components(edges).collect()} == {
+        (n, 0) for n in range(200)}
+
+
+def test_chunks_join_to_the_text(spark, documents):
+    bad = documents.withColumn("parts", chunk_recipes.chunks(F.col("text"))).filter(
+        (F.concat_ws("", "parts") != F.col("text")) | F.exists("parts", lambda x: F.length(x) > chunk_recipes.MAX_CHARS))
+    assert bad.count() == 0
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(1, 9))) for _ in range(9000))
+    rows = spark.createDataFrame([(text,), ("zz" + text,)], "text string").select(chunk_recipes.chunks(F.col("text")))
+    first, second = (set(r[0]) for r in rows.collect())
+    assert len(first & second) > 0.8 * len(first)     # boundaries meet again behind a change
+    clash = spark.createDataFrame([(b"i", "a"), (b"i", "b")], "ident binary, chunk string")
+    with pytest.raises(ValueError):
+        chunk_recipes.verify(clash)
+
+
+def numeric_gradients(model, win, length, label, weight, array, index):
+    def loss():
+        states, _ = language_id._states(model, win, length)
+        prob = language_id._probabilities(model, states)[:, label, np.arange(win.shape[1])]
+        valid = np.arange(win.shape[0])[:, None] < length
+        return -(np.log(prob) * valid * weight / length / win.shape[1]).sum()
+    step = 1e-2
+    array[index] += step
+    up = loss()
+    array[index] -= 2 * step
+    down = loss()
+    array[index] += step
+    return (up - down) / (2 * step)
+
+
+def test_language_gradients():
+    model = language_id.train([("a", "abc abd"), ("b", "xyz zzy")], epochs=1)
+    rng = np.random.default_rng(0)
+    win = rng.integers(97, 123, (6, 5)).astype(np.uint8)
+    length, label = np.array([6, 6, 4, 6, 2]), np.array([0, 1, 1, 0, 1])
+    weight = np.ones(5)
+    grads = language_id._gradients(model, win, length, label, weight)
+    for array, grad in zip(model.weights(), grads, strict=True):
+        biggest = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        assert numeric_gradients(model, win, length, label, weight, array, biggest) == pytest.approx(
+            grad[biggest], rel=0.05, abs=1e-3)
+
+
+def test_language_held_out_accuracy(spark):
+    out = QUERIES["op5_language_id"](spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = out.join(docs, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows if r["held_out"]]) > 0.98
+
+
+def test_shards(spark, texts):
+    out = QUERIES["op6_ring_shards"](spark, SF_SMALL).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in out} == {
+        i: (len(t.encode()) + 8, zlib.crc32(t.encode())) for i, t in texts.items()}
+    counts = Counter(r["shard"] for r in out)
+    assert max(counts.values()) - min(counts.values()) <= 1 and set(counts) == set(range(24))
+    assert all(sorted(r["slot"] for r in out if r["shard"] == s) == list(range(counts[s])) for s in counts)
+
+
+def test_ring_continues_clockwise():
+    rng = random.Random(2)
+    counts = {rng.randrange(ring_shards.CELLS): rng.randrange(1, 9) for _ in range(300)}
+    counts[77] = 900                                             # a hot cell
+    parts = ring_shards.allocate(counts, 8)
+    got = Counter()
+    for cell, first, until, shard, _ in parts:
+        got[shard] += until - first
+    assert [got[s] for s in range(8)] == ring_shards.capacities(sum(counts.values()), 8)
+    for cell, count in counts.items():
+        assert sorted(x for c, a, b, _, _ in parts if c == cell for x in range(a, b)) == list(range(count))
+    free = ring_shards.allocate({c: 1 for c in counts}, 8)
+    points = ring_shards.ring(8)
+    home = {c: next((s for at, s in points if at >= c), points[0][1]) for c in counts}
+    assert np.mean([home[c] == s for c, _, _, s, _ in free]) > 0.7   # most keys stay at their own point
+
+
+def test_few_keys_move_with_one_more_row(spark, documents):
+    before = {r["doc_id"]: r["shard"] for r in ring_shards.shard_rows(documents, 24).collect()}
+    after = {r["doc_id"]: r["shard"] for r in ring_shards.shard_rows(documents.filter("doc_id != 3"), 24).collect()}
+    assert sum(before[i] != s for i, s in after.items()) < 0.2 * len(before)
+
+
+def brute_stats(text):
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(covered))
+
+
+def test_quality(spark, texts):
+    out = QUERIES["op7_quality_trees"](spark, SF_SMALL).collect()
+    for r in out:
+        base = brute_stats(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == base
+        failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
+        assert r["base_failed"] == failed and not (failed and r["kept"])
+
+
+def test_quality_trees_learn_and_keep_their_direction():
+    rng = np.random.default_rng(1)
+    stats = np.column_stack([rng.integers(50, 900, 3000), rng.integers(300, 5000, 3000), rng.integers(0, 60, 3000),
+                             *[rng.integers(0, 30, 3000) for _ in range(6)]])
+    rows = quality_trees.feature_rows(stats)
+    good = (rows[:, 2] < 0.1).astype(float)
+    trees = quality_trees.train(rows[:2000], good[:2000])
+    assert np.mean((trees.score(rows[2000:]) >= 0.5) == good[2000:]) > 0.97
+    for name, way in quality_trees.MONOTONE.items():
+        f = quality_trees.FEATURES.index(name)
+        line = np.repeat(rows[:50], 40, axis=0)
+        line[:, f] = np.tile(np.linspace(0, rows[:, f].max(), 40), 50)
+        assert (way * np.diff(trees.score(line).reshape(50, 40), axis=1) >= -1e-12).all()
+
+
+def test_quality_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    trees = quality_trees.fit(docs, labels.filter("doc_id % 2 = 0"))
+    rows = quality_trees.assess(docs, trees).join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
+    assert np.mean([(r["score"] >= 0.5) == (r["quality"] == 1) for r in rows]) > 0.97
+
+
+def test_repeated_words_of_a_large_vocabulary():
+    words = [f"w{i}" for i in range(50)] * 2
+    assert quality_trees.repeated_words(words) == 100
+    assert quality_trees.repeated_words(["a", "a", "a", "a"]) == 4
+    assert quality_trees.repeated_words(["a", "b", "c", "a", "b"]) == 0
+
+
+@pytest.mark.parametrize("most", [1, 20_000])
+def test_repeats(spark, most):
+    rng = random.Random(9)
+    shared = "".join(rng.choice("abcd") for _ in range(120))
+    texts = {}
+    for i in range(60):
+        own = ["".join(rng.choice("abcdé") for _ in range(rng.randrange(60))) for _ in range(3)]
+        cut = rng.randrange(100)
+        texts[i] = own[0] + shared[cut:cut + rng.randrange(20, 90)] + own[1] + shared[:rng.randrange(70)] + own[2]
+    texts |= {60: "z" * 200, 61: texts[5], 62: shared, 63: "", 64: "ab" * 70, 65: texts[7][:50] + texts[8]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = suffix_repeats.remove_repeats(docs, 40, 16, most).collect()
+    check_repeats(out, texts, 40)
+
+
+def check_repeats(out, texts, length):
+    starts = Counter(t.encode()[i:i + length] for t in texts.values() for i in range(len(t.encode()) - length + 1))
+    for r in out:
+        data = texts[r["doc_id"]].encode()
+        gone = np.zeros(len(data) + 2, dtype=int)
+        for i in range(len(data) - length + 1):
+            if starts[data[i:i + length]] > 1:
+                gone[i + 1:i + 1 + length] = 1
+        kept = bytes(b for b, g in zip(data, gone[1:], strict=False) if not g)
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (
+            len(data), gone.sum(), (np.diff(gone) == 1).sum(), hashlib.sha256(kept).hexdigest())
+
+
+def test_repeats_query(spark, texts):
+    check_repeats(QUERIES["op9_suffix_repeats"](spark, SF_SMALL).collect(), texts, 400)
+
+
+def test_anchor_segments(monkeypatch):
+    data = bytes(random.Random(4).choices(b"abc", k=5000))
+    whole = suffix_repeats.anchors(data).tolist()
+    monkeypatch.setattr(suffix_repeats, "SEGMENT", 700)
+    assert suffix_repeats.anchors(data).tolist() == whole
+
+
+def test_packing(spark, texts):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    out = QUERIES["op10_packing"](spark, SF_SMALL).collect()
+    check_packing(out, {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in texts.items()})
+
+
+def check_packing(out, ids):
+    by_doc, by_sequence = {}, {}
+    for r in out:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_sequence.setdefault(r["sequence_id"], []).append(r)
+    assert set(by_doc) == set(ids)
+    for i, rows in by_doc.items():
+        rows.sort(key=lambda r: r["piece"])
+        assert [r["piece"] for r in rows] == list(range(len(rows)))
+        at = 0
+        for r in rows:
+            part = np.array(ids[i][at:at + r["length"]], dtype="<u4").tobytes()
+            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(part) and len(part) == 4 * r["length"]
+            at += r["length"]
+        assert at == len(ids[i]) and all(r["length"] == 2048 for r in rows[1:])
+        assert len(rows) == -(-len(ids[i]) // 2048)
+    for rows in by_sequence.values():
+        rows.sort(key=lambda r: r["offset"])
+        ends = np.cumsum([r["length"] for r in rows])
+        assert [r["offset"] for r in rows] == [0, *ends[:-1]] and ends[-1] <= 2048
+    least = sum(map(len, ids.values())) / 2048
+    assert len(by_sequence) <= 1.03 * least + 3
+
+
+def test_sum_of_squares_rule():
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 21, 300)
+    place, offset = packing.sum_of_squares(lengths, 20)
+    level = {}
+    for size, b, at in zip(lengths.tolist(), place.tolist(), offset.tolist(), strict=True):
+        def squares(levels):
+            return sum(n * n for n in Counter(20 - v for v in levels.values() if v < 20).values())
+        choices = {None: squares(level | {"new": size})}
+        for other, used in level.items():
+            if used + size <= 20:
+                choices[other] = squares(level | {other: used + size})
+        chosen = None if b not in level else b
+        assert choices[chosen] == min(choices.values()) and at == level.get(b, 0)
+        level[b] = at + size
+
+
+@pytest.mark.parametrize("text", [" a", " ", "  ", "a  b", "\n x", "x \ny", "a\t b", " \n", "é ñ  ü\n\n z", "it's 'll",
+                                  "\x1c a", "x\x1c b", "<|endoftext|> a", "a\r\nb", "ab　 c", "x y z"])
+def test_units_give_the_same_ids(text):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    assert np.frombuffer(packing.encode(text, TOKENIZER), "<u4").tolist() == tokenizer.encode(
+        text, add_special_tokens=False).ids
+
+
+def test_piece_lattice(spark, texts):
+    pieces = piece_lattice.Pieces(PIECES)
+    table = {p: (i, s) for p, i, s in pieces.rows}
+
+    def best(word):
+        score = [0.0] + [-np.inf] * len(word)
+        path = [[]] + [None] * len(word)
+        for end in range(1, len(word) + 1):
+            for start in range(max(0, end - pieces.longest), end):
+                part = word[start:end]
+                i, s = table.get(part, (None, None))
+                if i is None:
+                    if end - start > 1:
+                        continue
+                    i, s = [pieces.byte_ids[b] for b in part.encode()], pieces.unknown
+                if score[start] + s > score[end]:
+                    score[end], path[end] = score[start] + s, path[start] + (i if isinstance(i, list) else [i])
+        return path[-1]
+
+    memo = {}
+    out = QUERIES["op8_piece_lattice"](spark, SF_SMALL).collect()
+    for r in out:
+        words = piece_lattice.words_of(texts[r["doc_id"]])
+        ids = [i for w in words for i in memo.setdefault(w, best(w))]
+        assert r["round_trip"] and r["n_pieces"] == len(ids)
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def test_secrets(spark, texts):
+    out = secret_forest.scan(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()
+    places = {(i, m.start(), len(m[0])) for i, t in texts.items() for m in re.finditer(secret_forest.CANDIDATE, t)}
+    assert {(r["doc_id"], r["start"], r["length"]) for r in out} == places
+    secret = {(r["doc_id"], r["start"]) for r in out if r["is_secret"]}
+    assert secret == {(i, m.start(1)) for i, t in texts.items() for m in re.finditer(r'token = "([0-9a-f]{40})"', t)}
+
+
+def test_secret_features(spark):
+    text = 'see http://h/abcdefghijklmnopqrst api_key: "Ab3dEf6hIj9lMnOpQr2tUv" and internationalization'
+    docs = spark.createDataFrame([(1, text, "tests/a.py")], "doc_id long, text string, source string")
+    words = spark.createDataFrame([("nation",), ("inter",)], "word string")
+    rows = {r["candidate"]: r for r in secret_forest.features(secret_forest.candidates(docs), words).collect()}
+    token, word = rows["Ab3dEf6hIj9lMnOpQr2tUv"], rows["internationalization"]
+    assert token["assigned"] == token["quoted"] == token["path_words"] == token["key_word"] == 1
+    assert token["coverage"] == 0 and word["coverage"] == pytest.approx(11 / 20) and word["assigned"] == 0
+    assert rows["//h/abcdefghijklmnopqrst"]["in_address"] == 1
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(1, 'é a = "0123456789abcdef0123456789" tail', 9), (2, None, None)],
+                                 "doc_id long, text string, n_chars int")
+    out = {r["doc_id"]: r for r in secret_forest.redact(docs, secret_forest.scan(docs)).collect()}
+    assert out[1]["text"] == 'é a = "[secret]" tail' and out[1]["n_chars"] == 21 and out[2]["text"] is None
+
+
+def test_warc_records():
+    body = b"<html><head><title>T &amp; t</title><style>p{}</style></head><p>a <b>b</b><br>c<script>if(a<b)x('</p>')</script>d"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\nX: 1\r\n\r\n"
+    block = http + body + "<p>é".encode("latin-1")
+    source = (b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Target-URI: http://a/\r\n"
+              b"WARC-Date: 2020-01-01T00:00:00Z\r\nWARC-Payload-Digest: sha1:ABC\r\nContent-Length: %d\r\n\r\n" % len(block)
+              + block + b"\r\n\r\n")
+    meta, text = warc_derivatives.derive(source)
+    assert text[8] == "T & t\na b\ncd\né" and meta[6] == text[6] == "sha1:ABC"
+    assert "source-http-X: 1\r\n" in meta[8] and "source-WARC-Record-ID: <urn:uuid:1>\r\n" in meta[8]
+    for kind, own, refers, uri, date, form, _, digest, data, record in (meta, text):
+        head, _, rest = record.partition(b"\r\n\r\n")
+        _, named = warc_derivatives.fields(head.decode())
+        named = dict(named)
+        assert named["WARC-Refers-To"] == refers == "<urn:uuid:1>" and named["WARC-Record-ID"] == own != refers
+        assert rest == data.encode() + b"\r\n\r\n" and int(named["Content-Length"]) == len(data.encode())
+        assert named["WARC-Block-Digest"] == digest == warc_derivatives.digest(data.encode())
+        assert named["WARC-Type"] == kind and named["WARC-Date"] == named["WARC-Refers-To-Date"] == date
+    packed = zlib.compress(b"<p>x")
+    assert warc_derivatives.payload_text(packed, {"content-encoding": "deflate"}) == "<p>x"
+    assert warc_derivatives.payload_text(b"4\r\n<p>x\r\n0\r\n\r\n", {"transfer-encoding": "chunked"}) == "<p>x"
+    assert warc_derivatives.payload_text(b"plain", {"content-encoding": "gzip"}) == "plain"
+
+
+def test_warc_query(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()
+    out = QUERIES["op1_warc_derivatives"](spark, SF_SMALL).collect()
+    assert len(out) == 2 * len(pages) and len({r["record_id"] for r in out}) == len(out)
+    digests = {r["page_id"]: "sha256:" + hashlib.sha256(r["html"].encode()).hexdigest() for r in pages}
+    assert all(r["source_payload_digest"] == digests[r["page_id"]] for r in out)
+    assert not any(re.search(r"<(p|div|b|script|li)\b", r["block"]) for r in out if r["record_type"] == "conversion")
+
+
+def test_pipeline(spark, texts):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    said = language_id.identify(docs, language_id.fit(docs)).collect()
+    left = {r["doc_id"]: texts[r["doc_id"]] for r in said
+            if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.MIN_SCORE}
+    last = {t: i for i, t in sorted(left.items())}
+    left = {i: t for t, i in last.items()}
+    found = near_components(left)[1]
+    left = {i: t for i, t in left.items() if found[i] == i}
+    left = {i: re.sub(r'(token = ")[0-9a-f]{40}(?=")', r"\1[secret]", t) for i, t in left.items()}
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    ids = {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in left.items()}
+    check_packing(corpus_pipeline.run(spark, SF_SMALL).collect(), ids)
