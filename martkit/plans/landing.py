@@ -12,15 +12,19 @@ is where a Spark job takes over:
   objects kept, stamped with the dataset id.
 * :func:`land_activity`: activity pages landed per day
   (``.../load_day=YYYYMMDD/*.json`` with ``page_no``, ``status_code``,
-  ``activityEventEntities``): each day's chain is read up to its first
-  failed page, the fixed 25 fields are kept, the window bounds are added,
-  and every day goes to its own dated folder.
+  ``activityEventEntities``, ``continuationUri``): each day's chain is
+  followed by its links, the fixed 25 fields are kept, the window bounds are
+  added, and every day goes to its own dated folder.  A day whose chain is not
+  complete goes to ``<out>_incomplete`` and replaces no complete day.
+
+Every landed row is kept: there is no row limit, and no day is left out.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +34,6 @@ from martkit.operators.joins import semi_by_keys
 from martkit.operators.shape import clean_column_names, flatten_structs, stamp_load_date, strict_select
 from martkit.sources.json_pages import pages_until_error
 from martkit.sources.sinks import write_if_any, write_parquet
-from martkit.sources.windows import day_windows
 
 # The activity fields kept, in order, and the page field names.
 ACTIVITY_FIELDS = [
@@ -41,8 +44,7 @@ ACTIVITY_FIELDS = [
 ]
 ACTIVITY_LIST = "activityEventEntities"
 VALUE_LIST = "value"
-ROW_CAP_ENDPOINT = "groups"
-ROW_CAP = 5000
+NEXT_LINK = "continuationUri"
 
 _INT_FIELDS = {"RecordType", "UserType"}
 _BOOL_FIELDS = {"IsSuccess"}
@@ -53,7 +55,7 @@ ACTIVITY_PAGE_SCHEMA = T.StructType([
     T.StructField("page_no", T.IntegerType()),
     T.StructField("status_code", T.IntegerType()),
     T.StructField(ACTIVITY_LIST, T.ArrayType(ACTIVITY_SCHEMA)),
-    T.StructField("continuationUri", T.StringType()),
+    T.StructField(NEXT_LINK, T.StringType()),
 ])
 # Landed activity pages sit in ``load_day=YYYYMMDD`` folders.
 LANDED_ACTIVITY_SCHEMA = T.StructType(ACTIVITY_PAGE_SCHEMA.fields + [T.StructField("load_day", T.StringType())])
@@ -87,14 +89,10 @@ def tidy(df: DataFrame, run_ts: dt.datetime, flatten: bool = True) -> DataFrame:
 
 
 def land_endpoint(spark: SparkSession, pages_path: str, out_path: str, run_ts: dt.datetime,
-                  schema: T.StructType | None = None, cap: int | None = None, cap_order: str = "id",
-                  skip_empty: bool = True) -> bool:
-    """Land one endpoint's pages; returns whether anything was written.
+                  schema: T.StructType | None = None, skip_empty: bool = True) -> bool:
+    """Land every row of one endpoint's pages; returns whether anything was written.
     ``skip_empty=False`` writes an empty result too."""
-    rows = rows_of(read_pages(spark, pages_path, schema))
-    if cap is not None:
-        rows = rows.orderBy(cap_order).limit(cap)
-    out = tidy(rows, run_ts)
+    out = tidy(rows_of(read_pages(spark, pages_path, schema)), run_ts)
     if skip_empty:
         return write_if_any(out, out_path)
     write_parquet(out, out_path)
@@ -122,59 +120,90 @@ def land_details(spark: SparkSession, details_path: str, datasets: DataFrame, ou
     return write_if_any(tidy(rows.select(*cols), run_ts, flatten=False), out_path)
 
 
-def activity_rows(pages: DataFrame, run_ts: dt.datetime, n_days: int, quoted: bool = True,
-                  closed_second: bool = True) -> DataFrame:
-    """Activity rows of every day's page chain, cut at the first failed page.
+def activity_rows(pages: DataFrame, quoted: bool = True, closed_second: bool = True) -> DataFrame:
+    """Activity rows of every day's page chain, up to where its links lead.
 
-    ``pages`` has ``load_day`` (``YYYYMMDD``), ``page_no``, ``status_code``
-    and the entity list.  Window texts follow the original parameters
-    (quoted, ``23:59:59`` end) unless told otherwise.
+    ``pages`` has ``load_day`` (``YYYYMMDD``), ``page_no``, ``status_code``,
+    the entity list and the continuation link.  The window texts follow from
+    the day and have the original parameters' form (quoted, ``23:59:59`` end)
+    unless told otherwise.
     """
-    spark = pages.sparkSession
-    ok = F.col("status_code") == 200
-    chain = pages_until_error(pages, ["load_day"], ["page_no"], ok)
+    has_next = F.col(NEXT_LINK).isNotNull() & (F.col(NEXT_LINK) != "")
+    chain = pages_until_error(pages, ["load_day"], "page_no", F.col("status_code") == 200, has_next)
     rows = chain.select("load_day", "complete", F.explode(ACTIVITY_LIST).alias("_e")).select(
         "load_day", "complete", "_e.*")
     rows = strict_select(rows, ["load_day", "complete"] + ACTIVITY_FIELDS)
-    w = day_windows(spark, run_ts, n_days, closed_second=closed_second).select(
-        F.col("load_date").alias("load_day"), ts_text("window_start", quoted).alias("startDateTime"),
-        ts_text("window_end", quoted).alias("endDateTime"))
-    # Days outside the requested windows are not part of this run.
-    return rows.join(F.broadcast(w), "load_day", "inner")
-
+    start = F.to_timestamp_ntz(F.col("load_day"), F.lit("yyyyMMdd"))
+    end = start + F.expr("interval 23 hours 59 minutes 59 seconds" if closed_second else "interval 1 day")
+    return (rows.withColumn("_start", start).withColumn("_end", end)
+            .select(*rows.columns, ts_text("_start", quoted).alias("startDateTime"),
+                    ts_text("_end", quoted).alias("endDateTime")))
+
+
+def missing_fields(spark: SparkSession, pages_path: str) -> list[str]:
+    """Kept activity fields that no landed row has; empty if no row was landed."""
+    entities = T.StructType([T.StructField(ACTIVITY_LIST, T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
+    rows = read_pages(spark, pages_path, entities).select(F.explode(ACTIVITY_LIST).alias("_e"))
+    seen = rows.agg(F.count(F.lit(1)).alias("_rows"),
+                    *[F.max(F.map_contains_key("_e", f)).alias(f) for f in ACTIVITY_FIELDS]).first()
+    return [f for f in ACTIVITY_FIELDS if seen["_rows"] and not seen[f]]
+
+
+def land_activity(spark: SparkSession, pages_path: str, out_base: str,
+                  schema: T.StructType = LANDED_ACTIVITY_SCHEMA) -> dict[str, bool]:
+    """Write each day's activity rows; returns which of the two folders were written.
+
+    Days with a complete chain go to ``out_base/load_day=YYYYMMDD``, the rows
+    of broken chains to ``<out_base>_incomplete``; only the days present are
+    replaced (dynamic partition overwrite), so a complete day is never replaced
+    by a partial one.  A kept field that no landed row has fails the job.
+    """
+    missing = missing_fields(spark, pages_path)
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    rows = activity_rows(read_pages(spark, pages_path, schema))
 
-def land_activity(spark: SparkSession, pages_path: str, out_base: str, run_ts: dt.datetime,
-                  n_days: int = 30, schema: T.StructType | None = LANDED_ACTIVITY_SCHEMA) -> bool:
-    """Write each day's activity rows to ``out_base/load_day=YYYYMMDD``;
-    only the days present are replaced (dynamic partition overwrite).
+    def by_day(df: DataFrame, path: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("load_day").parquet(path))
 
-    With the given schema a field absent from every row is NULL; with
-    ``schema=None`` it is inferred and the fixed field list raises for it.
-    """
-    pages = read_pages(spark, pages_path, schema)
-    rows = activity_rows(pages, run_ts, n_days)
-    if rows.isEmpty():
-        return False
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_day").parquet(out_base))
-    return True
+    return {"complete": write_if_any(rows.filter("complete"), out_base, by_day),
+            "incomplete": write_if_any(rows.filter("NOT complete"), f"{out_base}_incomplete", by_day)}
 
 
 def land_all(spark: SparkSession, landed: str, out: str, run_ts: dt.datetime,
-             endpoints: tuple[str, ...] = ("reports", "datasets", "groups", "dataflows", "dashboards")) -> dict:
-    """Every endpoint, then the details of active datasets.  Output names
-    follow ``Get<Endpoint>``; the group list is capped at 5000 rows."""
-    written = {}
+             endpoints: tuple[str, ...] = ("reports", "datasets", "groups", "dataflows", "dashboards"),
+             schemas: dict[str, T.StructType] | None = None) -> dict[str, str]:
+    """Every endpoint, then the details of active datasets.
+
+    Output names follow ``Get<Endpoint>``.  ``schemas`` gives page schemas by
+    endpoint (``datasources`` for the details); one not given is inferred.
+    The result has a status per endpoint: ``written``, ``empty`` or ``failed:
+    <reason>`` (nothing landed, or pages without a row list).  A failed endpoint
+    is skipped and the others are landed; without landed groups and datasets the
+    details cannot be chosen, which is an error once everything else is landed.
+    """
+    schemas = schemas or {}
+    status = {}
     for ep in endpoints:
-        cap = ROW_CAP if ep == ROW_CAP_ENDPOINT else None
-        written[ep] = land_endpoint(spark, f"{landed}/{ep}", f"{out}/Get{ep.capitalize()}", run_ts, cap=cap)
-    if written.get("groups") and written.get("datasets"):
-        groups = spark.read.parquet(f"{out}/GetGroups")
-        datasets = spark.read.parquet(f"{out}/GetDatasets")
-        written["datasources"] = land_details(spark, f"{landed}/datasources", active_datasets(groups, datasets),
-                                              f"{out}/GetDatasources", run_ts)
-    return written
-
-
-__all__ = ["land_endpoint", "active_datasets", "land_details", "activity_rows", "land_activity", "land_all",
-           "read_pages", "rows_of", "tidy", "write_parquet"]
+        try:
+            done = land_endpoint(spark, f"{landed}/{ep}", f"{out}/Get{ep.capitalize()}", run_ts, schemas.get(ep))
+            status[ep] = "written" if done else "empty"
+        except (ValueError, AnalysisException) as failure:
+            status[ep] = f"failed: {str(failure).splitlines()[0]}"
+    if {"groups", "datasets"} <= set(endpoints):
+        lost = [ep for ep in ("groups", "datasets") if status[ep] != "written"]
+        if lost:
+            raise ValueError(f"no details of active datasets without {' and '.join(lost)}: {status}")
+        active = active_datasets(spark.read.parquet(f"{out}/GetGroups"), spark.read.parquet(f"{out}/GetDatasets"))
+        try:
+            done = land_details(spark, f"{landed}/datasources", active, f"{out}/GetDatasources", run_ts,
+                                schemas.get("datasources"))
+            status["datasources"] = "written" if done else "empty"
+        except (ValueError, AnalysisException) as failure:
+            status["datasources"] = f"failed: {str(failure).splitlines()[0]}"
+    return status
+
+
+__all__ = ["land_endpoint", "active_datasets", "land_details", "activity_rows", "missing_fields", "land_activity",
+           "land_all", "read_pages", "rows_of", "tidy", "write_parquet"]

@@ -695,15 +695,25 @@ Q["envelope"] = """WITH p AS (
   FROM events)
 SELECT event_id, CAST(i - 1 AS INTEGER) AS pos, arr[i].k AS k FROM p, range(1, len(arr) + 1) AS r(i)"""
 
-Q["pages_until_error"] = """WITH bad AS (
-  SELECT user_id, ts AS bts, event_id AS bid FROM (
-    SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
-    FROM events WHERE event_type = 'error') WHERE rn = 1)
-SELECT e.event_id, e.user_id, e.ts, e.event_type, b.user_id IS NULL AS complete
-FROM events e LEFT JOIN bad b ON e.user_id = b.user_id
-WHERE b.user_id IS NULL OR e.ts < b.bts OR (e.ts = b.bts AND e.event_id < b.bid)"""
-
-Q["capped"] = "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 5000"
+Q["pages_until_error"] = """WITH pages AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_linenumber + (l_suppkey % 13 = 0)::INTEGER AS INTEGER) AS page_no,
+    CASE WHEN l_partkey % 17 = 0 THEN NULL WHEN l_partkey % 19 = 0 THEN 500 ELSE 200 END AS status,
+    CASE WHEN l_linenumber < 6 AND l_quantity > 2 THEN 'next' || l_partkey END AS link
+  FROM lineitem),
+numbers AS (
+  SELECT l_orderkey, page_no, bool_and(coalesce(status = 200, false)) AS good,
+    bool_or(coalesce(status = 200, false) AND link IS NULL) AS last
+  FROM pages GROUP BY ALL),
+walk AS (
+  SELECT *, row_number() OVER w = page_no AND coalesce(bool_and(good) OVER w, false) AS reached,
+    coalesce(bool_or(last) OVER (PARTITION BY l_orderkey ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             false) AS ended
+  FROM numbers WINDOW w AS (PARTITION BY l_orderkey ORDER BY page_no)),
+kept AS (
+  SELECT l_orderkey, page_no, last_value(last) OVER (PARTITION BY l_orderkey ORDER BY page_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS complete
+  FROM walk WHERE reached AND NOT ended)
+SELECT pages.*, kept.complete FROM pages JOIN kept USING (l_orderkey, page_no)"""
 
 Q["day_windows"] = """WITH w AS (
   SELECT window_day, CAST(window_day AS TIMESTAMP) AS ws, CAST(window_day AS TIMESTAMP) + INTERVAL 1 DAY AS we,

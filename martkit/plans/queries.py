@@ -26,7 +26,7 @@ from martkit.operators import (
 from martkit.plans import control as ctl
 from martkit.plans import derived, ledger
 from martkit.sources import (
-    assign_day_window, capped, day_windows, details_for, explode_envelope, load,
+    assign_day_window, day_windows, details_for, explode_envelope, load,
     pages_until_error, union_pages, window_texts,
 )
 
@@ -36,7 +36,6 @@ EARLY_YEAR_BOUND = 1998
 EVENTS_RUN_TS = dt.datetime(2024, 1, 31, 6, 0, 0)
 EVENT_DAYS = 30
 UPSERT_RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
-ROW_CAP = 5000
 # Market segments of the customer table (used to name clients).
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -542,12 +541,16 @@ def q_envelope(spark, d):
 
 
 def q_pages_until_error(spark, d):
-    ev = Tables(spark, d).events.select("event_id", "user_id", "ts", "event_type")
-    return pages_until_error(ev, ["user_id"], ["ts", "event_id"], c("event_type") != "error")
-
-
-def q_capped(spark, d):
-    return capped(Tables(spark, d).customer.select("c_custkey", "c_name", "c_acctbal"), ROW_CAP, [c("c_custkey")])
+    # Lines as pages of an order's chain: some numbers repeat and others are
+    # missing, some statuses are NULL or errors, and late pages have no link.
+    li = Tables(spark, d).lineitem
+    pages = li.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        (c("l_linenumber") + F.when(c("l_suppkey") % 13 == 0, 1).otherwise(0)).alias("page_no"),
+        F.when(c("l_partkey") % 17 == 0, F.lit(None).cast("int")).when(c("l_partkey") % 19 == 0, 500).otherwise(200)
+        .alias("status"),
+        F.when((c("l_linenumber") < 6) & (c("l_quantity") > 2), F.concat(F.lit("next"), c("l_partkey"))).alias("link"))
+    return pages_until_error(pages, ["l_orderkey"], "page_no", c("status") == 200, c("link").isNotNull())
 
 
 def q_day_windows(spark, d):

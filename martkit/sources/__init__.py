@@ -6,11 +6,11 @@ from martkit.sources.json_pages import (
 from martkit.sources.sinks import staging_name, write_by_load_date, write_if_any, write_parquet
 from martkit.sources.tables import date_dimension, load
 from martkit.sources.windows import assign_day_window, day_windows, window_texts
-from martkit.sources.selection import capped, details_for
+from martkit.sources.selection import details_for
 
 
 __all__ = [
     "explode_envelope", "from_json_col", "pages_until_error", "read_envelope", "union_pages",
     "staging_name", "write_by_load_date", "write_if_any", "write_parquet", "date_dimension",
-    "load", "assign_day_window", "day_windows", "window_texts", "capped", "details_for",
+    "load", "assign_day_window", "day_windows", "window_texts", "details_for",
 ]

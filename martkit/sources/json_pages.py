@@ -36,29 +36,42 @@ def explode_envelope(df: DataFrame, text_col: str, field: str, item_schema: T.St
             .select(*keep, pos_name, "_e.*"))
 
 
-def pages_until_error(df: DataFrame, part: list[str], order: list[str], ok: Column,
-                      complete_name: str = "complete") -> DataFrame:
-    """Follow a page chain and stop at its first failed page.
-
-    Per ``part``, rows ordered by ``order`` are kept up to (not including)
-    the first row where ``ok`` is false; pages read before the failure are
-    kept.  ``complete`` says whether the chain had no failure.  The first
-    failure per chain is a partial ``min`` aggregate joined back, so a chain
-    holding a third of all rows is never gathered into one task.
+def pages_until_error(df: DataFrame, chain: list[str], page_no: str, ok: Column, has_next: Column,
+                      first_page: int = 1, complete_name: str = "complete") -> DataFrame:
+    """Pages of each chain up to where a client that follows links would stop.
+
+    A chain starts at ``first_page``. It ends before its first page that is
+    not ``ok`` (NULL counts as not ok), at its first page without a next link,
+    or before a missing page number. Pages behind the end are dropped; a chain
+    without its first page keeps nothing. ``complete`` is true only if the last
+    kept page has no next link. A page number that occurs several times counts
+    as failed, or as last, if any of its rows does.
+
+    The end is a partial ``min`` per chain joined back, so a chain holding a
+    third of all rows is never gathered into one task.
     """
-    bad = (df.filter(~ok)
-           .groupBy(*[F.col(p).alias(f"_b_{p}") for p in part])
-           .agg(F.min(F.struct(*[F.col(o) for o in order])).alias("_first_bad")))
-    cond = None
-    for p in part:
-        c = df[p].eqNullSafe(F.col(f"_b_{p}"))
-        cond = c if cond is None else cond & c
-    j = df.join(bad, cond, "left")
-    here = F.struct(*[df[o] for o in order])
-    keep = F.col("_first_bad").isNull() | (here < F.col("_first_bad"))
-    return (j.filter(keep)
-            .withColumn(complete_name, F.col("_first_bad").isNull())
-            .select(*df.columns, complete_name))
+    good, more = F.coalesce(ok, F.lit(False)), F.coalesce(has_next, F.lit(False))
+    number = F.col(page_no)
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(chain)]
+    marks = df.select(*keys, number.alias("_no"), good.alias("_good"), more.alias("_more"))
+    names = [f"_k{i}" for i in range(len(chain))]
+    there = marks.select(*names, "_no").distinct()
+    before = there.select(*[F.col(k).alias(f"_b{k}") for k in names], (F.col("_no") - 1).alias("_before"))
+    follows = F.col("_no") == F.col("_before")
+    for k in names:
+        follows = follows & F.col(k).eqNullSafe(F.col(f"_b{k}"))
+    gaps = there.join(before, follows, "left_anti").groupBy(*names).agg(F.min("_no").alias("_gap"))
+    ends = marks.groupBy(*names).agg(
+        F.min("_no").alias("_first"),
+        F.min(F.when(~F.col("_good"), F.col("_no"))).alias("_failed"),
+        F.min(F.when(F.col("_good") & ~F.col("_more"), F.col("_no"))).alias("_last"))
+    on = [ends[k].eqNullSafe(gaps[k]) for k in names]
+    ends = ends.join(gaps, on, "left").select(
+        *[ends[k].alias(f"_e{k}") for k in names], "_first", "_last",
+        F.least(F.col("_failed") - 1, F.col("_last"), F.col("_gap")).alias("_end"))
+    match = [F.col(c).eqNullSafe(F.col(f"_e{k}")) for c, k in zip(chain, names)]
+    kept = df.join(ends, match).filter((F.col("_first") == first_page) & (number <= F.col("_end")))
+    return kept.select(*df.columns, F.coalesce(F.col("_end") == F.col("_last"), F.lit(False)).alias(complete_name))
 
 
 def union_pages(pages: list[DataFrame]) -> DataFrame:

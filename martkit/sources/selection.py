@@ -1,4 +1,4 @@
-"""Row selection at the source: capped reads and detail rows of chosen keys."""
+"""Row selection at the source: detail rows of chosen keys."""
 
 from __future__ import annotations
 
@@ -6,15 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def capped(df: DataFrame, n: int, order: list) -> DataFrame:
-    """At most ``n`` rows, first by ``order`` (required: a cap without an
-    order is not repeatable).  Plans as a top-k (``TakeOrderedAndProject``):
-    each task keeps ``n`` rows, then ``n`` per task are merged."""
-    if not order:
-        raise ValueError("capped() needs an order")
-    return df.orderBy(*order).limit(n)
-
-
 def details_for(details: DataFrame, keys: DataFrame, detail_key: str, key_col: str,
                 stamp: str | None = None) -> DataFrame:
     """Detail rows that belong to the selected keys, stamped with the key.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +29,18 @@ def write_by_load_date(df: DataFrame, base: str, load_date: str | dt.date,
 
 def write_if_any(df: DataFrame, path: str, writer=write_parquet) -> bool:
     """Write only when ``df`` has a row; returns whether it wrote.
-    ``isEmpty`` stops at the first row found."""
-    if df.isEmpty():
-        return False
-    writer(df, path)
-    return True
+
+    The rows are kept (memory, then disk) between the test and the write, so
+    what the first row needs is computed once.
+    """
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if held.isEmpty():
+            return False
+        writer(held, path)
+        return True
+    finally:
+        held.unpersist()
 
 
 def staging_name(schema, table, primary_key: bool = False) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from conftest import rows
 from martkit.plans import landing
 from martkit.sources import (
-    capped, day_windows, details_for, pages_until_error, read_envelope, union_pages, write_by_load_date,
+    day_windows, details_for, pages_until_error, read_envelope, union_pages, write_by_load_date,
     write_if_any,
 )
 
@@ -31,11 +31,23 @@ def test_read_envelope_missing_keys_are_null(spark, tmp_dir):
 
 
 def test_pages_until_error(spark):
-    # S3: pages 1 ok, 2 ok, 3 failed, 4 ok -> pages 1, 2; a chain without failure is complete.
-    df = spark.createDataFrame([("d1", 1, True), ("d1", 2, True), ("d1", 3, False), ("d1", 4, True),
-                                ("d2", 1, True), ("d2", 2, True)], "day string, page int, ok boolean")
-    out = pages_until_error(df, ["day"], ["page"], F.col("ok"))
-    assert rows(out, "day", "page", "complete") == [("d1", 1, False), ("d1", 2, False), ("d2", 1, True), ("d2", 2, True)]
+    chains = {
+        "whole": ([(1, 200, "n"), (2, 200, "n"), (3, 200, None)], [1, 2, 3], True),
+        "error": ([(1, 200, "n"), (2, 200, "n"), (3, 500, "n"), (4, 200, None)], [1, 2], False),
+        "null": ([(1, 200, "n"), (2, None, "n"), (3, 200, None)], [1], False),
+        "gap": ([(1, 200, "n"), (3, 200, None)], [1], False),
+        "open": ([(1, 200, "n"), (2, 200, "n")], [1, 2], False),
+        "after": ([(1, 200, "n"), (2, 200, None), (3, 200, "n")], [1, 2], True),
+        "late": ([(2, 200, "n"), (3, 200, None)], [], None),
+        "first": ([(1, 500, None), (2, 200, None)], [], None),
+        None: ([(1, 200, None)], [1], True),
+    }
+    df = spark.createDataFrame([(k, *page) for k, (pages, _, _) in chains.items() for page in pages],
+                               "day string, page int, status int, link string")
+    out = pages_until_error(df, ["day"], "page", F.col("status") == 200, F.col("link").isNotNull()).collect()
+    for k, (_, kept, complete) in chains.items():
+        mine = [r for r in out if r.day == k]
+        assert sorted(r.page for r in mine) == kept and {r.complete for r in mine} <= {complete}, k
 
 
 def test_day_windows(spark):
@@ -64,9 +76,7 @@ def test_write_if_any(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/three").count() == 3
 
 
-def test_capped_details_union(spark):
-    df = spark.range(10).withColumn("x", F.col("id") % 3)
-    assert [r.id for r in capped(df, 3, [F.col("id").desc()]).collect()] == [9, 8, 7]
+def test_details_union(spark):
     det = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
     keys = spark.createDataFrame([(1,), (3,)], "key long")
     out = details_for(det, keys, "k", "key", stamp="dataset_id")
@@ -87,8 +97,8 @@ def test_land_all(spark, tmp_dir):
                                                                   "connectionDetails": {"server": "s1"}}]})
     put(f"{landed}/datasources/dataset_id=d2/1.json", {"value": [{"datasourceType": "File"}]})
     written = landing.land_all(spark, landed, out, RUN)
-    assert written == {"reports": True, "datasets": True, "groups": True, "dataflows": False, "dashboards": True,
-                       "datasources": True}
+    assert written == {"reports": "written", "datasets": "written", "groups": "written", "dataflows": "empty",
+                       "dashboards": "written", "datasources": "written"}
     rep = spark.read.parquet(f"{out}/GetReports").first()
     assert sorted(rep.asDict()) == ["ETLImportDate", "id", "name", "owner_name", "web_url"]
     assert rep.ETLImportDate == "2024-01-31"
@@ -96,18 +106,48 @@ def test_land_all(spark, tmp_dir):
     assert len(ds) == 1 and ds[0].dataset_id == "d1" and ds[0].connectionDetails.server == "s1"
 
 
-def test_land_activity(spark, tmp_dir):
-    landed, out = f"{tmp_dir}/activity", f"{tmp_dir}/out"
+def test_land_all_skips_failed_endpoints_and_keeps_every_group(spark, tmp_dir):
+    import pytest
+    landed, out = f"{tmp_dir}/landed", f"{tmp_dir}/out"
+    put(f"{landed}/reports/1.json", {"error": "forbidden"})                        # no row list
+    put(f"{landed}/groups/1.json", {"value": [{"id": f"w{i}", "state": "Active", "type": "Workspace"}
+                                              for i in range(8000)]})
+    put(f"{landed}/datasets/1.json", {"value": [{"id": "d1", "workspaceId": "w7999"}]})
+    put(f"{landed}/datasources/dataset_id=d1/1.json", {"value": [{"datasourceType": "Sql"}]})
+    status = landing.land_all(spark, landed, out, RUN)                             # dataflows, dashboards: absent
+    assert [status[e] for e in ("groups", "datasets", "datasources")] == ["written"] * 3
+    assert all(status[e].startswith("failed: ") for e in ("reports", "dataflows", "dashboards"))
+    assert spark.read.parquet(f"{out}/GetGroups").count() == 8000
+    assert spark.read.parquet(f"{out}/GetDatasources").count() == 1
+    put(f"{tmp_dir}/none/datasets/1.json", {"value": [{"id": "d1", "workspaceId": "w1"}]})
+    with pytest.raises(ValueError, match="without groups"):
+        landing.land_all(spark, f"{tmp_dir}/none", f"{tmp_dir}/out2", RUN)
+    assert spark.read.parquet(f"{tmp_dir}/out2/GetDatasets").count() == 1          # landed before the error
+
+
+def put_day(landed, day, statuses, tag, open_end=False):
     ev = {f: None for f in landing.ACTIVITY_FIELDS}
-    for day, statuses in (("20240130", [200, 200, 500, 200]), ("20240129", [200])):
-        for i, st in enumerate(statuses, start=1):
-            ents = [dict(ev, Id=f"{day}-{i}", RecordType=20, IsSuccess=True, Extra="dropped")] if st == 200 else []
-            put(f"{landed}/load_day={day}/p{i}.json", {"page_no": i, "status_code": st, "activityEventEntities": ents})
-    assert landing.land_activity(spark, landed, out, RUN, n_days=30)
+    for i, st in enumerate(statuses, start=1):
+        ents = [dict(ev, Id=f"{tag}-{i}", RecordType=20, IsSuccess=True, Extra="dropped")] if st == 200 else []
+        link = "next" if i < len(statuses) or open_end else None
+        put(f"{landed}/load_day={day}/p{i}.json",
+            {"page_no": i, "status_code": st, "activityEventEntities": ents, "continuationUri": link})
+
+
+def test_land_activity(spark, tmp_dir):
+    first, again, out = f"{tmp_dir}/first", f"{tmp_dir}/again", f"{tmp_dir}/out"
+    put_day(first, "20240130", [200, 200], "a")
+    put_day(first, "20231201", [200], "old")                                       # long before the run: landed too
+    assert landing.land_activity(spark, first, out) == {"complete": True, "incomplete": False}
+    put_day(again, "20240130", [200, 500, 200], "b")                               # a failed re-pull
+    put_day(again, "20240129", [200], "c", open_end=True)                          # a cut chain
+    put_day(again, "20240128", [200, 200], "d")
+    assert landing.land_activity(spark, again, out) == {"complete": True, "incomplete": True}
     got = spark.read.parquet(out)
-    assert sorted(r.Id for r in got.collect()) == ["20240129-1", "20240130-1", "20240130-2"]
-    r = got.filter("Id = '20240130-1'").first()
-    assert (r.startDateTime, r.endDateTime, r.complete) == ("'2024-01-30T00:00:00Z'", "'2024-01-30T23:59:59Z'", False)
+    assert sorted(r.Id for r in got.collect()) == ["a-1", "a-2", "d-1", "d-2", "old-1"]
+    assert sorted(r.Id for r in spark.read.parquet(f"{out}_incomplete").collect()) == ["b-1", "c-1"]
+    r = got.filter("Id = 'a-1'").first()
+    assert (r.startDateTime, r.endDateTime, r.complete) == ("'2024-01-30T00:00:00Z'", "'2024-01-30T23:59:59Z'", True)
     assert "Extra" not in got.columns
 
 
@@ -117,11 +157,11 @@ def test_endpoint_empty_and_strict_fields(spark, tmp_dir):
     assert landing.land_endpoint(spark, f"{tmp_dir}/l/empty", f"{tmp_dir}/o/a", RUN) is False
     assert landing.land_endpoint(spark, f"{tmp_dir}/l/empty", f"{tmp_dir}/o/b", RUN, skip_empty=False) is True
     assert spark.read.parquet(f"{tmp_dir}/o/b").count() == 0
-    # Inferred schema: a kept field missing from every row fails the job.
+    # A kept field missing from every landed row fails the job.
     put(f"{tmp_dir}/act/load_day=20240130/p1.json",
         {"page_no": 1, "status_code": 200, "activityEventEntities": [{"Id": "a"}]})
     with pytest.raises(ValueError, match="missing columns"):
-        landing.land_activity(spark, f"{tmp_dir}/act", f"{tmp_dir}/o/c", RUN, schema=None)
+        landing.land_activity(spark, f"{tmp_dir}/act", f"{tmp_dir}/o/c")
 
 
 def test_assign_day_window_bounds(spark):

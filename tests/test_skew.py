@@ -39,10 +39,14 @@ def test_count_per_key_hot_key(spark):
 
 
 def test_page_chain_hot_chain(spark):
-    df = hot_frame(spark).withColumn("ok", ~((F.col("k") == 0) & (F.col("id") == 12345)))
-    got = pages_until_error(df, ["k"], ["id"], F.col("ok"))
-    assert got.filter("k = 0").count() == 12345
-    assert got.filter("k <> 0").count() == 99
+    df = spark.range(1, 20_001).select(F.lit(0).alias("k"), "id").union(
+        spark.range(1, 100).select(F.lit(1).alias("k"), "id"))
+    ok = (F.col("k") != 0) | (F.col("id") != 12_345)
+    out = pages_until_error(df, ["k"], "id", ok, F.col("id") != 99)
+    assert out.filter("k = 0").count() == 99                       # page 99 has no next link
+    out = pages_until_error(df, ["k"], "id", ok, F.lit(True))
+    assert out.filter("k = 0").count() == 12_344 and out.filter("k = 1 and not complete").count() == 99
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_upsert_null_keys_bypass_the_join(spark):
