@@ -6,6 +6,6 @@ code-generate it.  The run time is always a parameter (``run_ts``) so that
 results repeat.
 """
 
-from martkit.session import build_session, checkpoint_root
+from martkit.session import build_session
 
-__all__ = ["build_session", "checkpoint_root"]
+__all__ = ["build_session"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,84 +29,33 @@ def ordered_text_agg(item_col: str, order_cols: list[str], sep: str) -> Column:
     return F.expr(f"listagg(`{item_col}`, {sql_text(sep)}) WITHIN GROUP (ORDER BY {order_sql})")
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame | None:
-    """Keys holding more than ``share`` of all rows, or None.
-
-    At most ``ceil(1 / share)`` keys can pass that bar, so the answer is a
-    top-k of the per-key counts (combined map-side) with a proven size
-    bound; it is returned as a small DataFrame for a broadcast join.
-    """
-    counts = df.groupBy(*keys).count()
-    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("top")).first()
-    if stats is None or stats["total"] is None or stats["top"] <= share * stats["total"]:
-        return None   # the usual case: one aggregate job, no hot key
-    total = stats["total"]
-    top = counts.orderBy(F.desc("count")).limit(math.ceil(1 / share)).collect()
-    hot = [tuple(r[k] for k in keys) for r in top if r["count"] > share * total]
-    if not hot:
-        return None
-    return df.sparkSession.createDataFrame(hot, schema=df.select(*keys).schema)
-
-
-def group_ordered_text(df: DataFrame, keys: list[str], item: Column, order: list[Column],
-                       sep: str, name: str, chunk_by: Column | None = None, split_hot_groups: bool = False,
-                       partitions: int | None = None, hot_share: float | None = None) -> DataFrame:
-    """One row per key with the ordered text of ``item``.
-
-    Only the key, the piece and its order keys are shuffled.  A collecting
-    aggregate shrinks nothing map-side, so rows are hash-partitioned by key
-    first and aggregated once after the shuffle (no partial step in the
-    scan task).
+def group_ordered_texts(df: DataFrame, keys: list[str], texts: dict[str, tuple[Column, str]], order: list[Column],
+                        chunk: Column, sums: dict[str, Column] | None = None) -> DataFrame:
+    """One row per key with ordered texts: ``texts`` = {name: (item, separator)}.
 
-    ``chunk_by``: a bucket that never decreases along ``order`` (e.g. the
-    first order column, a day, a number range).  Each (key, bucket) chunk
-    is built on its own task, then a key's chunks are joined in bucket
-    order: a key with many rows is spread over as many tasks as it has
-    buckets, at the cost of one extra shuffle of chunk texts only.
-
-    ``hot_share``: split only keys holding more than this share of the
-    rows (found by :func:`hot_keys`); all other keys take the plain path.
-
-    ``split_hot_groups``: the same without a known bucket.
-    Rows are range-partitioned by (key, order), so a hot key is cut into
-    contiguous ordered chunks on several tasks; each chunk's text is built
-    in parallel and the chunks are joined in range order.  Only the final
-    text of a key (one value, by definition) meets in one task.
+    ``chunk`` is a bucket that never decreases along ``order`` (e.g. ranges of
+    the first order column). Rows are hash-partitioned by (key, chunk) and each
+    chunk's texts are built on their own; then a key's chunks are joined in
+    order. So a key with many rows is spread over as many tasks as it has
+    chunks, and only chunk texts meet. A collecting aggregate shrinks nothing
+    map-side, so there is no partial step in the scan task. ``sums`` =
+    {name: Column} are added up along the way.
     """
+    sums = sums or {}
     order_cols = [f"_o{i}" for i in range(len(order))]
-    extra = [chunk_by.alias("_chunk")] if chunk_by is not None else []
-    staged = df.select(*[F.col(k) for k in keys], item.alias("_item"),
-                       *[o.alias(c) for o, c in zip(order, order_cols)], *extra)
-    if chunk_by is not None:
-        chunks = staged.groupBy(*keys, "_chunk").agg(ordered_text_agg("_item", order_cols, sep).alias("_part"))
-        return chunks.groupBy(*keys).agg(ordered_text_agg("_part", ["_chunk"], sep).alias(name))
-    if hot_share is not None:
-        hot = hot_keys(staged, keys, hot_share)
-        if hot is None:
-            return _plain_text(staged, keys, order_cols, sep, name)
-        hot = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
-        cond = None
-        for k in keys:
-            c = F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-            cond = c if cond is None else cond & c
-        cold_rows = staged.join(hot, cond, "left_anti")
-        hot_rows = staged.join(hot, cond, "left_semi")
-        return _plain_text(cold_rows, keys, order_cols, sep, name).unionByName(
-            _range_split_text(hot_rows, keys, order_cols, sep, name, partitions))
-    if not split_hot_groups:
-        return _plain_text(staged, keys, order_cols, sep, name)
-    return _range_split_text(staged, keys, order_cols, sep, name, partitions)
-
-
-def _plain_text(staged: DataFrame, keys: list[str], order_cols: list[str], sep: str, name: str) -> DataFrame:
-    return staged.repartition(*keys).groupBy(*keys).agg(ordered_text_agg("_item", order_cols, sep).alias(name))
-
-
-def _range_split_text(staged: DataFrame, keys: list[str], order_cols: list[str], sep: str, name: str,
-                      partitions: int | None) -> DataFrame:
-    n = partitions or int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = staged.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys],
-                                       *[F.col(c).asc_nulls_first() for c in order_cols])
-    chunks = (ranged.withColumn("_chunk", F.spark_partition_id())
-              .groupBy(*keys, "_chunk").agg(ordered_text_agg("_item", order_cols, sep).alias("_part")))
-    return chunks.groupBy(*keys).agg(ordered_text_agg("_part", ["_chunk"], sep).alias(name))
+    staged = df.select(*[F.col(k) for k in keys], chunk.alias("_chunk"),
+                       *[o.alias(c) for o, c in zip(order, order_cols)],
+                       *[item.alias(f"_i_{n}") for n, (item, _) in texts.items()],
+                       *[value.alias(n) for n, value in sums.items()])
+    chunks = staged.repartition(*keys, "_chunk").groupBy(*keys, "_chunk").agg(
+        *[ordered_text_agg(f"_i_{n}", order_cols, sep).alias(n) for n, (_, sep) in texts.items()],
+        *[F.sum(n).alias(n) for n in sums])
+    return chunks.groupBy(*keys).agg(
+        *[ordered_text_agg(n, ["_chunk"], sep).alias(n) for n, (_, sep) in texts.items()],
+        *[F.sum(n).alias(n) for n in sums])
+
+
+def group_ordered_text(df: DataFrame, keys: list[str], item: Column, order: list[Column], sep: str, name: str,
+                       chunk: Column) -> DataFrame:
+    """:func:`group_ordered_texts` for one text."""
+    return group_ordered_texts(df, keys, {name: (item, sep)}, order, chunk)

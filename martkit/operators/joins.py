@@ -2,9 +2,8 @@
 
 Scale rules followed here:
 
-* A lookup side is broadcast only after a bounded size check
-  (:func:`size_checked_broadcast`); beyond the bound the plan keeps a
-  shuffle join and AQE may still re-plan it at run time.
+* Nothing here asks for a broadcast: Spark decides from real sizes, at
+  planning time and again at run time (AQE).
 * "One best row per key" and "count per key" are aggregates, not window
   functions, so a key holding a third of all rows is combined map-side
   instead of landing whole in one task.
@@ -13,37 +12,16 @@ Scale rules followed here:
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.text import as_col
 
 _uid = itertools.count()
 
-# Rows above which a lookup side is not broadcast.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` holds at most ``max_rows`` rows, without counting them all.
-
-    Takes ``max_rows + 1`` rows of a literal-only projection: no column is
-    read, the limit scans partitions incrementally and stops as soon as the
-    bound is passed, and at most ``max_rows + 1`` one-byte rows reach the
-    driver.
-    """
-    return len(df.select(F.lit(1).alias("_one")).take(max_rows + 1)) <= max_rows
-
-
-def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side holds at most ``max_rows`` rows
-    (:func:`has_at_most`); above the bound the side is returned unchanged,
-    so the join stays a shuffle join (which AQE may still re-plan)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[tuple], take: dict[str, str],
                 right_filter: Column | None = None, null_safe: bool = False) -> DataFrame:
     """Left join ``right`` and add ``take`` = {new_name: right_column}.
@@ -70,10 +48,18 @@ def left_lookup(df: DataFrame, right: DataFrame, on: Sequence[tuple], take: dict
 
 
 def best_row_per_key(df: DataFrame, keys: list[str], order: list[Column], payload: list[str]) -> DataFrame:
-    """One row per key: the first by ``order`` (ascending, NULL first),
-    carrying ``payload`` columns.  Same rows as
-    ``row_number() over (partition by keys order by ...) = 1`` when the
-    order is unique, but runs as a partial aggregate (``min`` of a struct)."""
+    """One row per key: the first by ``order``, carrying ``payload`` columns.
+
+    Plain columns sort ascending, NULL first, and run as a partial aggregate
+    (``min`` of a struct). If any of them has a direction (``.desc()`` and the
+    like), the row comes from ``row_number() = 1``, where Spark keeps one row
+    per key in each task before the shuffle (``WindowGroupLimit``). Both give
+    the same row when the order is unique.
+    """
+    if any(re.search(r" (ASC|DESC) NULLS (FIRST|LAST)'?>?$", str(o)) for o in order):
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        kept = df.select(*keys, *payload, first.alias("_first")).filter(F.col("_first") == 1)
+        return kept.select(*keys, *payload)
     fields = [o.alias(f"_o{i}") for i, o in enumerate(order)] + [F.col(p).alias(p) for p in payload]
     best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.{p}").alias(p) for p in payload])
@@ -164,3 +150,21 @@ def semi_by_keys(df: DataFrame, keys: DataFrame, on: Sequence[tuple]) -> DataFra
         c = as_col(lc) == F.col(f"{tag}{i}")
         cond = c if cond is None else cond & c
     return df.join(k, cond, "left_semi")
+
+
+def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """``df`` again; the job fails if ``keys`` (NULL counts as a value) repeat.
+
+    One row per repeated key is all that is looked at (partial counts); the
+    check runs with the job that uses the result.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    worst = counts.agg(F.max(F.when(F.col("_n") > 1, found)).alias("_repeated"))
+    message = F.concat(F.lit(f"{what}: repeated key "), F.col("_repeated"))
+    checked = worst.select(F.when(F.col("_repeated").isNotNull(), F.raise_error(message)).otherwise(F.lit(1))
+                           .cast("int").alias("_unique"))
+    tag = f"_u{next(_uid)}"
+    one = checked.withColumnRenamed("_unique", tag)      # one row by construction
+    return (df.withColumn(f"{tag}_one", F.lit(1))
+            .join(F.broadcast(one), F.col(f"{tag}_one") == F.col(tag)).drop(tag, f"{tag}_one"))

@@ -1,27 +1,33 @@
-"""Keyed upsert (MERGE) for tables stored as plain Parquet.
-
-Parquet tables cannot be merged in place, and overwriting a path while it
-is being read destroys it.  So :func:`upsert` computes the merged table as
-one full outer join, and :func:`upsert_table` writes it to a new version
-folder and only then records that version in a small append-only log.
-Readers take the highest logged version, so a job that dies half way
-leaves the previous version current.
-
-Skew: only keys with exactly one source row and no NULL part go through
-the full outer join (which AQE cannot split).  NULL-key rows can never
-match and are appended directly; keys with several source rows are checked
-against the distinct target keys with a left join that AQE can split.
+"""Keyed upsert (MERGE) as one join.
+
+Parquet tables cannot be merged in place, and overwriting a path while it is
+being read destroys it: :func:`upsert` computes the merged table, and
+:func:`write_merged` writes it to a new path that the caller names. A merge
+rewrites the whole target; give it only the partitions that a source can touch.
+
+Plan: the source is counted per key (partial counts), the counts are joined to
+its rows, and these meet the target in one full outer join. All three are
+hash-partitioned by the same keys, so each side is shuffled once (and the
+counts, one row per key). Rows with a NULL key part can never match; a salt
+that is constant for all other rows spreads them over all tasks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _salt(keys: list[str], values: list[str]) -> Column:
+    """0 for rows whose keys can match; a spread-out number for rows with a NULL key part."""
+    any_null = reduce(or_, [F.col(k).isNull() for k in keys])
+    return F.when(any_null, F.xxhash64(*keys, *values)).otherwise(F.lit(0).cast("bigint"))
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], run_ts: dt.datetime | None = None,
            stamp_col: str | None = None, only_changed: bool = False,
            check_duplicates: bool = True) -> DataFrame:
@@ -38,135 +44,47 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], run_ts: dt.dat
       fail the job (``raise_error``, evaluated on the executors).  Several
       source rows of a new key are all inserted.
     """
-    value_cols = [c for c in target.columns if c not in keys and c != stamp_col]
-    missing = [c for c in keys + value_cols if c not in source.columns]
+    values = [c for c in target.columns if c not in keys and c != stamp_col]
+    missing = [c for c in keys + values if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
-    # Rows with a NULL key part can never match.  They bypass the join: a
-    # hash exchange would send all of them to the one partition of NULL,
-    # and AQE cannot split a full outer join.
-    any_null = None
-    for k in keys:
-        c = F.col(k).isNull()
-        any_null = c if any_null is None else any_null | c
-    stamp_type = target.schema[stamp_col].dataType if stamp_col else None
-    new_null = source.filter(any_null).select(
-        *keys, *value_cols, *([F.lit(None).cast(stamp_type).alias(stamp_col)] if stamp_col else []))
-    old_null = target.filter(any_null)
-    keyed = _upsert_keyed(target.filter(~any_null), source.filter(~any_null), keys, value_cols, run_ts,
-                          stamp_col, only_changed, check_duplicates)
-    return keyed.unionByName(old_null.select(*target.columns)).unionByName(new_null.select(*target.columns))
-
-
-def _upsert_keyed(target: DataFrame, source: DataFrame, keys: list[str], value_cols: list[str], run_ts,
-                  stamp_col: str | None, only_changed: bool, check_duplicates: bool) -> DataFrame:
-    s = source.select(*keys, *value_cols)
-    stamp_type = target.schema[stamp_col].dataType if stamp_col else None
-    multi_out = None
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in keys + values], _salt(keys, values).alias("s__salt"))
+    s_keys = [f"s_{k}" for k in keys] + ["s__salt"]
+    t_keys = [f"t_{k}" for k in keys] + ["t__salt"]
     if check_duplicates:
-        # Keys with several source rows never reach the full outer join (where
-        # a hot key would sit in one task that AQE cannot split): against the
-        # distinct target keys they are either all inserted (new key) or fail
-        # the job (existing key).  Both joins here can be split by AQE.
-        counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        s = s.join(counts, keys, "inner")
-        multi = s.filter(F.col("_n") > 1).drop("_n")
-        s = s.filter(F.col("_n") == 1).drop("_n")
-        # Only target keys among the duplicated source keys (usually few) are
-        # looked at; the semi join keeps the rest of the target out of it.
-        dup_keys = counts.filter(F.col("_n") > 1).select(*keys)
-        tkeys = (target.select(*keys).join(dup_keys, keys, "left_semi").distinct()
-                 .select(*[F.col(k).alias(f"_t_{k}") for k in keys]).withColumn("_hit", F.lit(True)))
-        cond = None
-        for k in keys:
-            c = F.col(k) == F.col(f"_t_{k}")
-            cond = c if cond is None else cond & c
-        m = multi.join(tkeys, cond, "left")
-        first = F.col(keys[0])
-        guard = F.when(F.col("_hit").isNotNull(), F.raise_error(F.concat(
-            F.lit("upsert: several source rows for one target key "), first.cast("string")))).otherwise(first)
-        multi_out = m.select(guard.alias(keys[0]), *keys[1:], *value_cols,
-                             *([F.lit(None).cast(stamp_type).alias(stamp_col)] if stamp_col else []))
-    s = s.select(*[F.col(c).alias(f"s_{c}") for c in keys + value_cols], F.lit(True).alias("_src"))
-    tcols = keys + value_cols + ([stamp_col] if stamp_col else [])
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in tcols], F.lit(True).alias("_tgt"))
-
-    cond = None
-    for k in keys:
-        c = F.col(f"t_{k}") == F.col(f"s_{k}")
-        cond = c if cond is None else cond & c
-    j = t.join(s, cond, "full_outer")
-
-    matched = F.col("_tgt").isNotNull() & F.col("_src").isNotNull()
-    inserted = F.col("_tgt").isNull()
-    if only_changed:
-        changed = None
-        for c in value_cols:
-            d = ~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}"))
-            changed = d if changed is None else changed | d
-        updated = matched & (changed if changed is not None else F.lit(False))
+        counts = s.groupBy(*s_keys).agg(F.count(F.lit(1)).alias("_n"))
+        s = s.join(counts, s_keys, "left")
     else:
-        updated = matched
-
-    out = [F.when(F.col("_src").isNotNull(), F.col(f"s_{k}")).otherwise(F.col(f"t_{k}")).alias(k) for k in keys]
-    for c in value_cols:
-        out.append(F.when(inserted | updated, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
+        s = s.withColumn("_n", F.lit(1))
+    t_values = [c for c in target.columns if c not in keys]
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in keys + t_values], _salt(keys, values).alias("t__salt"))
+    joined = t.join(s, reduce(and_, [F.col(a) == F.col(b) for a, b in zip(t_keys, s_keys)]), "full_outer")
+
+    # the salt is never NULL, so it tells which sides a row has
+    in_target, in_source = F.col("t__salt").isNotNull(), F.col("s__salt").isNotNull()
+    updated = in_target & in_source
+    if only_changed:
+        differs = [~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}")) for c in values]
+        updated = updated & reduce(or_, differs, F.lit(False))
+    from_source = ~in_target | updated
+    out = {k: F.when(in_source, F.col(f"s_{k}")).otherwise(F.col(f"t_{k}")) for k in keys}
+    if check_duplicates:
+        first = keys[0]
+        message = F.concat(F.lit("upsert: several source rows for one target key "), F.col(f"s_{first}").cast("string"))
+        out[first] = F.when(in_target & (F.col("_n") > 1), F.raise_error(message)).otherwise(out[first])
+    for c in values:
+        out[c] = F.when(from_source, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
     if stamp_col:
-        stamp = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(stamp_type)   # no local-zone shift
-        out.append(F.when(updated, stamp)
-                   .when(inserted, F.lit(None).cast(stamp_type))
-                   .otherwise(F.col(f"t_{stamp_col}")).alias(stamp_col))
-    merged = j.select(*out).select(*target.columns)
-    return merged if multi_out is None else merged.unionByName(multi_out.select(*target.columns))
+        kind = target.schema[stamp_col].dataType
+        stamp = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)   # no local-zone shift
+        out[stamp_col] = F.when(updated, stamp).when(in_target, F.col(f"t_{stamp_col}"))
+    return joined.select(*[out[c].alias(c) for c in target.columns])
 
 
-# --- versioned Parquet table -------------------------------------------------
+def write_merged(target: DataFrame, source: DataFrame, keys: list[str], path: str, **options) -> None:
+    """Write :func:`upsert` of the two to ``path``, which must not exist yet.
 
-def _log_path(base: str) -> str:
-    return base.rstrip("/") + "/_log"
-
-
-def _latest(spark: SparkSession, base: str):
-    """Latest committed log entry (version, path) or None."""
-    try:
-        log = spark.read.parquet(_log_path(base))
-    except Exception as e:  # no log yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return None
-        raise
-    return log.orderBy(F.desc("version"), F.desc("committed_at"), F.desc("path")).select("version", "path").first()
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """Highest committed version, or None for a table never written."""
-    row = _latest(spark, base)
-    return None if row is None else row["version"]
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """The committed version of a versioned table."""
-    row = _latest(spark, base)
-    if row is None:
-        raise FileNotFoundError(f"no committed version under {base}")
-    return spark.read.parquet(row["path"])
-
-
-def write_version(spark: SparkSession, base: str, df: DataFrame, run_ts: dt.datetime) -> int:
-    """Write ``df`` as the next version, then commit it to the log.
-
-    Every attempt writes its own folder, so a failed or concurrent attempt
-    never touches a committed version; only the log entry makes it current.
+    The target's files stay as they are, so a failed run changes nothing and a
+    rerun starts from the same tables; the caller decides which path is current.
     """
-    v = (current_version(spark, base) or 0) + 1
-    path = base.rstrip("/") + f"/version={v:08d}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").parquet(path)
-    log = spark.createDataFrame([(v, path, run_ts)], "version int, path string, committed_at timestamp")
-    log.coalesce(1).write.mode("append").parquet(_log_path(base))
-    return v
-
-
-def upsert_table(spark: SparkSession, base: str, source: DataFrame, keys: list[str],
-                 run_ts: dt.datetime, **kw) -> int:
-    """MERGE ``source`` into the versioned table at ``base``; returns the new version."""
-    merged = upsert(read_current(spark, base), source, keys, run_ts=run_ts, **kw)
-    return write_version(spark, base, merged, run_ts)
+    upsert(target, source, keys, **options).write.mode("errorifexists").parquet(path)

@@ -52,9 +52,11 @@ def catalog_tables(t) -> dict[str, DataFrame]:
     cols = li.select("l_orderkey", "l_linenumber").distinct()
     columns = cols.select(lk.alias("object_id"), c("l_linenumber").alias("column_id"),
                           F.concat(F.lit("col "), c("l_linenumber").cast("string")).alias("name"), *_db_keys(lk))
-    info_columns = cols.filter(c("l_linenumber") <= 6).select(
+    # The last line's column is listed under another name, so it has no position.
+    info_name = F.when(c("l_linenumber") <= 6, "col ").otherwise("column ")
+    info_columns = cols.select(
         _schema_name(lk).alias("TABLE_SCHEMA"), F.concat(F.lit("T"), lk.cast("string")).alias("TABLE_NAME"),
-        F.concat(F.lit("col "), c("l_linenumber").cast("string")).alias("COLUMN_NAME"),
+        F.concat(info_name, c("l_linenumber").cast("string")).alias("COLUMN_NAME"),
         (F.lit(100) - c("l_linenumber")).alias("ORDINAL_POSITION"), *_db_keys(lk))
     partitions = li.select(lk.alias("object_id"), (c("l_linenumber") % 3).alias("index_id"),
                            F.when(c("l_returnflag") == "N", F.lit(0).cast("bigint"))

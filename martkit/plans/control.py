@@ -6,10 +6,13 @@ every catalog table carries ``database_id``, ``ServerName`` and
 statement, a key-only select statement, a key match clause, staging file
 names, an active flag and the delta column.
 
-Plan notes: the catalog joins all share the (object, database, server,
-client) key, so Spark can keep one hash partitioning through them; the
-lookup lists are small and broadcast by AQE; "one best index per table"
-and "has no key column" are aggregates joined back, not window functions.
+Plan notes: columns, index columns and ordinal positions, the largest
+inputs, are gathered once per table (a table's column count is bounded by its
+database) and meet the table rows there; column rows appear only when these
+lists are opened, and are shuffled once more, for the final texts.  The lookup
+lists are small and Spark broadcasts them by size.  "One best index per table"
+and "has no key column" are aggregates joined back at table grain, not window
+functions.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from martkit.functions.text import bracket, concat_blank, concat_strict, underscore_spaces
 from martkit.operators.aggregates import ordered_text_agg, sum_nonzero
 from martkit.operators.joins import (
-    best_row_per_key, left_join_distinct, left_lookup, listed_flag,
+    best_row_per_key, left_join_distinct, left_lookup, listed_flag, require_unique,
 )
 from martkit.sources.sinks import staging_name
 
@@ -70,9 +73,21 @@ def merge_text(clause_list: Column) -> Column:
 def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame, columns: DataFrame,
                        info_columns: DataFrame, partitions: DataFrame, indexes: DataFrame,
                        index_columns: DataFrame, source_db: DataFrame, delta_columns: DataFrame,
-                       exclusions: DataFrame, inclusions: DataFrame) -> DataFrame:
-    """The control table, one row per (client, database, schema, table)."""
+                       exclusions: DataFrame, inclusions: DataFrame, check_lookups: bool = False) -> DataFrame:
+    """The control table, one row per (client, database, schema, table).
+
+    A lookup entry that occurs twice repeats the columns it matches in the
+    generated text; ``check_lookups`` fails the job instead (delta columns,
+    block list, allow list, and one id per database name).
+    """
     c = F.col
+    if check_lookups:
+        delta_columns = require_unique(delta_columns, ["SourceName", "TableName", "DeltaColumn", "ClientName",
+                                                       "DatabaseName", "ServerName"], "delta columns")
+        exclusions = require_unique(exclusions, ["SourceName", "TableNameForExclusion", "ColumnNameForExclusion",
+                                                 "ClientName"], "exclusions")
+        inclusions = require_unique(inclusions, ["SourceName", "ClientName", "TableNameForInclusion", "SchemaId"],
+                                    "inclusions")
     o = objects.filter(c("type_desc") == USER_TABLE)
 
     # Row counts per table from heap / clustered partitions only; zero-row
@@ -94,6 +109,10 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         ["ClientName", "ServerName", "database_id", "DatabaseName", "SourceAbbreviation",
          "SourceSystemName", "DataLakeName", "SourceDataStructure"])
 
+    if check_lookups:
+        dbs = require_unique(dbs, ["ClientName", "ServerName", "DatabaseName"], "database ids")
+        dbs = require_unique(dbs, ["ClientName", "ServerName", "database_id"], "database names")
+
     # Table grain first: every lookup keyed by the table alone runs before
     # the join that fans out to one row per column (left joins whose
     # conditions only use earlier tables commute, so the rows are the same).
@@ -135,19 +154,46 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
     not_allowed = c("_included").isNull() & c("_pair").isNotNull()
     t = t.withColumn("ExcludeTable", F.when((c("_blocked_table") == 1) | not_allowed, 1).otherwise(0))
 
-    # Column grain.
-    t = left_lookup(t, columns, [(c("object_id"), "object_id")] + obj_on,
-                    {"c_name": "name", "c_column_id": "column_id"})
-    t = left_lookup(t, index_columns,
-                    [(c("object_id"), "object_id"), (c("i_index_id"), "index_id"),
-                     (c("c_column_id"), "column_id"), (c("database_id"), "database_id"),
-                     (c("ServerName"), "ServerName"), (c("ClientName"), "ClientName")],
-                    {"ic_column_id": "column_id"})
-    t = left_lookup(t, info_columns,
-                    [(c("s_name"), "TABLE_SCHEMA"), (c("t_name"), "TABLE_NAME"), (c("c_name"), "COLUMN_NAME"),
-                     (c("d_database_id"), "database_id"), (c("d_ServerName"), "ServerName"),
-                     (c("d_ClientName"), "ClientName")],
-                    {"OrdinalPosition": "ORDINAL_POSITION"})
+    # Per-table lists: columns, key columns of the best index, ordinals by column name.
+    by_object = ["object_id"] + DB_KEYS
+    own = [(c(k), k) for k in by_object]
+    listed = columns.groupBy(*by_object).agg(
+        F.collect_list(F.struct(c("name").alias("column"), "column_id")).alias("columns"))
+    indexed = index_columns.groupBy(*by_object, "index_id").agg(F.collect_list("column_id").alias("index_columns"))
+    placed = info_columns.groupBy("TABLE_SCHEMA", "TABLE_NAME", *DB_KEYS).agg(
+        F.collect_list(F.struct(c("COLUMN_NAME").alias("column"), c("ORDINAL_POSITION").alias("ordinal")))
+        .alias("places"))
+
+    # "No key column" is decided per (client, server, database, table name) of
+    # the catalog table row, across schemas: some column of a user table of that
+    # name belongs to the table's best index.
+    key_tables = (o.select(*by_object).join(best.select("index_id", *by_object), by_object)
+                  .join(indexed, by_object + ["index_id"]).join(listed, by_object)
+                  .filter(F.exists("columns", lambda x: F.array_contains(c("index_columns"), x["column_id"]))))
+    t_keys = ["t_ClientName", "t_ServerName", "t_DatabaseName", "t_name"]
+    key_names = left_lookup(key_tables.select(*by_object), tables, own,
+                            {"t_name": "name", "t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName",
+                             "t_ServerName": "ServerName"})
+    keyed = key_names.select(*t_keys).distinct().withColumn("_keyed", F.lit(1))
+    t = left_lookup(t, keyed, [(c(k), k) for k in t_keys], {"_keyed": "_keyed"}, null_safe=True)
+    t = t.withColumn("HasNoPK", F.when(c("_keyed").isNull(), 1).otherwise(0)).drop(*t_keys[:3], "_keyed")
+
+    t = left_lookup(t, listed, own, {"columns": "columns"})
+    t = left_lookup(t, indexed, own + [(c("i_index_id"), "index_id")], {"index_columns": "index_columns"})
+    t = left_lookup(t, placed, [(c("s_name"), "TABLE_SCHEMA"), (c("t_name"), "TABLE_NAME"),
+                                (c("d_database_id"), "database_id"), (c("d_ServerName"), "ServerName"),
+                                (c("d_ClientName"), "ClientName")], {"places": "places"})
+
+    # Column grain: one row per column, per entry it has in the best index and
+    # per position listed for its name (none of them: one row with NULL).
+    lists = ["columns", "index_columns", "places"]
+    t = t.select(*[x for x in t.columns if x not in lists[:1]], F.explode_outer("columns").alias("_c"))
+    t = t.withColumns({"c_name": c("_c.column"), "c_column_id": c("_c.column_id")})
+    t = t.select(*[x for x in t.columns if x not in ("_c", "index_columns")],
+                 F.explode_outer(F.filter("index_columns", lambda x: x == c("c_column_id"))).alias("ic_column_id"))
+    t = t.select(*[x for x in t.columns if x != "places"],
+                 F.explode_outer(F.filter("places", lambda x: x["column"] == c("c_name"))).alias("_place"))
+    t = t.withColumn("OrdinalPosition", c("_place.ordinal")).drop("_place")
 
     # Delta column: client-specific, then table-specific, then general.
     col_name = F.trim(c("c_name"))
@@ -176,25 +222,8 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         "FormattedPKColumn": F.when(has_key_col, concat_blank("[", c("c_name"), "]")),
         "PKClauseColumns": F.when(has_key_col, concat_blank("t.", c("c_name"), " = s.", c("c_name"))),
     })
-    # "No key column" is decided per (client, server, database, table name)
-    # of the catalog table row -- across schemas.  A key row is a column of
-    # a user table that belongs to the table's best index.  Left joins never
-    # remove rows, so the set of keyed table names follows from the catalog
-    # tables alone; one lookup then replaces a window over the whole chain.
-    t_keys = ["t_ClientName", "t_ServerName", "t_DatabaseName", "t_name"]
-    keyed = (o.select("object_id", *DB_KEYS)
-             .join(best.select("object_id", "index_id", *DB_KEYS), ["object_id"] + DB_KEYS)
-             .join(index_columns.select("object_id", "index_id", "column_id", *DB_KEYS),
-                   ["object_id", "index_id"] + DB_KEYS)
-             .join(columns.select("object_id", "column_id", *DB_KEYS), ["object_id", "column_id"] + DB_KEYS,
-                   "left_semi")
-             .join(tables.select("object_id", *DB_KEYS, c("ClientName").alias("t_ClientName"),
-                                 c("ServerName").alias("t_ServerName"), c("DatabaseName").alias("t_DatabaseName"),
-                                 c("name").alias("t_name")), ["object_id"] + DB_KEYS, "left")
-             .select(*t_keys).distinct().withColumn("_keyed", F.lit(1)))
-    t = left_lookup(t, keyed, [(c(k), k) for k in t_keys], {"_keyed": "_keyed"}, null_safe=True)
-    t = t.withColumn("HasNoPK", F.when(c("_keyed").isNull(), 1).otherwise(0))
-
+    # A table without columns has one row here without a column name, which would
+    # give the invalid text " AS ": it adds no item, and the table stays with NULL texts.
     t = t.filter(c("ExcludeColumn") == 0)
     t = t.select(
         c("d_ClientName").alias("g_ClientName"), c("d_DataLakeName").alias("g_DataLakeName"),
@@ -203,7 +232,7 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         c("d_DatabaseName").alias("g_SourceDatabaseName"), c("s_name").alias("g_SourceSchemaName"),
         c("t_name").alias("g_SourceTableName"), c("p_rows").alias("g_SourceRowCount"),
         c("ExcludeTable").alias("g_ExcludeTable"), c("HasNoPK").alias("g_HasNoPK"),
-        select_item(c("FormattedColumnName")).alias("_sel_item"),
+        F.when(c("c_name").isNotNull(), select_item(c("FormattedColumnName"))).alias("_sel_item"),
         F.when(c("FormattedPKColumn").isNotNull(), select_item(c("FormattedPKColumn"))).alias("_key_item"),
         c("PKClauseColumns").alias("_clause_item"),
         c("OrdinalPosition").alias("_ord"), c("c_column_id").alias("_colid"),

@@ -8,7 +8,7 @@ the same rules in DuckDB SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import julian_key
@@ -17,6 +17,8 @@ from martkit.sources.tables import date_dimension
 
 # Fixed values of our derivation: ledger codes assigned to balance rows.
 LEDGER_CODES = ["AA", "BA", "JA", "BU", "JU", "QA", "QU", "AU"]
+# Record types that have a name.
+RECORD_TYPES = ["0", "1"]
 
 
 def bu_code(n: Column) -> Column:
@@ -119,34 +121,28 @@ def profit_recognition(lineitem: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("time_last_updated"))
 
 
-def code_values(balances: DataFrame, profit: DataFrame) -> DataFrame:
+def code_values(spark: SparkSession) -> DataFrame:
     """Shared code table: record-type and ledger-type names plus decoy rows
     under other product codes (which the lookups must not pick up).
-    Record type 2 and ledger QU have no name."""
-    types = profit.select("type_of_record").distinct().filter(F.col("type_of_record") != "2")
-    ledgers = balances.select("ledger_types").distinct().filter(F.col("ledger_types") != "QU")
-
-    def rows(src, code, product, kind, text):
-        return src.select(F.lit(product).alias("product_code"), F.lit(kind).alias("user_defined_codes"),
-                          F.col(code).alias("user_defined_code"),
-                          F.concat(F.lit(text), F.col(code)).alias("description"))
-
-    return (rows(types, "type_of_record", "H50", "TY", "record type ")
-            .unionByName(rows(types, "type_of_record", "H50", "XX", "decoy "))
-            .unionByName(rows(ledgers, "ledger_types", "09", "LT", "ledger "))
-            .unionByName(rows(ledgers, "ledger_types", "00", "LT", "decoy ")))
+    Record type 2 and ledger QU have no name.  The codes are those of the
+    rules above, so no table is read."""
+    ledgers = [code for code in LEDGER_CODES if code != "QU"]
+    rows = [(product, kind, code, f"{text} {code}") for product, kind, codes, text in (
+        ("H50", "TY", RECORD_TYPES, "record type"), ("H50", "XX", RECORD_TYPES, "decoy"),
+        ("09", "LT", ledgers, "ledger"), ("00", "LT", ledgers, "decoy")) for code in codes]
+    names = ["product_code", "user_defined_codes", "user_defined_code", "description"]
+    listed = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])
+    return spark.range(1).select(F.inline(listed))
 
 
 def ledger_inputs(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All seven ledger input tables from the loaded TPC-H tables ``t``."""
-    ab = account_balances(t["orders"])
-    pr = profit_recognition(t["lineitem"])
     return {
-        "account_balances": ab,
+        "account_balances": account_balances(t["orders"]),
         "account_master": account_master(t["customer"]),
         "business_unit_master": business_unit_master(t["nation"]),
         "company_constants": company_constants(t["region"]),
         "dim_date": dim_date(t["orders"]),
-        "codes": code_values(ab, pr),
-        "profit_recognition": pr,
+        "codes": code_values(t["orders"].sparkSession),
+        "profit_recognition": profit_recognition(t["lineitem"]),
     }

@@ -14,13 +14,12 @@ Plan shape (what Spark runs):
 2. Dimension lookups and every month-independent flag run on the wide rows
    (12x fewer rows than after the unpivot).
 3. The unpivot is a ``Generate`` (no shuffle).
-4. The profit rows join on (business unit, year, month), a grain coarser
-   than their key, so rows may multiply (kept on purpose).  The profit side
-   is broadcast after a bounded size check; above the bound both sides are
-   hash-partitioned by (business unit, year, salt) *before* the unpivot, so
-   the 12x larger long rows never cross the network, and a business unit
-   with a large share of the rows is spread over the salt buckets (the
-   profit rows are repeated once per salt).
+4. The profit rows match on (business unit, year, month), a grain coarser
+   than their key, so rows may multiply (kept on purpose).  They are gathered
+   per (business unit, year), at most 12 months x record types, and joined to
+   the *wide* rows; each unpivoted month then takes its own entries.  So the
+   12x larger long rows never cross the network, and Spark chooses the join
+   from real sizes (AQE splits a hot business unit of a shuffle join).
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from martkit.functions.numbers import div0, hundredths, period_id
 from martkit.functions.text import concat_strict, lpad_number
-from martkit.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most, left_lookup, size_checked_broadcast
+from martkit.operators.joins import left_lookup, require_unique
 from martkit.operators.shape import unpivot_columns
 
 # ---------------------------------------------------------------------------
@@ -166,19 +165,13 @@ def add_profit_measures(df: DataFrame, adj_revenue: str, adj_cost: str, earned_r
 
 # --- relations ----------------------------------------------------------------
 
-def _dim(df: DataFrame, name: str, bounded: frozenset) -> DataFrame:
-    """Broadcast a lookup side: directly when the caller states a structural
-    bound for it (``bounded``), otherwise after a bounded size check."""
-    return F.broadcast(df) if name in bounded else size_checked_broadcast(df)
-
-
-def closed_periods(company_constants: DataFrame, dim_date: DataFrame, bounded: frozenset = frozenset()) -> DataFrame:
+def closed_periods(company_constants: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Latest closed period per company as ``YYYYMM`` text.
 
     Current period 1 closes month 12 of the previous fiscal year; otherwise
     period - 1 of the fiscal year.  An unknown fiscal year gives NULL.
     """
-    cc = left_lookup(company_constants, _dim(dim_date, "dim_date", bounded),
+    cc = left_lookup(company_constants, dim_date,
                      [("date_fiscal_year_begins", "julian_date")], {"fiscal_year_begin_date": "calendar_date"})
     fy = F.year("fiscal_year_begin_date")
     first = F.col("period_number_current") == 1
@@ -191,19 +184,15 @@ def closed_periods(company_constants: DataFrame, dim_date: DataFrame, bounded: f
         concat_strict(year.cast("string"), lpad_number(latest, 2)).alias("closedperiod_yearmonthid"))
 
 
-def profit_rows(profit_recognition: DataFrame, dim_date: DataFrame, codes: DataFrame,
-                bounded: frozenset = frozenset()) -> DataFrame:
+def profit_rows(profit_recognition: DataFrame, dim_date: DataFrame, codes: DataFrame) -> DataFrame:
     """Profit rows with calendar year/month and amounts in units.
 
     Record type 0 (project level, no profit data) and NULL types are
     dropped; the type is compared as a number.
     """
     pr = profit_recognition.filter(F.col("type_of_record").cast("int") != 0)
-    # A calendar has one row per day of its span: broadcast after the check,
-    # so the profit rows are never shuffled on a low-cardinality date key.
-    dd = _dim(dim_date, "dim_date", bounded)
-    pr = pr.join(dd, pr["date_effective"] == dd["julian_date"], "inner")
-    pr = left_lookup(pr, _dim(codes, "codes", bounded), [("type_of_record", "user_defined_code")],
+    pr = pr.join(dim_date, pr["date_effective"] == dim_date["julian_date"], "inner")
+    pr = left_lookup(pr, codes, [("type_of_record", "user_defined_code")],
                      {"type_of_record_desc": "description"},
                      right_filter=(F.col("product_code") == RECORD_TYPE_CODES[0])
                      & (F.col("user_defined_codes") == RECORD_TYPE_CODES[1]))
@@ -217,25 +206,21 @@ def profit_rows(profit_recognition: DataFrame, dim_date: DataFrame, codes: DataF
 
 
 def ledger_wide(account_balances: DataFrame, account_master: DataFrame, business_unit_master: DataFrame,
-                closed: DataFrame, codes: DataFrame, run_year: int | None,
-                bounded: frozenset = frozenset()) -> DataFrame:
+                closed: DataFrame, codes: DataFrame, run_year: int | None) -> DataFrame:
     """Balance rows (still 12 month columns) with lookups and flags."""
     ab = account_balances.withColumn("fiscal_year", concat_strict(F.col("century"), F.col("fiscal_year")))
     if run_year is not None:
         ab = ab.filter(F.col("fiscal_year").cast("int") <= run_year)
-    # Dimension lookups on the wide rows: each side is broadcast when a
-    # bounded check shows it is small, so the wide rows are not shuffled once
-    # per lookup key; a large side (e.g. the account master) stays a shuffle join.
-    ab = left_lookup(ab, _dim(account_master, "account_master", bounded), [("account_id", "account_id")],
+    # Dimension lookups on the wide rows (12x fewer than after the unpivot).
+    ab = left_lookup(ab, account_master, [("account_id", "account_id")],
                      {"account_level_of_detail": "account_level_of_detail"})
-    ab = left_lookup(ab, _dim(business_unit_master, "business_unit_master", bounded),
-                     [("business_unit", "business_unit")],
+    ab = left_lookup(ab, business_unit_master, [("business_unit", "business_unit")],
                      {"business_unit_type": "business_unit_type",
                       "bu_status": "category_code_business_unit_17",
                       "project_manager_code": "address_number2"})
-    ab = left_lookup(ab, _dim(closed, "company_constants", bounded), [("company", "company_code")],
+    ab = left_lookup(ab, closed, [("company", "company_code")],
                      {"latest_closed_period_year_month_id": "closedperiod_yearmonthid"})
-    ab = left_lookup(ab, _dim(codes, "codes", bounded), [("ledger_types", "user_defined_code")],
+    ab = left_lookup(ab, codes, [("ledger_types", "user_defined_code")],
                      {"ledger_type_desc": "description"},
                      right_filter=(F.col("product_code") == LEDGER_TYPE_CODES[0])
                      & (F.col("user_defined_codes") == LEDGER_TYPE_CODES[1]))
@@ -259,57 +244,32 @@ def ledger_wide(account_balances: DataFrame, account_master: DataFrame, business
 
 def ledger_fact(account_balances: DataFrame, account_master: DataFrame, business_unit_master: DataFrame,
                 company_constants: DataFrame, dim_date: DataFrame, codes: DataFrame,
-                profit_recognition: DataFrame, run_ts: dt.datetime,
-                profit_join: str = "auto", broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                partitions: int | None = None, salt_buckets: int = 16,
-                bounded: tuple[str, ...] = ()) -> DataFrame:
+                profit_recognition: DataFrame, run_ts: dt.datetime, unique_profit: bool = False) -> DataFrame:
     """The 49-column ledger fact (see module doc for the plan).
 
-    ``profit_join``: ``auto`` (broadcast the profit side when a bounded
-    count shows at most ``broadcast_rows`` rows), ``broadcast`` or
-    ``shuffle`` (co-partition both sides by business unit, year and a salt
-    before the unpivot; see ``salt_buckets``).
-
-    Dimension lookups are broadcast after a bounded size check, except the
-    inputs named in ``bounded`` (``account_master``,
-    ``business_unit_master``, ``company_constants``, ``codes``,
-    ``dim_date``), whose size the caller knows to be bounded by
-    construction; those are broadcast without a check.
+    ``unique_profit``: fail the job when a (date, record type, business unit)
+    repeats among the profit rows, instead of multiplying the matching rows.
     """
-    bounded = frozenset(bounded)
-    closed = closed_periods(company_constants, dim_date, bounded)
-    wide = ledger_wide(account_balances, account_master, business_unit_master, closed, codes, run_ts.year, bounded)
+    closed = closed_periods(company_constants, dim_date)
+    wide = ledger_wide(account_balances, account_master, business_unit_master, closed, codes, run_ts.year)
     wide = wide.withColumn("_fy", F.col("fiscal_year").cast("int"))
-    profit = profit_rows(profit_recognition, dim_date, codes, bounded).select(
-        F.col("business_unit_code").alias("_pr_bu"), F.col("year_eff").alias("_pr_year"),
-        F.col("month_eff").alias("_pr_month"),
-        *[F.col(a).alias(f"_pr_{a}") for a in PROFIT_AMOUNTS])
-
-    if profit_join == "auto":
-        profit_join = "broadcast" if has_at_most(profit, broadcast_rows) else "shuffle"
-    if profit_join == "broadcast":
-        profit = F.broadcast(profit)
-    else:
-        # Salted co-partitioning: each wide row gets one salt (from its
-        # account), each profit row is repeated once per salt, so a business
-        # unit holding a large share of all rows is spread over
-        # ``salt_buckets`` tasks while every pair still meets exactly once.
-        n_parts = partitions or int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        wide = wide.withColumn("_salt", F.pmod(F.xxhash64("account_id", "ledger_type_code"), F.lit(salt_buckets)))
-        profit = profit.withColumn("_pr_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast(
-            "array<bigint>")))
-        wide = wide.repartition(n_parts, "business_unit_code", "_fy", "_salt")
-        profit = profit.repartition(n_parts, "_pr_bu", "_pr_year", "_pr_salt")
+    if unique_profit:
+        profit_recognition = require_unique(
+            profit_recognition, ["date_effective", "type_of_record", "business_unit"], "profit rows")
+    profit = profit_rows(profit_recognition, dim_date, codes)
+    by_year = profit.groupBy("business_unit_code", "year_eff").agg(
+        F.collect_list(F.struct("month_eff", *PROFIT_AMOUNTS)).alias("_months"))
+    wide = left_lookup(wide, by_year, [("business_unit_code", "business_unit_code"), ("_fy", "year_eff")],
+                       {"_months": "_months"})
 
     keep = [c for c in wide.columns if c not in MONTH_COLUMNS]
     long = unpivot_columns(wide, MONTH_COLUMNS, keep, index_name="fiscal_month",
                            value_name="amount_net_posting", divisor=100)
-    long = long.withColumn("_fm", F.col("fiscal_month").cast("int"))
-    cond = ((F.col("business_unit_code") == F.col("_pr_bu")) & (F.col("_fy") == F.col("_pr_year"))
-            & (F.col("_fm") == F.col("_pr_month")))
-    if profit_join != "broadcast":
-        cond = cond & (F.col("_salt") == F.col("_pr_salt"))
-    j = long.join(profit, cond, "left")
+    month = F.col("fiscal_month").cast("int")
+    mine = F.filter("_months", lambda x: x["month_eff"] == month)
+    others = [c for c in long.columns if c != "_months"]
+    j = long.select(*others, F.explode_outer(mine).alias("_pr")).select(
+        *others, *[F.col(f"_pr.{a}").alias(f"_pr_{a}") for a in PROFIT_AMOUNTS])
     j = j.withColumn("year_month_id", period_id(F.col("fiscal_year"), F.col("fiscal_month")))
     j = j.withColumn("is_latest_closed_period_flag",
                      closed_flag("year_month_id", "latest_closed_period_year_month_id"))

@@ -1,21 +1,15 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-Views ``region nation customer supplier part orders lineitem events`` are
-the given tables.  The SQL follows the warehouse logic directly (CTEs,
-window functions, ``string_agg ... ORDER BY``, full outer join), written
-independently of the Spark plans in :mod:`martkit.plans.queries`.
-Column names and types match the Spark results.
+Views ``region nation customer supplier part orders lineitem events`` are the
+given tables.  Business rules are small VALUES tables, measures come from one
+formula table, and generated statements are spelled out as literal text, so a
+wrong rule or layout in the Spark plans shows up here.  Column names and types
+match the Spark results.
 """
 
 from __future__ import annotations
 
-from martkit.plans import control as ctl
-
-
-def E(s: str) -> str:
-    """DuckDB escape-string literal."""
-    esc = s.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\t", "\\t")
-    return f"E'{esc}'"
+import re
 
 
 def BU(n: str) -> str:
@@ -91,153 +85,152 @@ Q["ledger_unpivot"] = balances_long() + "\nSELECT * FROM long"
 Q["year_bound_early"] = balances_long("WHERE CAST(century || fiscal_year AS INTEGER) <= 1998") + "\nSELECT * FROM long"
 
 # --- ledger fact ------------------------------------------------------------------
-_PROFIT = f"""pr AS (
-  SELECT {JULIAN("date_trunc('month', l_shipdate)")} AS date_effective,
-    CASE l_returnflag WHEN 'R' THEN '0' WHEN 'A' THEN '1' ELSE '2' END AS type_of_record,
-    {BU('l_suppkey % 25')} AS business_unit,
-    -CAST(sum({CENTS('l_extendedprice')}) AS BIGINT) AS actual_revenue_to_date,
-    CAST(sum({CENTS('l_extendedprice * (1 - l_discount)')}) AS BIGINT) AS actual_cost_to_date,
-    -CAST(sum({CENTS('l_extendedprice * (1 + l_tax)')}) AS BIGINT) AS projected_final_revenue,
-    CAST(sum({CENTS('l_extendedprice')}) AS BIGINT) AS projected_final_cost,
-    -CAST(sum({CENTS('l_extendedprice * (1 + l_tax)')}) AS BIGINT) AS projected_final_revenue_adjusted,
-    CAST(sum(CASE WHEN l_quantity > 49 THEN {CENTS('l_extendedprice')} ELSE 0 END) AS BIGINT)
-      AS projected_final_cost_adjusted,
-    CAST(sum(CASE WHEN l_linestatus = 'F' THEN -{CENTS('l_extendedprice')} ELSE 0 END) AS BIGINT)
-      AS earned_job_to_date_revenue,
-    CAST(sum(CASE WHEN l_linestatus = 'F' THEN {CENTS('l_extendedprice * (1 - l_discount)')} ELSE 0 END) AS BIGINT)
-      AS earned_job_to_date_cost
-  FROM lineitem GROUP BY 1, 2, 3)"""
-
-_CODES = """codes AS (
-  SELECT 'H50' AS product_code, 'TY' AS user_defined_codes, t AS user_defined_code, 'record type ' || t AS description
-    FROM (SELECT DISTINCT type_of_record AS t FROM pr WHERE type_of_record <> '2')
-  UNION ALL SELECT 'H50', 'XX', t, 'decoy ' || t FROM (SELECT DISTINCT type_of_record AS t FROM pr WHERE type_of_record <> '2')
-  UNION ALL SELECT '09', 'LT', t, 'ledger ' || t FROM (SELECT DISTINCT ledger_types AS t FROM ab WHERE ledger_types <> 'QU')
-  UNION ALL SELECT '00', 'LT', t, 'decoy ' || t FROM (SELECT DISTINCT ledger_types AS t FROM ab WHERE ledger_types <> 'QU'))"""
-
-Q["ledger_fact"] = f"""WITH {BALANCES}, {_PROFIT}, {DIM_DATE}, {_CODES},
-am AS (SELECT CAST(c_custkey AS VARCHAR) AS account_id, c_nationkey % 8 AS account_level_of_detail FROM customer),
-bum AS (SELECT {BU('n_nationkey')} AS business_unit,
-          CASE n_regionkey WHEN 0 THEN 'P1' WHEN 1 THEN 'P2' WHEN 2 THEN NULL ELSE 'X' || CAST(n_regionkey AS VARCHAR) END
-            AS business_unit_type,
-          n_name AS category_code_business_unit_17, CAST(n_regionkey AS VARCHAR) AS address_number2 FROM nation),
-cc AS (SELECT CAST(r_regionkey AS VARCHAR) AS company, r_name AS name, (r_regionkey * 5) % 12 + 1 AS period_number_current,
-         CASE WHEN r_regionkey = 4 THEN 0 ELSE (r_regionkey + 1996) * 1000 + 1 END AS date_fiscal_year_begins FROM region),
-fact_profit AS (
-  SELECT p.business_unit AS business_unit_code, year(d.calendar_date) AS year_eff, month(d.calendar_date) AS month_eff,
-    p.actual_revenue_to_date / 100 AS actual_revenue_to_date, p.actual_cost_to_date / 100 AS actual_cost_to_date,
-    p.projected_final_revenue_adjusted / 100 AS projected_final_revenue_adjusted,
-    p.projected_final_cost_adjusted / 100 AS projected_final_cost_adjusted,
-    p.earned_job_to_date_revenue / 100 AS earned_job_to_date_revenue,
-    p.earned_job_to_date_cost / 100 AS earned_job_to_date_cost
-  FROM pr p
-  JOIN dd d ON d.julian_date = p.date_effective
-  LEFT JOIN codes tor ON p.type_of_record = tor.user_defined_code AND tor.product_code = 'H50' AND tor.user_defined_codes = 'TY'
-  WHERE TRY_CAST(p.type_of_record AS INTEGER) <> 0),
-company_closed AS (
-  SELECT s.company AS company_code,
-    CAST(CASE WHEN s.period_number_current = 1 THEN year(f.calendar_date) - 1 ELSE year(f.calendar_date) END AS VARCHAR)
-    || lpad(CAST(CASE WHEN s.period_number_current = 1 THEN 12 ELSE s.period_number_current - 1 END AS VARCHAR), 2, '0')
-      AS closedperiod_yearmonthid
-  FROM cc s LEFT JOIN dd f ON f.julian_date = s.date_fiscal_year_begins),
-abu AS (
-  SELECT ab.account_id, ab.century || ab.fiscal_year AS fiscal_year, CAST(mm.m AS VARCHAR) AS fiscal_month,
-    ab.ledger_types AS ledger_type_code, ltc.description AS ledger_type_desc, ab.subledger_g_l, ab.subledger_type,
-    ab.company AS company_code, ab.business_unit AS business_unit_code, bum.business_unit_type,
-    bum.category_code_business_unit_17 AS bu_status, bum.address_number2 AS project_manager_code,
-    ab.object_account AS object_account_code, ab.subsidiary AS account_subsidiary,
-    CASE WHEN ab.subsidiary NOT LIKE '99%' OR ab.subsidiary = '99999955' OR ab.subsidiary IS NULL THEN 1 ELSE 0 END
-      AS is_included_account_subsidiary,
-    am.account_level_of_detail,
-    CASE WHEN ab.subsidiary LIKE '8500%' OR ab.subsidiary = '99999955' OR ab.object_account LIKE '5%' THEN 'Revenue'
-         WHEN ab.object_account LIKE '4%' THEN 'Other' ELSE 'Cost' END AS category,
-    {_MONTH_CASE} / 100 AS amount_net_posting,
-    ab.amount_beginning_balance_pye_forward / 100 AS amount_beginning_balance_pye_forward,
-    ab.amount_original_beginning_budget / 100 AS amount_original_beginning_budget,
-    CASE WHEN bum.business_unit_type IN ('P1', 'P2') AND ab.ledger_types = 'BA' THEN 1
-         WHEN bum.business_unit_type NOT IN ('P1', 'P2') AND ab.ledger_types = 'JA' THEN 1 ELSE 0 END AS is_revised_amount,
-    CASE WHEN bum.business_unit_type IN ('P1', 'P2') AND ab.ledger_types = 'BU' THEN 1
-         WHEN bum.business_unit_type NOT IN ('P1', 'P2') AND ab.ledger_types = 'JU' THEN 1 ELSE 0 END AS is_revised_unit,
-    CASE WHEN ab.ledger_types = 'QA' THEN 1 ELSE 0 END AS is_change_amount,
-    CASE WHEN ab.ledger_types = 'QU' AND am.account_level_of_detail = 7 THEN 1 ELSE 0 END AS is_change_unit,
-    CASE WHEN bum.business_unit_type IN ('P1', 'P2') AND ab.ledger_types IN ('BA') THEN 1
-         WHEN bum.business_unit_type NOT IN ('P1', 'P2') AND ab.ledger_types IN ('JA') THEN 1 ELSE 0 END AS is_orig_amt_flag,
-    CASE WHEN bum.business_unit_type IN ('P1', 'P2') AND ab.ledger_types IN ('BU') THEN 1
-         WHEN bum.business_unit_type NOT IN ('P1', 'P2') AND ab.ledger_types IN ('JU') THEN 1 ELSE 0 END AS is_orig_unit_flag,
-    CASE WHEN ab.ledger_types IN ('AA') AND ab.object_account LIKE '5%' THEN 1 ELSE 0 END AS is_bill_to_date_amt_flag,
-    COALESCE(CASE WHEN ab.ledger_types = 'AA' AND ab.object_account BETWEEN '6000' AND '6099' THEN 1
-                  WHEN ab.ledger_types = 'AA' AND ab.business_unit IN ('90090', '90091', '90092', '90093', '90094') THEN 1
-                  ELSE 0 END, 0) AS is_prev_yr_cost_to_date_amt_flag,
-    com.closedperiod_yearmonthid AS latest_closed_period,
-    CASE WHEN ab.ledger_types = 'AA' AND ab.object_account BETWEEN '6000' AND '6099' THEN 1
-         WHEN ab.ledger_types = 'AA' AND ab.business_unit IN ('90090', '90091', '90092', '90093', '90094') THEN 1
-         ELSE 0 END AS is_cost_to_date_amt_flag,
-    CASE WHEN ab.ledger_types = 'AU' THEN 1 ELSE 0 END AS is_actual_qty_flag,
-    CASE WHEN ab.ledger_types = 'AA' THEN 1 ELSE 0 END AS is_actual_amt_flag
-  FROM ab
-  LEFT JOIN am ON ab.account_id = am.account_id
-  LEFT JOIN bum ON ab.business_unit = bum.business_unit
-  LEFT JOIN company_closed com ON ab.company = com.company_code
-  LEFT JOIN codes ltc ON ab.ledger_types = ltc.user_defined_code AND ltc.product_code = '09' AND ltc.user_defined_codes = 'LT'
-  CROSS JOIN range(1, 13) AS mm(m)),
-u AS (
-  SELECT CAST(abu.fiscal_year AS BIGINT) * 100 + CAST(abu.fiscal_month AS BIGINT) AS year_month_id, abu.*,
-    abs(pr.projected_final_revenue_adjusted) AS r_adj, pr.projected_final_cost_adjusted AS c_adj,
-    abs(pr.earned_job_to_date_revenue) AS r_earn, pr.earned_job_to_date_cost AS c_earn,
-    pr.actual_revenue_to_date AS r_act, pr.actual_cost_to_date AS c_act
-  FROM abu LEFT JOIN fact_profit pr
-    ON abu.business_unit_code = pr.business_unit_code
-   AND CAST(abu.fiscal_year AS INTEGER) = pr.year_eff AND CAST(abu.fiscal_month AS INTEGER) = pr.month_eff)
-SELECT year_month_id, account_id, ledger_type_code, ledger_type_desc, subledger_g_l, subledger_type, company_code,
-  business_unit_code, business_unit_type, bu_status, project_manager_code, object_account_code, account_subsidiary,
-  is_included_account_subsidiary, account_level_of_detail, category, amount_net_posting,
-  amount_beginning_balance_pye_forward, amount_original_beginning_budget, is_revised_amount, is_revised_unit,
-  is_change_amount, is_change_unit, is_orig_amt_flag, is_orig_unit_flag, is_bill_to_date_amt_flag,
-  is_prev_yr_cost_to_date_amt_flag, latest_closed_period AS latest_closed_period_year_month_id,
-  CASE WHEN year_month_id > CAST(latest_closed_period AS BIGINT) THEN 0 ELSE 1 END AS is_latest_closed_period_flag,
-  is_cost_to_date_amt_flag, is_actual_qty_flag, is_actual_amt_flag,
-  r_adj AS profit_recognition_adjusted_projected_final_revenue,
-  c_adj AS profit_recognition_adjusted_projected_final_cost,
-  r_adj - c_adj AS profit_recognition_projected_margin,
-  CASE WHEN r_adj = 0 THEN 0.0 ELSE (r_adj - c_adj) / r_adj END AS profit_recognition_projected_margin_percent,
-  r_earn AS profit_recognition_earned_revenue, c_earn AS profit_recognition_earned_cost,
-  r_earn - c_earn AS profit_recognition_earned_margin,
-  CASE WHEN r_earn = 0 THEN 0.0 ELSE (r_earn - c_earn) / r_earn END AS profit_recognition_earned_margin_percent,
-  r_adj - r_act AS profit_recognition_backlog,
-  c_act AS profit_recognition_actual_cost,
-  CASE WHEN c_adj = 0 THEN 0.0 ELSE c_act / c_adj END AS profit_recognition_percent_complete,
-  (CASE WHEN c_adj = 0 THEN 0.0 ELSE c_act / c_adj END) * r_adj AS profit_recognition_cost_of_revenue,
-  r_act AS profit_recognition_actual_revenue,
-  r_adj - r_act AS profit_recognition_remaining_to_complete_revenue,
-  c_adj - c_act AS profit_recognition_remaining_to_complete_cost,
-  (r_adj - r_act) - (c_adj - c_act) AS profit_recognition_remaining_to_complete_margin,
-  CASE WHEN r_adj - c_adj < 0 THEN 1 ELSE 0 END AS profit_recognition_accrued_loss
-FROM u
-WHERE CAST(left(CAST(year_month_id AS VARCHAR), 4) AS INTEGER) <= 1999"""
+# Profit measures by output name, from the six amounts below.
+AMOUNTS = {"planned_revenue": "abs(adj_rev)", "planned_cost": "adj_cost", "earned_revenue": "abs(earned_rev)",
+           "earned_cost": "earned_cost", "booked_revenue": "actual_rev", "booked_cost": "actual_cost"}
+MEASURES = {
+    "adjusted_projected_final_revenue": "planned_revenue",
+    "adjusted_projected_final_cost": "planned_cost",
+    "projected_margin": "planned_revenue - planned_cost",
+    "projected_margin_percent": "share(planned_revenue - planned_cost, planned_revenue)",
+    "earned_revenue": "earned_revenue",
+    "earned_cost": "earned_cost",
+    "earned_margin": "earned_revenue - earned_cost",
+    "earned_margin_percent": "share(earned_revenue - earned_cost, earned_revenue)",
+    "backlog": "planned_revenue - booked_revenue",
+    "actual_cost": "booked_cost",
+    "percent_complete": "share(booked_cost, planned_cost)",
+    "cost_of_revenue": "share(booked_cost, planned_cost) * planned_revenue",
+    "actual_revenue": "booked_revenue",
+    "remaining_to_complete_revenue": "planned_revenue - booked_revenue",
+    "remaining_to_complete_cost": "planned_cost - booked_cost",
+    "remaining_to_complete_margin": "(planned_revenue - booked_revenue) - (planned_cost - booked_cost)",
+    "accrued_loss": "if(planned_revenue < planned_cost, 1, 0)",
+}
+
+
+def measures(amounts: dict[str, str]) -> str:
+    """Select list of all measures; ``amounts`` names the six amounts in the source rows."""
+    out = []
+    for name, formula in MEASURES.items():
+        formula = re.sub(r"share\((.+?), (\w+)\)", r"if(\2 = 0, 0.0, (\1) / \2)", formula)
+        for amount, source in AMOUNTS.items():
+            column = re.search(r"\w+(?=\)?$)", source)[0]
+            formula = re.sub(rf"\b{amount}\b", f"({source.replace(column, amounts[column])})", formula)
+        out.append(f"{formula} AS profit_recognition_{name}")
+    return ",\n  ".join(out)
+
+
+# Flag, kind of business unit it needs, ledger it needs.
+_FLAG_RULES = [
+    ("is_revised_amount", "plan", "BA"), ("is_revised_amount", "other", "JA"),
+    ("is_orig_amt_flag", "plan", "BA"), ("is_orig_amt_flag", "other", "JA"),
+    ("is_revised_unit", "plan", "BU"), ("is_revised_unit", "other", "JU"),
+    ("is_orig_unit_flag", "plan", "BU"), ("is_orig_unit_flag", "other", "JU"),
+    ("is_change_amount", "any", "QA"), ("is_actual_qty_flag", "any", "AU"), ("is_actual_amt_flag", "any", "AA"),
+]
+_RULE_FLAGS = list(dict.fromkeys(f for f, _, _ in _FLAG_RULES))
+_RULE_ROWS = ", ".join(str(r) for r in _FLAG_RULES)
+FLAGS = f"""flags AS (
+  SELECT l.ledger, k.kind, {", ".join(f"CAST(count(*) FILTER (r.flag = '{f}') AS INTEGER) AS {f}" for f in _RULE_FLAGS)}
+  FROM (SELECT unnest({LEDGERS}) AS ledger) l CROSS JOIN (VALUES ('plan'), ('other'), ('none')) k(kind)
+  LEFT JOIN (VALUES {_RULE_ROWS}) r(flag, kind, ledger) ON r.ledger = l.ledger AND r.kind IN (k.kind, 'any')
+  GROUP BY ALL)"""
+
+
+def unit_kind(unit_type: str) -> str:
+    return f"if({unit_type} IS NULL, 'none', if({unit_type} SIMILAR TO 'P[12]', 'plan', 'other'))"
+
+
+def included(sub: str) -> str:
+    return f"CAST(coalesce({sub} = '99999955' OR NOT starts_with({sub}, '99'), true) AS INTEGER)"
+
+
+def category(sub: str, account: str) -> str:
+    return (f"list_extract(['Cost', 'Other', 'Revenue'], CAST(greatest(1, 2 * CAST(starts_with({account}, '4') AS INTEGER), "
+            f"3 * CAST(starts_with({account}, '5') OR coalesce(starts_with({sub}, '8500') OR {sub} = '99999955', false) "
+            f"AS INTEGER)) AS INTEGER))")
+
+
+def cost_to_date(ledger: str, account: str, unit: str) -> str:
+    return f"CAST({ledger} = 'AA' AND (({account} >= '6000' AND {account} <= '6099') OR {unit} SIMILAR TO '9009[0-4]') AS INTEGER)"
+
+
+# The month before the current period, which is a month of the fiscal year.
+def closed_month(year: str, period: str) -> str:
+    return f"strftime(make_date({year}, {period}, 1) - INTERVAL 1 MONTH, '%Y%m')"
+
+
+_PROFIT = f"""profit AS (
+  SELECT {BU('l_suppkey % 25')} AS unit, year(l_shipdate) AS y, month(l_shipdate) AS m, l_returnflag = 'A' AS named,
+    sum(-{CENTS('l_extendedprice')}) / 100 AS actual_rev,
+    sum({CENTS('l_extendedprice * (1 - l_discount)')}) / 100 AS actual_cost,
+    sum(-{CENTS('l_extendedprice * (1 + l_tax)')}) / 100 AS adj_rev,
+    sum(if(l_quantity > 49, {CENTS('l_extendedprice')}, 0)) / 100 AS adj_cost,
+    sum(if(l_linestatus = 'F', -{CENTS('l_extendedprice')}, 0)) / 100 AS earned_rev,
+    sum(if(l_linestatus = 'F', {CENTS('l_extendedprice * (1 - l_discount)')}, 0)) / 100 AS earned_cost
+  FROM lineitem WHERE l_returnflag <> 'R'
+    AND date_trunc('month', l_shipdate) BETWEEN (SELECT min(o_orderdate)::DATE FROM orders) AND (SELECT max(o_orderdate)::DATE FROM orders)
+  GROUP BY ALL)"""
+
+Q["ledger_fact"] = f"""WITH {BALANCES}, {FLAGS}, {_PROFIT},
+units AS (
+  SELECT {BU('n_nationkey')} AS unit, list_extract(['P1', 'P2', NULL, 'X3', 'X4'], CAST(n_regionkey + 1 AS INTEGER)) AS unit_type,
+    n_name AS status, CAST(n_regionkey AS VARCHAR) AS manager
+  FROM nation),
+companies AS (
+  SELECT CAST(r_regionkey AS VARCHAR) AS company,
+    if(r_regionkey = 4, NULL, {closed_month('r_regionkey + 1996', '(r_regionkey * 5) % 12 + 1')}) AS closed
+  FROM region),
+months AS (
+  SELECT ab.*, mm.m, CAST(ab.century || ab.fiscal_year AS INTEGER) AS y, {_MONTH_CASE} / 100 AS amount
+  FROM ab CROSS JOIN range(1, 13) AS mm(m)),
+rows_ AS (
+  SELECT months.*, y * 100 + m AS period, units.unit_type, units.status, units.manager, companies.closed,
+    c_nationkey % 8 AS detail, flags.* EXCLUDE (ledger, kind)
+  FROM months
+  LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = account_id
+  LEFT JOIN units ON units.unit = business_unit
+  LEFT JOIN companies USING (company)
+  JOIN flags ON flags.ledger = ledger_types AND flags.kind = {unit_kind('units.unit_type')}
+  WHERE y <= 1999)
+SELECT CAST(period AS BIGINT) AS year_month_id, account_id, ledger_types AS ledger_type_code,
+  if(ledger_types = 'QU', NULL, 'ledger ' || ledger_types) AS ledger_type_desc, subledger_g_l, subledger_type,
+  company AS company_code, business_unit AS business_unit_code, unit_type AS business_unit_type, status AS bu_status,
+  manager AS project_manager_code, object_account AS object_account_code, subsidiary AS account_subsidiary,
+  {included('subsidiary')} AS is_included_account_subsidiary, detail AS account_level_of_detail,
+  {category('subsidiary', 'object_account')} AS category, amount AS amount_net_posting,
+  amount_beginning_balance_pye_forward / 100 AS amount_beginning_balance_pye_forward,
+  amount_original_beginning_budget / 100 AS amount_original_beginning_budget,
+  {", ".join(_RULE_FLAGS)},
+  CAST(ledger_types = 'QU' AND detail = 7 AS INTEGER) AS is_change_unit,
+  CAST(ledger_types = 'AA' AND starts_with(object_account, '5') AS INTEGER) AS is_bill_to_date_amt_flag,
+  {cost_to_date('ledger_types', 'object_account', 'business_unit')} AS is_cost_to_date_amt_flag,
+  {cost_to_date('ledger_types', 'object_account', 'business_unit')} AS is_prev_yr_cost_to_date_amt_flag,
+  closed AS latest_closed_period_year_month_id,
+  if(period > CAST(closed AS BIGINT), 0, 1) AS is_latest_closed_period_flag,
+  {measures({n: n for n in ("adj_rev", "adj_cost", "earned_rev", "earned_cost", "actual_rev", "actual_cost")})}
+FROM rows_ LEFT JOIN profit ON profit.unit = business_unit AND profit.y = rows_.y AND profit.m = rows_.m"""
 
 # --- periods ------------------------------------------------------------------
-_CUST_COMPANIES = """cc AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS company, c_name AS name, c_custkey % 12 + 1 AS period_number_current,
-    CASE WHEN c_nationkey % 7 = 3 THEN 0 ELSE (c_nationkey % 5 + 1995) * 1000 + 1 END AS date_fiscal_year_begins,
-    c_acctbal
+# Fiscal years begin on the first of January; nation keys 3, 10, 17 and 24 have none.
+_CUST_COMPANIES = f"""companies AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS company, c_name, c_custkey % 12 + 1 AS period,
+    if(c_nationkey % 7 = 3, NULL, CAST(c_nationkey % 5 + 1995 AS INTEGER)) AS y, c_custkey
   FROM customer)"""
-_CLOSED_TEXT = """CAST(CASE WHEN cc.period_number_current = 1 THEN year(dd.calendar_date) - 1 ELSE year(dd.calendar_date) END AS VARCHAR)
-    || lpad(CAST(CASE WHEN cc.period_number_current = 1 THEN 12 ELSE cc.period_number_current - 1 END AS VARCHAR), 2, '0')"""
-
-Q["closed_period"] = f"""WITH {DIM_DATE}, {_CUST_COMPANIES}
-SELECT cc.company AS company_code, cc.name AS company_name, dd.calendar_date AS fiscal_year_begin_date,
-  CAST(year(dd.calendar_date) AS INTEGER) AS fiscal_year, cc.period_number_current,
-  CASE WHEN cc.period_number_current = 1 THEN 12 ELSE cc.period_number_current - 1 END AS latest_closed_period,
-  {_CLOSED_TEXT} AS closedperiod_yearmonthid
-FROM cc LEFT JOIN dd ON dd.julian_date = cc.date_fiscal_year_begins"""
-
-Q["closed_flag"] = balances_long() + f""", {DIM_DATE}, {_CUST_COMPANIES},
-closed AS (SELECT cc.company AS company_code, {_CLOSED_TEXT} AS cp
-           FROM cc LEFT JOIN dd ON dd.julian_date = cc.date_fiscal_year_begins WHERE cc.c_acctbal >= 0)
-SELECT long.account_id, long.fiscal_year, long.fiscal_month, long.ledger_type_code, long.year_month_id,
-  closed.cp AS latest_closed_period_year_month_id,
-  CASE WHEN long.year_month_id > CAST(closed.cp AS BIGINT) THEN 0 ELSE 1 END AS is_latest_closed_period_flag
-FROM long LEFT JOIN closed ON long.account_id = closed.company_code"""
+
+Q["closed_period"] = f"""WITH {_CUST_COMPANIES}
+SELECT company AS company_code, c_name AS company_name, make_date(y, 1, 1) AS fiscal_year_begin_date, y AS fiscal_year,
+  period AS period_number_current, (period + 10) % 12 + 1 AS latest_closed_period,
+  {closed_month('y', 'period')} AS closedperiod_yearmonthid
+FROM companies"""
+
+Q["closed_flag"] = balances_long() + f""", {_CUST_COMPANIES},
+known AS (SELECT company, {closed_month('y', 'period')} AS closed FROM companies WHERE c_custkey % 9 <> 0)
+SELECT account_id, fiscal_year, fiscal_month, ledger_type_code, year_month_id,
+  closed AS latest_closed_period_year_month_id,
+  1 - CAST(coalesce(year_month_id > CAST(closed AS BIGINT), false) AS INTEGER) AS is_latest_closed_period_flag
+FROM long LEFT JOIN known ON account_id = company"""
 
 Q["julian_dates"] = f"""WITH {DIM_DATE}
 SELECT o.o_orderkey, dd.julian_date, dd.calendar_date, nx.calendar_date AS next_calendar_date
@@ -263,44 +256,28 @@ Q["prefix_flags"] = """WITH p AS (
     CASE WHEN p_partkey % 3 = 0 THEN '5' || CAST(p_size AS VARCHAR) WHEN p_partkey % 3 = 1 THEN '4' || CAST(p_size AS VARCHAR)
          ELSE '6' || CAST(p_size AS VARCHAR) END AS object_account_code
   FROM part)
-SELECT *,
-  CASE WHEN account_subsidiary NOT LIKE '99%' OR account_subsidiary = '99999955' OR account_subsidiary IS NULL
-       THEN 1 ELSE 0 END AS is_included_account_subsidiary,
-  CASE WHEN account_subsidiary LIKE '8500%' OR account_subsidiary = '99999955' OR object_account_code LIKE '5%' THEN 'Revenue'
-       WHEN object_account_code LIKE '4%' THEN 'Other' ELSE 'Cost' END AS category
+SELECT *, """ + included("account_subsidiary") + """ AS is_included_account_subsidiary,
+  """ + category("account_subsidiary", "object_account_code") + """ AS category
 FROM p"""
 
-Q["list_flags"] = f"""WITH o AS (
+Q["list_flags"] = f"""WITH {FLAGS}, o AS (
   SELECT o_orderkey, {LEDGERS}[(o_orderkey % 8) + 1] AS ledger_type_code,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'P1' WHEN '2' THEN 'P2' WHEN '3' THEN NULL
          ELSE 'X' || substr(o_orderpriority, 1, 1) END AS business_unit_type,
     o_custkey % 8 AS account_level_of_detail, {ACCOUNT('o_orderkey')} AS object_account_code
   FROM orders)
-SELECT *,
-  CASE WHEN business_unit_type IN ('P1', 'P2') AND ledger_type_code = 'BA' THEN 1
-       WHEN business_unit_type NOT IN ('P1', 'P2') AND ledger_type_code = 'JA' THEN 1 ELSE 0 END AS is_revised_amount,
-  CASE WHEN business_unit_type IN ('P1', 'P2') AND ledger_type_code = 'BU' THEN 1
-       WHEN business_unit_type NOT IN ('P1', 'P2') AND ledger_type_code = 'JU' THEN 1 ELSE 0 END AS is_revised_unit,
-  CASE WHEN ledger_type_code = 'QA' THEN 1 ELSE 0 END AS is_change_amount,
-  CASE WHEN ledger_type_code = 'QU' AND account_level_of_detail = 7 THEN 1 ELSE 0 END AS is_change_unit,
-  CASE WHEN business_unit_type IN ('P1', 'P2') AND ledger_type_code = 'BA' THEN 1
-       WHEN business_unit_type NOT IN ('P1', 'P2') AND ledger_type_code = 'JA' THEN 1 ELSE 0 END AS is_orig_amt_flag,
-  CASE WHEN business_unit_type IN ('P1', 'P2') AND ledger_type_code = 'BU' THEN 1
-       WHEN business_unit_type NOT IN ('P1', 'P2') AND ledger_type_code = 'JU' THEN 1 ELSE 0 END AS is_orig_unit_flag,
-  CASE WHEN ledger_type_code = 'AA' AND object_account_code LIKE '5%' THEN 1 ELSE 0 END AS is_bill_to_date_amt_flag,
-  CASE WHEN ledger_type_code = 'AU' THEN 1 ELSE 0 END AS is_actual_qty_flag,
-  CASE WHEN ledger_type_code = 'AA' THEN 1 ELSE 0 END AS is_actual_amt_flag
-FROM o"""
+SELECT o.*, flags.* EXCLUDE (ledger, kind),
+  CAST(ledger_type_code = 'QU' AND account_level_of_detail = 7 AS INTEGER) AS is_change_unit,
+  CAST(ledger_type_code = 'AA' AND starts_with(object_account_code, '5') AS INTEGER) AS is_bill_to_date_amt_flag
+FROM o JOIN flags ON ledger = ledger_type_code AND kind = {unit_kind('business_unit_type')}"""
 
 Q["string_between"] = f"""WITH p AS (
   SELECT p_partkey, ['6000', '6099', '60995', '60', '6000.10', '6050', '5999'][(p_partkey % 7) + 1] AS object_account_code,
     CASE WHEN p_partkey % 2 = 0 THEN 'AA' ELSE 'BA' END AS ledger_type_code,
     {BU('p_size % 25')} AS business_unit_code
   FROM part),
-f AS (SELECT *, CASE WHEN ledger_type_code = 'AA' AND object_account_code BETWEEN '6000' AND '6099' THEN 1
-                     WHEN ledger_type_code = 'AA' AND business_unit_code IN ('90090', '90091', '90092', '90093', '90094') THEN 1
-                     ELSE 0 END AS is_cost_to_date_amt_flag FROM p)
-SELECT *, COALESCE(is_cost_to_date_amt_flag, 0) AS is_prev_yr_cost_to_date_amt_flag FROM f"""
+f AS (SELECT *, {cost_to_date('ledger_type_code', 'object_account_code', 'business_unit_code')} AS flag FROM p)
+SELECT f.* EXCLUDE (flag), flag AS is_cost_to_date_amt_flag, flag AS is_prev_yr_cost_to_date_amt_flag FROM f"""
 
 Q["profit_measures"] = f"""WITH g AS (
   SELECT l_suppkey,
@@ -313,22 +290,11 @@ Q["profit_measures"] = f"""WITH g AS (
     CAST(sum({CENTS('l_extendedprice * l_discount')}) AS BIGINT) AS actual_cost_c
   FROM lineitem GROUP BY l_suppkey),
 u AS (
-  SELECT l_suppkey, abs(adj_rev_c / 100) AS ar, (CASE WHEN l_suppkey % 7 = 0 THEN 0 ELSE cost_c END) / 100 AS ac,
-    abs(earned_rev_c / 100) AS er, earned_cost_c / 100 AS ec, actual_rev_c / 100 AS xr, actual_cost_c / 100 AS xc
+  SELECT l_suppkey, adj_rev_c / 100 AS adj_rev, if(l_suppkey % 7 = 0, 0, cost_c) / 100 AS adj_cost,
+    earned_rev_c / 100 AS earned_rev, earned_cost_c / 100 AS earned_cost, actual_rev_c / 100 AS actual_rev,
+    actual_cost_c / 100 AS actual_cost
   FROM g)
-SELECT l_suppkey,
-  ar AS profit_recognition_adjusted_projected_final_revenue, ac AS profit_recognition_adjusted_projected_final_cost,
-  ar - ac AS profit_recognition_projected_margin,
-  CASE WHEN ar = 0 THEN 0.0 ELSE (ar - ac) / ar END AS profit_recognition_projected_margin_percent,
-  er AS profit_recognition_earned_revenue, ec AS profit_recognition_earned_cost, er - ec AS profit_recognition_earned_margin,
-  CASE WHEN er = 0 THEN 0.0 ELSE (er - ec) / er END AS profit_recognition_earned_margin_percent,
-  ar - xr AS profit_recognition_backlog, xc AS profit_recognition_actual_cost,
-  CASE WHEN ac = 0 THEN 0.0 ELSE xc / ac END AS profit_recognition_percent_complete,
-  (CASE WHEN ac = 0 THEN 0.0 ELSE xc / ac END) * ar AS profit_recognition_cost_of_revenue,
-  xr AS profit_recognition_actual_revenue, ar - xr AS profit_recognition_remaining_to_complete_revenue,
-  ac - xc AS profit_recognition_remaining_to_complete_cost,
-  (ar - xr) - (ac - xc) AS profit_recognition_remaining_to_complete_margin,
-  CASE WHEN ar - ac < 0 THEN 1 ELSE 0 END AS profit_recognition_accrued_loss
+SELECT l_suppkey, {measures({n: n for n in ("adj_rev", "adj_cost", "earned_rev", "earned_cost", "actual_rev", "actual_cost")})}
 FROM u"""
 
 Q["profit_fanout"] = f"""WITH o AS (
@@ -392,14 +358,12 @@ dc AS (
     CASE WHEN n_nationkey % 2 = 0 THEN NULL ELSE {SEGMENTS}[(n_nationkey % 5) + 1] END AS ClientName,
     'dc_' || CAST(n_nationkey AS VARCHAR) AS value
   FROM nation)
-SELECT r.c_custkey, COALESCE(cdc.value, tdc.value, gdc.value) AS delta_column
-FROM cr r
-LEFT JOIN dc cdc ON r.source_name = cdc.SourceName AND trim(r.column_name) = cdc.DeltaColumn
-  AND r.table_name = cdc.TableName AND r.client_name = cdc.ClientName
-LEFT JOIN dc tdc ON r.source_name = tdc.SourceName AND trim(r.column_name) = tdc.DeltaColumn
-  AND r.table_name = tdc.TableName AND tdc.ClientName IS NULL
-LEFT JOIN dc gdc ON r.source_name = gdc.SourceName AND trim(r.column_name) = gdc.DeltaColumn
-  AND gdc.TableName IS NULL AND gdc.ClientName IS NULL"""
+-- an entry for a client also names a table; the entry that names most wins
+SELECT c_custkey, arg_max(value, CAST(TableName IS NOT NULL AS INTEGER) + CAST(dc.ClientName IS NOT NULL AS INTEGER))
+    AS delta_column
+FROM cr LEFT JOIN dc ON source_name = SourceName AND column_name = DeltaColumn
+  AND coalesce(TableName = table_name, dc.ClientName IS NULL) AND coalesce(dc.ClientName = client_name, true)
+GROUP BY c_custkey"""
 
 Q["block_list"] = f"""WITH {_COLUMN_ROWS},
 ex AS (
@@ -407,80 +371,59 @@ ex AS (
     CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'col' || CAST(n_nationkey % 4 AS VARCHAR) END AS ColumnNameForExclusion,
     CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE {SEGMENTS}[(n_nationkey % 5) + 1] END AS ClientName
   FROM nation),
-f AS (
-  SELECT r.c_custkey,
-    CASE WHEN COALESCE(gte.TableNameForExclusion, cte.TableNameForExclusion) IS NOT NULL THEN 1 ELSE 0 END AS exclude_table,
-    CASE WHEN COALESCE(gce.ColumnNameForExclusion, cce.ColumnNameForExclusion) IS NOT NULL THEN 1 ELSE 0 END AS exclude_column
-  FROM cr r
-  LEFT JOIN ex gte ON r.source_name = gte.SourceName AND r.table_name = gte.TableNameForExclusion
-    AND gte.ClientName IS NULL AND gte.ColumnNameForExclusion IS NULL
-  LEFT JOIN ex cte ON r.source_name = cte.SourceName AND r.table_name = cte.TableNameForExclusion
-    AND r.client_name = cte.ClientName AND cte.ColumnNameForExclusion IS NULL
-  LEFT JOIN ex gce ON r.source_name = gce.SourceName AND r.table_name = gce.TableNameForExclusion
-    AND trim(r.column_name) = gce.ColumnNameForExclusion AND gce.ClientName IS NULL
-  LEFT JOIN ex cce ON r.source_name = cce.SourceName AND r.table_name = cce.TableNameForExclusion
-    AND trim(r.column_name) = cce.ColumnNameForExclusion AND r.client_name = cce.ClientName)
-SELECT c_custkey, exclude_table FROM f WHERE exclude_column = 0"""
+hits AS (
+  SELECT c_custkey, bool_or(ColumnNameForExclusion IS NULL AND TableNameForExclusion IS NOT NULL) AS whole_table,
+    bool_or(ColumnNameForExclusion = column_name) AS this_column
+  FROM cr LEFT JOIN ex ON source_name = SourceName AND table_name = TableNameForExclusion
+    AND (ClientName = client_name OR ClientName IS NULL)
+  GROUP BY c_custkey)
+SELECT c_custkey, CAST(coalesce(whole_table, false) AS INTEGER) AS exclude_table
+FROM hits WHERE NOT coalesce(this_column, false)"""
 
 Q["allow_list"] = f"""WITH {_COLUMN_ROWS},
 inc AS (
   SELECT 'S' || CAST(n_nationkey % 3 AS VARCHAR) AS SourceName, {SEGMENTS}[(n_nationkey % 5) + 1] AS ClientName,
     'T' || CAST(n_nationkey % 10 AS VARCHAR) AS TableNameForInclusion
   FROM nation),
-pairs AS (SELECT DISTINCT ClientName, SourceName FROM inc)
-SELECT r.c_custkey, CASE WHEN i.TableNameForInclusion IS NULL AND p.SourceName IS NOT NULL THEN 1 ELSE 0 END AS exclude_table
-FROM cr r
-LEFT JOIN inc i ON r.source_name = i.SourceName AND r.client_name = i.ClientName AND r.table_name = i.TableNameForInclusion
-LEFT JOIN pairs p ON r.client_name = p.ClientName AND r.source_name = p.SourceName"""
+listed AS (SELECT SourceName, ClientName, list(TableNameForInclusion) AS tables FROM inc GROUP BY ALL)
+SELECT c_custkey, CAST(NOT list_contains(coalesce(tables, [table_name]), table_name) AS INTEGER) AS exclude_table
+FROM cr LEFT JOIN listed ON source_name = SourceName AND client_name = ClientName"""
 
 # --- ordered text and statements ------------------------------------------------
-_FMT = "('[' || 'col ' || CAST(l_partkey AS VARCHAR) || ']')"
-_ITEM = f"concat({_FMT}, ' AS ', replace({_FMT}, ' ', '_'))"
-_LINE_ORDER = "ORDER BY l_linenumber ASC NULLS FIRST, l_partkey ASC NULLS FIRST, l_suppkey ASC NULLS FIRST"
+_ITEM = "printf('[col %d] AS [col_%d]', l_partkey, l_partkey)"
+_LINE_ORDER = "ORDER BY l_linenumber, l_partkey, l_suppkey"
 
 
-def STATEMENT(lst: str, server: str, db: str, schema_table: str) -> str:
-    """The generated select statement with ``||`` (NULL in, NULL out)."""
-    return " || ".join([E(ctl.SELECT_HEAD), lst, E(ctl.SERVER_PART[0]), server, E(ctl.SERVER_PART[1]),
-                        E(ctl.DATABASE_PART[0]), db, E(ctl.DATABASE_PART[1]), E(ctl.FROM_PART[0]), db,
-                        E(ctl.FROM_PART[1]), schema_table, E(ctl.NOLOCK)])
+def statement(columns: str, server: str, database: str, table: str) -> str:
+    """The generated select statement (NULL if any part is)."""
+    return (rf"E'SELECT \n\t\t' || {columns} || E' \n\t\t, \'' || {server} || E'\' AS [SourceServerName] \n\t\t, \'' || "
+            rf"{database} || E'\' AS [SourceDatabaseName] \n\t FROM [' || {database} || '].' || {table} || ' WITH (NOLOCK)'")
 
 
-Q["ordered_text"] = f"""SELECT l_orderkey, string_agg({_ITEM}, {E(ctl.SELECT_SEP)} {_LINE_ORDER}) AS select_list
+Q["ordered_text"] = rf"""SELECT l_orderkey, string_agg({_ITEM}, E'\n\t\t, ' {_LINE_ORDER}) AS select_list
 FROM lineitem GROUP BY l_orderkey"""
 
-Q["ordered_text_skip_null"] = f"""SELECT l_orderkey,
-  string_agg(CASE WHEN l_returnflag = 'R' THEN {_ITEM} END, {E(ctl.KEY_SELECT_SEP)} {_LINE_ORDER}) AS key_list
+Q["ordered_text_skip_null"] = rf"""SELECT l_orderkey,
+  string_agg({_ITEM}, E'\n        , ' {_LINE_ORDER}) FILTER (l_returnflag = 'R') AS key_list
 FROM lineitem GROUP BY l_orderkey"""
 
-Q["select_text"] = f"""WITH li AS (
-  SELECT *, 'srv' || CAST(l_orderkey % 3 AS VARCHAR) AS server,
-    CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE 'DB' || CAST(l_orderkey % 5 AS VARCHAR) END AS db,
-    '[dbo].[T' || CAST(l_orderkey AS VARCHAR) || ']' AS schema_table
-  FROM lineitem),
-g AS (SELECT l_orderkey, server, db, schema_table, string_agg({_ITEM}, {E(ctl.SELECT_SEP)} {_LINE_ORDER}) AS lst
-      FROM li GROUP BY l_orderkey, server, db, schema_table)
-SELECT l_orderkey, {STATEMENT('lst', 'server', 'db', 'schema_table')} AS source_select_statement FROM g"""
-
-Q["key_text"] = f"""WITH o AS (
-  SELECT o_custkey, o_orderkey,
-    CASE WHEN o_orderpriority = '1-URGENT' THEN 'k ' || CAST(o_orderkey AS VARCHAR) END AS key_name
-  FROM orders),
-o2 AS (
-  SELECT *, CASE WHEN count(key_name) OVER (PARTITION BY o_custkey) = 0 THEN 1 ELSE 0 END AS has_no_pk,
-    CASE WHEN key_name IS NOT NULL
-         THEN concat(concat('[', key_name, ']'), ' AS ', replace(concat('[', key_name, ']'), ' ', '_')) END AS key_item,
-    CASE WHEN key_name IS NOT NULL THEN concat('t.', key_name, ' = s.', key_name) END AS clause,
-    'DB' || CAST(o_custkey % 5 AS VARCHAR) AS db, '[dbo].[C' || CAST(o_custkey AS VARCHAR) || ']' AS schema_table
-  FROM o),
-g AS (
-  SELECT o_custkey, has_no_pk, db, schema_table,
-    string_agg(key_item, {E(ctl.KEY_SELECT_SEP)} ORDER BY o_orderkey ASC NULLS FIRST) AS keys_txt,
-    string_agg(clause, {E(ctl.MERGE_SEP)} ORDER BY o_orderkey ASC NULLS FIRST) AS clauses
-  FROM o2 GROUP BY o_custkey, has_no_pk, db, schema_table)
-SELECT o_custkey, has_no_pk, {STATEMENT('keys_txt', "'srv'", 'db', 'schema_table')} AS source_select_pk_statement,
-  CASE WHEN has_no_pk = 0 THEN concat({E(ctl.MERGE_HEAD)}, clauses, {E(ctl.MERGE_TAIL)}) END AS primary_key_merge_statement,
-  CASE WHEN has_no_pk = 0 THEN 'dbo_C' || CAST(o_custkey AS VARCHAR) || '_PK.parquet' END AS primary_key_file_name
+Q["select_text"] = rf"""WITH g AS (
+  SELECT l_orderkey AS k, string_agg({_ITEM}, E'\n\t\t, ' {_LINE_ORDER}) AS list FROM lineitem GROUP BY l_orderkey)
+SELECT k AS l_orderkey, {statement("list", "'srv' || k % 3", "if(k % 11 = 0, NULL, 'DB' || k % 5)", "'[dbo].[T' || k || ']'")}
+  AS source_select_statement
+FROM g"""
+
+Q["key_text"] = rf"""WITH g AS (
+  SELECT o_custkey AS k,
+    string_agg(printf('[k %d] AS [k_%d]', o_orderkey, o_orderkey), E'\n        , ' ORDER BY o_orderkey)
+      FILTER (o_orderpriority = '1-URGENT') AS keys,
+    string_agg(printf('t.k %d = s.k %d', o_orderkey, o_orderkey), E'\n\t\t\tAND ' ORDER BY o_orderkey)
+      FILTER (o_orderpriority = '1-URGENT') AS clauses
+  FROM orders GROUP BY o_custkey)
+SELECT k AS o_custkey, CAST(keys IS NULL AS INTEGER) AS has_no_pk,
+  {statement("keys", "'srv'", "'DB' || k % 5", "'[dbo].[C' || k || ']'")} AS source_select_pk_statement,
+  E'\n\t\t' || clauses || E'\n\t\t\t' AS primary_key_merge_statement,
+  if(keys IS NULL, NULL, 'dbo_C' || k || '_PK.parquet') AS primary_key_file_name
 FROM g"""
 
 Q["active_delta"] = """WITH li AS (
@@ -493,159 +436,56 @@ SELECT p.p_partkey, COALESCE(li.rows_, 0) AS source_row_count,
 FROM part p LEFT JOIN li ON p.p_partkey = li.l_partkey"""
 
 # --- control table -----------------------------------------------------------------
-
-
-def _keys(k: str) -> str:
-    return (f"CAST({k} % 2 + 1 AS INTEGER) AS database_id, 'srv' || CAST({k} % 2 AS VARCHAR) AS ServerName, "
-            f"'client' || CAST({k} % 3 AS VARCHAR) AS ClientName")
-
-
-_SCHEMA = "(CASE o % 4 WHEN 0 THEN 'dbo' WHEN 1 THEN 'sales' WHEN 2 THEN 'hr' END)"
-
-Q["control_table"] = f"""WITH
-sys_objects AS (
-  SELECT o_orderkey AS object_id, CAST(o_orderkey % 4 AS INTEGER) AS schema_id,
-    'db' || CAST(o_orderkey % 2 + 1 AS VARCHAR) AS DatabaseName,
-    CASE WHEN o_orderstatus = 'P' THEN 'VIEW' ELSE 'USER_TABLE' END AS type_desc, {_keys('o_orderkey')}
-  FROM orders),
-sys_schemas AS (
-  SELECT s.schema_id, s.name, k.database_id, k.ServerName, k.ClientName
-  FROM (SELECT DISTINCT database_id, ServerName, ClientName FROM sys_objects) k
-  CROSS JOIN (VALUES (0, 'dbo'), (1, 'sales'), (2, 'hr')) AS s(schema_id, name)),
-sys_tables AS (
-  SELECT o_orderkey AS object_id, 'T' || CAST(o_orderkey AS VARCHAR) AS name,
-    'db' || CAST(o_orderkey % 2 + 1 AS VARCHAR) AS DatabaseName, {_keys('o_orderkey')} FROM orders),
-cols AS (SELECT DISTINCT l_orderkey AS o, l_linenumber AS n FROM lineitem),
-sys_columns AS (SELECT o AS object_id, n AS column_id, 'col ' || CAST(n AS VARCHAR) AS name, {_keys('o')} FROM cols),
-info_columns AS (
-  SELECT {_SCHEMA} AS TABLE_SCHEMA, 'T' || CAST(o AS VARCHAR) AS TABLE_NAME, 'col ' || CAST(n AS VARCHAR) AS COLUMN_NAME,
-    100 - n AS ORDINAL_POSITION, {_keys('o')}
-  FROM cols WHERE n <= 6),
-sys_partitions AS (
-  SELECT l_orderkey AS object_id, l_linenumber % 3 AS index_id,
-    CASE WHEN l_returnflag = 'N' THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS "rows", {_keys('l_orderkey')}
-  FROM lineitem),
-sys_indexes AS (
-  SELECT o_orderkey AS object_id, i.index_id, i.prefix || CAST(o_orderkey AS VARCHAR) AS name, i.type,
-    CASE i.index_id WHEN 1 THEN (CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END) ELSE 0 END
-      AS is_primary_key,
-    CASE i.index_id WHEN 2 THEN (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) ELSE 0 END AS is_unique_constraint,
-    CASE i.index_id WHEN 1 THEN (CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END)
-                    WHEN 2 THEN (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) ELSE 0 END AS is_unique,
-    'db' || CAST(o_orderkey % 2 + 1 AS VARCHAR) AS DatabaseName, {_keys('o_orderkey')}
-  FROM orders CROSS JOIN (VALUES (0, 'heap_', 0), (1, 'pk_', 1), (2, 'uq_', 2)) AS i(index_id, prefix, type)),
-sys_index_columns AS (
-  SELECT o AS object_id, CASE WHEN n <= 2 THEN 1 ELSE 2 END AS index_id, n AS column_id, {_keys('o')} FROM cols),
-source_db AS (
-  SELECT ClientName, ServerName, DatabaseName, 'SA' || CAST(database_id AS VARCHAR) AS SourceAbbreviation,
-    CASE WHEN database_id = 1 THEN 'ERP' ELSE 'CRM' END AS SourceSystemName, 'lake' AS DataLakeName,
-    'sql' AS SourceDataStructure
-  FROM (SELECT DISTINCT ClientName, ServerName, DatabaseName, database_id FROM sys_objects)),
-delta_columns AS (
-  SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'ERP' ELSE 'CRM' END AS SourceName,
-    CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE 'T' || CAST(n_nationkey AS VARCHAR) END AS TableName,
-    'col ' || CAST(n_nationkey % 7 + 1 AS VARCHAR) AS DeltaColumn,
-    CASE WHEN n_nationkey % 4 = 1 THEN 'client' || CAST(n_nationkey % 3 AS VARCHAR) ELSE NULL END AS ClientName,
-    'db' || CAST(n_nationkey % 2 + 1 AS VARCHAR) AS DatabaseName, 'srv' || CAST(n_nationkey % 2 AS VARCHAR) AS ServerName
-  FROM nation),
-exclusions AS (
-  SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'ERP' ELSE 'CRM' END AS SourceName,
-    'T' || CAST(n_nationkey * 2 + n_nationkey % 2 AS VARCHAR) AS TableNameForExclusion,
-    CASE WHEN n_nationkey % 5 = 0 THEN 'col ' || CAST(n_nationkey % 7 + 1 AS VARCHAR) ELSE NULL END AS ColumnNameForExclusion,
-    CASE WHEN n_nationkey % 3 = 0 THEN 'client' || CAST((n_nationkey * 2 + n_nationkey % 2) % 3 AS VARCHAR) ELSE NULL END
-      AS ClientName
+# Built from the orders themselves: an order that is not 'P' is a user table, its
+# line numbers are its columns. Server, database, client and schema follow from the key.
+Q["control_table"] = rf"""WITH
+sizes AS (
+  SELECT l_orderkey AS k, sum(CAST(l_quantity AS BIGINT)) AS n
+  FROM lineitem WHERE l_returnflag <> 'N' AND l_linenumber % 3 IN (0, 1) GROUP BY l_orderkey),
+excluded AS (SELECT n_nationkey * 2 + n_nationkey % 2 AS k, if(n_nationkey % 5 = 0, n_nationkey % 7 + 1, NULL) AS col FROM nation),
+listed AS (SELECT n_nationkey * 6 + 1 AS k FROM nation WHERE n_nationkey % 4 <> 0),
+tabs AS (
+  SELECT o_orderkey AS k, list_extract(['dbo', 'sales', 'hr'], CAST(o_orderkey % 4 + 1 AS INTEGER)) AS schema_name,
+    if(o_orderkey % 2 = 0, 'ERP', 'CRM') AS system, coalesce(sizes.n, 0) AS size,
+    -- first key column and last key column of the best unique index
+    CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN [1, 2] WHEN o_orderstatus = 'F' THEN [3, 999999] END AS span,
+    o_orderkey IN (SELECT k FROM excluded WHERE col IS NULL)
+      OR (o_orderkey % 6 = 1 AND NOT (o_orderkey % 4 < 3 AND o_orderkey IN (SELECT k FROM listed))) AS hidden
+  FROM orders LEFT JOIN sizes ON sizes.k = o_orderkey WHERE o_orderstatus <> 'P'),
+deltas AS (
+  SELECT n_nationkey AS n, n_nationkey % 7 + 1 AS col, if(n_nationkey % 2 = 0, 'ERP', 'CRM') AS system,
+    n_nationkey % 3 <> 0 AS one_table, n_nationkey % 4 = 1 AS one_client
   FROM nation),
-inclusions AS (
-  SELECT 'CRM' AS SourceName, 'client1' AS ClientName, 'T' || CAST(n_nationkey * 6 + 1 AS VARCHAR) AS TableNameForInclusion,
-    CAST(CASE WHEN n_nationkey % 4 = 0 THEN 9 ELSE (n_nationkey * 6 + 1) % 4 END AS INTEGER) AS SchemaId
-  FROM nation),
-Objects AS (SELECT * FROM sys_objects WHERE type_desc = 'USER_TABLE'),
-Partitions AS (
-  SELECT object_id, database_id, ServerName, ClientName, CAST(sum("rows") AS BIGINT) AS "rows"
-  FROM sys_partitions WHERE index_id < 2
-  GROUP BY object_id, database_id, ServerName, ClientName HAVING sum("rows") <> 0),
-Indexes AS (
-  SELECT *, row_number() OVER (PARTITION BY object_id, DatabaseName, ServerName, ClientName
-    ORDER BY CASE WHEN is_primary_key = 1 THEN 1 WHEN is_unique_constraint = 1 THEN 2 WHEN is_unique = 1 THEN 3 ELSE 4 END,
-             index_id ASC) AS RN
-  FROM sys_indexes WHERE type <> 0 AND is_unique = 1),
-Databases AS (
-  SELECT a.ClientName, a.ServerName, a.DatabaseName, a.SourceAbbreviation, a.SourceSystemName, a.DataLakeName,
-    a.SourceDataStructure, b.database_id
-  FROM source_db a LEFT JOIN sys_objects b
-    ON a.ServerName = b.ServerName AND a.ClientName = b.ClientName AND a.DatabaseName = b.DatabaseName
-  GROUP BY a.ClientName, a.ServerName, b.database_id, a.DatabaseName, a.SourceAbbreviation, a.SourceSystemName,
-    a.DataLakeName, a.SourceDataStructure),
-TableInclusionClientList AS (SELECT DISTINCT ClientName, SourceName FROM inclusions),
-TotalList AS (
-  SELECT d.ClientName AS ClientName, d.DataLakeName, d.SourceDataStructure, d.SourceSystemName,
-    d.DatabaseName AS SourceDatabaseName, d.ServerName AS SourceServerName, o.object_id AS ObjectId,
-    s.name AS SourceSchemaName, '[' || s.name || '].[' || t.name || ']' AS SchemaTable, t.name AS SourceTableName,
-    c.name AS ColumnName, '[' || c.name || ']' AS FormattedColumnName, c.column_id AS ColumnId,
-    icl.ORDINAL_POSITION AS OrdinalPosition,
-    concat(s.name, '_', t.name, '.parquet') AS StagingDataFileName,
-    concat(s.name, '_', t.name, '_PK.parquet') AS PrimaryKeyFileName,
-    CASE WHEN ic.column_id IS NULL THEN NULL ELSE concat('[', c.name, ']') END AS FormattedPKColumn,
-    CASE WHEN ic.column_id IS NULL THEN NULL ELSE concat('t.', c.name, ' = s.', c.name) END AS PKClauseColumns,
-    CASE WHEN count(ic.column_id) OVER (PARTITION BY t.ClientName, t.ServerName, t.DatabaseName, t.name) = 0 THEN 1
-         ELSE 0 END AS HasNoPK,
-    p."rows" AS SourceRowCount,
-    COALESCE(cdc.DeltaColumn, tdc.DeltaColumn, gdc.DeltaColumn) AS DeltaColumn,
-    CASE WHEN COALESCE(gte.TableNameForExclusion, cte.TableNameForExclusion) IS NOT NULL
-           OR (cti.TableNameForInclusion IS NULL AND ticl.SourceName IS NOT NULL) THEN 1 ELSE 0 END AS ExcludeTable,
-    CASE WHEN COALESCE(gce.ColumnNameForExclusion, cce.ColumnNameForExclusion) IS NOT NULL THEN 1 ELSE 0 END AS ExcludeColumn
-  FROM Objects o
-  LEFT JOIN Databases d ON o.database_id = d.database_id AND o.ServerName = d.ServerName AND o.ClientName = d.ClientName
-  LEFT JOIN sys_schemas s ON o.schema_id = s.schema_id AND o.database_id = s.database_id AND o.ServerName = s.ServerName
-    AND o.ClientName = s.ClientName
-  LEFT JOIN sys_columns c ON o.object_id = c.object_id AND o.database_id = c.database_id AND o.ServerName = c.ServerName
-    AND o.ClientName = c.ClientName
-  LEFT JOIN sys_tables t ON o.object_id = t.object_id AND o.database_id = t.database_id AND o.ServerName = t.ServerName
-    AND o.ClientName = t.ClientName
-  LEFT JOIN Partitions p ON o.object_id = p.object_id AND o.database_id = p.database_id AND o.ServerName = p.ServerName
-    AND o.ClientName = p.ClientName
-  LEFT JOIN Indexes i ON o.object_id = i.object_id AND o.database_id = i.database_id AND o.ServerName = i.ServerName
-    AND o.ClientName = i.ClientName AND i.RN = 1
-  LEFT JOIN sys_index_columns ic ON i.object_id = ic.object_id AND i.index_id = ic.index_id AND c.column_id = ic.column_id
-    AND i.database_id = ic.database_id AND i.ServerName = ic.ServerName AND i.ClientName = ic.ClientName
-  LEFT JOIN info_columns icl ON s.name = icl.TABLE_SCHEMA AND t.name = icl.TABLE_NAME AND c.name = icl.COLUMN_NAME
-    AND d.database_id = icl.database_id AND d.ServerName = icl.ServerName AND d.ClientName = icl.ClientName
-  LEFT JOIN delta_columns gdc ON d.SourceSystemName = gdc.SourceName AND trim(c.name) = gdc.DeltaColumn
-    AND gdc.TableName IS NULL AND gdc.ClientName IS NULL
-  LEFT JOIN delta_columns tdc ON d.SourceSystemName = tdc.SourceName AND trim(c.name) = tdc.DeltaColumn
-    AND t.name = tdc.TableName AND tdc.ClientName IS NULL
-  LEFT JOIN delta_columns cdc ON d.SourceSystemName = cdc.SourceName AND trim(c.name) = cdc.DeltaColumn
-    AND t.name = cdc.TableName AND o.ClientName = cdc.ClientName AND o.DatabaseName = cdc.DatabaseName
-    AND o.ServerName = cdc.ServerName
-  LEFT JOIN exclusions gte ON d.SourceSystemName = gte.SourceName AND t.name = gte.TableNameForExclusion
-    AND gte.ClientName IS NULL AND gte.ColumnNameForExclusion IS NULL
-  LEFT JOIN exclusions cte ON d.SourceSystemName = cte.SourceName AND t.name = cte.TableNameForExclusion
-    AND o.ClientName = cte.ClientName AND cte.ColumnNameForExclusion IS NULL
-  LEFT JOIN exclusions gce ON d.SourceSystemName = gce.SourceName AND t.name = gce.TableNameForExclusion
-    AND trim(c.name) = gce.ColumnNameForExclusion AND gce.ClientName IS NULL
-  LEFT JOIN exclusions cce ON d.SourceSystemName = cce.SourceName AND t.name = cce.TableNameForExclusion
-    AND trim(c.name) = cce.ColumnNameForExclusion AND o.ClientName = cce.ClientName
-  LEFT JOIN inclusions cti ON d.SourceSystemName = cti.SourceName AND o.ClientName = cti.ClientName
-    AND t.name = cti.TableNameForInclusion AND s.schema_id = cti.SchemaId
-  LEFT JOIN TableInclusionClientList ticl ON o.ClientName = ticl.ClientName AND d.SourceSystemName = ticl.SourceName)
-SELECT ClientName, DataLakeName, SourceDataStructure, SourceSystemName, SourceServerName, SourceDatabaseName,
-  SourceSchemaName, SourceTableName, CAST(COALESCE(SourceRowCount, 0) AS BIGINT) AS SourceRowCount,
-  {STATEMENT(f"string_agg(concat(FormattedColumnName, ' AS ', replace(FormattedColumnName, ' ', '_')), {E(ctl.SELECT_SEP)} ORDER BY OrdinalPosition ASC NULLS FIRST, ColumnId ASC NULLS FIRST)", 'SourceServerName', 'SourceDatabaseName', 'SchemaTable')} AS SourceSelectStatement,
-  {STATEMENT(f"string_agg(CASE WHEN FormattedPKColumn IS NOT NULL THEN concat(FormattedPKColumn, ' AS ', replace(FormattedPKColumn, ' ', '_')) ELSE NULL END, {E(ctl.KEY_SELECT_SEP)} ORDER BY OrdinalPosition ASC NULLS FIRST, ColumnId ASC NULLS FIRST)", 'SourceServerName', 'SourceDatabaseName', 'SchemaTable')} AS SourceSelectPKStatement,
-  CASE WHEN HasNoPK = 0 THEN concat({E(ctl.MERGE_HEAD)}, string_agg(PKClauseColumns, {E(ctl.MERGE_SEP)} ORDER BY OrdinalPosition ASC NULLS FIRST, ColumnId ASC NULLS FIRST), {E(ctl.MERGE_TAIL)})
-       ELSE NULL END AS PrimaryKeyMergeStatement,
-  StagingDataFileName,
-  CASE WHEN HasNoPK = 0 THEN PrimaryKeyFileName ELSE NULL END AS PrimaryKeyFileName,
-  CASE WHEN ExcludeTable = 1 OR COALESCE(SourceRowCount, 0) = 0 THEN 0 ELSE 1 END AS IsTableConsideredActive,
-  CASE WHEN max(DeltaColumn) IS NULL THEN 0 ELSE 1 END AS IsDelta,
-  CASE WHEN max(DeltaColumn) IS NULL THEN NULL ELSE max(DeltaColumn) END AS DeltaColumn,
-  CAST(NULL AS VARCHAR) AS DeltaValue,
-  100 AS SequenceNumber
-FROM TotalList
-WHERE ExcludeColumn = 0
-GROUP BY ClientName, DataLakeName, SourceDataStructure, SourceSystemName, SourceServerName, SourceDatabaseName,
-  SourceSchemaName, SourceTableName, SourceRowCount, ExcludeTable, StagingDataFileName, PrimaryKeyFileName, HasNoPK,
-  SchemaTable"""
+cols AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS c FROM lineitem),
+col_rows AS (
+  SELECT tabs.*, c, coalesce(c BETWEEN span[1] AND span[2], false) AS is_key,
+    if(c <= 6 AND schema_name IS NOT NULL, 100 - c, NULL) AS place,
+    EXISTS (SELECT 1 FROM deltas WHERE deltas.system = tabs.system AND col = c AND
+            if(one_client, one_table AND n = tabs.k, NOT one_table OR n = tabs.k)) AS is_delta,
+    EXISTS (SELECT 1 FROM excluded WHERE excluded.k = tabs.k AND col = c) AS is_hidden
+  FROM tabs LEFT JOIN cols USING (k)),
+texts AS (
+  SELECT k, schema_name, system, size, hidden,
+    string_agg(printf('[col %d] AS [col_%d]', c, c), E'\n\t\t, ' ORDER BY place NULLS FIRST, c)
+      FILTER (NOT is_hidden AND c IS NOT NULL) AS list,
+    string_agg(printf('[col %d] AS [col_%d]', c, c), E'\n        , ' ORDER BY place NULLS FIRST, c)
+      FILTER (is_key AND NOT is_hidden) AS keys,
+    string_agg(printf('t.col %d = s.col %d', c, c), E'\n\t\t\tAND ' ORDER BY place NULLS FIRST, c)
+      FILTER (is_key AND NOT is_hidden) AS clauses,
+    bool_or(is_key) AS has_key, max('col ' || c) FILTER (is_delta AND NOT is_hidden) AS delta
+  FROM col_rows GROUP BY ALL HAVING bool_or(NOT is_hidden))
+SELECT 'client' || k % 3 AS ClientName, 'lake' AS DataLakeName, 'sql' AS SourceDataStructure,
+  system AS SourceSystemName, 'srv' || k % 2 AS SourceServerName, 'db' || (k % 2 + 1) AS SourceDatabaseName,
+  schema_name AS SourceSchemaName, 'T' || k AS SourceTableName, CAST(size AS BIGINT) AS SourceRowCount,
+  {statement("list", "'srv' || k % 2", "'db' || (k % 2 + 1)", "'[' || schema_name || '].[T' || k || ']'")} AS SourceSelectStatement,
+  {statement("keys", "'srv' || k % 2", "'db' || (k % 2 + 1)", "'[' || schema_name || '].[T' || k || ']'")} AS SourceSelectPKStatement,
+  if(has_key, E'\n\t\t' || coalesce(clauses, '') || E'\n\t\t\t', NULL) AS PrimaryKeyMergeStatement,
+  coalesce(schema_name, '') || '_T' || k || '.parquet' AS StagingDataFileName,
+  if(has_key, coalesce(schema_name, '') || '_T' || k || '_PK.parquet', NULL) AS PrimaryKeyFileName,
+  CAST(size <> 0 AND NOT hidden AS INTEGER) AS IsTableConsideredActive,
+  CAST(delta IS NOT NULL AS INTEGER) AS IsDelta, delta AS DeltaColumn,
+  CAST(NULL AS VARCHAR) AS DeltaValue, 100 AS SequenceNumber
+FROM texts"""
 
 # --- upsert -------------------------------------------------------------------------
 
@@ -677,8 +517,9 @@ s AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS native_transaction_id,
     CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END
       AS native_transaction_line_id,
-    {amount} AS amount, {status} AS status, o_orderpriority AS priority, true AS _src
-  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+    {amount} + (copy - 1) AS amount, {status} AS status, o_orderpriority AS priority, true AS _src
+  FROM orders, range(1, if(o_orderdate >= TIMESTAMP '1999-01-01' AND o_orderkey % 50 = 0, 3, 2)) AS r(copy)
+  WHERE o_orderdate >= TIMESTAMP '1998-01-01')
 SELECT {", ".join(out)}
 FROM t FULL OUTER JOIN s ON t.native_transaction_id = s.native_transaction_id
   AND t.native_transaction_line_id = s.native_transaction_line_id"""
@@ -736,8 +577,11 @@ _ACTIVE = "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_
 
 Q["active_semi"] = f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN ({_ACTIVE})"
 
-Q["details"] = f"""SELECT l_orderkey AS dataset_id, l_linenumber, l_partkey, l_returnflag,
-  CASE WHEN l_returnflag = 'R' THEN l_tax END AS l_tax
-FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN ({_ACTIVE}))"""
+Q["details"] = f"""WITH active AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_custkey IN ({_ACTIVE}))
+SELECT l_orderkey AS dataset_id, l_linenumber, l_partkey, l_returnflag, l_tax
+FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM active)
+UNION ALL SELECT o_orderkey, 0, NULL, o_orderstatus, NULL FROM active"""
+
+Q["keep_nested"] = """SELECT event_id, user_id, event_type, '2024-01-31' AS ETLImportDate FROM events"""
 
 ORACLE = dict(Q)

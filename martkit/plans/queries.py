@@ -16,15 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkit.functions import bracket, concat_blank, hundredths, julian_key, period_id, to_cents
+from martkit.functions import bracket, concat_blank, hundredths, julian_key, left_of_number, period_id, to_cents
 from martkit.operators import (
     allow_list_flag, best_row_per_key, clean_column_names, count_per_key, flatten_structs,
-    group_ordered_text, left_join_distinct, left_lookup, listed_flag, ordered_text_agg, semi_by_keys,
+    group_ordered_text, group_ordered_texts, left_join_distinct, left_lookup, listed_flag, semi_by_keys,
     strict_select,
     sum_nonzero, tiered_lookup, unpivot_columns, upsert, with_literals,
 )
 from martkit.plans import control as ctl
 from martkit.plans import derived, ledger
+from martkit.plans.landing import tidy
 from martkit.sources import (
     assign_day_window, day_windows, details_for, explode_envelope, load,
     pages_until_error, union_pages, window_texts,
@@ -43,13 +44,7 @@ c = F.col
 
 
 class Tables:
-    """Lazy access to the given (read-only) tables of one scale factor.
-
-    A loaded table is kept per session and folder, so building a query
-    does not list the folder and read the footer again.
-    """
-
-    _loaded: dict[tuple, DataFrame] = {}
+    """Lazy access to the given (read-only) tables of one scale factor."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -57,10 +52,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        key = (id(self.spark), self.dir, name)
-        if key not in Tables._loaded:
-            Tables._loaded[key] = load(self.spark, self.dir, name)
-        return Tables._loaded[key]
+        df = self.__dict__[name] = load(self.spark, self.dir, name)
+        return df
 
 
 # --- ledger (B*, P12, F7, J1-J5, J7) -------------------------------------------
@@ -82,24 +75,17 @@ def q_ledger_unpivot(spark, d):
 
 
 def q_year_bound_early(spark, d):
-    return _balances_long(Tables(spark, d), EARLY_YEAR_BOUND)
+    # The early bound on the wide rows next to the original's late one on the period number.
+    long = _balances_long(Tables(spark, d), EARLY_YEAR_BOUND)
+    return long.filter(left_of_number("year_month_id", 4).cast("int") <= EARLY_YEAR_BOUND)
 
 
 def q_ledger_fact(spark, d):
     t = Tables(spark, d)
     i = derived.ledger_inputs({n: getattr(t, n) for n in ["orders", "lineitem", "customer", "nation", "region"]})
-    # Size bounds that hold by construction of the derived inputs, whatever
-    # the row count: profit rows are keyed by (month start, record type,
-    # business unit), so at most 3 types x 25 units per month of the
-    # ship-date span; business units come from nation (25 rows), companies
-    # from region (5), codes from fixed code lists (at most 22 rows), and the
-    # calendar has one row per day of the order-date span.  These are
-    # broadcast without a run-time check; the customer-derived account
-    # master grows with the data and is checked.
     return ledger.ledger_fact(i["account_balances"], i["account_master"], i["business_unit_master"],
                               i["company_constants"], i["dim_date"], i["codes"], i["profit_recognition"],
-                              LEDGER_RUN_TS, profit_join="broadcast",
-                              bounded=("business_unit_master", "company_constants", "codes", "dim_date"))
+                              LEDGER_RUN_TS)
 
 
 def _customer_companies(t: Tables) -> DataFrame:
@@ -108,35 +94,39 @@ def _customer_companies(t: Tables) -> DataFrame:
     fy_key = F.when(c("c_nationkey") % 7 == 3, F.lit(0)).otherwise((c("c_nationkey") % 5 + 1995) * 1000 + 1)
     return cu.select(c("c_custkey").cast("string").alias("company"), c("c_name").alias("name"),
                      (c("c_custkey") % 12 + 1).alias("period_number_current"),
-                     fy_key.alias("date_fiscal_year_begins"), "c_acctbal")
+                     fy_key.alias("date_fiscal_year_begins"))
 
 
 def q_closed_period(spark, d):
     t = Tables(spark, d)
-    # The calendar has one row per day of the order-date span: bounded by construction.
-    return ledger.closed_periods(_customer_companies(t).drop("c_acctbal"), derived.dim_date(t.orders),
-                                 bounded=frozenset({"dim_date"}))
+    return ledger.closed_periods(_customer_companies(t), derived.dim_date(t.orders))
 
 
 def q_closed_flag(spark, d):
     t = Tables(spark, d)
-    # Customers with a negative balance have no company constants: their
-    # closed period is unknown and the flag falls back to 1.
-    comp = _customer_companies(t).filter(c("c_acctbal") >= 0).drop("c_acctbal")
-    closed = ledger.closed_periods(comp, derived.dim_date(t.orders), bounded=frozenset({"dim_date"}))
-    long = _balances_long(t, None)
-    j = left_lookup(long, closed, [("account_id", "company_code")],
-                    {"latest_closed_period_year_month_id": "closedperiod_yearmonthid"})
-    return j.select("account_id", "fiscal_year", "fiscal_month", "ledger_type_code", "year_month_id",
-                    "latest_closed_period_year_month_id",
-                    ledger.closed_flag("year_month_id", "latest_closed_period_year_month_id")
-                    .alias("is_latest_closed_period_flag"))
+    # Every ninth company is known under another code: its accounts find no
+    # closed period and the flag falls back to 1.
+    comp = _customer_companies(t).withColumn(
+        "company", F.when(c("company").cast("int") % 9 == 0, F.concat(F.lit("X"), "company")).otherwise(c("company")))
+    closed = ledger.closed_periods(comp, derived.dim_date(t.orders))
+    # The closed period depends on the account only: looked up on the wide rows.
+    wide = derived.account_balances(t.orders).withColumn("fiscal_year", F.concat("century", "fiscal_year"))
+    wide = left_lookup(wide, closed, [("account_id", "company_code")],
+                       {"latest_closed_period_year_month_id": "closedperiod_yearmonthid"})
+    long = unpivot_columns(wide, ledger.MONTH_COLUMNS,
+                           ["account_id", "fiscal_year", "ledger_types", "latest_closed_period_year_month_id"],
+                           "fiscal_month", "amount_net_posting", divisor=100)
+    long = long.withColumn("year_month_id", period_id(c("fiscal_year"), c("fiscal_month")))
+    return long.select("account_id", "fiscal_year", "fiscal_month", c("ledger_types").alias("ledger_type_code"),
+                       "year_month_id", "latest_closed_period_year_month_id",
+                       ledger.closed_flag("year_month_id", "latest_closed_period_year_month_id")
+                       .alias("is_latest_closed_period_flag"))
 
 
 def q_julian_dates(spark, d):
     t = Tables(spark, d)
-    # One row per day of the order-date span: a bound by construction, so the
-    # orders are never shuffled on the (low-cardinality) date key.
+    # One row per day of the order-date span (366 a year at most), whatever the
+    # number of orders: broadcast, so that the orders stay where they are.
     dd = F.broadcast(derived.dim_date(t.orders))
     o = t.orders.select("o_orderkey", julian_key("o_orderdate").alias("julian_date"))
     j = o.join(dd, "julian_date", "inner")                       # J1
@@ -243,7 +233,9 @@ def q_profit_fanout(spark, d):
         .agg(F.sum(to_cents(c("l_extendedprice"))).alias("rev_c"))
     # Text year/month against integer year/month: cast explicitly.  The join
     # is below the profit key, so one order meets several record types.
-    j = o.join(pr, (c("business_unit_code") == c("bu")) & (c("fiscal_year").cast("int") == c("y"))
+    # At most 25 units x months of the ship-date span x 3 flags, whatever the number of
+    # lines: broadcast, so that the orders are not shuffled on a low-cardinality key.
+    j = o.join(F.broadcast(pr), (c("business_unit_code") == c("bu")) & (c("fiscal_year").cast("int") == c("y"))
                & (c("fiscal_month").cast("int") == c("m")), "left")
     return j.select("o_orderkey", "fiscal_year", "fiscal_month", "business_unit_code", "type_of_record",
                     hundredths("rev_c").alias("actual_revenue"))
@@ -406,24 +398,21 @@ def _line_order():
     return [c("l_linenumber"), c("l_partkey"), c("l_suppkey")]
 
 
-# An order holding more than 1% of all lines is built by the range-split
-# path (its text in ordered chunks on many tasks); all others in one pass.
-HOT_SHARE = 0.01
-
+def _line_chunk():
+    """Bucket along the line order: an order's text is built 64 line numbers at a time."""
+    return F.floor(c("l_linenumber") / 64)
 
 
 def q_ordered_text(spark, d):
     li = Tables(spark, d).lineitem
     item = ctl.select_item(bracket(_line_column_name()))
-    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.SELECT_SEP, "select_list",
-                              hot_share=HOT_SHARE)
+    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.SELECT_SEP, "select_list", _line_chunk())
 
 
 def q_ordered_text_skip_null(spark, d):
     li = Tables(spark, d).lineitem
     item = F.when(c("l_returnflag") == "R", ctl.select_item(bracket(_line_column_name())))
-    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.KEY_SELECT_SEP, "key_list",
-                              hot_share=HOT_SHARE)
+    return group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.KEY_SELECT_SEP, "key_list", _line_chunk())
 
 
 def q_select_text(spark, d):
@@ -432,7 +421,7 @@ def q_select_text(spark, d):
     # Server, database and schema-table all follow from the order key, so the
     # text is grouped by the key alone (same groups, narrower key) and the
     # three are derived afterwards.
-    g = group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.SELECT_SEP, "_list", hot_share=HOT_SHARE)
+    g = group_ordered_text(li, ["l_orderkey"], item, _line_order(), ctl.SELECT_SEP, "_list", _line_chunk())
     k = c("l_orderkey")
     server = F.concat(F.lit("srv"), (k % 3).cast("string"))
     db = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("DB"), (k % 5).cast("string")))
@@ -444,16 +433,16 @@ def q_select_text(spark, d):
 def q_key_text(spark, d):
     o = Tables(spark, d).orders
     key_name = F.when(c("o_orderpriority") == "1-URGENT", F.concat(F.lit("k "), c("o_orderkey").cast("string")))
-    o = o.select("o_custkey", "o_orderkey", key_name.alias("key_name"))
-    o = count_per_key(o, ["o_custkey"], c("key_name"), "_keys")
-    o = o.select("*", F.when(c("_keys") == 0, 1).otherwise(0).alias("has_no_pk"),
-                 F.when(c("key_name").isNotNull(), ctl.select_item(concat_blank("[", c("key_name"), "]"))).alias("_key_item"),
-                 F.when(c("key_name").isNotNull(), concat_blank("t.", c("key_name"), " = s.", c("key_name"))).alias("_clause"))
-    # Database and schema-table follow from the customer key and the flag is
-    # constant per customer: group by (customer, flag), derive the rest after.
-    g = o.groupBy("o_custkey", "has_no_pk").agg(
-        ordered_text_agg("_key_item", ["o_orderkey"], ctl.KEY_SELECT_SEP).alias("_keys_txt"),
-        ordered_text_agg("_clause", ["o_orderkey"], ctl.MERGE_SEP).alias("_clauses"))
+    o = o.withColumn("key_name", key_name)
+    key_item = F.when(c("key_name").isNotNull(), ctl.select_item(concat_blank("[", c("key_name"), "]")))
+    clause = F.when(c("key_name").isNotNull(), concat_blank("t.", c("key_name"), " = s.", c("key_name")))
+    # One pass: both texts and the number of key columns, a million order keys at a time.
+    # Database and schema-table follow from the customer key and are derived after.
+    g = group_ordered_texts(
+        o, ["o_custkey"], {"_keys_txt": (key_item, ctl.KEY_SELECT_SEP), "_clauses": (clause, ctl.MERGE_SEP)},
+        [c("o_orderkey")], F.floor(c("o_orderkey") / 1_000_000),
+        {"_keys": F.when(c("key_name").isNotNull(), 1).otherwise(0)})
+    g = g.withColumn("has_no_pk", F.when(c("_keys") == 0, 1).otherwise(0))
     db = F.concat(F.lit("DB"), (c("o_custkey") % 5).cast("string"))
     schema_table = F.concat(F.lit("[dbo].[C"), c("o_custkey").cast("string"), F.lit("]"))
     return g.select(
@@ -505,6 +494,10 @@ def _upsert_inputs(t: Tables, stamp: bool, only_some_change: bool):
                              .otherwise(c("o_totalprice")))
     else:
         src = src.withColumn("o_totalprice", c("o_totalprice") + 1).withColumn("o_orderstatus", F.lit("U"))
+    # New keys may come with several rows: every one of them is inserted.
+    copies = F.when((c("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")) & (c("o_orderkey") % 50 == 0), 2)
+    src = (src.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce(copies, F.lit(1)))))
+           .withColumn("o_totalprice", c("o_totalprice") + (c("_copy") - 1)))
     source = _sales_lines(src, False)
     # Lines without a line id never match and are inserted on every run.
     null_key = (c("priority") == "5-LOW") & (c("native_transaction_id").cast("bigint") % 10 == 0)
@@ -578,6 +571,14 @@ def q_flatten(spark, d):
     return clean_column_names(flatten_structs(nested))
 
 
+def q_keep_nested(spark, d):
+    # Detail rows keep their nested object; only the names are cleaned and the load date is added.
+    ev = Tables(spark, d).events
+    nested = ev.select("event_id", F.struct("user_id", "event_type").alias("connection.details"))
+    kept = tidy(nested, EVENTS_RUN_TS, flatten=False)
+    return kept.select("event_id", "connection_details.user_id", "connection_details.event_type", "ETLImportDate")
+
+
 def _active_orders(t: Tables) -> DataFrame:
     active = t.customer.filter((c("c_mktsegment") == "BUILDING") & (c("c_acctbal") > 0))
     return semi_by_keys(t.orders, active, [("o_custkey", "c_custkey")])
@@ -589,12 +590,13 @@ def q_active_semi(spark, d):
 
 def q_details(spark, d):
     t = Tables(spark, d)
-    det = details_for(t.lineitem, _active_orders(t), "l_orderkey", "o_orderkey", stamp="dataset_id")
-    det = det.select("dataset_id", "l_linenumber", "l_partkey", "l_returnflag", "l_tax")
-    # Pages of one endpoint may lack keys: the union fills them with NULL.
-    with_tax = det.filter(c("l_returnflag") == "R")
-    without_tax = det.filter(c("l_returnflag") != "R").drop("l_tax")
-    return union_pages([with_tax, without_tax])
+    active = _active_orders(t)
+    lines = details_for(t.lineitem, active, "l_orderkey", "o_orderkey", stamp="dataset_id")
+    lines = lines.select("dataset_id", "l_linenumber", "l_partkey", "l_returnflag", "l_tax")
+    # Pages of another endpoint lack some keys: the union fills them with NULL.
+    heads = active.select(c("o_orderkey").alias("dataset_id"), F.lit(0).alias("l_linenumber"),
+                          c("o_orderstatus").alias("l_returnflag"))
+    return union_pages([lines, heads])
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {

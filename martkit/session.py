@@ -1,23 +1,23 @@
-"""Session helpers.
+"""Session helper.
 
-On a cluster the session is created by the platform; these helpers only
-fill in settings that are unset, so a cluster's own configuration wins.
+On a cluster the session is created by the platform; :func:`build_session`
+only fills in settings that nobody has set, so a cluster's own configuration
+and a running session's settings win.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Settings we want when the caller did not choose otherwise.
+# Settings we want when nobody chose otherwise.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+# The same for settings that only a new session can take.
+_STATIC = {
     "spark.ui.enabled": "false",
     # Call-site capture for error messages costs several JVM round trips per
     # DataFrame call; plans with hundreds of expressions pay seconds for it.
@@ -27,30 +27,25 @@ _DEFAULTS = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "martkit", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with AQE on and the UI off."""
-    b = SparkSession.builder.appName(app)
-    if master:
-        b = b.master(master)
-    conf = dict(_DEFAULTS)
+    """The running session, or a new one (with the UI off), with unset settings filled in.
+
+    ``shuffle_partitions`` and ``extra`` are the caller's own choices and are
+    always applied.
+    """
+    chosen = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    if SparkSession.getActiveSession() is None:
+        builder = builder.config(map=_STATIC)
+    for key, value in chosen.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    given = {row["key"] for row in spark.sql("SET").collect()}
+    for key, value in _DEFAULTS.items():
+        if key not in given:
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and versioned tables.
-
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a fresh scratch folder is made and registered.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="martkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d

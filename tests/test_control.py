@@ -82,3 +82,28 @@ def test_missing_database_name_nulls_statement(spark):
     cat["source_db"] = cat["source_db"].withColumn("DatabaseName", F.lit("other"))
     out = control_statements(**cat).collect()
     assert all(r.SourceSelectStatement is None for r in out)
+
+
+def test_lookup_checks_and_missing_column_names(spark):
+    import pytest
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from martkit.plans import catalog, control
+    from martkit.plans.queries import Tables
+    tables = catalog.catalog_tables(Tables(spark, SF_SMALL))
+    plain = control.control_statements(**tables)
+    checked = control.control_statements(**tables, check_lookups=True)
+    assert checked.count() == plain.count()
+    for name, what in (("delta_columns", "delta columns"), ("exclusions", "exclusions"), ("inclusions", "inclusions"),
+                       ("source_db", "database ids")):
+        twice = tables[name].unionByName(tables[name])
+        if name == "source_db":
+            twice = tables[name].unionByName(tables[name].withColumn("SourceSystemName", F.lit("other")))
+        with pytest.raises((PySparkException, Py4JJavaError), match=f"{what}: repeated key"):
+            control.control_statements(**(tables | {name: twice}), check_lookups=True).collect()
+    # A table without columns keeps its row, with no statement; no text holds an item without a name.
+    none = plain.filter("SourceSelectStatement is null")
+    assert none.count() > 0 and plain.filter("SourceSelectStatement like '% AS  %'").count() == 0

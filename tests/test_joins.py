@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from martkit.operators import (
     allow_list_flag, best_row_per_key, count_per_key, left_join_distinct, left_lookup, listed_flag,
-    semi_by_keys, size_checked_broadcast, sum_nonzero, tiered_lookup,
+    group_ordered_text, require_unique, semi_by_keys, sum_nonzero, tiered_lookup,
 )
 
 
@@ -90,30 +90,35 @@ def test_semi_join_drops_null_keys(spark):
     assert rows(semi_by_keys(df, keys, [("k", "k")])) == [(1,)]
 
 
-def test_size_checked_broadcast(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    j1 = spark.range(100).join(size_checked_broadcast(small, max_rows=10), "id")
-    j2 = spark.range(100).join(size_checked_broadcast(big, max_rows=10), "id")
-    assert "broadcast" in j1._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert "broadcast" not in j2._jdf.queryExecution().optimizedPlan().toString().lower()
+def test_require_unique(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a")], "k int, v string")
+    assert rows(require_unique(df, ["k", "v"], "pairs")) == rows(df)
+    assert require_unique(df.filter("k = 5"), ["k"], "none").count() == 0
+    for twice, key in ((df, "1"), (df.unionByName(df).filter("k is null"), "NULL")):
+        with pytest.raises(PySparkException, match=f"keys: repeated key {key}"):
+            require_unique(twice, ["k"], "keys").collect()
 
 
-def test_ordered_text_hot_group_split_matches(spark):
-    # One key holds most rows; the split plan gives the same text, NULLs skipped, all-NULL -> NULL.
-    from martkit.operators import group_ordered_text
+def test_best_row_descending_text_and_dates(spark):
+    df = spark.sql("select * from values (1, 'a', date'2020-01-01'), (1, 'b', date'2020-01-01'), (1, 'b', null), "
+                   "(2, null, date'2021-01-01') as t(k, s, d)")
+    got = best_row_per_key(df, ["k"], [F.col("s").desc(), F.col("d").asc_nulls_last()], ["s", "d"])
+    assert [tuple(r)[:2] for r in got.orderBy("k").collect()] == [(1, "b"), (2, None)]
+    assert got.filter("k = 1").first().d is not None
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ordered_text_hot_group(spark):
+    # One key holds most rows; its text is built in chunks. NULLs are skipped, a group of only NULLs gives NULL.
     df = spark.range(3000).select(
         F.when(F.col("id") < 2500, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("k"),
         F.col("id"), F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("v"))
     df = df.unionByName(spark.createDataFrame([("nulls", 1, None)], "k string, id long, v string"))
-    a = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t")
-    b = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", split_hot_groups=True, partitions=6)
-    c = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", chunk_by=F.floor(F.col("id") / 100))
-    d = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", hot_share=0.1, partitions=6)
-    assert rows(a) == rows(b) == rows(c) == rows(d)
-    from martkit.operators.aggregates import hot_keys
-    assert [tuple(r) for r in hot_keys(df, ["k"], 0.1).collect()] == [("hot",)]
-    assert hot_keys(df.filter("k <> 'hot'"), ["k"], 0.5) is None
-    got = dict(rows(b))
+    a = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", F.floor(F.col("id") / 100))
+    b = group_ordered_text(df, ["k"], F.col("v"), [F.col("id")], ",", "t", F.lit(0))
+    assert rows(a) == rows(b)
+    got = dict(rows(a))
     assert got["nulls"] is None
     assert got["hot"] == ",".join(str(i) for i in range(2500) if i % 5)

@@ -95,25 +95,31 @@ def test_ledger_fact_fanout_and_year_bound(spark):
     assert [r for r in got if r.year_month_id == 202304][0].is_latest_closed_period_flag == 1
 
 
-def test_ledger_fact_join_strategies_agree(spark):
+def test_ledger_fact_unique_profit(spark):
+    import pytest
+    from pyspark.errors import PySparkException
     amounts = [-10000, 5000, -20000, 8000, -30000, 9000, -15000, 4000]
-    pr_rows = [(2023032, "1", "BU1", *amounts, 0, 0), (2023001, "2", "BU1", *amounts, 0, 0)]
-    ins = _inputs(spark, pr_rows)
-    a = ledger.ledger_fact(*ins, run_ts=dt.datetime(2024, 6, 1), profit_join="broadcast")
-    b = ledger.ledger_fact(*ins, run_ts=dt.datetime(2024, 6, 1), profit_join="shuffle", partitions=3)
-    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    once = [(2023032, "1", "BU1", *amounts, 0, 0), (2023001, "2", "BU1", *amounts, 0, 0)]
+    run = dt.datetime(2024, 6, 1)
+    checked = ledger.ledger_fact(*_inputs(spark, once), run_ts=run, unique_profit=True).collect()
+    free = ledger.ledger_fact(*_inputs(spark, once), run_ts=run).collect()
+    assert sorted(map(tuple, checked), key=str) == sorted(map(tuple, free), key=str)
+    with pytest.raises(PySparkException, match="repeated key 2023032, 1, BU1"):
+        ledger.ledger_fact(*_inputs(spark, [*once, once[0]]), run_ts=run, unique_profit=True).collect()
 
 
-def test_ledger_fact_auto_join_picks_by_size(spark):
-    # "auto" broadcasts the profit side under the bound and co-partitions
-    # (salted) above it; both give the same rows.
+def test_ledger_fact_any_join_gives_the_same_rows(spark):
     amounts = [-10000, 5000, -20000, 8000, -30000, 9000, -15000, 4000]
-    pr_rows = [(2023032, "1", "BU1", *amounts, 0, 0), (2023032, "2", "BU1", *amounts, 0, 0),
-               (2023001, "1", "BU1", *amounts, 0, 0)]
-    ins = _inputs(spark, pr_rows)
+    ins = _inputs(spark, [(2023032, t, "BU1", *amounts, 0, 0) for t in "123"])
     run = dt.datetime(2024, 6, 1)
-    small = ledger.ledger_fact(*ins, run_ts=run, broadcast_rows=1000)
-    large = ledger.ledger_fact(*ins, run_ts=run, broadcast_rows=1, partitions=4, salt_buckets=3)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert "_pr_salt" in large._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, large.collect()), key=str)
+    small = ledger.ledger_fact(*ins, run_ts=run).collect()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    try:
+        large = ledger.ledger_fact(*ins, run_ts=run)
+        assert "Broadcast" not in large._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, small), key=str) == sorted(map(tuple, large.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -36,3 +36,43 @@ def test_best_row_is_an_aggregate_not_a_window(spark):
     # hot key is combined map-side instead of being buffered by a window.
     assert "Window" not in p
     assert "partial_min(struct" in p
+
+
+def jobs_started(spark):
+    return spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_building_a_query_reads_footers_only(spark, name):
+    # spark.read.parquet starts one job per table to read a footer; nothing else may run.
+    tables = 8
+    before = jobs_started(spark)
+    REGISTRY[name](spark, SF_SMALL)
+    assert jobs_started(spark) - before <= tables
+    from martkit.plans.queries import Tables, load
+    before = jobs_started(spark)
+    load(spark, SF_SMALL, "orders")
+    assert jobs_started(spark) - before <= 1
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, -1)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_ledger_fact_reads_each_fact_once(spark):
+    p = plan(REGISTRY["ledger_fact"](spark, SF_SMALL))
+    assert p.count("lineitem.parquet") == 1
+    assert p.count("orders.parquet") <= 4          # balances, and the calendar's span in two lookups
+
+
+def test_control_table_shuffles_columns_once_for_lists_and_once_for_texts(spark, no_broadcast):
+    df = REGISTRY["control_table"](spark, SF_SMALL)
+    p = plan(df)
+    final = p[:p.index("Generate")]                # above the column rows: the lookups by name and the texts
+    assert final.count("Exchange hashpartitioning(g_") == 1

@@ -1,11 +1,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
 from conftest import rows
-from martkit.operators.upsert import read_current, upsert, upsert_table, write_version
+from martkit.operators.upsert import upsert, write_merged
 
 TS = dt.datetime(2024, 2, 1, 12, 0, 0)
 SCHEMA = "id string, line string, amount double, note string"
@@ -52,16 +53,17 @@ def test_upsert_duplicate_source_rows_for_existing_key_fail(spark):
     assert len([r for r in ok.collect() if r.id == "3"]) == 2
 
 
-def test_versioned_table_upsert_twice(spark, tmp_dir):
+def test_write_merged_twice(spark, tmp_dir):
     # Row count = |target keys U source keys|; the NULL-key row is inserted again on each run.
-    base = f"{tmp_dir}/sales"
-    assert write_version(spark, base, target(spark).drop("modified"), TS) == 1
-    assert upsert_table(spark, base, source(spark), ["id", "line"], TS) == 2
-    assert read_current(spark, base).count() == 4
-    assert upsert_table(spark, base, source(spark), ["id", "line"], TS) == 3
-    cur = read_current(spark, base)
+    write_merged(target(spark).drop("modified"), source(spark), ["id", "line"], f"{tmp_dir}/v1")
+    once = spark.read.parquet(f"{tmp_dir}/v1")
+    assert once.count() == 4
+    write_merged(once, source(spark), ["id", "line"], f"{tmp_dir}/v2")
+    cur = spark.read.parquet(f"{tmp_dir}/v2")
     assert cur.count() == 5 and cur.filter("id is null").count() == 2
     assert {r.id: r.amount for r in cur.filter("id is not null").collect()} == {"1": 1.0, "2": 20.0, "3": 3.0}
+    with pytest.raises(PySparkException):                          # an existing path is never replaced
+        write_merged(once, source(spark), ["id", "line"], f"{tmp_dir}/v2")
 
 
 def test_upsert_twice_equals_once_apart_from_stamp(spark):
@@ -74,12 +76,31 @@ def test_upsert_twice_equals_once_apart_from_stamp(spark):
     assert once.count() == twice.count() == 3
 
 
-def test_uncommitted_attempt_is_invisible(spark, tmp_dir):
-    base = f"{tmp_dir}/t"
-    write_version(spark, base, target(spark).drop("modified"), TS)
-    # A job that died after writing data but before committing leaves a folder
-    # that no reader sees.
-    spark.range(3).write.parquet(f"{base}/version=00000002-deadbeef0000")
-    assert read_current(spark, base).count() == 2
-    assert upsert_table(spark, base, source(spark), ["id", "line"], TS) == 2
-    assert read_current(spark, base).count() == 4
+def test_upsert_62_columns(spark):
+    # M1 at the width of a real fact table: 2 keys, 60 values of several types, a stamp.
+    kinds = ["string", "double", "bigint", "date", "boolean", "decimal(18,2)"]
+    values = [F.when(F.col("id") % (i + 2) == 0, None).otherwise((F.col("id") * (i + 1)).cast(
+        k if k not in ("date", "boolean") else "bigint")).alias(f"v{i:02d}") if k not in ("date", "boolean")
+        else ((F.col("id") % 2 == 0) if k == "boolean" else F.date_add(F.lit("2020-01-01").cast("date"),
+                                                                      F.col("id").cast("int"))).alias(f"v{i:02d}")
+        for i, k in enumerate(kinds * 10)]
+    base = spark.range(200).select(F.col("id").cast("string").alias("k1"), (F.col("id") % 7).alias("k2"), *values)
+    old = base.filter("v02 < 300").withColumn("stamp", F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"))
+    new = base.filter("v02 >= 150").withColumn("v01", F.lit(-1.0))
+    assert len(old.columns) == 63
+    out = upsert(old, new, ["k1", "k2"], run_ts=TS, stamp_col="stamp")
+    assert out.columns == old.columns and [f.dataType for f in out.schema] == [f.dataType for f in old.schema]
+    by_key = {r.k1: r for r in out.collect()}
+    old_keys, new_keys = ({r.k1 for r in df.select("k1").collect()} for df in (old, new))
+    assert set(by_key) == old_keys | new_keys and old_keys & new_keys and old_keys ^ new_keys
+    for k, r in by_key.items():
+        assert (r.v01 == -1.0) == (k in new_keys)
+        assert (r.stamp == TS) == (k in old_keys & new_keys) and (r.stamp is None) == (k not in old_keys)
+
+
+def test_upsert_plan_scans_each_side_once(spark):
+    old = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    new = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    plan = upsert(old, new, ["o_orderkey", "o_custkey"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 3                     # target, source, counts of the source
+    assert "Union" not in plan
