@@ -35,12 +35,7 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     names = only or sorted(REGISTRY)
-    # Sized for this scale: shuffles here are a few MB, and the ledger and
-    # control plans expand each shuffled row many times after the shuffle,
-    # so AQE may keep partitions down to 64 KB instead of 1 MB.
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "16g",
-                                 "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"})
+    spark = build_session(f"local[{cpus}]", extra={"spark.driver.memory": "16g"})
     # Warm the JVM (class loading, codegen of scans, joins and aggregates)
     # outside the timings.
     for warm in ("distinct_pairs", "best_row"):

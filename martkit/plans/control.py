@@ -10,14 +10,13 @@ Plan notes: columns, index columns and ordinal positions, the largest
 inputs, are gathered once per table (a table's column count is bounded by its
 database) and meet the table rows there; column rows appear only when these
 lists are opened, and are shuffled once more, for the final texts.  The lookup
-lists are small and Spark broadcasts them by size.  "One best index per table"
-and "has no key column" are aggregates joined back at table grain, not window
-functions.
+lists are small and Spark broadcasts them by size.  "One best index per table" is
+an aggregate; "has no key column" is one flag per table row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.text import bracket, concat_blank, concat_strict, underscore_spaces
@@ -164,26 +163,22 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         F.collect_list(F.struct(c("COLUMN_NAME").alias("column"), c("ORDINAL_POSITION").alias("ordinal")))
         .alias("places"))
 
-    # "No key column" is decided per (client, server, database, table name) of
-    # the catalog table row, across schemas: some column of a user table of that
-    # name belongs to the table's best index.
-    key_tables = (o.select(*by_object).join(best.select("index_id", *by_object), by_object)
-                  .join(indexed, by_object + ["index_id"]).join(listed, by_object)
-                  .filter(F.exists("columns", lambda x: F.array_contains(c("index_columns"), x["column_id"]))))
-    t_keys = ["t_ClientName", "t_ServerName", "t_DatabaseName", "t_name"]
-    key_names = left_lookup(key_tables.select(*by_object), tables, own,
-                            {"t_name": "name", "t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName",
-                             "t_ServerName": "ServerName"})
-    keyed = key_names.select(*t_keys).distinct().withColumn("_keyed", F.lit(1))
-    t = left_lookup(t, keyed, [(c(k), k) for k in t_keys], {"_keyed": "_keyed"}, null_safe=True)
-    t = t.withColumn("HasNoPK", F.when(c("_keyed").isNull(), 1).otherwise(0)).drop(*t_keys[:3], "_keyed")
-
     t = left_lookup(t, listed, own, {"columns": "columns"})
     t = left_lookup(t, indexed, own + [(c("i_index_id"), "index_id")], {"index_columns": "index_columns"})
     t = left_lookup(t, placed, [(c("s_name"), "TABLE_SCHEMA"), (c("t_name"), "TABLE_NAME"),
                                 (c("d_database_id"), "database_id"), (c("d_ServerName"), "ServerName"),
                                 (c("d_ClientName"), "ClientName")], {"places": "places"})
 
+    # "No key column" is decided per (client, server, database, table name) of
+    # the catalog table row, across schemas: some column of a table of that name
+    # belongs to its best index. The window runs over table rows (one flag each);
+    # only objects without a catalog table row share a group, that of NULL names.
+    own_key = F.coalesce(F.exists("columns", lambda x: F.array_contains(c("index_columns"), x["column_id"])),
+                         F.lit(False))
+    same_name = Window.partitionBy("t_ClientName", "t_ServerName", "t_DatabaseName", "t_name")
+    t = t.withColumn("HasNoPK", F.when(F.max(own_key).over(same_name), 0).otherwise(1))
+    t = t.drop("t_ClientName", "t_ServerName", "t_DatabaseName")
+
     # Column grain: one row per column, per entry it has in the best index and
     # per position listed for its name (none of them: one row with NULL).
     lists = ["columns", "index_columns", "places"]
