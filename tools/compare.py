@@ -20,8 +20,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def norm(v):
-    if v is None or (isinstance(v, float) and v != v):
+    if v is None:
         return "NULL"
+    if isinstance(v, float) and v != v:
+        return "NaN"
     if isinstance(v, pd.Timestamp):
         v = v.to_pydatetime()
     if hasattr(v, "isoformat"):

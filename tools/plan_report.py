@@ -29,8 +29,9 @@ def main():
     lines = ["# Physical plans", "",
              f"Generated by `tools/plan_report.py` from `{sf}` (plans before adaptive re-planning; broadcast",
              "choices here come from file-size estimates, and AQE may change them at run time).",
-             "Counts are operator occurrences. No plan contains a window, a cartesian product, a nested-loop",
-             "join or a Python evaluation node (also asserted in `tests/test_plans.py`).", "",
+             "Counts are operator occurrences. No plan contains a cartesian product, a nested-loop join or a",
+             "Python evaluation node (also asserted in `tests/test_plans.py`); the one window (control table)",
+             "runs over one flag per table.", "",
              "| query | operators | scans: pushed filters |", "| --- | --- | --- |"]
     for name in sorted(REGISTRY):
         plan = REGISTRY[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
