@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import fresh
+from martkit.llm.common import fresh, stored
 
 MIN_CHARS = 256
 MAX_CHARS = 8192
@@ -64,8 +64,9 @@ def recipes(docs: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of ``docs``."""
     verify(chunk_store(docs))
-    listed = recipes(docs)
-    groups = listed.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    listed = stored(recipes(docs))
+    # stored too: a join of two stored tables can be split where a recipe is hot
+    groups = stored(listed.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     return listed.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
@@ -74,9 +75,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one for each text."""
     own, sha = fresh(docs, "kept_id"), fresh(docs, "kept_sha")
-    stay = (exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(sha))
+    # a struct, so that a missing id equals a missing id
+    mine = {own: F.struct(F.col("doc_id")), sha: F.sha2(F.coalesce("text", F.lit("")), 256)}
+    stay = (exact_duplicates(docs).filter("kept").select(F.struct("doc_id").alias(own), F.col("text_sha256").alias(sha))
             .distinct())
-    marked = docs.withColumn(fresh(docs, "own_sha"), F.sha2(F.coalesce("text", F.lit("")), 256))
-    mine = fresh(docs, "own_sha")
-    joined = marked.join(stay, marked["doc_id"].eqNullSafe(stay[own]) & (marked[mine] == stay[sha]))
-    return joined.dropDuplicates([own, sha]).select(*[docs[c] for c in docs.columns])
+    # the rows are already dealt by the two columns on which repeated rows are dropped
+    return docs.withColumns(mine).join(stay, [own, sha]).dropDuplicates([own, sha]).select(*docs.columns)
