@@ -271,9 +271,9 @@ def counted_extents(contexts: DataFrame, length: int = LENGTH, gram: int = GRAM)
             yield pd.DataFrame(rows, columns=["gram", "context", "before", "string"]).astype(
                 {"gram": "int64", "context": "int64", "before": "int32", "string": "int64"})
 
-    spread = (contexts.dropDuplicates(["gram", "context"])
-              .mapInPandas(strings, "gram long, context long, before int, string long"))
-    twice = spread.groupBy("gram", "before", "string").count().filter("count > 1").drop("count")
+    spread = stored(contexts.dropDuplicates(["gram", "context"])
+                    .mapInPandas(strings, "gram long, context long, before int, string long"))
+    twice = stored(spread.groupBy("gram", "before", "string").count().filter("count > 1").drop("count"))
     return (spread.join(twice, ["gram", "before", "string"], "left_semi").groupBy("gram", "context")
             .agg(F.max("before").alias("before"), (F.lit(length) - F.min("before")).cast("int").alias("behind")))
 
@@ -282,12 +282,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
             max_contexts: int = MAX_CONTEXTS) -> DataFrame:
     """(k1, k2, spans): for each text with repeats, the sorted spans (from, until) that go."""
     found = stored(anchor_rows(docs, length, gram))
-    again = found.groupBy("gram").agg(F.count("*").alias("uses")).filter("uses > 1").select("gram")
+    # counted sides are stored: a join of two stored tables can be split where a gram is hot
+    again = stored(found.groupBy("gram").agg(F.count("*").alias("uses")).filter("uses > 1").select("gram"))
     kept = stored(found.join(again, "gram", "left_semi"))
     contexts = stored(kept.groupBy("gram", "context").agg(
         F.count("*").alias("uses"),
         F.min(F.struct("k1", "k2", "place", "before", "behind", "doc_id")).alias("one")))
-    grams = contexts.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    grams = stored(contexts.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
     shared = contexts.join(grams, "gram").select("gram", "context", "kinds", "one.*")
     parts = []
     for wide in (False, True):
@@ -301,7 +302,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     extent = parts[0]
     for part in parts[1:]:
         extent = extent.union(part)
-    extent = extent.groupBy("gram", "context").agg(F.max("before").alias("back"), F.max("behind").alias("on"))
+    extent = stored(extent.groupBy("gram", "context").agg(F.max("before").alias("back"), F.max("behind").alias("on")))
     spans = kept.join(extent, ["gram", "context"]).select(
         "k1", "k2", F.struct((F.col("place") - F.col("back")).alias("from"),
                              (F.col("place") + F.col("on")).alias("until")).alias("span"))
