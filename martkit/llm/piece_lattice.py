@@ -36,8 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martkit.llm.common import stored
+
 MARK = "▁"
 PART_BYTES = 48 << 20
+WORDS_PER_TASK = 20_000
 UNKNOWN_PENALTY = 10.0
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -116,8 +119,9 @@ def best_paths(edges: DataFrame, pieces: Pieces) -> DataFrame:
 
 def _pack(columns: dict[str, pa.Array]) -> bytes:
     batch = pa.RecordBatch.from_pydict(columns)
+    codec = pa.Codec("zstd", compression_level=6)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -134,7 +138,7 @@ def _distinct_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen.setdefault(part, set()).update(words_of(text))
     for part, words in seen.items():
         if words:
-            yield pd.DataFrame({"word": sorted(words)}).assign(part=np.int64(part))
+            yield pd.DataFrame({"word": sorted(words)}).assign(part=np.int32(part))
 
 
 def _packed_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,11 +162,14 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + total // part_bytes
     dealt = docs.select("doc_id", "text",
-                        F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(parts)).alias("part"))
-    words = (dealt.select("part", "text").mapInPandas(_distinct_words, "word string, part long")
-             .groupBy("word").agg(F.collect_set("part").alias("parts")))
-    solved = words.join(best_paths(lattice(words.select("word"), pieces), pieces), "word")
-    known = solved.mapInPandas(_packed_words, "part long, blob binary")
+                        F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(parts)).cast("int")
+                        .alias("part"))
+    words = stored(dealt.select("part", "text").mapInPandas(_distinct_words, "word string, part int")
+                   .groupBy("word").agg(F.collect_set("part").alias("parts")))
+    # edges are some twenty times as many as words: small partitions, so that they are sorted in memory
+    spread = words.repartition(1 + words.count() // WORDS_PER_TASK, "word")
+    solved = spread.join(best_paths(lattice(spread.select("word"), pieces), pieces), "word")
+    known = solved.mapInPandas(_packed_words, "part int, blob binary")
 
     def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,9 +177,9 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
             numbers = np.unique(part).tolist()
             blobs = [_pack({c: batch.column(c).filter(pa.array(part == p)) for c in ("doc_id", "text")})
                      for p in numbers]
-            yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
-    texts = dealt.mapInArrow(packed_texts, "part long, blob binary")
+    texts = dealt.mapInArrow(packed_texts, "part int, blob binary")
 
     def assemble(texts: pa.Table, known: pa.Table) -> pa.Table:
         ids: dict[str, bytes] = {}
