@@ -41,6 +41,7 @@ from martkit.llm.common import stored
 MARK = "▁"
 PART_BYTES = 48 << 20
 WORDS_PER_TASK = 20_000
+WORDS_HELD = 300_000
 UNKNOWN_PENALTY = 10.0
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -132,13 +133,26 @@ def _unpack(blobs: list[bytes]) -> Iterator[pa.Table]:
 
 
 def _distinct_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (word, part), each once for every ``WORDS_HELD`` words seen."""
     seen: dict[int, set[str]] = {}
+    held = 0
+
+    def rows() -> Iterator[pd.DataFrame]:
+        for part, words in seen.items():
+            if words:
+                yield pd.DataFrame({"word": sorted(words)}).assign(part=np.int32(part))
+        seen.clear()
+
     for batch in batches:
         for part, text in zip(batch["part"], batch["text"], strict=True):
-            seen.setdefault(part, set()).update(words_of(text))
-    for part, words in seen.items():
-        if words:
-            yield pd.DataFrame({"word": sorted(words)}).assign(part=np.int32(part))
+            words = seen.setdefault(part, set())
+            held -= len(words)
+            words.update(words_of(text))
+            held += len(words)
+            if held > WORDS_HELD:
+                yield from rows()
+                held = 0
+    yield from rows()
 
 
 def _packed_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
