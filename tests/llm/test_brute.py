@@ -370,6 +370,17 @@ def test_secret_features(spark):
     assert rows["//h/abcdefghijklmnopqrst"]["in_address"] == 1
 
 
+def test_sample_takes_copies_once(spark):
+    texts = [f"run abcdefghijklmnopq{x}{y} on" for x in "abcdefgh" for y in "abcdefgh"]
+    docs = spark.createDataFrame([(i, texts[0], f"p{i}/a") for i in range(500)]
+                                 + [(1000 + i, t, "p/a") for i, t in enumerate(texts[1:])],
+                                 "doc_id long, text string, source string")
+    words = spark.createDataFrame([("run",)], "word string")
+    found = secret_forest.features(secret_forest.candidates(docs), words)
+    sample = secret_forest.labelled_sample(found, secret_forest.label_rule(), 64)
+    assert sorted(r["candidate"] for r in sample.collect()) == sorted(t[4:-3] for t in texts)
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, 'é a = "0123456789abcdef0123456789" tail', 9), (2, None, None)],
                                  "doc_id long, text string, n_chars int")
