@@ -33,12 +33,19 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest id."""
-    found = simhash_gray.near_duplicates(docs)
-    own = fresh(docs, "own_id")
-    # rows without an id cannot be named by a component: they stay
-    drop = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(own)).distinct()
-    return docs.join(drop, docs["doc_id"] == drop[own], "left_anti")
+    """One document of each SimHash component, the one with the smallest id; those without an id come last.
+
+    A document is named by its id and its text's hash, as an id can be missing or stand for several texts.
+    Repeated rows share their name; the exact stage leaves none.
+    """
+    own, row = fresh(docs, "own_id"), fresh(docs, "own_row")
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                    F.xxhash64("text").alias("text_key"))
+    found = simhash_gray.near_duplicates(docs.select(name.alias("doc_id"), "text"))
+    drop = (found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias(own)).distinct())
+    # structs, so that a missing id equals a missing id; the text hash in them spreads rows without one
+    return docs.withColumn(row, name).join(drop, F.col(row) == F.col(own), "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,6 +104,20 @@ def test_warc(spark):
     assert warc_derivatives.derivatives(broken, "k").count() == 0
 
 
+def test_near_stage_names_rows_by_id_and_text(spark):
+    words = [f"w{i}" for i in range(400)]
+    def text(first, end=""):
+        return " ".join(words[first:first + 40]) + end
+    rows = [(None, text(0)), (None, text(0).upper()), (None, text(0).title()),    # near copies without an id
+            (1, text(50)), (2, text(50).upper()), (2, text(100)),                 # id 2: a near copy and a clean text
+            (3, text(150)), (3, text(150).upper()),                               # near copies with one id
+            (4, text(200)), (None, text(200).upper())]                            # an id goes before none
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"].lower()) for r in kept) == [
+        (0, text(0)), (1, text(50)), (2, text(100)), (3, text(150)), (4, text(200))]
+
+
 def test_pipeline_stages(spark, odd, empty):
     for docs in (odd, empty):
         for name, stage in corpus_pipeline.STAGES[:-1]:
