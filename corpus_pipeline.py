@@ -15,15 +15,23 @@ from martkit.llm import chunk_recipes, language_id, packing, secret_forest, simh
 from martkit.llm.common import ensure_checkpoint_dir, fresh
 from martkit.llm.queries import TOKENIZER
 
-#: A document goes if its language is undetermined or its pooled probability is below this.
-MIN_SCORE = 0.3
+#: A document goes if its language is undetermined or its pooled probability is below this. With more than
+#: ``CLASSES`` languages the bound falls, so that it stays the same multiple of an even guess.
+MIN_SCORE, CLASSES = 0.3, 4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found; the network learns from the rows that are not held out."""
+    """Documents whose language is found; the network learns from the rows that are not held out.
+
+    Without a labelled row nothing can be learned, and all documents stay.
+    """
+    model = language_id.fit(docs)
+    if not model.langs:
+        return docs
     verdict = fresh(docs, "verdict")
-    marked = docs.withColumn(verdict, language_id.predict_column(language_id.fit(docs), F.col("text")))
-    keep = (F.col(verdict)["lang"] != language_id.UNDETERMINED) & (F.col(verdict)["score"] >= MIN_SCORE)
+    marked = docs.withColumn(verdict, language_id.predict_column(model, F.col("text")))
+    least = min(MIN_SCORE, MIN_SCORE * CLASSES / len(model.langs))
+    keep = (F.col(verdict)["lang"] != language_id.UNDETERMINED) & (F.col(verdict)["score"] >= least)
     return marked.filter(keep).select(*docs.columns)
 
 

@@ -32,7 +32,6 @@ WINDOW = 64
 HIDDEN = 6
 PASSAGE_CHARS = 256
 PER_LANG = 400
-MAX_LANGS = 64
 UNDETERMINED = "und"
 #: Windows that run as one matrix product.
 BLOCK = 1024
@@ -255,18 +254,17 @@ def predict_column(model: Model, text: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[str, str]]:
-    """At most ``per_lang`` passages for each of the ``MAX_LANGS`` most frequent languages of ``docs``.
+    """At most ``per_lang`` passages for each language of ``docs``.
 
     ``docs`` has doc_id, text and lang. The choice and the place of the passage
     follow from the id alone, so that a rerun trains the same model.
     """
     known = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
-    langs = [r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
     draw = F.xxhash64(F.col("doc_id").cast("string"))
     spare = F.greatest(F.length("text") - F.lit(PASSAGE_CHARS), F.lit(0)) + F.lit(1)
     passage = F.substring("text", (F.pmod(draw, spare) + F.lit(1)).cast("int"), F.lit(PASSAGE_CHARS))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "passage"))
-    rows = (known.filter(F.col("lang").isin(langs)).select("lang", draw.alias("draw"), passage.alias("passage"))
+    rows = (known.select("lang", draw.alias("draw"), passage.alias("passage"))
             .withColumn("rank", rank).filter(F.col("rank") <= per_lang))
     return [(r["lang"], r["passage"]) for r in rows.collect()]
 

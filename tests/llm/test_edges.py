@@ -1,4 +1,7 @@
 """Every operator on odd rows and on an empty table."""
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from martkit.llm import (
     chunk_recipes, language_id, packing, piece_lattice, quality_trees, ring_shards, secret_forest, simhash_gray,
@@ -104,6 +107,19 @@ def test_warc(spark):
     assert warc_derivatives.derivatives(broken, "k").count() == 0
 
 
+def test_languages_beyond_64_and_none(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text number {i}", f"l{i % 70:02}") for i in range(210)],
+                                 "doc_id long, text string, lang string")
+    assert len({lang for lang, _ in language_id.training_rows(docs)}) == 70
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language(spark, unlabelled, "").count() == 210
+    even = language_id.Model([f"l{i:02}" for i in range(70)], *[np.zeros(s, dtype=np.float32) for s in (
+        (2, 18, 256), (2, 18, 6), (2, 18, 1), (70, 12), (70, 1))])
+    even.bo[3] = 1.0                                        # 3 of 72: above twice an even guess
+    monkeypatch.setattr(language_id, "fit", lambda docs: even)
+    assert corpus_pipeline.language(spark, docs, "").count() == 210
+
+
 def test_near_stage_names_rows_by_id_and_text(spark):
     words = [f"w{i}" for i in range(400)]
     def text(first, end=""):
