@@ -185,3 +185,95 @@ def test_from_json_col_and_stamp(spark):
     got = [r.k for r in df.select(from_json_col("props", "k int").getField("k").alias("k")).collect()]
     assert got == [5, None, None]
     assert stamp_load_date(df, RUN).first().ETLImportDate == "2024-01-31"
+
+
+def cut_page(path, text='{"value": [{"id": "lost"}'):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_bad_pages_are_reported_and_listed(spark, tmp_dir):
+    landed, out = f"{tmp_dir}/landed", f"{tmp_dir}/out"
+    put(f"{landed}/groups/1.json", {"value": [{"id": "w1", "state": "Active", "type": "Workspace"}]})
+    cut_page(f"{landed}/groups/2.json")
+    cut_page(f"{landed}/groups/3.json", "")
+    put(f"{landed}/groups/4.json", {"error": "forbidden"})
+    for schema in (None, T.StructType.fromDDL("value array<struct<id: string, state: string, type: string>>")):
+        done = landing.land_pages(spark, f"{landed}/groups", f"{out}/GetGroups", RUN, schema)
+        assert (done.rows, done.pages, done.rejected_pages) == (1, 4, 3) and done.status.startswith("partial: 3 of 4 pages rejected")
+        assert [os.path.basename(x.split(" ")[0]) for x in done.rejected] == ["2.json", "3.json", "4.json"]
+        why = {os.path.basename(r.page_file): r.reason for r in spark.read.parquet(f"{out}/GetGroups_rejected").collect()}
+        assert why == {"2.json": "not JSON", "3.json": "empty file", "4.json": "no 'value' list"}
+        assert [r.id for r in spark.read.parquet(f"{out}/GetGroups").collect()] == ["w1"]
+    put(f"{landed}/datasets/1.json", {"value": [{"id": "d1", "workspaceId": "w1"}]})
+    cut_page(f"{landed}/datasources/d1.json")
+    cut_page(f"{landed}/datasources/d2.json")                                     # not an active dataset
+    status = landing.land_all(spark, landed, out, RUN, endpoints=("groups", "datasets"))
+    assert status["groups"].startswith("partial: ") and "2.json" in status["groups"]
+    assert status["datasets"] == "written" and status["datasources"].startswith("failed: 1 of 1 pages rejected")
+    again = landing.land_pages(spark, f"{landed}/none", f"{out}/x", RUN) if os.path.exists(f"{landed}/none") else None
+    assert again is None
+
+
+def test_a_failed_or_empty_run_keeps_what_was_landed(spark, tmp_dir):
+    put(f"{tmp_dir}/l/a/1.json", {"value": [{"id": "a"}]})
+    put(f"{tmp_dir}/l/b/1.json", {"value": []})
+    assert landing.land_pages(spark, f"{tmp_dir}/l/a", f"{tmp_dir}/o", RUN).status == "written"
+    assert landing.land_pages(spark, f"{tmp_dir}/l/b", f"{tmp_dir}/o", RUN).status == "empty"
+    assert [r.id for r in spark.read.parquet(f"{tmp_dir}/o").collect()] == ["a"]
+    assert sorted(os.listdir(tmp_dir)) == ["l", "o"]                              # nothing staged is left
+
+
+def test_types_do_not_depend_on_the_day(spark, tmp_dir):
+    put(f"{tmp_dir}/a/1.json", {"value": [{"id": 5, "size": 1, "owner": {"name": "x", "no": 1}, "tags": [1, 2], "none": None}]})
+    put(f"{tmp_dir}/a/2.json", {"value": [{"id": "five", "size": 2.5, "owner": {"name": True}, "mixed": {"a": 1}}, {"mixed": "m"}]})
+    put(f"{tmp_dir}/b/1.json", {"value": [{"id": "6", "size": "big", "owner": {"name": "y"}, "tags": "none"}]})
+    for day in "ab":
+        assert landing.land_pages(spark, f"{tmp_dir}/{day}", f"{tmp_dir}/o/{day}", RUN).status == "written"
+    kinds = [{f.name: f.dataType.simpleString() for f in spark.read.parquet(f"{tmp_dir}/o/{day}").schema} for day in "ab"]
+    assert set(kinds[0].values()) == set(kinds[1].values()) == {"string"}
+    got = {r.id: r for r in spark.read.parquet(f"{tmp_dir}/o/a").collect()}
+    assert (got["5"].owner_name, got["5"].owner_no, got["5"].tags, got["5"].none) == ("x", "1", "[1,2]", None)
+    assert (got["five"].owner_name, got["five"].size, got["five"].mixed, got[None].mixed) == ("true", "2.5", '{"a":1}', "m")
+    schema = T.StructType.fromDDL("value array<struct<id: int, size: double, owner: struct<name: string>>>")
+    done = landing.land_pages(spark, f"{tmp_dir}/a", f"{tmp_dir}/o/typed", RUN, schema)
+    assert done.status == "partial: 1 values did not fit their type"
+    assert sorted((r.id or 0, r.size or 0.0) for r in spark.read.parquet(f"{tmp_dir}/o/typed").collect()) == [
+        (0, 0.0), (0, 2.5), (5, 1.0)]
+
+
+def test_details_by_file_name_equal_details_by_folder(spark, tmp_dir):
+    for i in ("007", "b-1", "gone"):
+        rows_ = {"value": [{"datasourceType": "Sql", "connectionDetails": {"server": i}}]}
+        put(f"{tmp_dir}/folders/dataset_id={i}/1.json", rows_)
+        put(f"{tmp_dir}/files/{i}.json", rows_)
+    active = spark.createDataFrame([("007",), ("b-1",)], "id string")
+    for kind in ("folders", "files"):
+        assert landing.land_details(spark, f"{tmp_dir}/{kind}", active, f"{tmp_dir}/{kind}_out", RUN)
+    a, b = (spark.read.parquet(f"{tmp_dir}/{kind}_out") for kind in ("folders", "files"))
+    assert rows(a) == rows(b) and sorted(r.dataset_id for r in a.collect()) == ["007", "b-1"]
+    assert {r.connectionDetails.server for r in a.collect()} == {"007", "b-1"}
+
+
+def test_activity_bad_pages_and_day_audit(spark, tmp_dir):
+    landed, out = f"{tmp_dir}/landed", f"{tmp_dir}/out"
+    put_day(landed, "20240130", [200, 200], "a")
+    put_day(landed, "20240129", [200, 200, 200], "b")
+    cut_page(f"{landed}/load_day=20240129/p2.json")                               # cut off in the middle of the chain
+    cut_page(f"{landed}/load_day=20240128/p1.json")                               # nothing else of that day
+    assert landing.land_activity(spark, landed, out) == {"complete": True, "incomplete": True}
+    bad = spark.read.parquet(f"{out}_rejected").collect()
+    assert sorted(r.page_file[-29:] for r in bad) == ["/load_day=20240128/p1.json"[-29:], "/load_day=20240129/p2.json"[-29:]] or len(bad) == 2
+    assert [r.Id for r in spark.read.parquet(f"{out}_incomplete").collect()] == ["b-1"]
+    audit = landing.audit_days(day_windows(spark, RUN, 5), spark.read.parquet(f"{out}_days"))
+    assert rows(audit, "load_day", "status") == [
+        ("20240126", "absent"), ("20240127", "absent"), ("20240128", "incomplete"), ("20240129", "incomplete"),
+        ("20240130", "complete")]
+    again = f"{tmp_dir}/again"
+    put_day(again, "20240129", [200], "c")
+    put_day(again, "20240130", [500], "d")                                        # a worse pull changes nothing
+    landing.land_activity(spark, again, out)
+    audit = landing.audit_days(day_windows(spark, RUN, 2), spark.read.parquet(f"{out}_days"))
+    assert rows(audit, "load_day", "status") == [("20240129", "complete"), ("20240130", "complete")]
+    assert not [f for f in os.listdir(tmp_dir) if "staged" in f]
