@@ -7,8 +7,9 @@ A document's normaliser m depends on its length alone, so all documents of a str
 the query's terms, repeats included, of weight(term) * impact(tf, m).
 
 1. Tasks count the terms of whole texts; N, L and then every m follow.
-2. Spark sorts the documents by m. Documents of one stratum, at most ``BLOCK_DOCS`` or
-   ``BLOCK_POSTINGS`` at a time, become a block: one row with the block's sorted terms
+2. Spark deals the documents out by stratum; a stratum with many documents or postings is dealt
+   in several parts. At most ``BLOCK_DOCS`` documents or ``BLOCK_POSTINGS`` postings of one
+   stratum (a longer document comes alone) become a block: one row with the block's sorted terms
    and its postings, ordered by term and by tf within the term. Impacts are computed once
    per tf. Every row is indexed; the index does not depend on any query.
 3. Queries come in bounded groups of whole items. Each block tells, for each term of the
@@ -39,8 +40,10 @@ from pyspark.sql import functions as F
 from martkit.llm.common import stored, utf8_bytes
 
 TOP = 20
-BLOCK_DOCS, BLOCK_POSTINGS = 4096, 2_000_000
+BLOCK_DOCS, BLOCK_POSTINGS = 4096, 400_000
 FIRST_VISITS = 8
+#: Terms that a counting task holds before it hands them on.
+TERMS_HELD = 200_000
 #: UTF-8 bytes of the terms of the items that are searched at a time (a longer item comes alone).
 QUERY_BYTES = 4 << 20
 
@@ -74,22 +77,25 @@ def term_counts(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
         for batch in batches:
-            n, sizes, terms, tfs = [], [0], [], []
-            for data in batch.column("data").to_pylist():
-                every = terms_of(data)
+            first, n, sizes, terms, tfs = 0, [], [0], [], []
+            for row in range(batch.num_rows):
+                every = terms_of(batch.column("data")[row].as_py())
                 found = Counter(every)
                 n.append(len(every))
                 terms += found
                 tfs += found.values()
                 sizes.append(len(terms))
-            ends = pa.array(sizes, pa.int32())
-            rows = np.arange(before, before + batch.num_rows, dtype=np.int64)
-            before += batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()),
-                 pa.ListArray.from_arrays(ends, pa.array(terms, pa.binary())),
-                 pa.ListArray.from_arrays(ends, pa.array(tfs, pa.int32())), pa.array(rows * 0x9E3779B1 % (1 << 31))],
-                names=["doc_id", "n", "terms", "tfs", "spread"])
+                if len(terms) < TERMS_HELD and row + 1 < batch.num_rows:
+                    continue
+                ends = pa.array(sizes, pa.int32())
+                rows = np.arange(before, before + len(n), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(first, len(n)), pa.array(n, pa.int64()),
+                     pa.ListArray.from_arrays(ends, pa.array(terms, pa.binary())),
+                     pa.ListArray.from_arrays(ends, pa.array(tfs, pa.int32())), pa.array(rows * 0x9E3779B1 % (1 << 31))],
+                    names=["doc_id", "n", "terms", "tfs", "spread"])
+                before += len(n)
+                first, n, sizes, terms, tfs = row + 1, [], [0], [], []
 
     return texts.mapInArrow(count, f"doc_id {kind}, n long, terms array<binary>, tfs array<int>, spread long")
 
@@ -154,8 +160,11 @@ def build_index(counts: DataFrame) -> DataFrame:
             docs_held += batch.num_rows - first
         yield from out()
 
-    spread = counts.filter("n > 0").select("doc_id", "terms", "tfs", "spread", m.alias("m"))
-    return (spread.repartitionByRange("m", "spread").sortWithinPartitions("m", "spread")
+    placed = counts.filter("n > 0").select("doc_id", "terms", "tfs", "spread", m.alias("m"))
+    parts = placed.groupBy("m").agg(F.count("*").alias("docs"), F.sum(F.size("terms")).alias("postings")).select(
+        "m", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("postings") / BLOCK_POSTINGS)).alias("parts"))
+    dealt = placed.join(parts, "m").select("doc_id", "terms", "tfs", "m", (F.col("spread") % F.col("parts")).alias("part"))
+    return (dealt.repartition("m", "part").sortWithinPartitions("m", "part")
             .select("doc_id", "terms", "tfs", "m").mapInArrow(blocks, schema))
 
 
