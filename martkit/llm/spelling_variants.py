@@ -113,7 +113,7 @@ def grams(words: DataFrame) -> DataFrame:
         "transform(array(0, 1), half -> transform(array(-1, 0, 1), move -> named_struct("
         "'size', size, 'half', half, 'at', half * (size div 2) + move, "
         "'gram', size div 2 + half * (size % 2))))))), "
-        "g -> g.size > 1 AND g.at >= 0 AND g.at + g.gram <= char_length(word))")).alias("g"))
+        "g -> g.size > 0 AND g.at >= 0 AND g.at + g.gram <= char_length(word))")).alias("g"))
     return spread.select(F.col("g.size").cast("int").alias("size"), F.col("g.half").alias("half"),
                          F.expr("substring(word, cast(g.at as int) + 1, cast(g.gram as int))").alias("part"),
                          F.col("g.at").cast("int").alias("at"), "word")
