@@ -96,15 +96,24 @@ def fields(head: str) -> tuple[str, list[tuple[str, str]]]:
     return first, out
 
 
+_SIZE = re.compile(rb"[0-9A-Fa-f]{1,15}")
+
+
 def _unchunk(body: bytes) -> bytes:
+    """A chunked body's data; ValueError if a size is no hexadecimal number or a chunk is cut off."""
     out, at = [], 0
     while True:
         end = body.index(b"\r\n", at)
-        size = int(body[at:end].split(b";")[0], 16)
-        if not size:
+        size = body[at:end].partition(b";")[0].strip(b" \t")
+        if not _SIZE.fullmatch(size):
+            raise ValueError("malformed chunk size")
+        at = end + 2 + int(size, 16)
+        if at == end + 2:
             return b"".join(out)
-        out.append(body[end + 2:end + 2 + size])
-        at = end + 4 + size
+        if body[at:at + 2] != b"\r\n":
+            raise ValueError("chunk cut off")
+        out.append(body[end + 2:at])
+        at += 2
 
 
 def payload_text(body: bytes, headers: dict[str, str]) -> str:
