@@ -6,18 +6,20 @@ A document's normaliser m depends on its length alone, so all documents of a str
 ``impact(tf, m) = 10^9 * tf div (1000 * tf + 12 * m)``. A document scores the sum over
 the query's terms, repeats included, of weight(term) * impact(tf, m).
 
-1. Tasks count the terms of whole texts; N, L and then every m follow.
-2. Spark deals the documents out by stratum; a stratum with many documents or postings is dealt
-   in several parts. At most ``BLOCK_DOCS`` documents or ``BLOCK_POSTINGS`` postings of one
-   stratum (a longer document comes alone) become a block: one row with the block's sorted terms
-   and its postings, ordered by term and by tf within the term. Impacts are computed once
-   per tf. Every row is indexed; the index does not depend on any query.
+1. Tasks read whole texts and count documents by their number of terms; N, L and the size of
+   every stratum follow from that histogram.
+2. Spark deals the documents' distinct terms out by stratum; a stratum with many documents or
+   postings is dealt in several parts. At most ``BLOCK_DOCS`` documents or ``BLOCK_POSTINGS``
+   postings of one stratum (a longer document comes alone) become a block: one row with the
+   block's sorted terms and its postings, ordered by term and by tf within the term. Impacts
+   are computed once per tf. Every row is indexed; the index does not depend on any query.
 3. Queries come in bounded groups of whole items. Each block tells, for each term of the
    group, in how many documents it is (sums: df) and its largest tf. These give a bound for
    every item and block: no document there scores more.
-4. Blocks are visited in the order of their bounds: each item's ``FIRST_VISITS`` highest
-   first, then every other block whose bound reaches the score of the item's last place
-   so far. Other blocks cannot hold a result. A visited block hands on its best ``k``.
+4. Blocks are visited by their bounds: each item's ``FIRST_VISITS`` highest first, then every
+   other block whose bound reaches the score of the item's last place so far. Other blocks
+   cannot hold a result. A visited block hands on its best ``k``. The index stays where it is:
+   what goes to its blocks (weights, last places, first visits) is bounded by the group.
 
 Defined results: a null text has no terms; documents without a term score nothing.
 Every row is a document, repeated rows too; equal scores are ordered by doc_id, null
@@ -42,8 +44,8 @@ from martkit.llm.common import stored, utf8_bytes
 TOP = 20
 BLOCK_DOCS, BLOCK_POSTINGS = 4096, 400_000
 FIRST_VISITS = 8
-#: Terms that a counting task holds before it hands them on.
-TERMS_HELD = 200_000
+#: Bytes of distinct terms that a task holds before it hands them on.
+BYTES_HELD = 2 << 20
 #: UTF-8 bytes of the terms of the items that are searched at a time (a longer item comes alone).
 QUERY_BYTES = 4 << 20
 
@@ -69,35 +71,60 @@ def impact(tf: np.ndarray, m: int) -> np.ndarray:
     return 1_000_000_000 * tf // (1000 * tf + 12 * m)
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, terms, tfs, spread): one row per row of ``docs``; ``spread`` numbers the rows of a task."""
+def length_histogram(docs: DataFrame) -> DataFrame:
+    """(n, docs, postings): rows of ``docs`` with n terms, n above 0, and the sum of their distinct terms."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: Counter[int] = Counter()
+        postings: Counter[int] = Counter()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                every = terms_of(batch.column("data")[row].as_py())
+                if every:
+                    sizes[len(every)] += 1
+                    postings[len(every)] += len(set(every))
+        yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in (
+            ("n", list(sizes)), ("docs", list(sizes.values())), ("postings", [postings[n] for n in sizes]))})
+
+    return (docs.select(utf8_bytes(F.col("text")).alias("data")).mapInArrow(count, "n long, docs long, postings long")
+            .groupBy("n").agg(F.sum("docs").alias("docs"), F.sum("postings").alias("postings")))
+
+
+def term_counts(docs: DataFrame, corpus: int, length: int) -> DataFrame:
+    """(doc_id, m, terms, tfs, spread): one row per row of ``docs`` with a term.
+
+    ``terms`` are joined by spaces, ``tfs`` little-endian 32-bit numbers; ``spread`` numbers the
+    rows of a task. ``corpus`` and ``length`` are N and L.
+    """
     texts = docs.select("doc_id", utf8_bytes(F.col("text")).alias("data"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
         for batch in batches:
-            first, n, sizes, terms, tfs = 0, [], [0], [], []
+            rows: list[int] = []
+            columns: tuple[list, list, list] = ([], [], [])
+            size = 0
             for row in range(batch.num_rows):
                 every = terms_of(batch.column("data")[row].as_py())
-                found = Counter(every)
-                n.append(len(every))
-                terms += found
-                tfs += found.values()
-                sizes.append(len(terms))
-                if len(terms) < TERMS_HELD and row + 1 < batch.num_rows:
-                    continue
-                ends = pa.array(sizes, pa.int32())
-                rows = np.arange(before, before + len(n), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(n)), pa.array(n, pa.int64()),
-                     pa.ListArray.from_arrays(ends, pa.array(terms, pa.binary())),
-                     pa.ListArray.from_arrays(ends, pa.array(tfs, pa.int32())), pa.array(rows * 0x9E3779B1 % (1 << 31))],
-                    names=["doc_id", "n", "terms", "tfs", "spread"])
-                before += len(n)
-                first, n, sizes, terms, tfs = row + 1, [], [0], [], []
+                if every:
+                    found = Counter(every)
+                    rows.append(row)
+                    for column, value in zip(columns, (
+                            normaliser(len(every), corpus, length), b" ".join(found),
+                            np.fromiter(found.values(), dtype="<u4", count=len(found)).tobytes()), strict=True):
+                        column.append(value)
+                    size += len(columns[1][-1])
+                if rows and (size >= BYTES_HELD or row + 1 == batch.num_rows):
+                    m, terms, tfs = columns
+                    number = np.arange(before, before + len(rows), dtype=np.int64) * 0x9E3779B1 % (1 << 31)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").take(pa.array(rows)), pa.array(m, pa.int64()), pa.array(terms, pa.binary()),
+                         pa.array(tfs, pa.binary()), pa.array(number)], names=["doc_id", "m", "terms", "tfs", "spread"])
+                    before += len(rows)
+                    rows, columns, size = [], ([], [], []), 0
 
-    return texts.mapInArrow(count, f"doc_id {kind}, n long, terms array<binary>, tfs array<int>, spread long")
+    return texts.mapInArrow(count, f"doc_id {kind}, m long, terms binary, tfs binary, spread long")
 
 
 def _block(m: int, ids: pa.Array, terms: pa.Array, tfs: np.ndarray, docs: np.ndarray) -> dict:
@@ -113,15 +140,16 @@ def _block(m: int, ids: pa.Array, terms: pa.Array, tfs: np.ndarray, docs: np.nda
             "tfs": tfs[by].astype(np.int32), "docs": docs[by].astype(np.int32)}
 
 
-def build_index(counts: DataFrame) -> DataFrame:
-    """(m, ids, terms, starts, tfs, docs): one row per block.
+def build_index(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The index and N. Index: (m, ids, terms, starts, tfs, docs), one row per block.
 
     The postings of ``terms[i]`` begin at ``starts[i]`` in ``tfs`` and ``docs``; ``docs``
-    are places in ``ids``. ``counts`` are stored rows of :func:`term_counts`.
+    are places in ``ids``.
     """
-    docs, length = counts.filter("n > 0").agg(F.count("*"), F.sum("n")).first()
-    kind = counts.schema["doc_id"].dataType.simpleString()
-    m = F.lit(75).cast("long") + F.expr(f"cast(25 * n * {docs} as bigint) div {max(1, length or 0)}")
+    sizes = stored(length_histogram(docs))
+    corpus, length = sizes.agg(F.sum("docs"), F.sum(F.col("n") * F.col("docs"))).first()
+    corpus, length = corpus or 0, length or 1
+    kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"m long, ids array<{kind}>, terms array<binary>, starts array<int>, tfs array<int>, docs array<int>"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,10 +160,11 @@ def build_index(counts: DataFrame) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             nonlocal docs_held, postings
             if docs_held:
-                table = pa.Table.from_batches(held).combine_chunks()
-                sizes = pc.list_value_length(table["tfs"]).to_numpy()
-                made = _block(stratum, table["doc_id"].combine_chunks(), pc.list_flatten(table["terms"]).combine_chunks(),
-                              pc.list_flatten(table["tfs"]).to_numpy(), np.repeat(np.arange(len(sizes)), sizes))
+                table = pa.Table.from_batches(held)
+                tfs = [np.frombuffer(x, dtype="<u4") for x in table["tfs"].to_pylist()]
+                terms = b" ".join(table["terms"].to_pylist()).split(b" ")
+                made = _block(stratum, table["doc_id"].combine_chunks(), pa.array(terms, pa.binary()), np.concatenate(tfs),
+                              np.repeat(np.arange(len(tfs)), [len(x) for x in tfs]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([made["m"]], pa.int64())]
                     + [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v if isinstance(v, pa.Array) else pa.array(v))
@@ -146,26 +175,30 @@ def build_index(counts: DataFrame) -> DataFrame:
 
         for batch in batches:
             here = batch.column("m").to_numpy()
-            sizes = pc.list_value_length(batch.column("tfs")).to_numpy()
+            more = pc.divide(pc.binary_length(batch.column("tfs")), 4).to_numpy()
             first = 0
             for row in range(batch.num_rows):
-                if here[row] != stratum or docs_held + row - first >= BLOCK_DOCS or postings + sizes[row] > BLOCK_POSTINGS:
+                if here[row] != stratum or docs_held + row - first >= BLOCK_DOCS or postings + more[row] > BLOCK_POSTINGS:
                     if row > first:
                         held.append(batch.slice(first, row - first))
                         docs_held += row - first
                     yield from out()
                     first, stratum = row, int(here[row])
-                postings += int(sizes[row])
+                postings += int(more[row])
             held.append(batch.slice(first))
             docs_held += batch.num_rows - first
         yield from out()
 
-    placed = counts.filter("n > 0").select("doc_id", "terms", "tfs", "spread", m.alias("m"))
-    parts = placed.groupBy("m").agg(F.count("*").alias("docs"), F.sum(F.size("terms")).alias("postings")).select(
+    m = F.lit(75).cast("long") + F.expr(f"(25 * n * {corpus}) div {length}")
+    parts = sizes.groupBy(m.alias("m")).agg(F.sum("docs").alias("docs"), F.sum("postings").alias("postings")).select(
         "m", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("postings") / BLOCK_POSTINGS)).alias("parts"))
-    dealt = placed.join(parts, "m").select("doc_id", "terms", "tfs", "m", (F.col("spread") % F.col("parts")).alias("part"))
-    return (dealt.repartition("m", "part").sortWithinPartitions("m", "part")
-            .select("doc_id", "terms", "tfs", "m").mapInArrow(blocks, schema))
+    # only strata of several parts: few rows, whose size Spark knows when it plans the join
+    large = stored(parts.filter("parts > 1"))
+    part = F.coalesce(F.col("spread") % F.col("parts"), F.lit(0).cast("long"))
+    dealt = term_counts(docs, corpus, length).join(large, "m", "left").select("doc_id", "m", "terms", "tfs", part.alias("part"))
+    index = (dealt.repartition("m", "part").sortWithinPartitions("m", "part")
+             .select("doc_id", "m", "terms", "tfs").mapInArrow(blocks, schema))
+    return index, corpus
 
 
 def query_groups(items: DataFrame) -> Iterator[list[tuple]]:
@@ -242,11 +275,24 @@ def _bounds(marks: DataFrame, queries: _Queries) -> DataFrame:
     return marks.mapInPandas(bound, "block long, item int, bound long")
 
 
-def _visit(index: DataFrame, visits: DataFrame, queries: _Queries, k: int) -> DataFrame:
-    """(item, doc_id, score): the ``k`` best of each visited (block, item), above 0."""
+def _visit(index: DataFrame, queries: _Queries, k: int, first: dict[int, list[int]], least: np.ndarray | None) -> DataFrame:
+    """(item, doc_id, score): the ``k`` best of each visited block and item, above 0.
+
+    Without ``least``: the visits in ``first`` (block: items). With it: every other visit whose bound
+    reaches the item's ``least``, where lower scores are left out.
+    """
     kind = index.schema["ids"].dataType.elementType.simpleString()
-    # the items of a group are bounded, so is the list
-    todo = visits.groupBy("block").agg(F.collect_list(F.struct("item", "least")).alias("todo"))
+    flat = queries.flat()
+
+    def due(block: int, best: np.ndarray) -> list[int]:
+        """Items to visit, by the impact of each query term's largest tf."""
+        if least is None:
+            return first[block]
+        item, term, gain = flat
+        bound = np.zeros(len(queries.items), dtype=np.int64)
+        np.add.at(bound, item, gain * best[term])
+        bound[first.get(block, [])] = 0
+        return np.flatnonzero(bound >= least).tolist()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pa.array(queries.terms, pa.binary())
@@ -257,10 +303,11 @@ def _visit(index: DataFrame, visits: DataFrame, queries: _Queries, k: int) -> Da
                 starts = np.r_[batch.column("starts")[row].values.to_numpy().astype(np.int64), len(tfs)]
                 kinds, which = np.unique(tfs, return_inverse=True)
                 gains = impact(kinds, batch.column("m")[row].as_py())            # once per tf
+                best = np.where(at >= 0, gains[which[starts[at + 1] - 1]], 0)
                 ids = batch.column("ids")[row].values
                 order = pc.rank(ids, sort_keys="ascending", null_placement="at_end", tiebreaker="first").to_numpy()
-                for visit in batch.column("todo")[row].as_py():
-                    terms, repeats = queries.items[visit["item"]]
+                for item in due(batch.column("block")[row].as_py(), best):
+                    terms, repeats = queries.items[item]
                     place = at[terms]
                     known = place >= 0
                     place, worth = place[known], queries.weights[terms[known]] * repeats[known]
@@ -270,13 +317,14 @@ def _visit(index: DataFrame, visits: DataFrame, queries: _Queries, k: int) -> Da
                     posting = np.repeat(starts[place] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
                     total = np.zeros(len(ids), dtype=np.int64)
                     np.add.at(total, docs[posting], np.repeat(worth, sizes) * gains[which[posting]])
-                    found = np.flatnonzero(total >= max(1, visit["least"]))
-                    best = found[np.lexsort((order[found], -total[found]))[:k]]
+                    found = np.flatnonzero(total >= (1 if least is None else least[item]))
+                    chosen = found[np.lexsort((order[found], -total[found]))[:k]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(best), visit["item"], dtype=np.int32)), ids.take(pa.array(best)),
-                         pa.array(total[best])], names=["item", "doc_id", "score"])
+                        [pa.array(np.full(len(chosen), item, dtype=np.int32)), ids.take(pa.array(chosen)),
+                         pa.array(total[chosen])], names=["item", "doc_id", "score"])
 
-    return index.join(todo, "block").select("m", "ids", "terms", "starts", "tfs", "docs", "todo").mapInArrow(
+    chosen = index if least is not None else index.filter(F.col("block").isin(list(first)))
+    return chosen.select("block", "m", "ids", "terms", "starts", "tfs", "docs").mapInArrow(
         score, f"item int, doc_id {kind}, score long")
 
 
@@ -303,24 +351,25 @@ def search(index: DataFrame, items: DataFrame, docs: int, k: int = TOP) -> DataF
         counted = marks.select(F.explode(F.arrays_zip("term", "df")).alias("at")).groupBy("at.term").agg(F.sum("at.df").alias("df"))
         for row in counted.toLocalIterator():
             queries.weights[row["term"]] = weight(docs, row["df"])
-        bounds = stored(_bounds(marks, queries))
         by_bound = Window.partitionBy("item").orderBy(F.desc("bound"), "block")
-        first = stored(bounds.withColumn("place", F.row_number().over(by_bound)).filter(F.col("place") <= FIRST_VISITS))
-        early = stored(_visit(index, first.select("block", "item", F.lit(1).cast("long").alias("least")), queries, k))
-        last = _best(early, k).groupBy("item").agg(F.max("rank").alias("places"), F.min("score").alias("score"))
-        least = F.coalesce(F.when(F.col("places") >= k, F.col("score")), F.lit(1).cast("long"))
-        rest = (bounds.join(first.select("block", "item"), ["block", "item"], "left_anti")
-                .join(last, "item", "left").withColumn("least", least).filter(F.col("bound") >= F.col("least")))
-        late = _visit(index, rest.select("block", "item", "least"), queries, k)
+        visits: dict[int, list[int]] = {}
+        for row in (_bounds(marks, queries).withColumn("place", F.row_number().over(by_bound))
+                    .filter(F.col("place") <= FIRST_VISITS).toLocalIterator()):
+            visits.setdefault(row["block"], []).append(row["item"])
+        if not visits:
+            continue
+        early = stored(_best(_visit(index, queries, k, visits, None), k))
+        least = np.ones(len(group), dtype=np.int64)
+        for row in early.filter(F.col("rank") == k).toLocalIterator():
+            least[row["item"]] = row["score"]
+        late = _visit(index, queries, k, visits, least)
         names = spark.createDataFrame([(i, item_id) for i, (item_id, _) in enumerate(group)], f"item int, item_id {key}")
-        best = stored(_best(early.union(late), k))
+        best = stored(_best(early.drop("rank").union(late), k))
         out = out.union(best.join(names, "item").select("item_id", "rank", "doc_id", "score"))
     return out
 
 
 def rank(docs: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
     """Index ``docs`` and search it for ``items``."""
-    counts = stored(term_counts(docs))
-    n = counts.filter("n > 0").count()
-    index = stored(build_index(counts).withColumn("block", F.monotonically_increasing_id()))
-    return search(index, items, n, k)
+    index, n = build_index(docs)
+    return search(stored(index.withColumn("block", F.monotonically_increasing_id())), items, n, k)

@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,24 +64,32 @@ def test_odd_rows_ties_and_empty_tables(spark, odd, empty):
     assert ranked(empty, items, 3) == [] and ranked(odd, items.limit(0), 3) == []
 
 
-def test_index_orders_postings_by_tf_in_strata(spark, documents):
-    counts = stored(ranked_strata.term_counts(documents))
-    for row in ranked_strata.build_index(counts).collect():
+def test_index_orders_postings_by_tf_in_strata(documents):
+    index, n = ranked_strata.build_index(documents)
+    rows, postings = index.collect(), 0
+    for row in rows:
         starts = [*row["starts"], len(row["tfs"])]
         assert sorted(row["terms"]) == row["terms"]
         for a, b in zip(starts, starts[1:]):
             assert b > a and row["tfs"][a:b] == sorted(row["tfs"][a:b])
-    assert ranked_strata.build_index(counts).select(F.sum(F.size("ids"))).first()[0] == counts.filter("n > 0").count()
-    assert ranked_strata.build_index(counts).select(F.sum(F.size("docs"))).first()[0] == counts.select(F.sum(F.size("terms"))).first()[0]
+        postings += len(row["docs"])
+    assert sum(len(row["ids"]) for row in rows) == n == documents.count()
+    assert postings == sum(len({*ranked_strata.terms_of(r["text"].encode())}) for r in documents.collect())
 
 
 def test_blocks_below_the_last_place_are_not_visited(spark, monkeypatch):
     rows = [(i, "rare " * 5 + "filler") for i in range(20)] + [(100 + i, "filler " * 40 + "rare") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    seen = []
-    visit = ranked_strata._visit
-    monkeypatch.setattr(ranked_strata, "_visit", lambda index, visits, *a: seen.append(visits.count()) or visit(index, visits, *a))
     monkeypatch.setattr(ranked_strata, "FIRST_VISITS", 1)
     items = spark.createDataFrame([(1, "rare")], "item_id long, text string")
     assert [r[2] for r in sorted(ranked(docs, items, 20), key=lambda r: r[1])] == list(range(20))
-    assert seen == [1, 0]
+    index, n = ranked_strata.build_index(docs)
+    index = stored(index.withColumn("block", F.monotonically_increasing_id()))
+    queries = ranked_strata._Queries([(1, Counter([b"rare"]))])
+    queries.weights[:] = ranked_strata.weight(n, 220)
+    best = sorted((r["bound"], r["block"]) for r in ranked_strata._bounds(
+        ranked_strata._marks(index, queries.terms), queries).collect())
+    early = ranked_strata._visit(index, queries, 20, {best[-1][1]: [0]}, None).collect()
+    least = np.array([min(r["score"] for r in early)])
+    assert len(early) == 20 and len(best) > 1 and best[-2][0] < least[0]
+    assert ranked_strata._visit(index, queries, 20, {best[-1][1]: [0]}, least).count() == 0
