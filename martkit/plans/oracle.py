@@ -564,6 +564,28 @@ SELECT e.event_id, strftime(w.ws, '%Y-%m-%dT%H:%M:%SZ') AS start_datetime,
   strftime(w.we, '%Y-%m-%dT%H:%M:%SZ') AS end_datetime, w.load_date
 FROM events e JOIN w ON CAST(e.ts AS DATE) = w.window_day AND e.ts >= w.ws AND e.ts < w.we"""
 
+# Every link of a chain is followed by recursion; a page met again ends the walk.
+Q["link_chains"] = """WITH RECURSIVE sized AS (
+  SELECT o_orderkey AS k, o_orderkey // 1000 AS chain, o_orderkey % 1000 AS place, 1 + (o_orderkey // 1000) * 37 % 1000 AS size
+  FROM orders),
+links AS (
+  SELECT *, CASE WHEN place <> size - 1 THEN k + 1 WHEN chain % 7 = 3 THEN chain * 1000 + size // 2
+                 WHEN chain % 7 = 4 THEN -1 END AS target,
+    CASE WHEN k % 1009 = 1008 THEN NULL WHEN k % 2003 = 2002 THEN 500 ELSE 200 END AS status,
+    chain % 7 = 5 AND place = size // 3 AS fork
+  FROM sized),
+good AS (SELECT * FROM links WHERE status = 200 AND NOT (fork AND target IS NOT NULL)),
+walk AS (
+  SELECT chain, k, target, 0 AS steps FROM good WHERE place = 0
+  UNION ALL
+  SELECT g.chain, g.k, g.target, steps + 1 FROM walk JOIN good g ON g.chain = walk.chain AND g.k = walk.target WHERE steps < 2000),
+got AS (SELECT chain, k, min(steps) AS page_rank FROM walk GROUP BY ALL),
+whole AS (SELECT chain, bool_or(target IS NULL) AS complete FROM walk GROUP BY chain)
+SELECT chain, 'page ' || k AS address, CAST(status AS INTEGER) AS status, place = 0 AS is_first, 'page ' || target AS link,
+  CAST(page_rank AS BIGINT) AS page_rank, complete
+FROM got JOIN links USING (chain, k) JOIN whole USING (chain),
+  LATERAL (SELECT unnest(if(fork, [0, 2], [0])) AS copy)"""
+
 Q["strict_select"] = """SELECT event_id, ts, user_id, event_type AS Activity,
   '''2024-01-30T00:00:00Z''' AS startDateTime, '''2024-01-30T23:59:59Z''' AS endDateTime,
   '2024-01-31' AS ETLImportDate, CAST(NULL AS VARCHAR) AS DeltaValue, 100 AS SequenceNumber

@@ -27,7 +27,7 @@ from martkit.plans import control as ctl
 from martkit.plans import derived, ledger
 from martkit.plans.landing import tidy
 from martkit.sources import (
-    assign_day_window, day_windows, details_for, explode_envelope, load,
+    assign_day_window, day_windows, details_for, explode_envelope, follow_links, load,
     pages_until_error, union_pages, window_texts,
 )
 
@@ -546,6 +546,28 @@ def q_pages_until_error(spark, d):
     return pages_until_error(pages, ["l_orderkey"], "page_no", c("status") == 200, c("link").isNotNull())
 
 
+def _linked_pages(orders: DataFrame) -> DataFrame:
+    """Orders as pages that link to the next one: chains of 1 to 1,000 pages, most of them whole. Some end in a
+    cycle, a link to nowhere or a fork (an address with two links); some pages failed, some are not linked."""
+    chain, place = F.floor(c("o_orderkey") / 1000), c("o_orderkey") % 1000
+    size = F.lit(1) + chain * 37 % 1000
+    to = (F.when((place == size - 1) & (chain % 7 == 3), chain * 1000 + F.floor(size / 2))
+          .when((place == size - 1) & (chain % 7 == 4), F.lit(-1)).when(place != size - 1, c("o_orderkey") + 1))
+    fork = (chain % 7 == 5) & (place == F.floor(size / 3))
+    status = F.when(c("o_orderkey") % 1009 == 1008, F.lit(None).cast("int")).when(c("o_orderkey") % 2003 == 2002, 500).otherwise(200)
+    pages = orders.select(
+        chain.alias("chain"), F.concat(F.lit("page "), c("o_orderkey")).alias("address"), status.alias("status"),
+        (place == 0).alias("is_first"), to.alias("to"),
+        F.explode(F.when(fork, F.array(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))).alias("skip"))
+    return pages.select("chain", "address", "status", "is_first",
+                        F.concat(F.lit("page "), c("to") + c("skip")).alias("link"))
+
+
+def q_link_chains(spark, d):
+    pages = _linked_pages(Tables(spark, d).orders)
+    return follow_links(pages, ["chain"], "address", "link", c("is_first"), c("status") == 200)
+
+
 def q_day_windows(spark, d):
     ev = Tables(spark, d).events.select("event_id", "ts")
     w = day_windows(spark, EVENTS_RUN_TS, EVENT_DAYS)

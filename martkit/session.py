@@ -7,6 +7,8 @@ and a running session's settings win.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings we want when nobody chose otherwise.
@@ -49,3 +51,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
             spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where nobody has set it, a temporary folder is used in local mode (tests), in which the driver is
+    the only process; on a cluster that is an error.
+    """
+    sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="martkit-shared-")
+        sc.setCheckpointDir(folder)
+    return folder
