@@ -564,6 +564,11 @@ SELECT e.event_id, strftime(w.ws, '%Y-%m-%dT%H:%M:%SZ') AS start_datetime,
   strftime(w.we, '%Y-%m-%dT%H:%M:%SZ') AS end_datetime, w.load_date
 FROM events e JOIN w ON CAST(e.ts AS DATE) = w.window_day AND e.ts >= w.ws AND e.ts < w.we"""
 
+Q["partition_merge"] = """SELECT o_orderkey AS native_transaction_id, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+  if(hit, o_totalprice + 1, o_totalprice) AS amount, if(hit, 'U', o_orderstatus) AS status
+FROM (SELECT *, year(o_orderdate) >= 1997 AND o_orderkey % 4 < 2 AS hit FROM orders)
+WHERE hit OR o_orderkey % 10 <> 0"""
+
 # Every link of a chain is followed by recursion; a page met again ends the walk.
 Q["link_chains"] = """WITH RECURSIVE sized AS (
   SELECT o_orderkey AS k, o_orderkey // 1000 AS chain, o_orderkey % 1000 AS place, 1 + (o_orderkey // 1000) * 37 % 1000 AS size

@@ -10,6 +10,7 @@ results repeat.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +24,11 @@ from martkit.operators import (
     strict_select,
     sum_nonzero, tiered_lookup, unpivot_columns, upsert, with_literals,
 )
+from martkit.operators.upsert import merge_partitions
 from martkit.plans import control as ctl
 from martkit.plans import derived, ledger
 from martkit.plans.landing import tidy
+from martkit.session import shared_folder
 from martkit.sources import (
     assign_day_window, day_windows, details_for, explode_envelope, follow_links, load,
     pages_until_error, union_pages, window_texts,
@@ -524,6 +527,19 @@ def q_upsert_changed_only(spark, d):
     return upsert(target, source, KEYS, run_ts=UPSERT_RUN_TS, stamp_col="etl_modified_date", only_changed=True)
 
 
+def q_partition_merge(spark, d):
+    # A table partitioned by year; the source touches the years from 1997 on, and only these are read and rewritten.
+    o = Tables(spark, d).orders.select(
+        c("o_orderkey").alias("native_transaction_id"), c("o_totalprice").alias("amount"), c("o_orderstatus").alias("status"),
+        F.year("o_orderdate").alias("order_year"))
+    base = f"{shared_folder(spark)}/partition-merge-{uuid.uuid4().hex}"
+    o.filter(c("native_transaction_id") % 10 != 0).write.partitionBy("order_year").parquet(f"{base}/fact")
+    source = o.filter((c("order_year") >= 1997) & (c("native_transaction_id") % 4 < 2)).withColumns(
+        {"amount": c("amount") + 1, "status": F.lit("U")})
+    merge_partitions(spark, f"{base}/fact", source, ["native_transaction_id", "order_year"], "order_year", f"{base}/staged")
+    return spark.read.parquet(f"{base}/fact").select("native_transaction_id", "order_year", "amount", "status")
+
+
 # --- landing (S2-S10, P6-P11, U1, L1) ----------------------------------------
 
 def q_envelope(spark, d):

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +8,7 @@ from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
 from conftest import rows
-from martkit.operators.upsert import upsert, write_merged
+from martkit.operators.upsert import merge_partitions, publish_partitions, upsert, write_merged
 
 TS = dt.datetime(2024, 2, 1, 12, 0, 0)
 SCHEMA = "id string, line string, amount double, note string"
@@ -98,9 +100,58 @@ def test_upsert_62_columns(spark):
         assert (r.stamp == TS) == (k in old_keys & new_keys) and (r.stamp is None) == (k not in old_keys)
 
 
-def test_upsert_plan_scans_each_side_once(spark):
+def test_upsert_plan_reads_the_target_values_once(spark):
     old = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     new = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
-    plan = upsert(old, new, ["o_orderkey", "o_custkey"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") <= 3                     # target, source, counts of the source
-    assert "Union" not in plan
+    keys = ["o_orderkey", "o_custkey"]
+    plan = upsert(old, new, keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 4                      # either side for updates, and again for inserts
+    assert plan.count("ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>") == 1   # of the target only its keys
+    assert "LeftOuter" in plan and "LeftAnti" in plan and "FullOuter" not in plan
+
+
+def test_upsert_hot_new_key_is_split(spark):
+    """One new key in a third of the source: its rows are inserted by many tasks."""
+    options = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        old = spark.range(0, 60_000, numPartitions=8).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+        new = spark.range(0, 90_000, numPartitions=16).select(
+            F.when(F.col("id") < 30_000, -1).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        out = upsert(old, new, ["k"]).withColumn("task", F.spark_partition_id())
+        got = out.groupBy("task").agg(F.count("v").alias("n"), F.sum((F.col("k") == -1).cast("int")).alias("hot"), F.max("v")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r.n for r in got) == 30_000 + 90_000 and sum(r.hot for r in got) == 30_000
+    assert sum(r.hot > 0 for r in got) >= 4 and max(r.hot for r in got) <= 15_000
+
+
+def test_merge_partitions_rewrites_only_what_the_source_touches(spark, tmp_dir):
+    path, staged = f"{tmp_dir}/fact", f"{tmp_dir}/staged"
+    spark.range(500).select(F.col("id").alias("k"), F.lit("old").alias("v"), (F.col("id") % 50).cast("int").alias("day")
+                            ).write.partitionBy("day").parquet(path)
+    files = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("day=")}
+    src = spark.createDataFrame([(7, "new", 7), (57, "new", 7), (1007, "add", 7)], "k long, v string, day int")
+    assert merge_partitions(spark, path, src, ["k", "day"], "day", staged) == [7]
+    again = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("day=")}
+    assert [d for d in files if files[d] != again[d]] == ["day=7"] and len(files) == 50
+    assert sorted(os.listdir(staged))[-1] == "day=7"
+    out = spark.read.parquet(path)
+    assert out.count() == 501 and rows(out.filter("day = 7 and v <> 'old'"), "k", "v") == [(7, "new"), (57, "new"), (1007, "add")]
+    # a new partition, and rows without one
+    src = spark.createDataFrame([(1, "x", 99), (2, "y", None)], "k long, v string, day int")
+    assert merge_partitions(spark, path, src, ["k", "day"], "day", f"{tmp_dir}/staged2") == [99, None]
+    assert spark.read.parquet(path).count() == 503
+    target = spark.read.parquet(path).filter(F.col("day").isin([7]))
+    assert re.search(r"PartitionFilters: \[.*day.*7", target._jdf.queryExecution().executedPlan().toString())
+    with pytest.raises(ValueError, match="one of the keys"):
+        merge_partitions(spark, path, src, ["k"], "day", f"{tmp_dir}/staged3")
+    with pytest.raises(PySparkException):                          # a staged folder is never reused
+        merge_partitions(spark, path, src, ["k", "day"], "day", staged)
+    publish_partitions(spark, staged, path, "day")                 # finishing a run again changes nothing
+    assert spark.read.parquet(path).count() == 503
