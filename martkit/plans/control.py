@@ -6,21 +6,21 @@ every catalog table carries ``database_id``, ``ServerName`` and
 statement, a key-only select statement, a key match clause, staging file
 names, an active flag and the delta column.
 
-Plan notes: columns, index columns and ordinal positions, the largest
-inputs, are gathered once per table (a table's column count is bounded by its
-database) and meet the table rows there; column rows appear only when these
-lists are opened, and are shuffled once more, for the final texts.  The lookup
-lists are small and Spark broadcasts them by size.  "One best index per table" is
-an aggregate; "has no key column" is one flag per table row.
+Plan notes: everything keyed by the table alone is joined at table grain; then
+columns, index entries and positions, the largest inputs, are joined one after the
+other by equi-joins that Spark can split at a hot key (no arrays, no windows).
+Ordered texts are built in chunks of column positions. The lookup lists are small
+and Spark broadcasts them by size.  "One best index per table" is an aggregate;
+"has no key column" is one flag per name, combined before its shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.functions.text import bracket, concat_blank, concat_strict, underscore_spaces
-from martkit.operators.aggregates import ordered_text_agg, sum_nonzero
+from martkit.operators.aggregates import group_ordered_texts, sum_nonzero
 from martkit.operators.joins import (
     best_row_per_key, left_join_distinct, left_lookup, listed_flag, require_unique,
 )
@@ -50,6 +50,8 @@ OUTPUT_COLUMNS = [
 ]
 # ---------------------------------------------------------------------------
 
+#: Column positions whose texts are built together; a wider table takes several tasks.
+CHUNK_COLUMNS = 256
 DB_KEYS = ["database_id", "ServerName", "ClientName"]
 
 
@@ -153,42 +155,35 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
     not_allowed = c("_included").isNull() & c("_pair").isNotNull()
     t = t.withColumn("ExcludeTable", F.when((c("_blocked_table") == 1) | not_allowed, 1).otherwise(0))
 
-    # Per-table lists: columns, key columns of the best index, ordinals by column name.
+    # "No key column" is decided per (client, server, database, table name) of the catalog table row, across
+    # schemas: some column of a table of that name belongs to its best index. One flag per object, combined per name
+    # before the shuffle and joined back (objects without a catalog table row share the NULL name), so no name is
+    # gathered in one task.
     by_object = ["object_id"] + DB_KEYS
     own = [(c(k), k) for k in by_object]
-    listed = columns.groupBy(*by_object).agg(
-        F.collect_list(F.struct(c("name").alias("column"), "column_id")).alias("columns"))
-    indexed = index_columns.groupBy(*by_object, "index_id").agg(F.collect_list("column_id").alias("index_columns"))
-    placed = info_columns.groupBy("TABLE_SCHEMA", "TABLE_NAME", *DB_KEYS).agg(
-        F.collect_list(F.struct(c("COLUMN_NAME").alias("column"), c("ORDINAL_POSITION").alias("ordinal")))
-        .alias("places"))
+    keyed = (index_columns.join(columns.select(*by_object, "column_id"), by_object + ["column_id"], "left_semi")
+             .select(*by_object, "index_id").distinct().withColumn("_keyed", F.lit(1)))
+    names = ["DatabaseName", "ServerName", "ClientName"]
+    by_name = o.select("object_id", *DB_KEYS)
+    by_name = left_lookup(by_name, tables, own, {"t_name": "name"} | {f"t_{k}": k for k in names})
+    by_name = left_lookup(by_name, best, [(c("object_id"), "object_id"), (c("database_id"), "database_id"),
+                                          (c("ServerName"), "ServerName"), (c("ClientName"), "ClientName")],
+                          {"i_index_id": "index_id"})
+    by_name = left_lookup(by_name, keyed, own + [(c("i_index_id"), "index_id")], {"_keyed": "_keyed"})
+    name_keys = ["t_name"] + [f"t_{k}" for k in names]
+    by_name = by_name.groupBy(*name_keys).agg(F.max("_keyed").alias("_named_key"))
+    t = left_lookup(t, by_name, [(c(k), k) for k in name_keys], {"_named_key": "_named_key"}, null_safe=True)
+    t = t.withColumn("HasNoPK", F.when(c("_named_key") == 1, 0).otherwise(1)).drop("_named_key", *name_keys[1:])
 
-    t = left_lookup(t, listed, own, {"columns": "columns"})
-    t = left_lookup(t, indexed, own + [(c("i_index_id"), "index_id")], {"index_columns": "index_columns"})
-    t = left_lookup(t, placed, [(c("s_name"), "TABLE_SCHEMA"), (c("t_name"), "TABLE_NAME"),
-                                (c("d_database_id"), "database_id"), (c("d_ServerName"), "ServerName"),
-                                (c("d_ClientName"), "ClientName")], {"places": "places"})
-
-    # "No key column" is decided per (client, server, database, table name) of
-    # the catalog table row, across schemas: some column of a table of that name
-    # belongs to its best index. The window runs over table rows (one flag each);
-    # only objects without a catalog table row share a group, that of NULL names.
-    own_key = F.coalesce(F.exists("columns", lambda x: F.array_contains(c("index_columns"), x["column_id"])),
-                         F.lit(False))
-    same_name = Window.partitionBy("t_ClientName", "t_ServerName", "t_DatabaseName", "t_name")
-    t = t.withColumn("HasNoPK", F.when(F.max(own_key).over(same_name), 0).otherwise(1))
-    t = t.drop("t_ClientName", "t_ServerName", "t_DatabaseName")
-
-    # Column grain: one row per column, per entry it has in the best index and
-    # per position listed for its name (none of them: one row with NULL).
-    lists = ["columns", "index_columns", "places"]
-    t = t.select(*[x for x in t.columns if x not in lists[:1]], F.explode_outer("columns").alias("_c"))
-    t = t.withColumns({"c_name": c("_c.column"), "c_column_id": c("_c.column_id")})
-    t = t.select(*[x for x in t.columns if x not in ("_c", "index_columns")],
-                 F.explode_outer(F.filter("index_columns", lambda x: x == c("c_column_id"))).alias("ic_column_id"))
-    t = t.select(*[x for x in t.columns if x != "places"],
-                 F.explode_outer(F.filter("places", lambda x: x["column"] == c("c_name"))).alias("_place"))
-    t = t.withColumn("OrdinalPosition", c("_place.ordinal")).drop("_place")
+    # Column grain: one row per column, per entry it has in the best index and per position listed for its name
+    # (none of them: one row with NULL).
+    t = left_lookup(t, columns, own, {"c_name": "name", "c_column_id": "column_id"})
+    t = left_lookup(t, index_columns, own + [(c("i_index_id"), "index_id"), (c("c_column_id"), "column_id")],
+                    {"ic_column_id": "column_id"})
+    t = left_lookup(t, info_columns, [(c("s_name"), "TABLE_SCHEMA"), (c("t_name"), "TABLE_NAME"),
+                                      (c("d_database_id"), "database_id"), (c("d_ServerName"), "ServerName"),
+                                      (c("d_ClientName"), "ClientName"), (c("c_name"), "COLUMN_NAME")],
+                    {"OrdinalPosition": "ORDINAL_POSITION"})
 
     # Delta column: client-specific, then table-specific, then general.
     col_name = F.trim(c("c_name"))
@@ -235,19 +230,17 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
     # One row per (client, source, server, database, schema, table, row
     # count, flags).  The schema-table text and the staging file names are
     # functions of schema and table name, so they are derived after the
-    # aggregation instead of being part of the (wide) grouping key.  Text
-    # pieces shrink nothing map-side: hash-partition first, aggregate once.
+    # aggregation instead of being part of the (wide) grouping key.
     group_cols = ["g_ClientName", "g_DataLakeName", "g_SourceDataStructure", "g_SourceSystemName",
                   "g_SourceServerName", "g_SourceDatabaseName", "g_SourceSchemaName", "g_SourceTableName",
                   "g_SourceRowCount", "g_ExcludeTable", "g_HasNoPK"]
-    # Column order: ordinal position, then column id so equal positions
-    # (e.g. missing ones) still give one repeatable text.
-    order = ["_ord", "_colid"]
-    g = t.repartition(*group_cols).groupBy(*group_cols).agg(
-        ordered_text_agg("_sel_item", order, SELECT_SEP).alias("_sel"),
-        ordered_text_agg("_key_item", order, KEY_SELECT_SEP).alias("_keys"),
-        ordered_text_agg("_clause_item", order, MERGE_SEP).alias("_clauses"),
-        F.max("_delta").alias("_max_delta"))
+    # Column order: ordinal position, then column id so equal positions (e.g. missing ones) still give one
+    # repeatable text.  Texts are built in chunks of that order: missing positions come first, by column id.
+    chunk = F.coalesce(F.floor(c("_ord") / CHUNK_COLUMNS), F.floor(c("_colid") / CHUNK_COLUMNS) - (1 << 40),
+                       F.lit(-(1 << 41)).cast("long"))
+    g = group_ordered_texts(t, group_cols, {"_sel": (c("_sel_item"), SELECT_SEP), "_keys": (c("_key_item"), KEY_SELECT_SEP),
+                                            "_clauses": (c("_clause_item"), MERGE_SEP)},
+                            [c("_ord"), c("_colid")], chunk, maxes={"_max_delta": c("_delta")})
     schema, table = c("g_SourceSchemaName"), c("g_SourceTableName")
     g = g.withColumns({"g_SchemaTable": concat_strict("[", schema, "].[", table, "]"),
                        "g_StagingDataFileName": staging_name(schema, table),

@@ -15,11 +15,10 @@ Plan shape (what Spark runs):
    (12x fewer rows than after the unpivot).
 3. The unpivot is a ``Generate`` (no shuffle).
 4. The profit rows match on (business unit, year, month), a grain coarser
-   than their key, so rows may multiply (kept on purpose).  They are gathered
-   per (business unit, year), at most 12 months x record types, and joined to
-   the *wide* rows; each unpivoted month then takes its own entries.  So the
-   12x larger long rows never cross the network, and Spark chooses the join
-   from real sizes (AQE splits a hot business unit of a shuffle join).
+   than their key, so rows may multiply (kept on purpose).  They are joined
+   after the unpivot on (unit, period), an equi-join in which no row carries
+   more than its own month: a busy unit makes no row large, Spark broadcasts
+   the profit rows if they are few, and otherwise AQE splits a hot unit.
 """
 
 from __future__ import annotations
@@ -242,38 +241,44 @@ def ledger_wide(account_balances: DataFrame, account_master: DataFrame, business
         "latest_closed_period_year_month_id", *MONTH_COLUMNS)
 
 
-def ledger_fact(account_balances: DataFrame, account_master: DataFrame, business_unit_master: DataFrame,
+def ledger_rows(account_balances: DataFrame, account_master: DataFrame, business_unit_master: DataFrame,
                 company_constants: DataFrame, dim_date: DataFrame, codes: DataFrame,
-                profit_recognition: DataFrame, run_ts: dt.datetime, unique_profit: bool = False) -> DataFrame:
-    """The 49-column ledger fact (see module doc for the plan).
+                profit_recognition: DataFrame, run_year: int | None, unique_profit: bool = False) -> DataFrame:
+    """The ledger fact and ``fiscal_year`` (text) of each row, up to ``run_year`` if that is given.
 
-    ``unique_profit``: fail the job when a (date, record type, business unit)
-    repeats among the profit rows, instead of multiplying the matching rows.
+    A filter on ``fiscal_year`` reaches the balances below the unpivot, as the column is not made by it.
     """
     closed = closed_periods(company_constants, dim_date)
-    wide = ledger_wide(account_balances, account_master, business_unit_master, closed, codes, run_ts.year)
-    wide = wide.withColumn("_fy", F.col("fiscal_year").cast("int"))
+    wide = ledger_wide(account_balances, account_master, business_unit_master, closed, codes, run_year)
     if unique_profit:
         profit_recognition = require_unique(
             profit_recognition, ["date_effective", "type_of_record", "business_unit"], "profit rows")
     profit = profit_rows(profit_recognition, dim_date, codes)
-    by_year = profit.groupBy("business_unit_code", "year_eff").agg(
-        F.collect_list(F.struct("month_eff", *PROFIT_AMOUNTS)).alias("_months"))
-    wide = left_lookup(wide, by_year, [("business_unit_code", "business_unit_code"), ("_fy", "year_eff")],
-                       {"_months": "_months"})
-
     keep = [c for c in wide.columns if c not in MONTH_COLUMNS]
     long = unpivot_columns(wide, MONTH_COLUMNS, keep, index_name="fiscal_month",
                            value_name="amount_net_posting", divisor=100)
-    month = F.col("fiscal_month").cast("int")
-    mine = F.filter("_months", lambda x: x["month_eff"] == month)
-    others = [c for c in long.columns if c != "_months"]
-    j = long.select(*others, F.explode_outer(mine).alias("_pr")).select(
-        *others, *[F.col(f"_pr.{a}").alias(f"_pr_{a}") for a in PROFIT_AMOUNTS])
-    j = j.withColumn("year_month_id", period_id(F.col("fiscal_year"), F.col("fiscal_month")))
+    # Profit rows meet the months they belong to by (unit, period): nothing is gathered per unit, and a unit that
+    # holds a third of the balances is split like any hot key on the left of a left join.
+    long = long.withColumn("year_month_id", period_id(F.col("fiscal_year"), F.col("fiscal_month")))
+    period = period_id(F.col("year_eff").cast("string"), F.col("month_eff").cast("string"))
+    profit = profit.select("business_unit_code", period.alias("_period"), *PROFIT_AMOUNTS)
+    j = left_lookup(long, profit, [("business_unit_code", "business_unit_code"), ("year_month_id", "_period")],
+                    {f"_pr_{a}": a for a in PROFIT_AMOUNTS})
     j = j.withColumn("is_latest_closed_period_flag",
                      closed_flag("year_month_id", "latest_closed_period_year_month_id"))
     j = add_profit_measures(j, "_pr_projected_final_revenue_adjusted", "_pr_projected_final_cost_adjusted",
                             "_pr_earned_job_to_date_revenue", "_pr_earned_job_to_date_cost",
                             "_pr_actual_revenue_to_date", "_pr_actual_cost_to_date")
-    return j.select(*FACT_COLUMNS)
+    return j.select(*FACT_COLUMNS, "fiscal_year")
+
+
+def ledger_fact(account_balances: DataFrame, account_master: DataFrame, business_unit_master: DataFrame,
+                company_constants: DataFrame, dim_date: DataFrame, codes: DataFrame,
+                profit_recognition: DataFrame, run_ts: dt.datetime, unique_profit: bool = False) -> DataFrame:
+    """The 49-column ledger fact (see module doc for the plan).
+
+    ``unique_profit``: fail the job when a (date, record type, business unit)
+    repeats among the profit rows, instead of multiplying the matching rows.
+    """
+    return ledger_rows(account_balances, account_master, business_unit_master, company_constants, dim_date, codes,
+                       profit_recognition, run_ts.year, unique_profit).select(*FACT_COLUMNS)

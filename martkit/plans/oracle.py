@@ -569,6 +569,38 @@ Q["partition_merge"] = """SELECT o_orderkey AS native_transaction_id, CAST(year(
 FROM (SELECT *, year(o_orderdate) >= 1997 AND o_orderkey % 4 < 2 AS hit FROM orders)
 WHERE hit OR o_orderkey % 10 <> 0"""
 
+Q["ledger_fact_sql"], Q["profit_measures_sql"] = Q["ledger_fact"], Q["profit_measures"]
+
+_BODIES = """bodies AS (
+  SELECT event_id, CASE event_id % 11 WHEN 3 THEN substr(body, 1, 12) WHEN 5 THEN '' WHEN 7 THEN '{"error": "forbidden"}'
+    WHEN 9 THEN '{"value": []}' ELSE body END AS body
+  FROM (SELECT event_id, '{"value": [{"id": ' || event_id ||
+          CASE event_id % 4 WHEN 0 THEN ', "k": ' || k WHEN 1 THEN ', "k": "n' || k || '"' WHEN 2 THEN ', "k": {"v":' || k || '}' ELSE '' END
+          || '}, {"id": null}], "next": "' || event_id || '"}' AS body
+        FROM (SELECT event_id, regexp_extract(props, '[0-9]+') AS k FROM events)))"""
+
+Q["rejected_pages"] = f"""WITH {_BODIES}
+SELECT event_id, CASE WHEN body = '' OR NOT json_valid(body) THEN 'not JSON' WHEN NOT json_exists(body, '$.value') THEN 'no ''value'' list' END
+    AS reason,
+  if(json_valid(body) AND body <> '', CAST(json_array_length(body, '$.value') AS INTEGER), NULL) AS n_rows
+FROM bodies"""
+
+Q["variant_rows"] = f"""WITH {_BODIES},
+rows_ AS (
+  SELECT event_id, i, json_extract(body, '$.value[' || i || ']') AS row_
+  FROM bodies, range(2) AS r(i) WHERE json_valid(body) AND body <> '')
+SELECT event_id, CAST(i AS INTEGER) AS pos, CAST(row_ ->> '$.id' AS BIGINT) AS id, row_ ->> '$.k' AS k,
+  CAST(coalesce(json_type(row_, '$.k') IN ('OBJECT', 'VARCHAR'), false) AS INTEGER) AS unfit_as_int
+FROM rows_ WHERE row_ IS NOT NULL"""
+
+Q["day_audit"] = """WITH pulls AS (
+  SELECT strftime(ts, '%Y%m%d') AS load_day, bool_or(event_type = 'error' AND value > 20 AND day(ts) % 4 = 1) AS failed
+  FROM events WHERE day(ts) % 6 <> 0 GROUP BY load_day, user_id % 2)
+SELECT strftime(d, '%Y%m%d') AS load_day,
+  CASE WHEN count(load_day) = 0 THEN 'absent' WHEN bool_and(failed) THEN 'incomplete' ELSE 'complete' END AS status
+FROM (SELECT unnest(generate_series(DATE '2024-01-31' - INTERVAL 35 DAY, DATE '2024-01-30', INTERVAL 1 DAY)) AS d)
+LEFT JOIN pulls ON load_day = strftime(d, '%Y%m%d') GROUP BY d"""
+
 # Every link of a chain is followed by recursion; a page met again ends the walk.
 Q["link_chains"] = """WITH RECURSIVE sized AS (
   SELECT o_orderkey AS k, o_orderkey // 1000 AS chain, o_orderkey % 1000 AS place, 1 + (o_orderkey // 1000) * 37 % 1000 AS size

@@ -26,13 +26,14 @@ from martkit.operators import (
 )
 from martkit.operators.upsert import merge_partitions
 from martkit.plans import control as ctl
-from martkit.plans import derived, ledger
-from martkit.plans.landing import tidy
+from martkit.plans import derived, ledger, views
+from martkit.plans.landing import audit_days, tidy
 from martkit.session import shared_folder
 from martkit.sources import (
     assign_day_window, day_windows, details_for, explode_envelope, follow_links, load,
     pages_until_error, union_pages, window_texts,
 )
+from martkit.sources.page_files import parse_pages, typed, unfit
 
 # Fixed run parameters of the registered queries.
 LEDGER_RUN_TS = dt.datetime(1999, 6, 30, 12, 0, 0)
@@ -205,8 +206,7 @@ def q_string_between(spark, d):
                     F.coalesce(flag, F.lit(0)).alias("is_prev_yr_cost_to_date_amt_flag"))
 
 
-def q_profit_measures(spark, d):
-    t = Tables(spark, d)
+def _supplier_amounts(t: Tables) -> DataFrame:
     ext = c("l_extendedprice")
     g = t.lineitem.groupBy("l_suppkey").agg(
         (-F.sum(to_cents(ext * (1 + c("l_tax"))))).alias("adj_rev_c"),
@@ -221,10 +221,27 @@ def q_profit_measures(spark, d):
                  hundredths(F.when(c("l_suppkey") % 7 == 0, F.lit(0)).otherwise(c("cost_c"))).alias("adj_cost"),
                  hundredths("earned_rev_c").alias("earned_rev"), hundredths("earned_cost_c").alias("earned_cost"),
                  hundredths("actual_rev_c").alias("actual_rev"), hundredths("actual_cost_c").alias("actual_cost"))
+    return g
+
+
+def q_profit_measures(spark, d):
+    g = _supplier_amounts(Tables(spark, d))
     m = ledger.add_profit_measures(g, "adj_rev", "adj_cost", "earned_rev", "earned_cost", "actual_rev", "actual_cost")
     return m.select("l_suppkey", *[x for x in ledger.FACT_COLUMNS if x.startswith("profit_recognition_")])
 
 
+def q_profit_measures_sql(spark, d):
+    _supplier_amounts(Tables(spark, d)).createOrReplaceTempView("supplier_amounts")
+    return spark.sql(f"""SELECT l_suppkey, m.* FROM supplier_amounts s,
+        LATERAL {views.profit_function(spark)}(s.adj_rev, s.adj_cost, s.earned_rev, s.earned_cost, s.actual_rev, s.actual_cost) m""")
+
+
+def q_ledger_fact_sql(spark, d):
+    t = Tables(spark, d)
+    name = views.ledger_function(derived.ledger_inputs({n: getattr(t, n) for n in ["orders", "lineitem", "customer", "nation", "region"]}))
+    return spark.sql(f"SELECT * FROM {name}(run_ts => TIMESTAMP_NTZ '{LEDGER_RUN_TS}')")
+
+
 def q_profit_fanout(spark, d):
     t = Tables(spark, d)
     o = t.orders.select("o_orderkey", F.year("o_orderdate").cast("string").alias("fiscal_year"),
@@ -591,6 +608,44 @@ def q_day_windows(spark, d):
     return j.select("event_id", "start_datetime", "end_datetime", "load_date")
 
 
+def _bodies(events: DataFrame) -> DataFrame:
+    """Events as page texts whose field ``k`` changes its type: a number, text, an object or absent. Some texts are cut
+    off, empty or have no list."""
+    i = c("event_id")
+    k = F.regexp_extract("props", r"\d+", 0)
+    value = (F.when(i % 4 == 0, k).when(i % 4 == 1, F.concat(F.lit('"n'), k, F.lit('"')))
+             .when(i % 4 == 2, F.concat(F.lit('{"v":'), k, F.lit("}"))))
+    row = F.concat(F.lit('{"id": '), i, F.coalesce(F.concat(F.lit(', "k": '), value), F.lit("")), F.lit("}"))
+    body = F.concat(F.lit('{"value": ['), row, F.lit(', {"id": null}], "next": "'), i, F.lit('"}'))
+    return events.select(
+        "event_id", F.when(i % 11 == 3, F.substring(body, 1, 12)).when(i % 11 == 5, F.lit(""))
+        .when(i % 11 == 7, F.lit('{"error": "forbidden"}')).when(i % 11 == 9, F.lit('{"value": []}')).otherwise(body).alias("body"))
+
+
+def q_rejected_pages(spark, d):
+    parsed = parse_pages(_bodies(Tables(spark, d).events), "value")
+    return parsed.select("event_id", c("rejected").alias("reason"), F.size("items").alias("n_rows"))
+
+
+def q_variant_rows(spark, d):
+    # One read, no inference: every value is kept as text, whatever its type on a page.
+    parsed = parse_pages(_bodies(Tables(spark, d).events), "value")
+    rows = parsed.select("event_id", F.posexplode("items").alias("pos", "row"))
+    schema = T.StructType.fromDDL("id bigint, k string")
+    return rows.select("event_id", "pos", typed("row", schema).alias("v"), unfit("row", T.StructType.fromDDL("k int")).alias("unfit_as_int")
+                       ).select("event_id", "pos", "v.id", "v.k", "unfit_as_int")
+
+
+def q_day_audit(spark, d):
+    # Days with a failed chain are incomplete, days without any event absent; a second pull can complete a day.
+    ev = Tables(spark, d).events
+    day = F.date_format("ts", "yyyyMMdd")
+    pulls = ev.filter(F.dayofmonth("ts") % 6 != 0).groupBy(day.alias("load_day"), (c("user_id") % 2).alias("pull")).agg(
+        F.max(F.when((c("event_type") == "error") & (c("value") > 20) & (F.dayofmonth("ts") % 4 == 1), 1).otherwise(0)).alias("failed"))
+    days = pulls.select("load_day", F.when(c("failed") == 1, "incomplete").otherwise("complete").alias("status"))
+    return audit_days(day_windows(spark, EVENTS_RUN_TS, EVENT_DAYS + 5), days)
+
+
 def q_strict_select(spark, d):
     ev = Tables(spark, d).events
     s = strict_select(ev, ["event_id", "ts", "user_id", "event_type"]).withColumnRenamed("event_type", "Activity")
