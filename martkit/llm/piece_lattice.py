@@ -2,26 +2,30 @@
 
 Text: one space is put in front, spaces become U+2581, and the text falls into
 words (a run of U+2581 and what follows up to the next). No piece of the table
-reaches over the end of a word, so each distinct word is solved once:
+reaches over the end of a word, nor over two neighbouring characters that stand
+side by side in no piece: there a word is cut into units, and the best path of a
+word is that of its units, one after the other. Each distinct unit is solved once:
 
-1. Spark collects the distinct words of all documents.
-2. Every word's substrings up to the longest piece are exploded and joined to the
+1. Spark collects the distinct units of all documents.
+2. Every unit's substrings up to the longest piece are exploded and joined to the
    piece table on equality (the table is the vocabulary file, its size is fixed).
    A character that no piece matches becomes an edge of its UTF-8 byte pieces
    with a score below all others.
-3. Edges are grouped by word, and a higher-order ``aggregate`` folds them in order
+3. Edges are grouped by unit, and a higher-order ``aggregate`` folds them in order
    of their ends into the best score of each place (Viterbi); a second one walks
    back. Ties go to the longer last piece.
 4. Documents are dealt into parts of about ``PART_BYTES``; each part gets the ids
-   of its own words, packed, and its documents are put together from them.
+   of its own units, packed, and its documents are put together from them.
 
-The scores are those of the file, and the result has the largest sum of scores.
-For a file made for merging pieces in order of rank this is not always the
-segmentation that merging gives; decoding returns the text in both cases.
+The scores are those of the file, and the result has the largest sum of scores, as in
+a unigram model with this table. For a file made for merging pieces in order of rank
+this is not always the segmentation that merging gives; decoding returns the text in
+both cases.
 
-Defined results: a null or empty text has no ids. Repeated rows give repeated
-rows. Extra columns are ignored. A word's fold takes time with the square of its
-length in characters.
+Defined results: a null or empty text has no ids. Repeated rows give repeated rows.
+Extra columns are ignored. A unit's fold takes time with the square of its length in
+characters. A part holds equal rows of one text (by hash) together with others up to
+``PART_BYTES`` on average; more copies of one text are spread over parts by a row number.
 """
 
 from __future__ import annotations
@@ -40,14 +44,22 @@ from martkit.llm.common import stored
 
 MARK = "▁"
 PART_BYTES = 48 << 20
-WORDS_PER_TASK = 20_000
-WORDS_HELD = 300_000
+UNITS_PER_TASK = 20_000
+#: Different units that a task holds before it hands them on.
+UNITS_HELD = 150_000
+#: A unit's parts are bits of a number, so many at a time.
+PART_BLOCK = 62
 UNKNOWN_PENALTY = 10.0
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((" " + text).replace(" ", MARK)) if text else []
+    if not text:
+        return []
+    marked = MARK + text.replace(" ", MARK)
+    if MARK + MARK in marked or marked[-1] == MARK:
+        return _WORD.findall(marked)
+    return [MARK + word for word in marked[1:].split(MARK)]
 
 
 class Pieces:
@@ -70,52 +82,114 @@ class Pieces:
                 self.output[i] = piece.replace(MARK, " ").encode()
         if any(MARK in piece.lstrip(MARK) for piece, _, _ in self.rows):
             raise ValueError("a piece reaches over the end of a word")
+        self.joined = {a + b for piece, _, _ in self.rows for a, b in zip(piece, piece[1:])}
         self.longest = max(len(piece) for piece, _, _ in self.rows)
         self.unknown = min(score for _, _, score in self.rows) - UNKNOWN_PENALTY
 
 
-def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, start, size, score, id): all edges of each word; id -1 stands for byte pieces."""
-    table = words.sparkSession.createDataFrame(pieces.rows, "piece string, id int, score double")
-    spans = (words.select("word", F.char_length("word").alias("n"))
-             .select("word", "n", F.explode(F.expr("sequence(0, n - 1)")).alias("start"))
-             .select("word", "start", F.explode(F.expr(f"sequence(1, least({pieces.longest}, n - start))")).alias("size"))
-             .withColumn("piece", F.expr("substring(word, start + 1, size)")))
-    return (spans.join(F.broadcast(table), "piece", "left").filter("id IS NOT NULL OR size = 1")
-            .select("word", "start", "size", F.coalesce("score", F.lit(pieces.unknown)).alias("score"),
-                    F.coalesce("id", F.lit(-1)).alias("id")))
-
-
-def best_paths(edges: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, ids): the path with the largest sum of scores through each word's edges."""
-    place = "struct<score: double, size: int, id: int>"
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(
-        F.struct((F.col("start") + F.col("size")).alias("until"), "start", "size", "score", "id"))).alias("edges"))
+class Cutter:
+    """Cuts words where two neighbouring characters stand side by side in no piece."""
+
+    SMALL = 1024
+
+    def __init__(self, joined: set[str]):
+        self.small = np.zeros((self.SMALL, self.SMALL), dtype=bool)
+        large = []
+        for a, b in joined:
+            if max(a, b) < chr(self.SMALL):
+                self.small[ord(a), ord(b)] = True
+            else:
+                large.append(ord(a) << 21 | ord(b))
+        self.large = np.array(sorted(large), dtype=np.int64)
+
+    def _cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The units of all words in order, and the number of units up to the end of each word."""
+        if not words:
+            return [], np.zeros(0, dtype=np.int64)
+        text = "".join(words)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        a, b = codes[:-1], codes[1:]
+        together = np.zeros(len(a), dtype=bool)
+        low = np.maximum(a, b) < self.SMALL
+        together[low] = self.small[a[low], b[low]]
+        high = np.flatnonzero(~low)
+        together[high] = np.isin(a[high] << 21 | b[high], self.large, kind="sort")
+        ends = np.cumsum([len(w) for w in words])
+        cut = np.append(~together, True)
+        cut[ends - 1] = True
+        places = np.flatnonzero(cut) + 1
+        units = [text[x:y] for x, y in zip([0, *places[:-1].tolist()], places.tolist(), strict=True)]
+        return units, np.searchsorted(places, ends) + 1
+
+    def units(self, words: list[str]) -> list[list[str]]:
+        """The units of each word."""
+        units, ends = self._cut(words)
+        return [units[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if words else []
+
+    def distinct(self, words: list[str]) -> set[str]:
+        return set(self._cut(words)[0])
+
+
+_ID_BITS, _SIZE_BITS = 20, 12
+
+
+def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
+    """(number, edge): all edges of each unit (number, unit).
+
+    An edge is one number, in the order of its end and size: end, size and id + 1, where id -1 stands
+    for byte pieces.
+    """
+    table = units.sparkSession.createDataFrame([(p, i + 1) for p, i, _ in pieces.rows], "piece string, code long")
+    spans = (units.select("number", "unit", F.char_length("unit").alias("n"))
+             .select("number", "unit", "n", F.explode(F.expr("sequence(1, n)")).alias("until"))
+             .select("number", "unit", "until", F.explode(F.expr(f"sequence(1, least({pieces.longest}, until))")).alias("size"))
+             .withColumn("piece", F.expr("substring(unit, until - size + 1, size)")))
+    place = F.shiftleft(F.col("until").cast("long"), _ID_BITS + _SIZE_BITS) + F.shiftleft(F.col("size").cast("long"), _ID_BITS)
+    return (spans.join(F.broadcast(table), "piece", "left").filter("code IS NOT NULL OR size = 1")
+            .select("number", (place + F.coalesce("code", F.lit(0).cast("long"))).alias("edge")))
+
+
+def best_paths(edges: DataFrame, units: DataFrame, pieces: Pieces) -> DataFrame:
+    """(unit, ids): the path with the largest sum of scores through each unit's edges."""
+    scores = np.full(max(i for _, i, _ in pieces.rows) + 2, pieces.unknown)
+    for _, i, score in pieces.rows:
+        scores[i + 1] = score
+    score_of = F.split(F.lit(",".join(map(repr, scores.tolist()))), ",").cast("array<double>")     # folded to a constant
+    grouped = edges.groupBy("number").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+
+    def until(edge: Column) -> Column:
+        return F.shiftright(edge, _ID_BITS + _SIZE_BITS).cast("int")
+
+    def size(edge: Column) -> Column:
+        return F.shiftright(edge, _ID_BITS).bitwiseAND((1 << _SIZE_BITS) - 1).cast("int")
+
+    def code(edge: Column) -> Column:
+        return edge.bitwiseAND((1 << _ID_BITS) - 1).cast("int")
 
     def step(best: Column, edge: Column) -> Column:
-        score = best[edge["start"]]["score"] + edge["score"]
-        here = F.array(F.struct(score.alias("score"), edge["size"].alias("size"), edge["id"].alias("id")))
-        return (F.when(F.size(best) == edge["until"], F.concat(best, here))
-                .when(score > best[edge["until"]]["score"], F.concat(F.slice(best, 1, edge["until"]), here))
+        score = best[until(edge) - size(edge)]["score"] + score_of[code(edge)]
+        here = F.array(F.struct(score.alias("score"), edge.alias("edge")))
+        return (F.when(F.size(best) == until(edge), F.concat(best, here))
+                .when(score >= best[until(edge)]["score"], F.concat(F.slice(best, 1, until(edge)), here))
                 .otherwise(best))
 
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("size"), F.lit(0).alias("id")).cast(place))
-    solved = grouped.select("word", F.aggregate("edges", start, step).alias("best"))
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("edge")))
+    solved = grouped.select("number", F.transform(F.aggregate("edges", start, step), lambda x: x["edge"]).alias("best"))
     byte_ids = F.array(*[F.lit(i) for i in pieces.byte_ids])
 
     def back(state: Column, _: Column) -> Column:
         at = state["at"]
         here = F.col("best")[at]
-        letter = F.encode(F.substring(F.col("word"), at, F.lit(1)), "utf-8")
+        letter = F.encode(F.substring(F.col("unit"), at, F.lit(1)), "utf-8")
         as_bytes = F.transform(
             F.sequence(F.lit(1), F.octet_length(letter)),
             lambda i: F.element_at(byte_ids, F.conv(F.hex(F.substring(letter, i, F.lit(1))), 16, 10).cast("int") + 1))
-        ids = F.when(here["id"] >= 0, F.array(here["id"])).otherwise(as_bytes)
-        return F.when(at > 0, F.struct((at - here["size"]).alias("at"), F.concat(ids, state["ids"]).alias("ids"))
+        ids = F.when(code(here) > 0, F.array(code(here) - 1)).otherwise(as_bytes)
+        return F.when(at > 0, F.struct((at - size(here)).alias("at"), F.concat(ids, state["ids"]).alias("ids"))
                       ).otherwise(state)
 
     end = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
-    return solved.select("word", F.aggregate("best", end, back)["ids"].alias("ids"))
+    return units.join(solved, "number").select("unit", F.aggregate("best", end, back)["ids"].alias("ids"))
 
 
 def _pack(columns: dict[str, pa.Array]) -> bytes:
@@ -132,80 +206,97 @@ def _unpack(blobs: list[bytes]) -> Iterator[pa.Table]:
         yield pa.ipc.open_stream(blob).read_all()
 
 
-def _distinct_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (word, part), each once for every ``WORDS_HELD`` words seen."""
-    seen: dict[int, set[str]] = {}
-    held = 0
+def _distinct_units(cutter: Cutter, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (unit, block, bits): the parts that need a unit, each once for every ``UNITS_HELD`` units seen."""
+    words: dict[int, set[str]] = {}
+    units: dict[int, set[str]] = {}
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for part, held in units.items():
+            if held:
+                yield pa.RecordBatch.from_pydict({
+                    "unit": pa.array(list(held), pa.string()),
+                    "block": pa.array(np.full(len(held), part // PART_BLOCK, dtype=np.int32)),
+                    "bits": pa.array(np.full(len(held), 1 << part % PART_BLOCK, dtype=np.int64))})
+        units.clear()
 
-    def rows() -> Iterator[pd.DataFrame]:
-        for part, words in seen.items():
-            if words:
-                yield pd.DataFrame({"word": sorted(words)}).assign(part=np.int32(part))
-        seen.clear()
+    def turn() -> None:
+        for part, held in words.items():
+            units.setdefault(part, set()).update(cutter.distinct(list(held)))
+        words.clear()
 
+    fresh_words = 0
     for batch in batches:
-        for part, text in zip(batch["part"], batch["text"], strict=True):
-            words = seen.setdefault(part, set())
-            held -= len(words)
-            words.update(words_of(text))
-            held += len(words)
-            if held > WORDS_HELD:
-                yield from rows()
-                held = 0
+        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            held = words.setdefault(part, set())
+            fresh_words -= len(held)
+            held.update(words_of(text))
+            fresh_words += len(held)
+            if fresh_words >= UNITS_HELD:
+                turn()
+                fresh_words = 0
+                if sum(map(len, units.values())) >= UNITS_HELD:
+                    yield from rows()
+    turn()
     yield from rows()
 
 
-def _packed_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (part, blob) with the words of each part and their ids."""
+def _packed_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (part, blob) with the units of each part and their ids."""
     for batch in batches:
         ids = [np.asarray(x, dtype="<u4").tobytes() for x in batch["ids"]]
         by_part: dict[int, tuple[list, list]] = {}
-        for word, own, parts in zip(batch["word"], ids, batch["parts"], strict=True):
-            for part in parts.tolist():
-                words, values = by_part.setdefault(part, ([], []))
-                words.append(word)
+        for unit, own, block, bits in zip(batch["unit"], ids, batch["block"].tolist(), batch["bits"].tolist(), strict=True):
+            for part in (block * PART_BLOCK + i for i in range(bits.bit_length()) if bits >> i & 1):
+                units, values = by_part.setdefault(part, ([], []))
+                units.append(unit)
                 values.append(own)
-        rows = [(part, _pack({"word": pa.array(w), "ids": pa.array(v, pa.binary())})) for part, (w, v) in by_part.items()]
-        yield pd.DataFrame(rows, columns=["part", "blob"])
+        for part, (units, values) in by_part.items():
+            blob = _pack({"unit": pa.array(units), "ids": pa.array(values, pa.binary())})
+            yield pd.DataFrame({"part": [part], "blob": [blob]})
 
 
 def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, text_crc32, ids): ids as little-endian unsigned 32-bit numbers, one row per row of ``docs``."""
     pieces = Pieces(path)
+    cutter = Cutter(pieces.joined)
     kind = docs.schema["doc_id"].dataType.simpleString()
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + total // part_bytes
     dealt = docs.select("doc_id", "text",
                         F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(parts)).cast("int")
                         .alias("part"))
-    words = stored(dealt.select("part", "text").mapInPandas(_distinct_words, "word string, part int")
-                   .groupBy("word").agg(F.collect_set("part").alias("parts")))
-    # edges are some twenty times as many as words: small partitions, so that they are sorted in memory
-    spread = words.repartition(1 + words.count() // WORDS_PER_TASK, "word")
-    solved = spread.join(best_paths(lattice(spread.select("word"), pieces), pieces), "word")
-    known = solved.mapInPandas(_packed_words, "part int, blob binary")
+    needs = stored(dealt.select("part", "text").mapInArrow(lambda b: _distinct_units(cutter, b), "unit string, block int, bits long")
+                   .groupBy("unit", "block").agg(F.bit_or("bits").alias("bits")))
+    units = stored(needs.select("unit").distinct().withColumn("number", F.monotonically_increasing_id()))
+    # edges are some twenty times as many as units: small partitions, so that they are sorted in memory
+    spread = units.repartition(1 + units.count() // UNITS_PER_TASK, "number")
+    solved = best_paths(lattice(spread, pieces), spread, pieces)
+    known = needs.join(solved, "unit").select("unit", "ids", "block", "bits").mapInPandas(_packed_units, "part int, blob binary")
 
     def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part = batch.column("part").to_numpy()
-            numbers = np.unique(part).tolist()
-            blobs = [_pack({c: batch.column(c).filter(pa.array(part == p)) for c in ("doc_id", "text")})
-                     for p in numbers]
-            yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), "blob": pa.array(blobs, pa.binary())})
+            for p in np.unique(part).tolist():
+                blob = _pack({c: batch.column(c).filter(pa.array(part == p)) for c in ("doc_id", "text")})
+                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
     texts = dealt.mapInArrow(packed_texts, "part int, blob binary")
 
     def assemble(texts: pa.Table, known: pa.Table) -> pa.Table:
         ids: dict[str, bytes] = {}
         for table in _unpack(known.column("blob").to_pylist()):
-            ids.update(zip(table.column("word").to_pylist(), table.column("ids").to_pylist(), strict=True))
+            ids.update(zip(table.column("unit").to_pylist(), table.column("ids").to_pylist(), strict=True))
         made = []
         for table in _unpack(texts.column("blob").to_pylist()):
             rows = table.column("text").to_pylist()
+            split = [words_of(t) for t in rows]
+            new = list(set().union(*split))
+            whole = {w: b"".join([ids[u] for u in units]) for w, units in zip(new, cutter.units(new), strict=True)}
             made.append(pa.table({
                 "doc_id": table.column("doc_id"),
                 "text_crc32": pa.array([zlib.crc32((t or "").encode()) for t in rows], pa.int64()),
-                "ids": pa.array([b"".join([ids[w] for w in words_of(t)]) for t in rows], pa.binary())}))
+                "ids": pa.array([b"".join([whole[w] for w in words]) for words in split], pa.binary())}))
         return pa.concat_tables(made).combine_chunks()
 
     return texts.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
