@@ -24,8 +24,7 @@ both cases.
 
 Defined results: a null or empty text has no ids. Repeated rows give repeated rows.
 Extra columns are ignored. A unit's fold takes time with the square of its length in
-characters. A part holds equal rows of one text (by hash) together with others up to
-``PART_BYTES`` on average; more copies of one text are spread over parts by a row number.
+characters. Equal rows travel as one row and a count, so copies make no part larger.
 """
 
 from __future__ import annotations
@@ -37,16 +36,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.common import stored
 
 MARK = "▁"
-PART_BYTES = 48 << 20
+PART_BYTES = 20 << 20
+#: Bytes of texts that a task packs at a time.
+BLOB_BYTES = 4 << 20
 UNITS_PER_TASK = 20_000
 #: Different units that a task holds before it hands them on.
-UNITS_HELD = 150_000
+UNITS_HELD = 120_000
 #: A unit's parts are bits of a number, so many at a time.
 PART_BLOCK = 62
 UNKNOWN_PENALTY = 10.0
@@ -209,28 +211,29 @@ def _unpack(blobs: list[bytes]) -> Iterator[pa.Table]:
 def _distinct_units(cutter: Cutter, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (unit, block, bits): the parts that need a unit, each once for every ``UNITS_HELD`` units seen."""
     words: dict[int, set[str]] = {}
-    units: dict[int, set[str]] = {}
+    units: dict[int, dict[str, int]] = {}
 
     def rows() -> Iterator[pa.RecordBatch]:
-        for part, held in units.items():
-            if held:
-                yield pa.RecordBatch.from_pydict({
-                    "unit": pa.array(list(held), pa.string()),
-                    "block": pa.array(np.full(len(held), part // PART_BLOCK, dtype=np.int32)),
-                    "bits": pa.array(np.full(len(held), 1 << part % PART_BLOCK, dtype=np.int64))})
+        for block, bits in units.items():
+            yield pa.RecordBatch.from_pydict({
+                "unit": pa.array(list(bits), pa.string()), "block": pa.array(np.full(len(bits), block, dtype=np.int32)),
+                "bits": pa.array(np.fromiter(bits.values(), dtype=np.int64, count=len(bits)))})
         units.clear()
 
     def turn() -> None:
         for part, held in words.items():
-            units.setdefault(part, set()).update(cutter.distinct(list(held)))
+            bits, bit = units.setdefault(part // PART_BLOCK, {}), 1 << part % PART_BLOCK
+            for unit in cutter.distinct(list(held)):
+                bits[unit] = bits.get(unit, 0) | bit
         words.clear()
 
     fresh_words = 0
     for batch in batches:
-        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            held = words.setdefault(part, set())
+        parts, texts = batch.column("part").to_numpy(), batch.column("text")
+        for row in range(batch.num_rows):
+            held = words.setdefault(int(parts[row]), set())
             fresh_words -= len(held)
-            held.update(words_of(text))
+            held.update(words_of(texts[row].as_py()))
             fresh_words += len(held)
             if fresh_words >= UNITS_HELD:
                 turn()
@@ -276,10 +279,17 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
 
     def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part = batch.column("part").to_numpy()
-            for p in np.unique(part).tolist():
-                blob = _pack({c: batch.column(c).filter(pa.array(part == p)) for c in ("doc_id", "text")})
-                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([blob], pa.binary())})
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+            cuts = np.unique([0, *np.searchsorted(sizes, np.arange(BLOB_BYTES, sizes[-1] if len(sizes) else 0, BLOB_BYTES)),
+                              batch.num_rows]).tolist()
+            for first, end in zip(cuts, cuts[1:], strict=False):
+                rows = pa.Table.from_batches([batch.slice(first, end - first)])
+                once = rows.group_by(["part", "doc_id", "text"]).aggregate([([], "count_all")])
+                part = once.column("part").to_numpy()
+                for p in np.unique(part).tolist():
+                    own = once.filter(pa.array(part == p))
+                    blob = _pack({c: own.column(c).combine_chunks() for c in ("doc_id", "text", "count_all")})
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
     texts = dealt.mapInArrow(packed_texts, "part int, blob binary")
 
@@ -287,20 +297,24 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
         ids: dict[str, bytes] = {}
         for table in _unpack(known.column("blob").to_pylist()):
             ids.update(zip(table.column("unit").to_pylist(), table.column("ids").to_pylist(), strict=True))
+        rows = pa.concat_tables(_unpack(texts.column("blob").to_pylist()))
+        rows = rows.group_by(["doc_id", "text"]).aggregate([("count_all", "sum")])
         made = []
-        for table in _unpack(texts.column("blob").to_pylist()):
-            rows = table.column("text").to_pylist()
-            split = [words_of(t) for t in rows]
+        for batch in rows.to_batches(max_chunksize=2_000):
+            own = batch.column("text").to_pylist()
+            split = [words_of(t) for t in own]
             new = list(set().union(*split))
             whole = {w: b"".join([ids[u] for u in units]) for w, units in zip(new, cutter.units(new), strict=True)}
             made.append(pa.table({
-                "doc_id": table.column("doc_id"),
-                "text_crc32": pa.array([zlib.crc32((t or "").encode()) for t in rows], pa.int64()),
+                "doc_id": batch.column("doc_id"), "copies": batch.column("count_all_sum"),
+                "text_crc32": pa.array([zlib.crc32((t or "").encode()) for t in own], pa.int64()),
                 "ids": pa.array([b"".join([whole[w] for w in words]) for words in split], pa.binary())}))
         return pa.concat_tables(made).combine_chunks()
 
-    return texts.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
-        assemble, f"doc_id {kind}, text_crc32 long, ids binary")
+    encoded = texts.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
+        assemble, f"doc_id {kind}, copies long, text_crc32 long, ids binary")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return encoded.select("doc_id", "text_crc32", "ids", copies.alias("copy")).drop("copy")
 
 
 def decode_column(ids: Column, path: str) -> Column:
