@@ -8,9 +8,10 @@ point, and so on. Capacities are the row count divided evenly (the first
 
 Only counts meet on the driver: one number per cell, ``CELLS`` at most whatever
 the input. From them follows how many keys of each cell go to which shard; keys
-of a cell are told apart by their rank (ordered by id, checksum and size), and a
-cell is a small slice of the keys. A key's slot in its shard follows from the
-same table, so no shard is gathered in one task.
+of a cell are told apart by their rank (ordered by id, checksum and size). A cell
+is a small slice of the keys; one with more than ``CELL_ROWS`` rows (many rows with
+one id, or none) is ranked in blocks of rows, behind each other. A key's slot in its
+shard follows from the same table, so neither a shard nor a cell is gathered in one task.
 
 Defined results: a null id counts as the empty string, a null text as zero bytes.
 Rows that repeat an id share a cell and get ranks of their own. An empty table
@@ -24,9 +25,13 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martkit.llm.common import stored
+
 CELLS = 1 << 16
 VNODES = 64
 OVERHEAD_BYTES = 8
+#: Rows of a cell that one task ranks, on average.
+CELL_ROWS = 100_000
 
 
 def cell_of(key: Column) -> Column:
@@ -80,18 +85,27 @@ def allocate(counts: dict[int, int], shards: int, vnodes: int = VNODES) -> list[
     return out
 
 
-def shard_rows(docs: DataFrame, shards: int = 24, vnodes: int = VNODES) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = 24, vnodes: int = VNODES, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot), one row per row of ``docs``."""
     spark = docs.sparkSession
-    counts = {r["cell"]: r["count"] for r in docs.groupBy(cell_of(F.col("doc_id")).alias("cell")).count().collect()}
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # stored, so that row numbers stay what they are
+    keyed = stored(docs.select("doc_id", cell_of(F.col("doc_id")).alias("cell"),
+                               (F.octet_length(text) + OVERHEAD_BYTES).cast("long").alias("size"),
+                               F.crc32(text).alias("text_crc32"))).withColumn("row", F.monotonically_increasing_id())
+    counts = {r["cell"]: r["count"] for r in keyed.groupBy("cell").count().collect()}
     parts = spark.createDataFrame(allocate(counts, shards, vnodes),
                                   "cell int, first long, until long, shard int, base long")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select("doc_id", cell_of(F.col("doc_id")).alias("cell"),
-                        (F.octet_length(text) + OVERHEAD_BYTES).cast("long").alias("size"),
-                        F.crc32(text).alias("text_crc32"))
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size")) - 1
-    ranked = keyed.withColumn("rank", rank)
+    # at most CELLS rows
+    large = spark.createDataFrame([(c, -(-n // cell_rows)) for c, n in counts.items() if n > cell_rows], "cell int, blocks long")
+    block = F.coalesce(F.pmod(F.xxhash64("row"), F.col("blocks")), F.lit(0).cast("long"))
+    dealt = keyed.join(F.broadcast(large), "cell", "left").withColumn("block", block)
+    held = stored(dealt.filter("blocks IS NOT NULL").groupBy("cell", "block").count())
+    before = F.sum("count").over(Window.partitionBy("cell").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = held.select("cell", "block", F.coalesce(before, F.lit(0)).alias("ahead"))
+    rank = F.row_number().over(Window.partitionBy("cell", "block").orderBy("doc_id", "text_crc32", "size", "row")) - 1
+    ranked = (dealt.withColumn("own", rank).join(ahead, ["cell", "block"], "left")
+              .withColumn("rank", F.col("own") + F.coalesce("ahead", F.lit(0))))
     # at most CELLS + shards * points rows, by construction of the ring
     return (ranked.join(F.broadcast(parts), "cell").filter("rank >= first AND rank < until")
             .select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("rank") - F.col("first")).alias("slot")))
