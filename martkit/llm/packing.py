@@ -7,11 +7,12 @@ over all residual gaps of (number of open bins with that gap) squared becomes
 smallest; ties go to the tightest bin, then to an open one.
 
 Spark tokenizes whole texts where they are read and checkpoints one narrow row
-for each piece. The pieces are dealt by hash into buckets of about
-``BUCKET_ROWS`` rows, so a bucket's work is bounded and the number of buckets
-grows with the input; each bucket is packed on its own, in the order of a hash.
-Pieces of at most an eighth of the capacity come last, largest first: they fill
-the gaps that the others leave open.
+for each piece. The pieces are dealt by a hash of the piece and its row number
+into buckets of about ``BUCKET_ROWS`` rows, so a bucket's work is bounded (equal
+rows are spread too) and the number of buckets grows with the input. Each bucket
+is packed on its own, in two orders, of which the one with fewer bins stays: by
+falling length, and in the order of the hash with pieces of at most an eighth of
+the capacity last, largest first, to fill the gaps that the others leave open.
 
 Ids are those of the ``tokenizers`` file at ``path``; its merges are applied by
 tiktoken's faster merge loop over the same vocabulary (the tests compare both).
@@ -171,14 +172,20 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, bucket_rows: int
     found = cut(pieces(docs, path, capacity))
     buckets = max(1, -(-found.count() // bucket_rows))
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    draw = F.xxhash64(*names)
-    dealt = found.withColumn("bucket", F.pmod(draw, F.lit(buckets))).withColumn("draw", draw)
+    # the pieces are stored, so their row numbers stay what they are
+    numbered = found.withColumn("draw", F.xxhash64(*names, F.monotonically_increasing_id()))
+    dealt = numbered.withColumn("bucket", F.pmod("draw", F.lit(buckets)))
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        last = np.where(rows["length"] * 8 <= capacity, capacity - rows["length"], -1)
-        rows = rows.assign(last=last).sort_values(["last", "draw", *names], kind="stable")
-        place, offset = sum_of_squares(rows["length"].to_numpy(), capacity)
-        return rows[names].assign(sequence_id=place + (int(rows["bucket"].iloc[0]) << 40), offset=offset)
+        rows = rows.sort_values("draw", kind="stable")
+        length = rows["length"].to_numpy()
+        small = np.where(length * 8 <= capacity, capacity - length, -1)
+        tries = []
+        for order in (np.argsort(-length, kind="stable"), np.argsort(small, kind="stable")):
+            place, offset = sum_of_squares(length[order], capacity)
+            tries.append((place.max(), order, place, offset))
+        _, order, place, offset = min(tries, key=lambda t: t[0])
+        return rows[names].iloc[order].assign(sequence_id=place + (int(rows["bucket"].iloc[0]) << 40), offset=offset)
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     return dealt.groupBy("bucket").applyInPandas(
