@@ -253,6 +253,10 @@ def predict_column(model: Model, text: Column) -> Column:
     return verdict.asNondeterministic()(F.when(text.rlike(r"\p{L}"), text))
 
 
+#: Ranges of hashes in which the rows of a language are ranked first.
+RANK_RANGES = 64
+
+
 def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[str, str]]:
     """At most ``per_lang`` passages for each language of ``docs``.
 
@@ -263,10 +267,14 @@ def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[str,
     draw = F.xxhash64(F.col("doc_id").cast("string"))
     spare = F.greatest(F.length("text") - F.lit(PASSAGE_CHARS), F.lit(0)) + F.lit(1)
     passage = F.substring("text", (F.pmod(draw, spare) + F.lit(1)).cast("int"), F.lit(PASSAGE_CHARS))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "passage"))
-    rows = (known.select("lang", draw.alias("draw"), passage.alias("passage"))
-            .withColumn("rank", rank).filter(F.col("rank") <= per_lang))
-    return [(r["lang"], r["passage"]) for r in rows.collect()]
+    rows = known.select("lang", draw.alias("draw"), passage.alias("passage"))
+    # in two steps, so that a language with a third of all rows is not ranked in one task: the lowest draws of
+    # each range of hashes first, then the lowest of those, whose number does not grow
+    rows = rows.withColumn("range", F.pmod(F.hash("draw"), F.lit(RANK_RANGES)))
+    for keys in (["lang", "range"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("draw", "passage"))
+        rows = rows.withColumn("rank", rank).filter(F.col("rank") <= per_lang)
+    return [(r["lang"], r["passage"]) for r in rows.select("lang", "passage").collect()]
 
 
 def held_out(doc_id: Column) -> Column:
