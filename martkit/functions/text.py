@@ -9,8 +9,9 @@ Two CONCAT flavours exist in warehouse SQL and both are needed:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def as_col(c) -> Column:
@@ -56,3 +57,18 @@ def left_of_number(c, n: int) -> Column:
     """First ``n`` characters of a whole number's text (casts through bigint so
     a double such as 202301.0 cannot leak its decimal point)."""
     return F.substring(as_col(c).cast("bigint").cast("string"), 1, n)
+
+
+def _collated(df: DataFrame, collation: str) -> DataFrame:
+    return df.select(*[F.collate(f.name, collation).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def without_case(df: DataFrame) -> DataFrame:
+    """Text columns that compare, join and group without regard to case (``UTF8_LCASE``)."""
+    return _collated(df, "UTF8_LCASE")
+
+
+def with_case(df: DataFrame) -> DataFrame:
+    """Text columns that compare exactly again."""
+    return _collated(df, "UTF8_BINARY")

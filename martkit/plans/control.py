@@ -16,10 +16,12 @@ and Spark broadcasts them by size.  "One best index per table" is an aggregate;
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from martkit.functions.text import bracket, concat_blank, concat_strict, underscore_spaces
+from martkit.functions.text import (
+    bracket, concat_blank, concat_strict, underscore_spaces, with_case, without_case,
+)
 from martkit.operators.aggregates import group_ordered_texts, sum_nonzero
 from martkit.operators.joins import (
     best_row_per_key, left_join_distinct, left_lookup, listed_flag, require_unique,
@@ -71,16 +73,11 @@ def merge_text(clause_list: Column) -> Column:
     return concat_blank(MERGE_HEAD, clause_list, MERGE_TAIL)
 
 
-def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame, columns: DataFrame,
-                       info_columns: DataFrame, partitions: DataFrame, indexes: DataFrame,
-                       index_columns: DataFrame, source_db: DataFrame, delta_columns: DataFrame,
-                       exclusions: DataFrame, inclusions: DataFrame, check_lookups: bool = False) -> DataFrame:
-    """The control table, one row per (client, database, schema, table).
-
-    A lookup entry that occurs twice repeats the columns it matches in the
-    generated text; ``check_lookups`` fails the job instead (delta columns,
-    block list, allow list, and one id per database name).
-    """
+def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, columns: DataFrame,
+                    info_columns: DataFrame, partitions: DataFrame, indexes: DataFrame,
+                    index_columns: DataFrame, source_db: DataFrame, delta_columns: DataFrame,
+                    exclusions: DataFrame, inclusions: DataFrame, check_lookups: bool = False) -> DataFrame:
+    """One row per column of every user table, with all lookups and flags; nothing is dropped yet."""
     c = F.col
     if check_lookups:
         delta_columns = require_unique(delta_columns, ["SourceName", "TableName", "DeltaColumn", "ClientName",
@@ -205,6 +202,45 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
               (c("ClientName"), "ClientName")], "ColumnNameForExclusion", None),
     ], "ExcludeColumn")
 
+    return t
+
+
+def drop_metrics() -> list[Column]:
+    """What the control table leaves out or cannot look up, counted over the rows of :func:`control_columns`."""
+    def rows(condition: Column, name: str) -> Column:
+        return F.count_if(condition).alias(name)
+
+    c, named = F.col, F.col("c_name").isNotNull()
+    return [F.count(F.lit(1)).alias("column_rows"), rows(~named, "tables_without_columns"),
+            rows(c("ExcludeColumn") != 0, "excluded_columns"), rows(named & c("OrdinalPosition").isNull(), "columns_without_position"),
+            rows(c("t_name").isNull(), "rows_without_table"), rows(c("s_name").isNull(), "rows_without_schema"),
+            rows(c("d_SourceSystemName").isNull(), "rows_without_source"), rows(c("ExcludeTable") == 1, "rows_of_inactive_tables")]
+
+
+def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame, columns: DataFrame,
+                       info_columns: DataFrame, partitions: DataFrame, indexes: DataFrame,
+                       index_columns: DataFrame, source_db: DataFrame, delta_columns: DataFrame,
+                       exclusions: DataFrame, inclusions: DataFrame, check_lookups: bool = False,
+                       case_insensitive: bool = False, observation: Observation | None = None) -> DataFrame:
+    """The control table, one row per (client, database, schema, table).
+
+    A lookup entry that occurs twice repeats the columns it matches in the
+    generated text; ``check_lookups`` fails the job instead (delta columns,
+    block list, allow list, and one id per database name).
+
+    ``case_insensitive``: names that differ in case only are equal in every lookup, group and
+    comparison (collated strings, as in the original's database); which spelling a group
+    shows is then open. ``observation`` receives :func:`drop_metrics` while the result is
+    computed, without a pass of its own.
+    """
+    c = F.col
+    inputs = [objects, schemas, tables, columns, info_columns, partitions, indexes, index_columns, source_db,
+              delta_columns, exclusions, inclusions]
+    if case_insensitive:
+        inputs = [without_case(df) for df in inputs]
+    t = control_columns(*inputs, check_lookups=check_lookups)
+    if observation is not None:
+        t = t.observe(observation, *drop_metrics())
     # Per-column pieces.
     has_key_col = c("ic_column_id").isNotNull()
     t = t.withColumns({
@@ -246,7 +282,7 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
                        "g_StagingDataFileName": staging_name(schema, table),
                        "g_PrimaryKeyFileName": staging_name(schema, table, primary_key=True)})
     row_count = F.coalesce(c("g_SourceRowCount"), F.lit(0))
-    return g.select(
+    out = g.select(
         c("g_ClientName").alias("ClientName"), c("g_DataLakeName").alias("DataLakeName"),
         c("g_SourceDataStructure").alias("SourceDataStructure"),
         c("g_SourceSystemName").alias("SourceSystemName"), c("g_SourceServerName").alias("SourceServerName"),
@@ -264,3 +300,4 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         c("_max_delta").alias("DeltaColumn"),
         F.lit(None).cast("string").alias("DeltaValue"),
         F.lit(SEQUENCE_NUMBER).alias("SequenceNumber"))
+    return with_case(out) if case_insensitive else out

@@ -601,6 +601,27 @@ SELECT strftime(d, '%Y%m%d') AS load_day,
 FROM (SELECT unnest(generate_series(DATE '2024-01-31' - INTERVAL 35 DAY, DATE '2024-01-30', INTERVAL 1 DAY)) AS d)
 LEFT JOIN pulls ON load_day = strftime(d, '%Y%m%d') GROUP BY d"""
 
+_TEXTS = ["ClientName", "DataLakeName", "SourceDataStructure", "SourceSystemName", "SourceServerName", "SourceDatabaseName",
+          "SourceSchemaName", "SourceTableName", "SourceSelectStatement", "SourceSelectPKStatement", "PrimaryKeyMergeStatement",
+          "StagingDataFileName", "PrimaryKeyFileName", "DeltaColumn", "DeltaValue"]
+Q["control_table_nocase"] = (f"SELECT * REPLACE ({', '.join(f'lower({t}) AS {t}' for t in _TEXTS)}) "
+                             f"FROM ({Q['control_table']})")
+
+# --- what the control table leaves out; keys of the block and allow lists as in control_table
+Q["control_drops"] = """WITH tabs AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'P'),
+cols AS (SELECT k, n FROM tabs LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber AS n FROM lineitem) ON l_orderkey = k),
+blocked AS (SELECT n_nationkey * 2 + n_nationkey % 2 AS k, if(n_nationkey % 5 = 0, n_nationkey % 7 + 1, NULL) AS n FROM nation),
+allowed AS (SELECT n_nationkey * 6 + 1 AS k FROM nation WHERE n_nationkey % 4 <> 0),
+marked AS (
+  SELECT cols.*, EXISTS (SELECT 1 FROM blocked b WHERE b.k = cols.k AND b.n = cols.n) AS gone,
+    EXISTS (SELECT 1 FROM blocked b WHERE b.k = cols.k AND b.n IS NULL)
+      OR (k % 6 = 1 AND (k % 4 = 3 OR k NOT IN (SELECT k FROM allowed))) AS inactive
+  FROM cols)
+SELECT count(*) AS column_rows, count(*) FILTER (n IS NULL) AS tables_without_columns, count(*) FILTER (gone) AS excluded_columns,
+  count(*) FILTER (n > 6 OR (n IS NOT NULL AND k % 4 = 3)) AS columns_without_position, CAST(0 AS BIGINT) AS rows_without_table,
+  count(*) FILTER (k % 4 = 3) AS rows_without_schema, CAST(0 AS BIGINT) AS rows_without_source, count(*) FILTER (inactive) AS rows_of_inactive_tables
+FROM marked"""
+
 # Every link of a chain is followed by recursion; a page met again ends the walk.
 Q["link_chains"] = """WITH RECURSIVE sized AS (
   SELECT o_orderkey AS k, o_orderkey // 1000 AS chain, o_orderkey % 1000 AS place, 1 + (o_orderkey // 1000) * 37 % 1000 AS size

@@ -493,6 +493,25 @@ def q_control_table(spark, d):
     return ctl.control_statements(**m)
 
 
+def q_control_drops(spark, d):
+    # Rows that the control table leaves out, or whose lookups find nothing.
+    from martkit.plans import catalog
+    return ctl.control_columns(**catalog.catalog_tables(Tables(spark, d))).agg(*ctl.drop_metrics())
+
+
+def q_control_table_nocase(spark, d):
+    # The catalog's tables spell their names in different cases; the texts are compared in lower case, as the
+    # spelling that a group shows is open.
+    from martkit.plans import catalog
+    upper = {"objects": ["ClientName"], "tables": ["ServerName", "name"], "columns": ["ServerName", "name"], "indexes": ["DatabaseName"],
+             "partitions": ["ClientName"], "exclusions": ["TableNameForExclusion", "SourceName"],
+             "inclusions": ["ClientName", "TableNameForInclusion"], "delta_columns": ["DeltaColumn"], "source_db": ["ServerName"]}
+    m = {name: df.withColumns({x: F.upper(x) for x in upper.get(name, [])})
+         for name, df in catalog.catalog_tables(Tables(spark, d)).items()}
+    out = ctl.control_statements(**m, case_insensitive=True)
+    return out.select(*[F.lower(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name for f in out.schema])
+
+
 # --- upsert (M1-M5) -----------------------------------------------------------
 
 def _sales_lines(o: DataFrame, stamp: bool) -> DataFrame:
