@@ -44,11 +44,9 @@ from martkit.llm.common import stored
 
 MARK = "▁"
 PART_BYTES = 20 << 20
-#: Bytes of texts that a task packs at a time.
-BLOB_BYTES = 4 << 20
+#: Bytes of texts that a task handles at a time.
+SLICE_BYTES = 6 << 20
 UNITS_PER_TASK = 20_000
-#: Different units that a task holds before it hands them on.
-UNITS_HELD = 120_000
 #: A unit's parts are bits of a number, so many at a time.
 PART_BLOCK = 62
 UNKNOWN_PENALTY = 10.0
@@ -104,7 +102,7 @@ class Cutter:
                 large.append(ord(a) << 21 | ord(b))
         self.large = np.array(sorted(large), dtype=np.int64)
 
-    def _cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+    def cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
         """The units of all words in order, and the number of units up to the end of each word."""
         if not words:
             return [], np.zeros(0, dtype=np.int64)
@@ -125,12 +123,9 @@ class Cutter:
 
     def units(self, words: list[str]) -> list[list[str]]:
         """The units of each word."""
-        units, ends = self._cut(words)
+        units, ends = self.cut(words)
         return [units[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if words else []
 
-    def distinct(self, words: list[str]) -> set[str]:
-        return set(self._cut(words)[0])
-
 
 _ID_BITS, _SIZE_BITS = 20, 12
 
@@ -194,69 +189,124 @@ def best_paths(edges: DataFrame, units: DataFrame, pieces: Pieces) -> DataFrame:
     return units.join(solved, "number").select("unit", F.aggregate("best", end, back)["ids"].alias("ids"))
 
 
-def _pack(columns: dict[str, pa.Array]) -> bytes:
-    batch = pa.RecordBatch.from_pydict(columns)
+def _pack(table: pa.Table | pa.RecordBatch) -> bytes:
     codec = pa.Codec("zstd", compression_level=6)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
-        out.write_batch(batch)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
+        out.write(table)
     return sink.getvalue().to_pybytes()
 
 
-def _unpack(blobs: list[bytes]) -> Iterator[pa.Table]:
-    for blob in blobs:
-        yield pa.ipc.open_stream(blob).read_all()
+def _unpack(blobs: pa.ChunkedArray) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(blob.as_buffer()).read_all() for blob in blobs])
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with texts of about ``SLICE_BYTES`` together."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+    steps = np.arange(SLICE_BYTES, sizes[-1] if len(sizes) else 0, SLICE_BYTES)
+    cuts = np.unique([0, *(np.searchsorted(sizes, steps) + 1), batch.num_rows]).tolist()
+    return (batch.slice(first, end - first) for first, end in zip(cuts, cuts[1:], strict=False))
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the runs that begin at ``starts``, one run after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+class _Words:
+    """The words of some texts, each distinct one with its units.
+
+    ``row`` and ``code`` tell for every word in order its text and its number; the units of word ``w``
+    are ``unit_of[first[w]:first[w] + size[w]]``, numbers into ``units``.
+    """
+
+    def __init__(self, texts: pa.Array, cutter: Cutter):
+        marked = pc.replace_substring(pc.fill_null(texts, ""), " ", MARK)
+        # a word is a mark and what follows; only runs of marks need the pattern
+        odd = pc.or_(pc.match_substring(marked, MARK + MARK),
+                     pc.or_(pc.starts_with(marked, MARK), pc.ends_with(marked, MARK))).to_numpy(zero_copy_only=False)
+        empty = pc.equal(pc.binary_length(marked), 0).to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(~odd & ~empty)
+        lists = pc.split_pattern(marked.take(pa.array(plain)), MARK)
+        rows, parts = [plain[pc.list_parent_indices(lists).to_numpy()]], [pc.list_flatten(lists)]
+        for row in np.flatnonzero(odd).tolist():
+            found = [w[1:] for w in words_of(texts[row].as_py())]
+            rows.append(np.full(len(found), row))
+            parts.append(pa.array(found, pa.string()))
+        row = np.concatenate(rows)
+        coded = pa.chunked_array(parts, pa.string()).combine_chunks().dictionary_encode()
+        order = np.argsort(row, kind="stable")
+        self.row, self.code = row[order], coded.indices.to_numpy()[order].astype(np.int64)
+        found, ends = cutter.cut([MARK + w for w in coded.dictionary.to_pylist()])
+        units = pa.array(found, pa.string()).dictionary_encode()
+        self.units, self.unit_of = units.dictionary, units.indices.to_numpy().astype(np.int64)
+        self.first = np.r_[0, ends[:-1]].astype(np.int64) if len(ends) else np.zeros(0, dtype=np.int64)
+        self.size = ends - self.first
 
 
 def _distinct_units(cutter: Cutter, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, block, bits): the parts that need a unit, each once for every ``UNITS_HELD`` units seen."""
-    words: dict[int, set[str]] = {}
-    units: dict[int, dict[str, int]] = {}
-
-    def rows() -> Iterator[pa.RecordBatch]:
-        for block, bits in units.items():
-            yield pa.RecordBatch.from_pydict({
-                "unit": pa.array(list(bits), pa.string()), "block": pa.array(np.full(len(bits), block, dtype=np.int32)),
-                "bits": pa.array(np.fromiter(bits.values(), dtype=np.int64, count=len(bits)))})
-        units.clear()
-
-    def turn() -> None:
-        for part, held in words.items():
-            bits, bit = units.setdefault(part // PART_BLOCK, {}), 1 << part % PART_BLOCK
-            for unit in cutter.distinct(list(held)):
-                bits[unit] = bits.get(unit, 0) | bit
-        words.clear()
-
-    fresh_words = 0
+    """Rows (unit, block, bits): the parts that need a unit."""
     for batch in batches:
-        parts, texts = batch.column("part").to_numpy(), batch.column("text")
-        for row in range(batch.num_rows):
-            held = words.setdefault(int(parts[row]), set())
-            fresh_words -= len(held)
-            held.update(words_of(texts[row].as_py()))
-            fresh_words += len(held)
-            if fresh_words >= UNITS_HELD:
-                turn()
-                fresh_words = 0
-                if sum(map(len, units.values())) >= UNITS_HELD:
-                    yield from rows()
-    turn()
-    yield from rows()
-
-
-def _packed_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _slices(batch):
+            words = _Words(rows.column("text"), cutter)
+            part = rows.column("part").to_numpy().astype(np.int64)
+            parts = int(part.max(initial=0)) + 1
+            word, own = np.divmod(np.unique(words.code * parts + part[words.row]), parts)
+            unit = words.unit_of[_spread(words.first[word], words.size[word])]
+            key = np.unique(unit * parts + np.repeat(own, words.size[word]))
+            unit, own = np.divmod(key, parts)
+            block = own // PART_BLOCK
+            change = np.flatnonzero(np.r_[len(key) > 0, (np.diff(unit) != 0) | (np.diff(block) != 0)]) if len(key) else []
+            if len(change):
+                bits = np.bitwise_or.reduceat(np.int64(1) << own % PART_BLOCK, change)
+                yield pa.RecordBatch.from_arrays(
+                    [words.units.take(pa.array(unit[change])), pa.array(block[change].astype(np.int32)), pa.array(bits)],
+                    names=["unit", "block", "bits"])
+
+
+def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (part, blob) with the units of each part and their ids."""
     for batch in batches:
-        ids = [np.asarray(x, dtype="<u4").tobytes() for x in batch["ids"]]
-        by_part: dict[int, tuple[list, list]] = {}
-        for unit, own, block, bits in zip(batch["unit"], ids, batch["block"].tolist(), batch["bits"].tolist(), strict=True):
-            for part in (block * PART_BLOCK + i for i in range(bits.bit_length()) if bits >> i & 1):
-                units, values = by_part.setdefault(part, ([], []))
-                units.append(unit)
-                values.append(own)
-        for part, (units, values) in by_part.items():
-            blob = _pack({"unit": pa.array(units), "ids": pa.array(values, pa.binary())})
-            yield pd.DataFrame({"part": [part], "blob": [blob]})
+        table = pa.table({"unit": batch.column("unit"), "ids": batch.column("ids").cast(pa.list_(pa.uint32()))})
+        block, bits = batch.column("block").to_numpy(), batch.column("bits").to_numpy()
+        for b in np.unique(block).tolist():
+            for i in range(PART_BLOCK):
+                mine = np.flatnonzero((block == b) & (bits >> i & 1 == 1))
+                if len(mine):
+                    yield pa.RecordBatch.from_pydict({"part": pa.array([b * PART_BLOCK + i], pa.int32()),
+                                                      "blob": pa.array([_pack(table.take(pa.array(mine)))], pa.binary())})
+
+
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, blob) with the texts of each part; equal rows are one row with a count."""
+    for batch in batches:
+        for rows in _slices(batch):
+            once = pa.Table.from_batches([rows]).group_by(["part", "doc_id", "text"]).aggregate([([], "count_all")])
+            part = once.column("part").to_numpy()
+            for p in np.unique(part).tolist():
+                own = once.filter(pa.array(part == p)).select(["doc_id", "text", "count_all"])
+                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own)], pa.binary())})
+
+
+def _ids_of(texts: pa.Array, known: pa.Table, cutter: Cutter) -> pa.Array:
+    """The ids of each text as bytes; ``known`` (unit, ids) has every unit."""
+    words = _Words(texts, cutter)
+    at = pc.index_in(words.units, value_set=known.column("unit")).to_numpy(zero_copy_only=False)
+    if len(at) and np.isnan(at.astype(float)).any():
+        raise ValueError("a unit without ids")
+    lists = known.column("ids").combine_chunks()
+    flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    unit = at.astype(np.int64)[words.unit_of]
+    start, size = offsets[unit], offsets[unit + 1] - offsets[unit]
+    by_word = flat[_spread(start, size)]                              # ids of every distinct word in a row
+    ends = np.r_[0, np.cumsum(size)]
+    start, size = ends[words.first], ends[words.first + words.size] - ends[words.first]
+    count = size[words.code]
+    ids = by_word[_spread(start[words.code], count)].astype("<u4")
+    ends = 4 * np.cumsum(np.bincount(words.row, count, minlength=len(texts)).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.r_[0, ends].astype(np.int64)),
+                                                                 pa.py_buffer(ids.tobytes())]).cast(pa.binary())
 
 
 def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -275,40 +325,20 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
     # edges are some twenty times as many as units: small partitions, so that they are sorted in memory
     spread = units.repartition(1 + units.count() // UNITS_PER_TASK, "number")
     solved = best_paths(lattice(spread, pieces), spread, pieces)
-    known = needs.join(solved, "unit").select("unit", "ids", "block", "bits").mapInPandas(_packed_units, "part int, blob binary")
-
-    def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
-            cuts = np.unique([0, *np.searchsorted(sizes, np.arange(BLOB_BYTES, sizes[-1] if len(sizes) else 0, BLOB_BYTES)),
-                              batch.num_rows]).tolist()
-            for first, end in zip(cuts, cuts[1:], strict=False):
-                rows = pa.Table.from_batches([batch.slice(first, end - first)])
-                once = rows.group_by(["part", "doc_id", "text"]).aggregate([([], "count_all")])
-                part = once.column("part").to_numpy()
-                for p in np.unique(part).tolist():
-                    own = once.filter(pa.array(part == p))
-                    blob = _pack({c: own.column(c).combine_chunks() for c in ("doc_id", "text", "count_all")})
-                    yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([blob], pa.binary())})
-
-    texts = dealt.mapInArrow(packed_texts, "part int, blob binary")
+    known = needs.join(solved, "unit").select("unit", "ids", "block", "bits").mapInArrow(_packed_units, "part int, blob binary")
+    texts = dealt.mapInArrow(_packed_texts, "part int, blob binary")
 
     def assemble(texts: pa.Table, known: pa.Table) -> pa.Table:
-        ids: dict[str, bytes] = {}
-        for table in _unpack(known.column("blob").to_pylist()):
-            ids.update(zip(table.column("unit").to_pylist(), table.column("ids").to_pylist(), strict=True))
-        rows = pa.concat_tables(_unpack(texts.column("blob").to_pylist()))
-        rows = rows.group_by(["doc_id", "text"]).aggregate([("count_all", "sum")])
+        solved = _unpack(known.column("blob")) if known.num_rows else pa.table(
+            {"unit": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.uint32()))})
+        rows = _unpack(texts.column("blob")).group_by(["doc_id", "text"]).aggregate([("count_all", "sum")])
         made = []
-        for batch in rows.to_batches(max_chunksize=2_000):
-            own = batch.column("text").to_pylist()
-            split = [words_of(t) for t in own]
-            new = list(set().union(*split))
-            whole = {w: b"".join([ids[u] for u in units]) for w, units in zip(new, cutter.units(new), strict=True)}
-            made.append(pa.table({
-                "doc_id": batch.column("doc_id"), "copies": batch.column("count_all_sum"),
-                "text_crc32": pa.array([zlib.crc32((t or "").encode()) for t in own], pa.int64()),
-                "ids": pa.array([b"".join([whole[w] for w in words]) for words in split], pa.binary())}))
+        for batch in rows.combine_chunks().to_batches():
+            for part in _slices(batch):
+                crc = [zlib.crc32(t.as_buffer() or b"") for t in part.column("text").cast(pa.binary())]
+                made.append(pa.table({
+                    "doc_id": part.column("doc_id"), "copies": part.column("count_all_sum"), "text_crc32": pa.array(crc, pa.int64()),
+                    "ids": _ids_of(part.column("text"), solved, cutter)}))
         return pa.concat_tables(made).combine_chunks()
 
     encoded = texts.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
