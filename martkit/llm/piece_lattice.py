@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from martkit.llm.common import stored
 
 MARK = "▁"
-PART_BYTES = 20 << 20
+PART_BYTES = 12 << 20
 #: Bytes of texts that a task handles at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 UNITS_PER_TASK = 20_000
 #: A unit's parts are bits of a number, so many at a time.
 PART_BLOCK = 62
@@ -96,7 +96,7 @@ class Cutter:
         self.small = np.zeros((self.SMALL, self.SMALL), dtype=bool)
         large = []
         for a, b in joined:
-            if max(a, b) < chr(self.SMALL):
+            if max(a, b) < chr(self.SMALL - 1):
                 self.small[ord(a), ord(b)] = True
             else:
                 large.append(ord(a) << 21 | ord(b))
@@ -107,13 +107,12 @@ class Cutter:
         if not words:
             return [], np.zeros(0, dtype=np.int64)
         text = "".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
         a, b = codes[:-1], codes[1:]
-        together = np.zeros(len(a), dtype=bool)
-        low = np.maximum(a, b) < self.SMALL
-        together[low] = self.small[a[low], b[low]]
-        high = np.flatnonzero(~low)
-        together[high] = np.isin(a[high] << 21 | b[high], self.large, kind="sort")
+        last = np.uint32(self.SMALL - 1)
+        together = self.small[np.minimum(a, last), np.minimum(b, last)]
+        high = np.flatnonzero(np.maximum(a, b) >= last)
+        together[high] = np.isin(a[high].astype(np.int64) << 21 | b[high], self.large, kind="sort")
         ends = np.cumsum([len(w) for w in words])
         cut = np.append(~together, True)
         cut[ends - 1] = True
@@ -250,19 +249,24 @@ def _distinct_units(cutter: Cutter, batches: Iterator[pa.RecordBatch]) -> Iterat
     for batch in batches:
         for rows in _slices(batch):
             words = _Words(rows.column("text"), cutter)
-            part = rows.column("part").to_numpy().astype(np.int64)
-            parts = int(part.max(initial=0)) + 1
-            word, own = np.divmod(np.unique(words.code * parts + part[words.row]), parts)
-            unit = words.unit_of[_spread(words.first[word], words.size[word])]
-            key = np.unique(unit * parts + np.repeat(own, words.size[word]))
-            unit, own = np.divmod(key, parts)
-            block = own // PART_BLOCK
-            change = np.flatnonzero(np.r_[len(key) > 0, (np.diff(unit) != 0) | (np.diff(block) != 0)]) if len(key) else []
-            if len(change):
-                bits = np.bitwise_or.reduceat(np.int64(1) << own % PART_BLOCK, change)
+            part = rows.column("part").to_numpy().astype(np.int64)[words.row]
+            block, bit = part // PART_BLOCK, np.int64(1) << part % PART_BLOCK
+            order = np.argsort(block, kind="stable")
+            word_bits, unit_bits = np.zeros(len(words.first), dtype=np.int64), np.zeros(len(words.units), dtype=np.int64)
+            for mine in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+                if not len(mine):
+                    continue
+                np.bitwise_or.at(word_bits, words.code[mine], bit[mine])
+                word = np.flatnonzero(word_bits)
+                np.bitwise_or.at(unit_bits, words.unit_of[_spread(words.first[word], words.size[word])],
+                                 np.repeat(word_bits[word], words.size[word]))
+                unit = np.flatnonzero(unit_bits)
                 yield pa.RecordBatch.from_arrays(
-                    [words.units.take(pa.array(unit[change])), pa.array(block[change].astype(np.int32)), pa.array(bits)],
-                    names=["unit", "block", "bits"])
+                    [words.units.take(pa.array(unit)), pa.array(np.full(len(unit), block[mine[0]], dtype=np.int32)),
+                     pa.array(unit_bits[unit])], names=["unit", "block", "bits"])
+                word_bits[word] = 0
+                unit_bits[unit] = 0
+    pa.default_memory_pool().release_unused()
 
 
 def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,6 +343,7 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
                 made.append(pa.table({
                     "doc_id": part.column("doc_id"), "copies": part.column("count_all_sum"), "text_crc32": pa.array(crc, pa.int64()),
                     "ids": _ids_of(part.column("text"), solved, cutter)}))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(made).combine_chunks()
 
     encoded = texts.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
