@@ -20,9 +20,11 @@ reach of a string around it: ``LENGTH - GRAM`` bytes before and behind the gram.
 3. What is found for a context holds for all its occurrences; spans are merged for
    each text, and the bytes are removed.
 
-Grams shared by more than ``MAX_CONTEXTS`` different contexts are not gathered in
-one task: their contexts are spread into all their strings of ``LENGTH`` bytes,
-which Spark counts; a string counted twice is a repeat. Results are the same.
+A gram shared by more than ``MAX_CONTEXTS`` different contexts is not scanned by one
+task: a repeat of ``LENGTH`` bytes there goes on for half of the remaining bytes behind the
+gram, or for the other half before it, so its contexts are dealt anew by the bytes of
+either half, and groups that are still larger again, until the tree of every group fits
+a task or the group shares ``LENGTH`` bytes as a whole. Results are the same at any bound.
 Texts are named by 128 bits of their hash, contexts by gram and context hash.
 
 Defined results: a null text counts as empty. Texts shorter than ``LENGTH`` stay.
@@ -228,8 +230,8 @@ def _contexts(wanted: DataFrame, docs: DataFrame, gram: int) -> DataFrame:
 
 
 def _scan(frame: pd.DataFrame, reach: int, gram: int) -> pd.DataFrame:
-    frame = frame.drop_duplicates(["gram", "context"], ignore_index=True)
-    left, right = extents(frame["gram"].to_numpy(), [bytes(x)[::-1] for x in frame["left"]],
+    frame = frame.drop_duplicates(["group", "context"], ignore_index=True)
+    left, right = extents(frame["group"].to_numpy(), [bytes(x)[::-1] for x in frame["left"]],
                           [bytes(x) for x in frame["right"]], reach)
     found = left >= 0
     return pd.DataFrame({"gram": frame["gram"][found], "context": frame["context"][found],
@@ -238,7 +240,7 @@ def _scan(frame: pd.DataFrame, reach: int, gram: int) -> pd.DataFrame:
 
 
 def interval_extents(contexts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(gram, context, before, behind): how far each context is repeated, by the interval tree."""
+    """(gram, context, before, behind): how far each context is repeated in its group, by the interval tree."""
     reach = length - gram
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -246,36 +248,48 @@ def interval_extents(contexts: DataFrame, length: int = LENGTH, gram: int = GRAM
         for frame in frames:
             if held is not None:
                 frame = pd.concat([held, frame], ignore_index=True)
-            tail = (frame["gram"] == frame["gram"].iloc[-1]).to_numpy()
+            tail = (frame["group"] == frame["group"].iloc[-1]).to_numpy()
             held = frame[tail]
             if not tail.all():
                 yield _scan(frame[~tail], reach, gram)
         if held is not None:
             yield _scan(held, reach, gram)
 
-    return (contexts.repartition("gram").sortWithinPartitions("gram", "right", "context")
+    return (contexts.select("group", "gram", "context", "left", "right").repartition("group")
+            .sortWithinPartitions("group", "right", "context")
             .mapInPandas(scan, "gram long, context long, before int, behind int"))
 
 
-def counted_extents(contexts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The same by counting every string of ``length`` bytes around the gram."""
-    reach = length - gram
-
-    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            rows = []
-            for g, c, left, right in frame[["gram", "context", "left", "right"]].itertuples(index=False):
-                for x in range(max(0, reach - len(right)), min(len(left), reach) + 1):
-                    part = bytes(left[len(left) - x:]) + bytes(right[:reach - x])
-                    rows.append((g, c, x, int.from_bytes(xxhash.xxh3_64_digest(part), "little", signed=True)))
-            yield pd.DataFrame(rows, columns=["gram", "context", "before", "string"]).astype(
-                {"gram": "int64", "context": "int64", "before": "int32", "string": "int64"})
+def split_extents(contexts: DataFrame, length: int = LENGTH, gram: int = GRAM,
+                  max_contexts: int = MAX_CONTEXTS) -> DataFrame:
+    """The same for grams of more than ``max_contexts`` contexts: groups are split until a task can scan them.
 
-    spread = stored(contexts.dropDuplicates(["gram", "context"])
-                    .mapInPandas(strings, "gram long, context long, before int, string long"))
-    twice = stored(spread.groupBy("gram", "before", "string").count().filter("count > 1").drop("count"))
-    return (spread.join(twice, ["gram", "before", "string"], "left_semi").groupBy("gram", "context")
-            .agg(F.max("before").alias("before"), (F.lit(length) - F.min("before")).cast("int").alias("behind")))
+    The members of a group share ``x`` bytes before the gram and ``y`` behind it. With r bytes missing for a
+    repeat, a pair that repeats shares half of r more behind the gram, or else more than the other half before it.
+    """
+    reach = length - gram
+    rows = stored(contexts.dropDuplicates(["gram", "context"]).select(
+        F.col("gram").alias("group"), F.lit(0).alias("x"), F.lit(0).alias("y"), "gram", "context", "left", "right"))
+    parts: list[DataFrame] = []
+    while True:
+        half = F.ceil((reach - F.col("x") - F.col("y")) / 2).cast("int")
+        behind = rows.withColumn("y", F.col("y") + half).filter(F.octet_length("right") >= F.col("y"))
+        before = rows.withColumn("x", reach - F.col("y") - half + 1).filter(F.octet_length("left") >= F.col("x"))
+        dealt = behind.withColumn("group", F.xxhash64("group", F.lit(1), F.expr("substring(right, 1, y)"))).union(
+            before.withColumn("group", F.xxhash64("group", F.lit(0), F.expr("substring(left, octet_length(left) - x + 1, x)"))))
+        dealt = stored(dealt)
+        sizes = stored(dealt.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1"))
+        shared = dealt.join(sizes, "group")
+        whole = F.col("x") + F.col("y") >= reach
+        parts.append(shared.filter(whole).select("gram", "context", F.col("x").alias("before"), (F.col("y") + gram).alias("behind")))
+        parts.append(interval_extents(shared.filter(~whole & (F.col("n") <= max_contexts)), length, gram))
+        rows = stored(shared.filter(~whole & (F.col("n") > max_contexts)).select(*rows.columns))
+        if rows.isEmpty():
+            break
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
@@ -295,9 +309,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         pick = shared.filter(F.col("kinds") > max_contexts if wide else F.col("kinds") <= max_contexts)
         text = _contexts(pick, docs, gram)
         if not wide:
-            parts.append(interval_extents(text, length, gram))
+            parts.append(interval_extents(text.withColumn("group", F.col("gram")), length, gram))
         elif not pick.isEmpty():
-            parts.append(counted_extents(text, length, gram))
+            parts.append(split_extents(text, length, gram, max_contexts))
     parts.append(contexts.filter("uses > 1").select("gram", "context", "one.before", "one.behind"))
     extent = parts[0]
     for part in parts[1:]:
@@ -309,34 +323,39 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     return spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("span")).alias("spans"))
 
 
-def removed(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
-    """Bytes removed, runs removed and SHA-256 of the rest; ``spans`` sorted."""
-    kept = hashlib.sha256()
+def removed(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
+    """Bytes removed, runs removed and the rest; ``spans`` sorted."""
+    kept = []
     gone = runs = end = 0
     for start, until in spans:
         if runs == 0 or start > end:
-            kept.update(data[end:start])
+            kept.append(data[end:start])
             gone += until - start
             runs += 1
             end = until
         elif until > end:
             gone += until - end
             end = until
-    kept.update(data[end:])
-    return gone, runs, kept.hexdigest()
+    kept.append(data[end:])
+    return gone, runs, b"".join(kept)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                    max_contexts: int = MAX_CONTEXTS) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row of ``docs``."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text), one row per row of ``docs``.
+
+    ``kept_text`` are the remaining bytes as text; a character cut in two shows as U+FFFD.
+    """
     joined = _keyed(docs).join(repeats(docs, length, gram, max_contexts), ["k1", "k2"], "left")
 
-    @F.pandas_udf("struct<n_removed: long, n_spans: long, kept_sha256: string>")
+    @F.pandas_udf("struct<n_removed: long, n_spans: long, kept_sha256: string, kept_text: string>")
     def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for data, spans in batches:
-            rows = [removed(bytes(d), [(x["from"], x["until"]) for x in s] if s is not None else [])
-                    for d, s in zip(data, spans, strict=True)]
-            yield pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256"])
+            rows = []
+            for d, s in zip(data, spans, strict=True):
+                gone, runs, kept = removed(bytes(d), [(x["from"], x["until"]) for x in s] if s is not None else [])
+                rows.append((gone, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
+            yield pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     return (joined.select("doc_id", F.octet_length("data").cast("long").alias("n_bytes"),
                           apply.asNondeterministic()("data", "spans").alias("done"))

@@ -227,7 +227,7 @@ def test_repeated_words_of_a_large_vocabulary():
     assert quality_trees.repeated_words(["a", "b", "c", "a", "b"]) == 0
 
 
-@pytest.mark.parametrize("most", [1, 20_000])
+@pytest.mark.parametrize("most", [1, 7, 20_000])
 def test_repeats(spark, most):
     rng = random.Random(9)
     shared = "".join(rng.choice("abcd") for _ in range(120))
