@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martkit.sources.sinks import discard
+
 
 def fresh(df: DataFrame, base: str) -> str:
     """A column name starting with ``base`` that ``df`` does not have (names compare case-insensitively)."""
@@ -48,10 +52,24 @@ def utf8_bytes(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+_scratch: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside go when the block is left: write what depends on them before that."""
+    ensure_checkpoint_dir(spark)
+    _scratch.append(f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        discard(spark, _scratch.pop())
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back (compressed, by column)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    path = f"{_scratch[-1] if _scratch else spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
