@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.llm import chunk_recipes, language_id, packing, secret_forest, simhash_gray
-from martkit.llm.common import ensure_checkpoint_dir, fresh
+from martkit.llm.common import ensure_checkpoint_dir, fresh, scratch
 from martkit.llm.queries import TOKENIZER
+from martkit.sources.sinks import discard
 
 #: A document goes if its language is undetermined or its pooled probability is below this. With more than
 #: ``CLASSES`` languages the bound falls, so that it stays the same multiple of an even guess.
@@ -73,11 +74,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table, with files in the shared checkpoint folder between them."""
+    """All stages over the whole ``documents`` table, with files in the shared checkpoint folder between them.
+
+    What a stage stored for itself goes when its result is written, and its input with it.
+    """
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            discard(spark, f"{folder}/{before}")
+        before = name
     return docs

@@ -16,5 +16,5 @@ def test_entry_flagship(spark):
 def test_queries_and_oracles_pair_up():
     qs, sql = entry_mod.queries(), entry_mod.oracle_sql()
     own = set(REGISTRY)
-    assert len(own) == 40 and own <= set(qs) and own <= set(sql) <= set(qs)
+    assert len(own) == 49 and own <= set(qs) and own <= set(sql) <= set(qs)
     assert all(callable(f) for f in qs.values()) and all(isinstance(s, str) and s.strip() for s in sql.values())
