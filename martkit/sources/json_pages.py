@@ -9,21 +9,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkit.functions.text import as_col
+from martkit.sources.page_files import PAGE_FILE, ddl, page_files, parse_pages, typed
 
 
 def read_envelope(spark: SparkSession, path: str, field: str, item_schema: T.StructType,
-                  extra: T.StructType | None = None) -> DataFrame:
+                  extra: T.StructType | None = None, keep_rejected: bool = False) -> DataFrame:
     """Read landed response files whose rows sit in a list under ``field``
     (e.g. ``value``) and return one row per list element.
 
     The schema is given, never inferred, so a page without some key gives
     NULL for it.  ``extra`` top-level fields (e.g. a continuation link)
-    are kept next to the rows.
+    are kept next to the rows.  A page that is not JSON or has no such list fails
+    the job when its rows are read; with ``keep_rejected`` it gives one row instead, with its
+    file and reason in ``page_file`` and ``rejected`` (NULL on the rows of good pages).
     """
-    fields = [T.StructField(field, T.ArrayType(item_schema))] + (list(extra.fields) if extra else [])
-    pages = spark.read.schema(T.StructType(fields)).option("multiLine", True).json(path)
-    keep = [F.col(f.name) for f in (extra.fields if extra else [])]
-    return pages.select(*keep, F.explode(F.col(field)).alias("_e")).select(*keep, "_e.*")
+    pages = parse_pages(page_files(spark, path), field)
+    outer = [F.try_variant_get("page", f"$['{f.name}']", ddl(f.dataType)).alias(f.name) for f in (extra.fields if extra else [])]
+    names = [f.name for f in (extra.fields if extra else [])]
+    if keep_rejected:
+        items = F.when(F.col("rejected").isNull(), F.col("items")).otherwise(F.array(F.lit(None).cast("variant")))
+        names += [PAGE_FILE, "rejected"]
+        outer += [F.col(PAGE_FILE), F.col("rejected")]
+    else:
+        message = F.concat(F.col(PAGE_FILE), F.lit(": "), F.col("rejected"))
+        items = F.when(F.col("rejected").isNull(), F.col("items")).otherwise(F.raise_error(message).cast("array<variant>"))
+    rows = pages.select(*outer, F.explode(items).alias("_row"))
+    return rows.select(*names, typed("_row", item_schema).alias("_e")).select(*names, "_e.*")
 
 
 def explode_envelope(df: DataFrame, text_col: str, field: str, item_schema: T.StructType,

@@ -30,6 +30,19 @@ def test_read_envelope_missing_keys_are_null(spark, tmp_dir):
     assert rows(out, "id", "n", "continuationUri") == [("a", 1, "next"), ("b", None, "next"), ("c", 3, None)]
 
 
+def test_read_envelope_reports_bad_pages(spark, tmp_dir):
+    import pytest
+    put(f"{tmp_dir}/p/1.json", {"value": [{"id": "a"}], "next": "n"})
+    put(f"{tmp_dir}/p/2.json", {"error": 1})
+    cut_page(f"{tmp_dir}/p/3.json")
+    schema, extra = T.StructType.fromDDL("id string"), T.StructType.fromDDL("next string")
+    with pytest.raises(Exception, match="no 'value' list|not JSON"):
+        read_envelope(spark, f"{tmp_dir}/p", "value", schema, extra).collect()
+    out = read_envelope(spark, f"{tmp_dir}/p", "value", schema, extra, keep_rejected=True).collect()
+    assert sorted((os.path.basename(r.page_file), r.rejected, r.id, r.next) for r in out) == [
+        ("1.json", None, "a", "n"), ("2.json", "no 'value' list", None, None), ("3.json", "not JSON", None, None)]
+
+
 def test_pages_until_error(spark):
     chains = {
         "whole": ([(1, 200, "n"), (2, 200, "n"), (3, 200, None)], [1, 2, 3], True),
@@ -212,8 +225,6 @@ def test_bad_pages_are_reported_and_listed(spark, tmp_dir):
     status = landing.land_all(spark, landed, out, RUN, endpoints=("groups", "datasets"))
     assert status["groups"].startswith("partial: ") and "2.json" in status["groups"]
     assert status["datasets"] == "written" and status["datasources"].startswith("failed: 1 of 1 pages rejected")
-    again = landing.land_pages(spark, f"{landed}/none", f"{out}/x", RUN) if os.path.exists(f"{landed}/none") else None
-    assert again is None
 
 
 def test_a_failed_or_empty_run_keeps_what_was_landed(spark, tmp_dir):
@@ -264,7 +275,7 @@ def test_activity_bad_pages_and_day_audit(spark, tmp_dir):
     cut_page(f"{landed}/load_day=20240128/p1.json")                               # nothing else of that day
     assert landing.land_activity(spark, landed, out) == {"complete": True, "incomplete": True}
     bad = spark.read.parquet(f"{out}_rejected").collect()
-    assert sorted(r.page_file[-29:] for r in bad) == ["/load_day=20240128/p1.json"[-29:], "/load_day=20240129/p2.json"[-29:]] or len(bad) == 2
+    assert sorted(r.page_file.rpartition("/landed/")[2] for r in bad) == ["load_day=20240128/p1.json", "load_day=20240129/p2.json"]
     assert [r.Id for r in spark.read.parquet(f"{out}_incomplete").collect()] == ["b-1"]
     audit = landing.audit_days(day_windows(spark, RUN, 5), spark.read.parquet(f"{out}_days"))
     assert rows(audit, "load_day", "status") == [
