@@ -107,3 +107,60 @@ def test_lookup_checks_and_missing_column_names(spark):
     # A table without columns keeps its row, with no statement; no text holds an item without a name.
     none = plain.filter("SourceSelectStatement is null")
     assert none.count() > 0 and plain.filter("SourceSelectStatement like '% AS  %'").count() == 0
+
+
+def test_names_that_differ_in_case_are_equal_on_request(spark):
+    # The columns keep their spelling; client, table and exclusion names are spelt differently in each table.
+    cat = catalog(spark, [("erp", "ORDERS", "ORDER ID", None)])
+    cat["columns"] = cat["columns"].withColumn("ClientName", F.lit("CL"))
+    cat["info_columns"] = cat["info_columns"].withColumn("TABLE_NAME", F.upper("TABLE_NAME"))
+    cat["delta_columns"] = cat["delta_columns"].withColumn("DeltaColumn", F.lower("DeltaColumn"))
+    plain = {r.SourceTableName: r for r in control_statements(**cat).collect()}
+    assert plain["Orders"].SourceSelectStatement is None                         # no column of client "cl"
+    out = control_statements(**cat, case_insensitive=True)
+    assert all("COLLATE" not in f.dataType.simpleString().upper() for f in out.schema)
+    o = {r.SourceTableName: r for r in out.collect()}["Orders"]
+    assert o.SourceSelectStatement == "SELECT \n\t\t[Amount] AS [Amount]" + tail()
+    assert o.PrimaryKeyMergeStatement == "\n\t\t\n\t\t\t" and o.DeltaColumn == "amount"
+
+
+def test_observed_drops_equal_the_counted_ones(spark):
+    from pyspark.sql import Observation
+
+    from martkit.plans.control import control_columns, drop_metrics
+    cat = catalog(spark, [("ERP", "Orders", "Amount", None)])
+    cat["columns"] = cat["columns"].filter("object_id = 1")
+    seen = Observation()
+    assert control_statements(**cat, observation=seen).count() == 2
+    counted = control_columns(**cat).agg(*drop_metrics()).first().asDict()
+    assert seen.get == counted
+    assert counted == {"column_rows": 3, "tables_without_columns": 1, "excluded_columns": 1, "columns_without_position": 0,
+                       "rows_without_table": 0, "rows_without_schema": 0, "rows_without_source": 0, "rows_of_inactive_tables": 0}
+
+
+def test_hot_names_and_wide_tables(spark):
+    """Objects without a catalog row share the NULL name; a wide table's texts are built in chunks, in order."""
+    cat, n, wide = catalog(spark), 3000, 1000
+    ids = spark.range(100, 100 + n)
+    keys = [F.lit(5).alias("database_id"), F.lit("srv").alias("ServerName"), F.lit("cl").alias("ClientName")]
+    cat["objects"] = cat["objects"].unionByName(ids.select(
+        F.col("id").cast("int").alias("object_id"), F.lit(1).alias("schema_id"), F.lit("db").alias("DatabaseName"),
+        F.lit("USER_TABLE").alias("type_desc"), *keys))
+    columns = spark.range(wide).select(F.lit(2).alias("object_id"), (F.col("id") + 10).cast("int").alias("column_id"),
+                                       F.concat(F.lit("c"), F.col("id")).alias("name"), *keys)
+    cat["columns"] = cat["columns"].unionByName(columns)
+    cat["info_columns"] = cat["info_columns"].unionByName(columns.filter("column_id % 3 = 0").select(
+        F.lit("dbo").alias("TABLE_SCHEMA"), F.lit("Empty").alias("TABLE_NAME"), F.col("name").alias("COLUMN_NAME"),
+        (5000 - F.col("column_id")).alias("ORDINAL_POSITION"), *keys))
+    out = control_statements(**cat)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "collect_list" not in plan
+    got = {r.SourceTableName: r for r in out.collect()}
+    assert set(got) == {"Orders", "Empty", None}
+    ids = [10 + i for i in range(wide)]
+    order = [i for i in ids if i % 3] + sorted((i for i in ids if i % 3 == 0), key=lambda i: 5000 - i)
+    names = ["x"] + [f"c{i - 10}" for i in order]                                # x has position 1
+    missing = [f"c{i - 10}" for i in order if i % 3]
+    names = missing + ["x"] + names[1 + len(missing):]
+    listed = "\n\t\t, ".join(f"[{c}] AS [{c}]" for c in names)
+    assert got["Empty"].SourceSelectStatement == f"SELECT \n\t\t{listed}" + tail(table="[dbo].[Empty]")
