@@ -102,30 +102,40 @@ class Cutter:
                 large.append(ord(a) << 21 | ord(b))
         self.large = np.array(sorted(large), dtype=np.int64)
 
-    def cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+    def cut(self, words: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
         """The units of all words in order, and the number of units up to the end of each word."""
-        if not words:
-            return [], np.zeros(0, dtype=np.int64)
-        text = "".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        sizes = pc.utf8_length(words).to_numpy()
+        data = "".encode() if not len(words) else _text_bytes(words)
+        if not len(data):
+            return pa.array([], pa.string()), np.zeros(len(words), dtype=np.int64)
+        codes = np.frombuffer(str(data, "utf-8").encode("utf-32-le"), dtype="<u4")
         a, b = codes[:-1], codes[1:]
         last = np.uint32(self.SMALL - 1)
         together = self.small[np.minimum(a, last), np.minimum(b, last)]
         high = np.flatnonzero(np.maximum(a, b) >= last)
         together[high] = np.isin(a[high].astype(np.int64) << 21 | b[high], self.large, kind="sort")
-        ends = np.cumsum([len(w) for w in words])
+        ends = np.cumsum(sizes)
         cut = np.append(~together, True)
         cut[ends - 1] = True
         places = np.flatnonzero(cut) + 1
-        units = [text[x:y] for x, y in zip([0, *places[:-1].tolist()], places.tolist(), strict=True)]
+        letters = np.flatnonzero((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)      # the first byte of every letter
+        offsets = np.append(0, np.append(letters, len(data))[places]).astype(np.int32)
+        units = pa.StringArray.from_buffers(len(places), pa.py_buffer(offsets), pa.py_buffer(data))
         return units, np.searchsorted(places, ends) + 1
 
     def units(self, words: list[str]) -> list[list[str]]:
         """The units of each word."""
-        units, ends = self.cut(words)
+        units, ends = self.cut(pa.array(words, pa.string()))
+        units = units.to_pylist()
         return [units[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if words else []
 
 
+def _text_bytes(texts: pa.StringArray) -> bytes:
+    """The UTF-8 bytes of all texts in a row (none is null)."""
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32, count=len(texts) + 1, offset=4 * texts.offset)
+    return texts.buffers()[2].to_pybytes()[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else b""
+
+
 _ID_BITS, _SIZE_BITS = 20, 12
 
 
@@ -237,8 +247,8 @@ class _Words:
         coded = pa.chunked_array(parts, pa.string()).combine_chunks().dictionary_encode()
         order = np.argsort(row, kind="stable")
         self.row, self.code = row[order], coded.indices.to_numpy()[order].astype(np.int64)
-        found, ends = cutter.cut([MARK + w for w in coded.dictionary.to_pylist()])
-        units = pa.array(found, pa.string()).dictionary_encode()
+        found, ends = cutter.cut(pc.binary_join_element_wise(MARK, coded.dictionary, ""))
+        units = found.dictionary_encode()
         self.units, self.unit_of = units.dictionary, units.indices.to_numpy().astype(np.int64)
         self.first = np.r_[0, ends[:-1]].astype(np.int64) if len(ends) else np.zeros(0, dtype=np.int64)
         self.size = ends - self.first
@@ -293,29 +303,54 @@ def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own)], pa.binary())})
 
 
-def _ids_of(texts: pa.Array, known: pa.Table, cutter: Cutter) -> pa.Array:
-    """The ids of each text as bytes; ``known`` (unit, ids) has every unit."""
+def _ids_of(texts: pa.Array, known: pa.Table, cutter: Cutter) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, and the number of ids up to the end of each; ``known`` (unit, ids) has every unit."""
     words = _Words(texts, cutter)
-    at = pc.index_in(words.units, value_set=known.column("unit")).to_numpy(zero_copy_only=False)
-    if len(at) and np.isnan(at.astype(float)).any():
+    at = pc.index_in(words.units, value_set=known.column("unit"))
+    if at.null_count:
         raise ValueError("a unit without ids")
     lists = known.column("ids").combine_chunks()
     flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-    unit = at.astype(np.int64)[words.unit_of]
+    unit = at.to_numpy()[words.unit_of]
     start, size = offsets[unit], offsets[unit + 1] - offsets[unit]
     by_word = flat[_spread(start, size)]                              # ids of every distinct word in a row
     ends = np.r_[0, np.cumsum(size)]
     start, size = ends[words.first], ends[words.first + words.size] - ends[words.first]
     count = size[words.code]
     ids = by_word[_spread(start[words.code], count)].astype("<u4")
-    ends = 4 * np.cumsum(np.bincount(words.row, count, minlength=len(texts)).astype(np.int64))
-    return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.r_[0, ends].astype(np.int64)),
-                                                                 pa.py_buffer(ids.tobytes())]).cast(pa.binary())
+    return ids, np.cumsum(np.bincount(words.row, count, minlength=len(texts)).astype(np.int64))
+
+
+def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary array of the runs of ``values`` that end at ``ends``."""
+    offsets = (np.r_[0, ends] * values.itemsize).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())]
+                                 ).cast(pa.binary())
+
+
+class _Output:
+    """The bytes of every piece, to turn many ids into text at once."""
+
+    def __init__(self, output: list[bytes]):
+        self.data = np.frombuffer(b"".join(output), dtype=np.uint8)
+        self.size = np.array([len(x) for x in output], dtype=np.int64)
+        self.first = np.cumsum(self.size) - self.size
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The text of each run of ``ids``, without the space in front."""
+        size = self.size[ids]
+        data = self.data[_spread(self.first[ids], size)].tobytes()
+        at = np.r_[0, np.cumsum(size)][np.r_[0, ends]].tolist()
+        return [data[a + 1:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(doc_id, text_crc32, ids): ids as little-endian unsigned 32-bit numbers, one row per row of ``docs``."""
+    """(doc_id, text_crc32, ids, round_trip), one row per row of ``docs``.
+
+    ``ids`` are little-endian unsigned 32-bit numbers; ``round_trip`` tells whether decoding them gives the text.
+    """
     pieces = Pieces(path)
+    output = _Output(pieces.output)
     cutter = Cutter(pieces.joined)
     kind = docs.schema["doc_id"].dataType.simpleString()
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -339,27 +374,31 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
         made = []
         for batch in rows.combine_chunks().to_batches():
             for part in _slices(batch):
-                crc = [zlib.crc32(t.as_buffer() or b"") for t in part.column("text").cast(pa.binary())]
+                ids, ends = _ids_of(part.column("text"), solved, cutter)
+                own = pc.fill_null(part.column("text"), "").cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
                 made.append(pa.table({
-                    "doc_id": part.column("doc_id"), "copies": part.column("count_all_sum"), "text_crc32": pa.array(crc, pa.int64()),
-                    "ids": _ids_of(part.column("text"), solved, cutter)}))
+                    "doc_id": part.column("doc_id"), "copies": part.column("count_all_sum"),
+                    "text_crc32": pa.array([zlib.crc32(t) for t in own], pa.int64()), "ids": _blobs(ids, ends),
+                    "round_trip": pa.array([a == b for a, b in zip(own, output.texts(ids, ends), strict=True)], pa.bool_())}))
         pa.default_memory_pool().release_unused()
         return pa.concat_tables(made).combine_chunks()
 
     encoded = texts.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
-        assemble, f"doc_id {kind}, copies long, text_crc32 long, ids binary")
+        assemble, f"doc_id {kind}, copies long, text_crc32 long, ids binary, round_trip boolean")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return encoded.select("doc_id", "text_crc32", "ids", copies.alias("copy")).drop("copy")
+    return encoded.select("doc_id", "text_crc32", "ids", "round_trip", copies.alias("copy")).drop("copy")
 
 
 def decode_column(ids: Column, path: str) -> Column:
     """Text of a column of ids (little-endian unsigned 32-bit numbers)."""
-    output = Pieces(path).output
+    output = _Output(Pieces(path).output)
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            texts = [b"".join([output[i] for i in np.frombuffer(bytes(x), dtype="<u4").tolist()]) for x in batch]
-            yield pd.Series([t.decode("utf-8", "replace")[1:] for t in texts])
+            rows = [np.frombuffer(bytes(x), dtype="<u4") for x in batch]
+            ends = np.cumsum([len(x) for x in rows])
+            texts = output.texts(np.concatenate(rows), ends) if rows else []
+            yield pd.Series([t.decode("utf-8", "replace") for t in texts], dtype=object)
 
     return decode.asNondeterministic()(ids)
