@@ -172,15 +172,21 @@ def best_paths(edges: DataFrame, units: DataFrame, pieces: Pieces) -> DataFrame:
     def code(edge: Column) -> Column:
         return edge.bitwiseAND((1 << _ID_BITS) - 1).cast("int")
 
-    def step(best: Column, edge: Column) -> Column:
-        score = best[until(edge) - size(edge)]["score"] + score_of[code(edge)]
-        here = F.array(F.struct(score.alias("score"), edge.alias("edge")))
-        return (F.when(F.size(best) == until(edge), F.concat(best, here))
-                .when(score >= best[until(edge)]["score"], F.concat(F.slice(best, 1, until(edge)), here))
-                .otherwise(best))
-
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("edge")))
-    solved = grouped.select("number", F.transform(F.aggregate("edges", start, step), lambda x: x["edge"]).alias("best"))
+    def reached(before: Column, edge: Column) -> Column:
+        return F.struct((before["score"] + score_of[code(edge)]).alias("score"), edge.alias("edge"))
+
+    # The edges of a place come together, its single character (which is always there) first: then the place before
+    # is settled. Of equal scores the larger edge, which has the longer piece, is the greater one.
+    def step(state: Column, edge: Column) -> Column:
+        done, now = state["done"], state["now"]
+        longer = F.greatest(now, reached(done[until(edge) - size(edge)], edge))
+        return (F.when(size(edge) == 1, F.struct(F.concat(done, F.array(now)).alias("done"), reached(now, edge).alias("now")))
+                .otherwise(F.struct(done.alias("done"), longer.alias("now"))))
+
+    nowhere = "array<struct<score: double, edge: bigint>>"
+    start = F.struct(F.array().cast(nowhere).alias("done"), F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("edge")).alias("now"))
+    places = F.aggregate("edges", start, step, lambda state: F.concat(state["done"], F.array(state["now"])))
+    solved = grouped.select("number", F.transform(places, lambda x: x["edge"]).alias("best"))
     byte_ids = F.array(*[F.lit(i) for i in pieces.byte_ids])
 
     def back(state: Column, _: Column) -> Column:
