@@ -58,28 +58,24 @@ def pages_until_error(df: DataFrame, chain: list[str], page_no: str, ok: Column,
     kept page has no next link. A page number that occurs several times counts
     as failed, or as last, if any of its rows does.
 
-    The end is a partial ``min`` per chain joined back, so a chain holding a
+    Every page also asks for the number behind its own: a number that is asked for but
+    not there is a gap. So one aggregate per (chain, number) and one per chain, both
+    combined before their shuffles, give the end, which is joined back; a chain holding a
     third of all rows is never gathered into one task.
     """
     good, more = F.coalesce(ok, F.lit(False)), F.coalesce(has_next, F.lit(False))
     number = F.col(page_no)
-    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(chain)]
-    marks = df.select(*keys, number.alias("_no"), good.alias("_good"), more.alias("_more"))
     names = [f"_k{i}" for i in range(len(chain))]
-    there = marks.select(*names, "_no").distinct()
-    before = there.select(*[F.col(k).alias(f"_b{k}") for k in names], (F.col("_no") - 1).alias("_before"))
-    follows = F.col("_no") == F.col("_before")
-    for k in names:
-        follows = follows & F.col(k).eqNullSafe(F.col(f"_b{k}"))
-    gaps = there.join(before, follows, "left_anti").groupBy(*names).agg(F.min("_no").alias("_gap"))
-    ends = marks.groupBy(*names).agg(
-        F.min("_no").alias("_first"),
-        F.min(F.when(~F.col("_good"), F.col("_no"))).alias("_failed"),
-        F.min(F.when(F.col("_good") & ~F.col("_more"), F.col("_no"))).alias("_last"))
-    on = [ends[k].eqNullSafe(gaps[k]) for k in names]
-    ends = ends.join(gaps, on, "left").select(
-        *[ends[k].alias(f"_e{k}") for k in names], "_first", "_last",
-        F.least(F.col("_failed") - 1, F.col("_last"), F.col("_gap")).alias("_end"))
+    own = F.struct(number.alias("no"), F.lit(True).alias("there"), (~good).alias("failed"), (good & ~more).alias("last"))
+    behind = F.struct((number + 1).alias("no"), F.lit(False).alias("there"), F.lit(False).alias("failed"), F.lit(False).alias("last"))
+    marks = df.select(*[F.col(c).alias(k) for c, k in zip(chain, names)], F.explode(F.array(own, behind)).alias("_m"))
+    numbers = marks.groupBy(*names, F.col("_m.no").alias("_no")).agg(
+        *[F.max(f"_m.{x}").alias(f"_{x}") for x in ("there", "failed", "last")])
+    ends = numbers.groupBy(*[F.col(k).alias(f"_e{k}") for k in names]).agg(
+        F.min(F.when(F.col("_there"), F.col("_no"))).alias("_first"),
+        F.min(F.when(F.col("_last"), F.col("_no"))).alias("_last"),
+        F.least(F.min(F.when(F.col("_failed"), F.col("_no") - 1)), F.min(F.when(F.col("_last"), F.col("_no"))),
+                F.min(F.when(~F.col("_there"), F.col("_no") - 1))).alias("_end"))
     match = [F.col(c).eqNullSafe(F.col(f"_e{k}")) for c, k in zip(chain, names)]
     kept = df.join(ends, match).filter((F.col("_first") == first_page) & (number <= F.col("_end")))
     return kept.select(*df.columns, F.coalesce(F.col("_end") == F.col("_last"), F.lit(False)).alias(complete_name))
