@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 from martkit.llm.common import stored
 
 MARK = "▁"
-PART_BYTES = 12 << 20
-#: Bytes of texts that a task handles at a time.
-SLICE_BYTES = 2 << 20
+PART_BYTES = 16 << 20
+#: Bytes of texts that a task splits into words, or packs, at a time, and that it puts together.
+SPLIT_BYTES, PACK_BYTES, SLICE_BYTES = 4 << 20, 8 << 20, 2 << 20
 UNITS_PER_TASK = 20_000
 #: A unit's parts are bits of a number, so many at a time.
 PART_BLOCK = 62
@@ -204,8 +204,8 @@ def best_paths(edges: DataFrame, units: DataFrame, pieces: Pieces) -> DataFrame:
     return units.join(solved, "number").select("unit", F.aggregate("best", end, back)["ids"].alias("ids"))
 
 
-def _pack(table: pa.Table | pa.RecordBatch) -> bytes:
-    codec = pa.Codec("zstd", compression_level=6)
+def _pack(table: pa.Table | pa.RecordBatch, level: int = 6) -> bytes:
+    codec = pa.Codec("zstd", compression_level=level)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as out:
         out.write(table)
@@ -216,10 +216,10 @@ def _unpack(blobs: pa.ChunkedArray) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(blob.as_buffer()).read_all() for blob in blobs])
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch with texts of about ``SLICE_BYTES`` together."""
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with texts of about ``size`` bytes together."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
-    steps = np.arange(SLICE_BYTES, sizes[-1] if len(sizes) else 0, SLICE_BYTES)
+    steps = np.arange(size, sizes[-1] if len(sizes) else 0, size)
     cuts = np.unique([0, *(np.searchsorted(sizes, steps) + 1), batch.num_rows]).tolist()
     return (batch.slice(first, end - first) for first, end in zip(cuts, cuts[1:], strict=False))
 
@@ -263,7 +263,7 @@ class _Words:
 def _distinct_units(cutter: Cutter, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (unit, block, bits): the parts that need a unit."""
     for batch in batches:
-        for rows in _slices(batch):
+        for rows in _slices(batch, SPLIT_BYTES):
             words = _Words(rows.column("text"), cutter)
             part = rows.column("part").to_numpy().astype(np.int64)[words.row]
             block, bit = part // PART_BLOCK, np.int64(1) << part % PART_BLOCK
@@ -301,12 +301,12 @@ def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (part, blob) with the texts of each part; equal rows are one row with a count."""
     for batch in batches:
-        for rows in _slices(batch):
+        for rows in _slices(batch, PACK_BYTES):
             once = pa.Table.from_batches([rows]).group_by(["part", "doc_id", "text"]).aggregate([([], "count_all")])
             part = once.column("part").to_numpy()
             for p in np.unique(part).tolist():
                 own = once.filter(pa.array(part == p)).select(["doc_id", "text", "count_all"])
-                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own)], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own, 12)], pa.binary())})
 
 
 def _ids_of(texts: pa.Array, known: pa.Table, cutter: Cutter) -> tuple[np.ndarray, np.ndarray]:
@@ -379,7 +379,7 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
         rows = _unpack(texts.column("blob")).group_by(["doc_id", "text"]).aggregate([("count_all", "sum")])
         made = []
         for batch in rows.combine_chunks().to_batches():
-            for part in _slices(batch):
+            for part in _slices(batch, SLICE_BYTES):
                 ids, ends = _ids_of(part.column("text"), solved, cutter)
                 own = pc.fill_null(part.column("text"), "").cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
                 made.append(pa.table({
