@@ -42,7 +42,11 @@ def jobs_started(spark):
     return spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+#: These write tables on their way: the rounds of pointer doubling, and a merge into files.
+WRITERS = {"link_chains", "partition_merge"}
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITERS))
 def test_building_a_query_reads_footers_only(spark, name):
     # spark.read.parquet starts one job per table to read a footer; nothing else may run.
     tables = 8
@@ -71,8 +75,7 @@ def test_ledger_fact_reads_each_fact_once(spark):
     assert p.count("orders.parquet") <= 4          # balances, and the calendar's span in two lookups
 
 
-def test_control_table_shuffles_columns_once_for_lists_and_once_for_texts(spark, no_broadcast):
-    df = REGISTRY["control_table"](spark, SF_SMALL)
-    p = plan(df)
-    final = p[:p.index("Generate")]                # above the column rows: the lookups by name and the texts
-    assert final.count("Exchange hashpartitioning(g_") == 1
+def test_control_table_has_no_arrays_or_windows_and_two_steps_of_texts(spark, no_broadcast):
+    p = plan(REGISTRY["control_table"](spark, SF_SMALL))
+    assert "Window" not in p and "collect_list" not in p and "array_contains" not in p
+    assert p.count("Exchange hashpartitioning(g_") == 2                          # by chunk, and the chunks of a table
