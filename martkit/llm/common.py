@@ -66,10 +66,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         discard(spark, _scratch.pop())
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back (compressed, by column)."""
+def stored(df: DataFrame, codec: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back (compressed, by column).
+
+    ``codec``: a Parquet compression other than the session's.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{_scratch[-1] if _scratch else spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)

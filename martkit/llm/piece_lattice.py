@@ -47,6 +47,8 @@ PART_BYTES = 16 << 20
 #: Bytes of texts that a task splits into words, or packs, at a time, and that it puts together.
 SPLIT_BYTES, PACK_BYTES, SLICE_BYTES = 4 << 20, 8 << 20, 2 << 20
 UNITS_PER_TASK = 20_000
+#: Units that a task holds to pack them.
+PACKED_UNITS = 100_000
 #: A unit's parts are bits of a number, so many at a time.
 PART_BLOCK = 62
 UNKNOWN_PENALTY = 10.0
@@ -287,15 +289,28 @@ def _distinct_units(cutter: Cutter, batches: Iterator[pa.RecordBatch]) -> Iterat
 
 def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (part, blob) with the units of each part and their ids."""
-    for batch in batches:
-        table = pa.table({"unit": batch.column("unit"), "ids": batch.column("ids").cast(pa.list_(pa.uint32()))})
-        block, bits = batch.column("block").to_numpy(), batch.column("bits").to_numpy()
+    held: list[pa.RecordBatch] = []
+
+    def packs() -> Iterator[pa.RecordBatch]:
+        # in order of the units, which then share their beginnings: that packs best
+        rows = pa.Table.from_batches(held).sort_by("unit")
+        held.clear()
+        table = rows.select(["unit", "ids"]).set_column(1, "ids", rows.column("ids").cast(pa.list_(pa.uint32())))
+        block, bits = rows.column("block").to_numpy(), rows.column("bits").to_numpy()
         for b in np.unique(block).tolist():
             for i in range(PART_BLOCK):
                 mine = np.flatnonzero((block == b) & (bits >> i & 1 == 1))
                 if len(mine):
+                    blob = _pack(table.take(pa.array(mine)).combine_chunks())
                     yield pa.RecordBatch.from_pydict({"part": pa.array([b * PART_BLOCK + i], pa.int32()),
-                                                      "blob": pa.array([_pack(table.take(pa.array(mine)))], pa.binary())})
+                                                      "blob": pa.array([blob], pa.binary())})
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= PACKED_UNITS:
+            yield from packs()
+    if held:
+        yield from packs()
 
 
 def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,8 +380,8 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
                         F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(parts)).cast("int")
                         .alias("part"))
     needs = stored(dealt.select("part", "text").mapInArrow(lambda b: _distinct_units(cutter, b), "unit string, block int, bits long")
-                   .groupBy("unit", "block").agg(F.bit_or("bits").alias("bits")))
-    units = stored(needs.select("unit").distinct().withColumn("number", F.monotonically_increasing_id()))
+                   .groupBy("unit", "block").agg(F.bit_or("bits").alias("bits")), "zstd")
+    units = stored(needs.select("unit").distinct().withColumn("number", F.monotonically_increasing_id()), "zstd")
     # edges are some twenty times as many as units: small partitions, so that they are sorted in memory
     spread = units.repartition(1 + units.count() // UNITS_PER_TASK, "number")
     solved = best_paths(lattice(spread, pieces), spread, pieces)
