@@ -292,8 +292,8 @@ def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     held: list[pa.RecordBatch] = []
 
     def packs() -> Iterator[pa.RecordBatch]:
-        # in order of the units, which then share their beginnings: that packs best
-        rows = pa.Table.from_batches(held).sort_by("unit")
+        # the join leaves them in order of the units, which then share their beginnings: that packs well
+        rows = pa.Table.from_batches(held)
         held.clear()
         table = rows.select(["unit", "ids"]).set_column(1, "ids", rows.column("ids").cast(pa.list_(pa.uint32())))
         block, bits = rows.column("block").to_numpy(), rows.column("bits").to_numpy()
@@ -321,7 +321,7 @@ def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             part = once.column("part").to_numpy()
             for p in np.unique(part).tolist():
                 own = once.filter(pa.array(part == p)).select(["doc_id", "text", "count_all"])
-                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own, 12)], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own, 8)], pa.binary())})
 
 
 def _ids_of(texts: pa.Array, known: pa.Table, cutter: Cutter) -> tuple[np.ndarray, np.ndarray]:
