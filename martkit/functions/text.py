@@ -9,6 +9,8 @@ Two CONCAT flavours exist in warehouse SQL and both are needed:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,16 +61,13 @@ def left_of_number(c, n: int) -> Column:
     return F.substring(as_col(c).cast("bigint").cast("string"), 1, n)
 
 
-def _collated(df: DataFrame, collation: str) -> DataFrame:
-    return df.select(*[F.collate(f.name, collation).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-                       for f in df.schema.fields])
-
-
-def without_case(df: DataFrame) -> DataFrame:
-    """Text columns that compare, join and group without regard to case (``UTF8_LCASE``)."""
-    return _collated(df, "UTF8_LCASE")
+def fold_case(c) -> Column:
+    """Text that is equal for names that differ in case only, as ``UTF8_LCASE`` compares them: lower case, with the
+    two small sigmas as one. Plain text: Spark joins, groups and sorts it like any other key."""
+    return F.replace(F.lower(as_col(c)), F.lit("\u03c2"), F.lit("\u03c3"))
 
 
-def with_case(df: DataFrame) -> DataFrame:
-    """Text columns that compare exactly again."""
-    return _collated(df, "UTF8_BINARY")
+def without_case(df: DataFrame, shown: Sequence[str] = (), suffix: str = "_shown") -> DataFrame:
+    """Text columns in folded case; those in ``shown`` also with their spelling, as ``<name><suffix>``."""
+    return df.select(*[fold_case(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                       for f in df.schema.fields], *[F.col(name).alias(f"{name}{suffix}") for name in shown])

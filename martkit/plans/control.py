@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martkit.functions.text import (
-    bracket, concat_blank, concat_strict, underscore_spaces, with_case, without_case,
+    bracket, concat_blank, concat_strict, fold_case, underscore_spaces, without_case,
 )
 from martkit.operators.aggregates import group_ordered_texts, sum_nonzero
 from martkit.operators.joins import (
@@ -55,6 +55,11 @@ OUTPUT_COLUMNS = [
 #: Column positions whose texts are built together; a wider table takes several tasks.
 CHUNK_COLUMNS = 256
 DB_KEYS = ["database_id", "ServerName", "ClientName"]
+#: Names whose spelling the result shows, by input, where names are compared without regard to case.
+SHOWN_NAMES = {
+    "schemas": ["name"], "tables": ["name"], "columns": ["name"], "delta_columns": ["DeltaColumn"],
+    "source_db": ["ClientName", "ServerName", "DatabaseName", "SourceSystemName", "DataLakeName", "SourceDataStructure"],
+}
 
 
 def statement_text(select_list: Column, server: Column, database: Column, schema_table: Column) -> Column:
@@ -76,9 +81,27 @@ def merge_text(clause_list: Column) -> Column:
 def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, columns: DataFrame,
                     info_columns: DataFrame, partitions: DataFrame, indexes: DataFrame,
                     index_columns: DataFrame, source_db: DataFrame, delta_columns: DataFrame,
-                    exclusions: DataFrame, inclusions: DataFrame, check_lookups: bool = False) -> DataFrame:
-    """One row per column of every user table, with all lookups and flags; nothing is dropped yet."""
+                    exclusions: DataFrame, inclusions: DataFrame, check_lookups: bool = False,
+                    case_insensitive: bool = False) -> DataFrame:
+    """One row per column of every user table, with all lookups and flags; nothing is dropped yet.
+
+    ``case_insensitive``: names are folded and so compared without regard to case; ``<column>_shown`` has the spelling
+    of those that the result shows.
+    """
     c = F.col
+    user_table = USER_TABLE
+    if case_insensitive:
+        user_table = fold_case(F.lit(USER_TABLE))
+        objects, partitions, indexes, index_columns, info_columns, exclusions, inclusions = [
+            without_case(df) for df in (objects, partitions, indexes, index_columns, info_columns, exclusions, inclusions)]
+        schemas, tables, columns, delta_columns, source_db = [without_case(df, SHOWN_NAMES[name]) for name, df in (
+            ("schemas", schemas), ("tables", tables), ("columns", columns), ("delta_columns", delta_columns),
+            ("source_db", source_db))]
+
+    def shown(names: dict[str, str]) -> dict[str, str]:
+        """``names`` for :func:`left_lookup`, with the spelling if that is kept apart."""
+        return names | ({f"{new}_shown": f"{name}_shown" for new, name in names.items()} if case_insensitive else {})
+
     if check_lookups:
         delta_columns = require_unique(delta_columns, ["SourceName", "TableName", "DeltaColumn", "ClientName",
                                                        "DatabaseName", "ServerName"], "delta columns")
@@ -86,7 +109,7 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
                                                  "ClientName"], "exclusions")
         inclusions = require_unique(inclusions, ["SourceName", "ClientName", "TableNameForInclusion", "SchemaId"],
                                     "inclusions")
-    o = objects.filter(c("type_desc") == USER_TABLE)
+    o = objects.filter(c("type_desc") == user_table)
 
     # Row counts per table from heap / clustered partitions only; zero-row
     # tables drop out here and count as 0 later.
@@ -100,12 +123,17 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
     best = best_row_per_key(idx, ["object_id", "DatabaseName", "ServerName", "ClientName"],
                             [rank, c("index_id")], ["index_id", "name", "database_id"])
 
+    db_names = ["ClientName", "ServerName", "database_id", "DatabaseName", "SourceAbbreviation",
+                "SourceSystemName", "DataLakeName", "SourceDataStructure"]
+    if case_insensitive:                 # entries that differ in spelling only are one
+        spellings = [f"{name}_shown" for name in SHOWN_NAMES["source_db"]]
+        source_db = source_db.groupBy(*[name for name in db_names if name != "database_id"]).agg(
+            *[F.min(name).alias(name) for name in spellings])
+        db_names = db_names + spellings
     dbs = left_join_distinct(
         source_db, objects,
         [("ServerName", "ServerName"), ("ClientName", "ClientName"), ("DatabaseName", "DatabaseName")],
-        {"database_id": "database_id"},
-        ["ClientName", "ServerName", "database_id", "DatabaseName", "SourceAbbreviation",
-         "SourceSystemName", "DataLakeName", "SourceDataStructure"])
+        {"database_id": "database_id"}, db_names)
 
     if check_lookups:
         dbs = require_unique(dbs, ["ClientName", "ServerName", "DatabaseName"], "database ids")
@@ -116,16 +144,13 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
     # conditions only use earlier tables commute, so the rows are the same).
     obj_on = [(c(k), k) for k in DB_KEYS]
     t = o.select("object_id", "schema_id", "type_desc", "DatabaseName", *DB_KEYS)
-    t = left_lookup(t, dbs, obj_on, {"d_ClientName": "ClientName", "d_DataLakeName": "DataLakeName",
-                                     "d_SourceDataStructure": "SourceDataStructure",
-                                     "d_SourceSystemName": "SourceSystemName",
-                                     "d_DatabaseName": "DatabaseName", "d_ServerName": "ServerName",
-                                     "d_database_id": "database_id"})
+    t = left_lookup(t, dbs, obj_on, {"d_database_id": "database_id"} | shown(
+        {f"d_{name}": name for name in SHOWN_NAMES["source_db"]}))
     t = left_lookup(t, schemas, [(c("schema_id"), "schema_id")] + obj_on,
-                    {"s_name": "name", "s_schema_id": "schema_id"})
+                    {"s_schema_id": "schema_id"} | shown({"s_name": "name"}))
     t = left_lookup(t, tables, [(c("object_id"), "object_id")] + obj_on,
-                    {"t_name": "name", "t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName",
-                     "t_ServerName": "ServerName"})
+                    {"t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName",
+                     "t_ServerName": "ServerName"} | shown({"t_name": "name"}))
     t = left_lookup(t, p, [(c("object_id"), "object_id")] + obj_on, {"p_rows": "rows"})
     t = left_lookup(t, best,
                     [(c("object_id"), "object_id"), (c("database_id"), "database_id"),
@@ -174,25 +199,26 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
 
     # Column grain: one row per column, per entry it has in the best index and per position listed for its name
     # (none of them: one row with NULL).
-    t = left_lookup(t, columns, own, {"c_name": "name", "c_column_id": "column_id"})
+    t = left_lookup(t, columns, own, {"c_column_id": "column_id"} | shown({"c_name": "name"}))
     t = left_lookup(t, index_columns, own + [(c("i_index_id"), "index_id"), (c("c_column_id"), "column_id")],
                     {"ic_column_id": "column_id"})
-    t = left_lookup(t, info_columns, [(c("s_name"), "TABLE_SCHEMA"), (c("t_name"), "TABLE_NAME"),
-                                      (c("d_database_id"), "database_id"), (c("d_ServerName"), "ServerName"),
-                                      (c("d_ClientName"), "ClientName"), (c("c_name"), "COLUMN_NAME")],
+    t = left_lookup(t, info_columns, [(c("t_name"), "TABLE_NAME"), (c("c_name"), "COLUMN_NAME"),
+                                      (c("s_name"), "TABLE_SCHEMA"), (c("d_database_id"), "database_id"),
+                                      (c("d_ServerName"), "ServerName"), (c("d_ClientName"), "ClientName")],
                     {"OrdinalPosition": "ORDINAL_POSITION"})
 
     # Delta column: client-specific, then table-specific, then general.
     col_name = F.trim(c("c_name"))
     dc = delta_columns
-    t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn")], {"_gdc": "DeltaColumn"},
+    t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn")], shown({"_gdc": "DeltaColumn"}),
                     right_filter=c("TableName").isNull() & c("ClientName").isNull())
     t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn"), (tname, "TableName")],
-                    {"_tdc": "DeltaColumn"}, right_filter=c("ClientName").isNull())
+                    shown({"_tdc": "DeltaColumn"}), right_filter=c("ClientName").isNull())
     t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn"), (tname, "TableName"),
                             (c("ClientName"), "ClientName"), (c("DatabaseName"), "DatabaseName"),
-                            (c("ServerName"), "ServerName")], {"_cdc": "DeltaColumn"})
-    t = t.withColumn("DeltaColumn", F.coalesce("_cdc", "_tdc", "_gdc"))
+                            (c("ServerName"), "ServerName")], shown({"_cdc": "DeltaColumn"}))
+    t = t.withColumns({f"DeltaColumn{x}": F.coalesce(f"_cdc{x}", f"_tdc{x}", f"_gdc{x}")
+                       for x in (["", "_shown"] if case_insensitive else [""])})
 
     # Block list for single columns, general or per client.
     t = listed_flag(t, [
@@ -229,60 +255,60 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
     block list, allow list, and one id per database name).
 
     ``case_insensitive``: names that differ in case only are equal in every lookup, group and
-    comparison (collated strings, as in the original's database); which spelling a group
-    shows is then open. ``observation`` receives :func:`drop_metrics` while the result is
+    comparison (as in the original's database); which spelling a group shows is then open.
+    They are compared in folded case and shown as spelt. ``observation`` receives :func:`drop_metrics` while the result is
     computed, without a pass of its own.
     """
     c = F.col
-    inputs = [objects, schemas, tables, columns, info_columns, partitions, indexes, index_columns, source_db,
-              delta_columns, exclusions, inclusions]
-    if case_insensitive:
-        inputs = [without_case(df) for df in inputs]
-    t = control_columns(*inputs, check_lookups=check_lookups)
+    t = control_columns(objects, schemas, tables, columns, info_columns, partitions, indexes, index_columns, source_db,
+                        delta_columns, exclusions, inclusions, check_lookups, case_insensitive)
+    name = c("c_name_shown") if case_insensitive else c("c_name")
     if observation is not None:
         t = t.observe(observation, *drop_metrics())
     # Per-column pieces.
     has_key_col = c("ic_column_id").isNotNull()
     t = t.withColumns({
-        "FormattedColumnName": bracket(c("c_name")),
-        "FormattedPKColumn": F.when(has_key_col, concat_blank("[", c("c_name"), "]")),
-        "PKClauseColumns": F.when(has_key_col, concat_blank("t.", c("c_name"), " = s.", c("c_name"))),
+        "FormattedColumnName": bracket(name),
+        "FormattedPKColumn": F.when(has_key_col, concat_blank("[", name, "]")),
+        "PKClauseColumns": F.when(has_key_col, concat_blank("t.", name, " = s.", name)),
     })
     # A table without columns has one row here without a column name, which would
     # give the invalid text " AS ": it adds no item, and the table stays with NULL texts.
     t = t.filter(c("ExcludeColumn") == 0)
+    groups = {"g_SourceTableName": "t_name", "g_SourceSchemaName": "s_name", "g_SourceServerName": "d_ServerName",
+              "g_SourceDatabaseName": "d_DatabaseName", "g_ClientName": "d_ClientName", "g_DataLakeName": "d_DataLakeName",
+              "g_SourceDataStructure": "d_SourceDataStructure", "g_SourceSystemName": "d_SourceSystemName"}
+    spellings = {f"{g}_shown": f"{name}_shown" for g, name in groups.items()} if case_insensitive else {}
+    # the greatest name, as spelt
+    delta = F.struct("DeltaColumn", "DeltaColumn_shown") if case_insensitive else c("DeltaColumn")
     t = t.select(
-        c("d_ClientName").alias("g_ClientName"), c("d_DataLakeName").alias("g_DataLakeName"),
-        c("d_SourceDataStructure").alias("g_SourceDataStructure"),
-        c("d_SourceSystemName").alias("g_SourceSystemName"), c("d_ServerName").alias("g_SourceServerName"),
-        c("d_DatabaseName").alias("g_SourceDatabaseName"), c("s_name").alias("g_SourceSchemaName"),
-        c("t_name").alias("g_SourceTableName"), c("p_rows").alias("g_SourceRowCount"),
+        *[c(name).alias(g) for g, name in (groups | spellings).items()], c("p_rows").alias("g_SourceRowCount"),
         c("ExcludeTable").alias("g_ExcludeTable"), c("HasNoPK").alias("g_HasNoPK"),
         F.when(c("c_name").isNotNull(), select_item(c("FormattedColumnName"))).alias("_sel_item"),
         F.when(c("FormattedPKColumn").isNotNull(), select_item(c("FormattedPKColumn"))).alias("_key_item"),
         c("PKClauseColumns").alias("_clause_item"),
-        c("OrdinalPosition").alias("_ord"), c("c_column_id").alias("_colid"),
-        c("DeltaColumn").alias("_delta"))
+        c("OrdinalPosition").alias("_ord"), c("c_column_id").alias("_colid"), delta.alias("_delta"))
     # One row per (client, source, server, database, schema, table, row
     # count, flags).  The schema-table text and the staging file names are
     # functions of schema and table name, so they are derived after the
-    # aggregation instead of being part of the (wide) grouping key.
-    group_cols = ["g_ClientName", "g_DataLakeName", "g_SourceDataStructure", "g_SourceSystemName",
-                  "g_SourceServerName", "g_SourceDatabaseName", "g_SourceSchemaName", "g_SourceTableName",
-                  "g_SourceRowCount", "g_ExcludeTable", "g_HasNoPK"]
+    # aggregation instead of being part of the (wide) grouping key. The table name comes first, as rows that
+    # differ in the first sort key are told apart without a look at the others.
+    group_cols = [*groups, "g_SourceRowCount", "g_ExcludeTable", "g_HasNoPK"]
     # Column order: ordinal position, then column id so equal positions (e.g. missing ones) still give one
     # repeatable text.  Texts are built in chunks of that order: missing positions come first, by column id.
     chunk = F.coalesce(F.floor(c("_ord") / CHUNK_COLUMNS), F.floor(c("_colid") / CHUNK_COLUMNS) - (1 << 40),
                        F.lit(-(1 << 41)).cast("long"))
     g = group_ordered_texts(t, group_cols, {"_sel": (c("_sel_item"), SELECT_SEP), "_keys": (c("_key_item"), KEY_SELECT_SEP),
                                             "_clauses": (c("_clause_item"), MERGE_SEP)},
-                            [c("_ord"), c("_colid")], chunk, maxes={"_max_delta": c("_delta")})
+                            [c("_ord"), c("_colid")], chunk, maxes={"_max_delta": c("_delta")} | {x: c(x) for x in spellings})
+    if case_insensitive:
+        g = g.withColumns({name: c(f"{name}_shown") for name in groups} | {"_max_delta": c("_max_delta.DeltaColumn_shown")})
     schema, table = c("g_SourceSchemaName"), c("g_SourceTableName")
     g = g.withColumns({"g_SchemaTable": concat_strict("[", schema, "].[", table, "]"),
                        "g_StagingDataFileName": staging_name(schema, table),
                        "g_PrimaryKeyFileName": staging_name(schema, table, primary_key=True)})
     row_count = F.coalesce(c("g_SourceRowCount"), F.lit(0))
-    out = g.select(
+    return g.select(
         c("g_ClientName").alias("ClientName"), c("g_DataLakeName").alias("DataLakeName"),
         c("g_SourceDataStructure").alias("SourceDataStructure"),
         c("g_SourceSystemName").alias("SourceSystemName"), c("g_SourceServerName").alias("SourceServerName"),
@@ -300,4 +326,3 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
         c("_max_delta").alias("DeltaColumn"),
         F.lit(None).cast("string").alias("DeltaValue"),
         F.lit(SEQUENCE_NUMBER).alias("SequenceNumber"))
-    return with_case(out) if case_insensitive else out

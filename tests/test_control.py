@@ -164,3 +164,20 @@ def test_hot_names_and_wide_tables(spark):
     names = missing + ["x"] + names[1 + len(missing):]
     listed = "\n\t\t, ".join(f"[{c}] AS [{c}]" for c in names)
     assert got["Empty"].SourceSelectStatement == f"SELECT \n\t\t{listed}" + tail(table="[dbo].[Empty]")
+
+
+def test_names_without_case_are_plain_keys(spark):
+    """Folded names are equal where UTF8_LCASE says so, and no key is collated."""
+    from martkit.functions.text import fold_case
+    letters = [chr(i) for i in range(1, 0x3000)]
+    names = spark.createDataFrame([(n,) for x in letters for n in (f"a{x}b", f"A{x}", f"{x.upper()}\u03a3")], "n string")
+    folded = names.select(fold_case("n").alias("f"), F.collate("n", "UTF8_LCASE").alias("n"))
+    assert folded.filter(F.collate("f", "UTF8_LCASE") != F.col("n")).count() == 0
+    assert folded.select("f").distinct().count() == folded.select("n").distinct().count()
+    plan = control_statements(**catalog(spark), case_insensitive=True)._jdf.queryExecution().executedPlan().toString()
+    assert "collat" not in plan.lower() and "SortAggregate(key=[g_" not in plan
+
+
+def test_rows_are_told_apart_by_the_table_name_first(spark):
+    plan = control_statements(**catalog(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(g_SourceTableName") == 2
