@@ -4,22 +4,32 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def unpivot_columns(df: DataFrame, value_cols: list[str], keep: list[str],
                     index_name: str = "fiscal_month", value_name: str = "amount",
-                    divisor: float | int | None = 100, index_as_text: bool = True) -> DataFrame:
+                    divisor: float | int | None = 100, index_as_text: bool = True,
+                    only: Column | None = None) -> DataFrame:
     """Wide period columns to long rows, one row per column, always.
 
     ``posexplode`` keeps NULL elements, so every input row yields exactly
     ``len(value_cols)`` rows (SQL ``UNPIVOT`` would drop NULL months).  The
     index is 1-based; as text by default, the way the ledger view keys it.
-    Runs as a ``Generate`` node: no shuffle.
+    Runs as a ``Generate`` node: no shuffle. ``only``: an array of the indexes
+    that a row gives rows for, NULL for all of them.
     """
     vals = [F.col(c) / F.lit(divisor) if divisor else F.col(c) for c in value_cols]
+    if only is not None:
+        every = F.array(*[F.lit(i + 1) for i in range(len(vals))])
+        out = df.select(*keep, *value_cols, F.explode(F.coalesce(only, every)).alias("_at"))
+        at = F.col("_at")
+        value = F.when(at == 1, vals[0].cast("double"))
+        for i, v in enumerate(vals[1:], 2):
+            value = value.when(at == i, v.cast("double"))
+        return out.select(*keep, at.cast("string" if index_as_text else "int").alias(index_name), value.alias(value_name))
     out = df.select(*[F.col(c) for c in keep],
                     F.posexplode(F.array(*[v.cast("double") for v in vals])).alias("_pos", value_name))
     idx = F.col("_pos") + F.lit(1)

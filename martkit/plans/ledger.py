@@ -15,10 +15,14 @@ Plan shape (what Spark runs):
    (12x fewer rows than after the unpivot).
 3. The unpivot is a ``Generate`` (no shuffle).
 4. The profit rows match on (business unit, year, month), a grain coarser
-   than their key, so rows may multiply (kept on purpose).  They are joined
-   after the unpivot on (unit, period), an equi-join in which no row carries
-   more than its own month: a busy unit makes no row large, Spark broadcasts
-   the profit rows if they are few, and otherwise AQE splits a hot unit.
+   than their key, so rows may multiply (kept on purpose).  Their measures
+   depend on the profit row alone and are computed there.  They are joined to
+   the wide rows on (unit, year), and a joined row is unpivoted to the months of
+   its profit row only; one more row per unit and year stands for the months
+   without any.  So the wide rows are shuffled, not the 12 times as many long
+   ones; no row carries more than one profit row: a busy unit makes no row large,
+   Spark broadcasts the profit rows if they are few, and otherwise AQE splits a
+   hot unit.
 """
 
 from __future__ import annotations
@@ -204,6 +208,28 @@ def profit_rows(profit_recognition: DataFrame, dim_date: DataFrame, codes: DataF
         "date_updated", "time_last_updated")
 
 
+def profit_months(profit: DataFrame) -> DataFrame:
+    """Profit rows and the months (``_months``, an array) that each belongs to.
+
+    One more row per (unit, year) has the months without a profit row, which may be none, and NULL measures: a balance
+    row joined on (unit, year) meets every month. Each row is counted once for itself and once for its year, with
+    partial aggregates; nothing is gathered per unit.
+    """
+    keys = ["business_unit_code", "year_eff"]
+    measures = [f for f in profit.schema.fields if f.name.startswith("profit_recognition_")]
+    bit = F.expr("shiftleft(1, month_eff)").alias("_seen")
+    rows = profit.select(*keys, bit, F.monotonically_increasing_id().alias("_row"), *[f.name for f in measures])
+    rows = rows.select(*keys, "_seen", F.explode(F.array(
+        F.struct("_row", *[f.name for f in measures]),
+        F.struct(F.lit(None).cast("bigint").alias("_row"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in measures])))
+        .alias("_p")).select(*keys, "_seen", "_p.*")
+    rows = rows.groupBy(*keys, "_row").agg(F.bit_or("_seen").alias("_seen"), *[F.first(f.name).alias(f.name) for f in measures])
+    # own month, or the months that no row of the year has
+    wanted = F.when(F.col("_row").isNull(), F.bitwise_not("_seen")).otherwise(F.col("_seen"))
+    months = F.filter(F.array(*[F.lit(m) for m in range(1, 13)]), lambda m: F.getbit(wanted, m) == 1)
+    return rows.select(*keys, months.alias("_months"), *[f.name for f in measures])
+
+
 def ledger_wide(account_balances: DataFrame, account_master: DataFrame, business_unit_master: DataFrame,
                 closed: DataFrame, codes: DataFrame, run_year: int | None) -> DataFrame:
     """Balance rows (still 12 month columns) with lookups and flags."""
@@ -254,21 +280,22 @@ def ledger_rows(account_balances: DataFrame, account_master: DataFrame, business
         profit_recognition = require_unique(
             profit_recognition, ["date_effective", "type_of_record", "business_unit"], "profit rows")
     profit = profit_rows(profit_recognition, dim_date, codes)
-    keep = [c for c in wide.columns if c not in MONTH_COLUMNS]
-    long = unpivot_columns(wide, MONTH_COLUMNS, keep, index_name="fiscal_month",
-                           value_name="amount_net_posting", divisor=100)
-    # Profit rows meet the months they belong to by (unit, period): nothing is gathered per unit, and a unit that
-    # holds a third of the balances is split like any hot key on the left of a left join.
-    long = long.withColumn("year_month_id", period_id(F.col("fiscal_year"), F.col("fiscal_month")))
-    period = period_id(F.col("year_eff").cast("string"), F.col("month_eff").cast("string"))
-    profit = profit.select("business_unit_code", period.alias("_period"), *PROFIT_AMOUNTS)
-    j = left_lookup(long, profit, [("business_unit_code", "business_unit_code"), ("year_month_id", "_period")],
-                    {f"_pr_{a}": a for a in PROFIT_AMOUNTS})
-    j = j.withColumn("is_latest_closed_period_flag",
-                     closed_flag("year_month_id", "latest_closed_period_year_month_id"))
-    j = add_profit_measures(j, "_pr_projected_final_revenue_adjusted", "_pr_projected_final_cost_adjusted",
-                            "_pr_earned_job_to_date_revenue", "_pr_earned_job_to_date_cost",
-                            "_pr_actual_revenue_to_date", "_pr_actual_cost_to_date")
+    profit = profit_months(add_profit_measures(
+        profit, "projected_final_revenue_adjusted", "projected_final_cost_adjusted", "earned_job_to_date_revenue",
+        "earned_job_to_date_cost", "actual_revenue_to_date", "actual_cost_to_date"))
+    measures = [m for m in profit.columns if m.startswith("profit_recognition_")]
+    # texts become numbers here, not once a month
+    closed_period = "latest_closed_period_year_month_id"
+    wide = wide.withColumns({"_year": F.col("fiscal_year").cast("bigint"), "_closed": F.col(closed_period).cast("bigint")})
+    j = left_lookup(wide, profit, [("business_unit_code", "business_unit_code"), ("_year", "year_eff")],
+                    {m: m for m in measures} | {"_months": "_months"})
+    # without a profit row there is no loss
+    j = j.withColumn("profit_recognition_accrued_loss", F.coalesce("profit_recognition_accrued_loss", F.lit(0)))
+    keep = [c for c in j.columns if c not in [*MONTH_COLUMNS, "_months"]]
+    j = unpivot_columns(j, MONTH_COLUMNS, keep, index_name="_month", value_name="amount_net_posting", divisor=100,
+                        index_as_text=False, only=F.col("_months"))
+    j = j.withColumns({"fiscal_month": F.col("_month").cast("string"), "year_month_id": period_id("_year", "_month")})
+    j = j.withColumn("is_latest_closed_period_flag", closed_flag("year_month_id", "_closed"))
     return j.select(*FACT_COLUMNS, "fiscal_year")
 
 

@@ -123,3 +123,26 @@ def test_ledger_fact_any_join_gives_the_same_rows(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_balances_are_shuffled_before_the_unpivot(spark):
+    """Wide rows meet the profit rows; months without one, of a unit that has others, keep their row."""
+    amounts = [-10000, 5000, -20000, 8000, -30000, 9000, -15000, 4000]
+    ins = _inputs(spark, [(2023032, "1", "BU1", *amounts, 0, 0), (2023032, "1", "BU1", *amounts, 0, 0)])
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, -1)
+    try:
+        out = ledger.ledger_fact(*ins, run_ts=dt.datetime(2024, 6, 1))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(name)
+    assert "Generate explode" in plan[:plan.index("SortMergeJoin")]
+    rows = out.filter("business_unit_code = 'BU1'").groupBy("account_id", "year_month_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("profit_recognition_earned_cost").alias("profit"),
+        F.count("profit_recognition_accrued_loss").alias("loss")).collect()
+    first = ins[6].join(ins[4], F.col("date_effective") == F.col("julian_date")).select(
+        F.date_format("calendar_date", "yyyyMM").cast("int")).first()[0]
+    assert rows and any(r.year_month_id == first for r in rows) and any(r.year_month_id != first for r in rows)
+    for r in rows:
+        assert (r.n, r.profit, r.loss) == ((2, 2, 2) if r.year_month_id == first else (1, 0, 1))
