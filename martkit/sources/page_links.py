@@ -39,8 +39,8 @@ def follow_links(df: DataFrame, chain: list[str], address: str, link: str, first
 
     The rank comes from pointer doubling: in round k every page knows the page 2^k links ahead, and every
     page reached so far passes the rank on over that jump, so a chain of n pages takes log2(n) rounds of
-    two joins on (chain, address). Each round is kept in the shared folder until the next one is there. No
-    chain is ever gathered in one task.
+    two joins on the number of a page, which stands for its (chain, address). Each round is kept in the shared
+    folder until the next one is there. No chain is ever gathered in one task.
     """
     copies = _Copies(df.sparkSession)
     keys = [f"_k{i}" for i in range(len(chain))]
@@ -53,44 +53,39 @@ def follow_links(df: DataFrame, chain: list[str], address: str, link: str, first
         F.max(F.col("_next").isNull()).alias("_ends"), F.min("_ok").alias("_ok"), F.max("_first").alias("_first"))
     # one link for all rows of the address, or none for any
     agree = F.coalesce(F.when(~F.col("_ends"), F.col("_next") == F.col("_other")), F.col("_next").isNull())
-    nodes = copies.put("nodes", pages.filter(F.col("_ok") & agree).select(*keys, "_at", "_next", "_first"))
-
-    def same(left: DataFrame, right: DataFrame, a: str, b: str) -> Column:
-        on = left[a] == right[b]
-        for k in keys:
-            on = on & left[k].eqNullSafe(right[f"r{k}"])
-        return on
-
-    def right(frame: DataFrame, at: str, *others: Column) -> DataFrame:
-        return frame.select(*[F.col(k).alias(f"r{k}") for k in keys], F.col(at).alias("_to"), *others)
-
+    # written once, so a page keeps its number
+    nodes = copies.put("nodes", pages.filter(F.col("_ok") & agree).select(
+        *keys, "_at", "_next", "_first", F.monotonically_increasing_id().alias("_page")))
     # a link whose target is not there leads nowhere
-    there = right(nodes, "_at")
-    jump = copies.put("jump-1", nodes.filter("_next IS NOT NULL").join(there, same(nodes, there, "_next", "_to"), "left_semi")
-                      .select(*keys, "_at", "_next"))
-    starts = nodes.filter("_first").groupBy(*keys).agg(F.min("_at").alias("_at"), F.max("_at").alias("_last"))
-    reached = copies.put("reached-1", starts.filter("_at = _last").select(*keys, "_at", F.lit(0).cast("long").alias("_rank")))
+    there = nodes.select(*[F.col(k).alias(f"r{k}") for k in keys], F.col("_at").alias("_to"), F.col("_page").alias("_far"))
+    on = nodes["_next"] == there["_to"]
+    for k in keys:
+        on = on & nodes[k].eqNullSafe(there[f"r{k}"])
+    jump = copies.put("jump-1", nodes.filter("_next IS NOT NULL").join(there, on).select("_page", F.col("_far").alias("_next")))
+    starts = nodes.filter("_first").groupBy(*keys).agg(F.min("_page").alias("_page"), F.max("_page").alias("_last"))
+    reached = copies.put("reached-1", starts.filter("_page = _last").select("_page", F.lit(0).cast("long").alias("_rank")))
     step = 1
     while True:
-        far = right(jump, "_at", F.col("_next").alias("_far"))
-        onward = reached.join(far, same(reached, far, "_at", "_to")).select(
-            *keys, F.col("_far").alias("_at"), (F.col("_rank") + step).alias("_rank"))
+        far = jump.select(F.col("_page").alias("_to"), F.col("_next").alias("_far"))
+        onward = reached.join(far, reached["_page"] == far["_to"]).select(
+            F.col("_far").alias("_page"), (F.col("_rank") + step).alias("_rank"))
         # in a cycle a page is met again with a higher rank
-        now = copies.put(f"reached-{2 * step}", reached.union(onward).groupBy(*keys, "_at").agg(F.min("_rank").alias("_rank")))
+        now = copies.put(f"reached-{2 * step}", reached.union(onward).groupBy("_page").agg(F.min("_rank").alias("_rank")))
         done = now.count() == reached.count()
         if not done:
-            jump = copies.put(f"jump-{2 * step}", jump.join(far, same(jump, far, "_next", "_to"))
-                              .select(*keys, "_at", F.col("_far").alias("_next")))
+            jump = copies.put(f"jump-{2 * step}", jump.join(far, jump["_next"] == far["_to"])
+                              .select("_page", F.col("_far").alias("_next")))
         copies.drop(f"jump-{step}")
         copies.drop(f"reached-{step}")
         reached = now
         if done:
             break
         step *= 2
-    last = nodes.filter("_next IS NULL").select(*[F.col(k).alias(f"r{k}") for k in keys], F.col("_at").alias("_to"))
-    ended = reached.join(last, same(reached, last, "_at", "_to"), "left_semi").select(
-        *[F.col(k).alias(f"e{k}") for k in keys], F.lit(True).alias("_ended"))
-    found = reached.join(ended, [reached[k].eqNullSafe(ended[f"e{k}"]) for k in keys], "left").select(
+    ranks = reached.select(F.col("_page").alias("_to"), "_rank")
+    placed = nodes.join(ranks, nodes["_page"] == ranks["_to"])
+    ended = placed.filter("_next IS NULL").select(*[F.col(k).alias(f"e{k}") for k in keys], F.lit(True).alias("_ended"))
+    found = placed.select(*keys, "_at", "_rank")
+    found = found.join(ended, [found[k].eqNullSafe(ended[f"e{k}"]) for k in keys], "left").select(
         *[F.col(k).alias(f"r{k}") for k in keys], F.col("_at").alias("_to"), "_rank",
         F.coalesce("_ended", F.lit(False)).alias("_done"))
     on = df[address] == found["_to"]

@@ -83,3 +83,13 @@ def test_rounds_leave_only_the_last_tables(spark):
     newest = max((f"{folder}/{f}" for f in os.listdir(folder) if f.startswith("links-")), key=os.path.getmtime)
     assert sorted(os.listdir(newest)) == ["nodes", "reached-32"] or len(os.listdir(newest)) == 2
     assert out.count() == 9 and not out.filter("complete").count()
+
+
+def test_rounds_move_page_numbers_only(spark):
+    df = spark.createDataFrame([("d", str(i), str(i + 1), 200, i == 0, i) for i in range(9)], PAGE)
+    follow_links(df, ["day"], "at", "link", F.col("is_first"), F.col("status") == 200)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    newest = max((f"{folder}/{f}" for f in os.listdir(folder) if f.startswith("links-")), key=os.path.getmtime)
+    for name in os.listdir(newest):
+        if name != "nodes":
+            assert {t for _, t in spark.read.parquet(f"{newest}/{name}").dtypes} == {"bigint"}, name
