@@ -14,8 +14,9 @@ word is that of its units, one after the other. Each distinct unit is solved onc
 3. Edges are grouped by unit, and a higher-order ``aggregate`` folds them in order
    of their ends into the best score of each place (Viterbi); a second one walks
    back. Ties go to the longer last piece.
-4. Documents are dealt into parts of about ``PART_BYTES``; each part gets the ids
-   of its own units, packed, and its documents are put together from them.
+4. Documents are dealt into parts of about ``PART_BYTES``; each part gets its own
+   units and the sizes of their pieces, packed (the ids follow from them), and its
+   documents are put together from them.
 
 The scores are those of the file, and the result has the largest sum of scores, as in
 a unigram model with this table. For a file made for merging pieces in order of rank
@@ -87,6 +88,12 @@ class Pieces:
         self.joined = {a + b for piece, _, _ in self.rows for a, b in zip(piece, piece[1:])}
         self.longest = max(len(piece) for piece, _, _ in self.rows)
         self.unknown = min(score for _, _, score in self.rows) - UNKNOWN_PENALTY
+        # a character that no piece matches is written in bytes: one alone is a piece only if the table has no such piece
+        names = {piece.encode(): i for piece, i, _ in self.rows}
+        names |= {bytes([b]): i for b, i in enumerate(self.byte_ids) if bytes([b]) not in names}
+        self.names, self.ids = pa.array(list(names), pa.binary()), np.array(list(names.values()), dtype=np.uint32)
+        self.sizes = np.zeros(len(ids), dtype=np.min_scalar_type(max(map(len, names))))
+        self.sizes[self.ids] = [len(name) for name in names]
 
 
 class Cutter:
@@ -287,21 +294,50 @@ def _distinct_units(cutter: Cutter, batches: Iterator[pa.RecordBatch]) -> Iterat
     pa.default_memory_pool().release_unused()
 
 
-def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (part, blob) with the units of each part and their ids."""
+def _cuts(ids: pa.ListArray, sizes: np.ndarray) -> bytes:
+    """The bytes of each piece, and a 0 behind each unit."""
+    count = pc.list_value_length(ids).to_numpy()
+    out = np.zeros(count.sum() + len(count), dtype=sizes.dtype)
+    out[_spread(np.cumsum(count + 1) - count - 1, count)] = sizes[pc.list_flatten(ids).to_numpy()]
+    return out.tobytes()
+
+
+def _known(packed: pa.Table, pieces: Pieces) -> pa.Table:
+    """(unit, ids) of packed units: the ids are those of the pieces that the sizes cut out."""
+    units, cuts = (b"".join(packed.column(c).to_pylist()) for c in ("units", "cuts"))
+    size = np.frombuffer(cuts, dtype=pieces.sizes.dtype)
+    inner = size > 0
+    last = np.flatnonzero(~inner)
+    until = np.cumsum(size, dtype=np.int32)
+    data = pa.py_buffer(units)
+
+    def starts(ends: np.ndarray) -> pa.Buffer:
+        return pa.py_buffer(np.r_[0, ends].astype(np.int32))
+
+    cut = pa.Array.from_buffers(pa.binary(), int(inner.sum()), [None, starts(until[inner]), data])
+    at = pc.index_in(cut, value_set=pieces.names)
+    if at.null_count:
+        raise ValueError("a size that cuts out no piece")
+    ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(inner)[last]], pa.int32()), pa.array(pieces.ids[at.to_numpy()]))
+    return pa.table({"unit": pa.StringArray.from_buffers(len(last), starts(until[last]), data), "ids": ids})
+
+
+def _packed_units(batches: Iterator[pa.RecordBatch], sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows (part, blob) with the units of each part and the sizes of their pieces."""
     held: list[pa.RecordBatch] = []
 
     def packs() -> Iterator[pa.RecordBatch]:
         # in order of the units, which then share their beginnings: that packs best
-        rows = pa.Table.from_batches(held).sort_by("unit")
+        rows = pa.Table.from_batches(held).sort_by("unit").combine_chunks()
         held.clear()
-        table = rows.select(["unit", "ids"]).set_column(1, "ids", rows.column("ids").cast(pa.list_(pa.uint32())))
         block, bits = rows.column("block").to_numpy(), rows.column("bits").to_numpy()
         for b in np.unique(block).tolist():
             for i in range(PART_BLOCK):
                 mine = np.flatnonzero((block == b) & (bits >> i & 1 == 1))
                 if len(mine):
-                    blob = _pack(table.take(pa.array(mine)).combine_chunks())
+                    unit, ids = (rows.column(c).chunk(0).take(pa.array(mine)) for c in ("unit", "ids"))
+                    blob = _pack(pa.table({"units": pa.array([_text_bytes(unit)], pa.binary()),
+                                           "cuts": pa.array([_cuts(ids, sizes)], pa.binary())}))
                     yield pa.RecordBatch.from_pydict({"part": pa.array([b * PART_BLOCK + i], pa.int32()),
                                                       "blob": pa.array([blob], pa.binary())})
 
@@ -321,7 +357,7 @@ def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             part = once.column("part").to_numpy()
             for p in np.unique(part).tolist():
                 own = once.filter(pa.array(part == p)).select(["doc_id", "text", "count_all"])
-                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own, 12)], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "blob": pa.array([_pack(own)], pa.binary())})
 
 
 def _ids_of(texts: pa.Array, known: pa.Table, cutter: Cutter) -> tuple[np.ndarray, np.ndarray]:
@@ -373,6 +409,7 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
     pieces = Pieces(path)
     output = _Output(pieces.output)
     cutter = Cutter(pieces.joined)
+    sizes = pieces.sizes
     kind = docs.schema["doc_id"].dataType.simpleString()
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + total // part_bytes
@@ -385,12 +422,12 @@ def encode(docs: DataFrame, path: str, part_bytes: int = PART_BYTES) -> DataFram
     # edges are some twenty times as many as units: small partitions, so that they are sorted in memory
     spread = units.repartition(1 + units.count() // UNITS_PER_TASK, "number")
     solved = best_paths(lattice(spread, pieces), spread, pieces)
-    known = needs.join(solved, "unit").select("unit", "ids", "block", "bits").mapInArrow(_packed_units, "part int, blob binary")
+    known = needs.join(solved, "unit").select("unit", "ids", "block", "bits").mapInArrow(
+        lambda b: _packed_units(b, sizes), "part int, blob binary")
     texts = dealt.mapInArrow(_packed_texts, "part int, blob binary")
 
     def assemble(texts: pa.Table, known: pa.Table) -> pa.Table:
-        solved = _unpack(known.column("blob")) if known.num_rows else pa.table(
-            {"unit": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.uint32()))})
+        solved = _known(_unpack(known.column("blob")) if known.num_rows else pa.table({"units": [], "cuts": []}), pieces)
         rows = _unpack(texts.column("blob")).group_by(["doc_id", "text"]).aggregate([("count_all", "sum")])
         made = []
         for batch in rows.combine_chunks().to_batches():

@@ -95,3 +95,24 @@ def test_units_needed_in_many_parts(spark):
     out = piece_lattice.encode(docs, PIECES, part_bytes=20)
     back = out.select("doc_id", piece_lattice.decode_column(out["ids"], PIECES).alias("back"))
     assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_packed_units_give_the_ids_back_and_stay_small(spark, texts):
+    # With an id of 32 bits for each piece the same units took 11 bytes each
+    own = piece_lattice._Words(pa.array([*texts.values(), "\U00010348 中é"]), CUTTER).units.to_pylist()
+    units = spark.createDataFrame(list(enumerate(own)), "number long, unit string")
+    solved = piece_lattice.best_paths(piece_lattice.lattice(units, TABLE), units, TABLE).collect()
+    want = {r["unit"]: r["ids"] for r in solved}
+    assert sorted(want) == sorted(own) and want["\U00010348"] == [TABLE.byte_ids[b] for b in "\U00010348".encode()]
+    batch = pa.RecordBatch.from_pydict({
+        "unit": pa.array(list(want), pa.string()), "ids": pa.array(list(want.values()), pa.list_(pa.int32())),
+        "block": pa.array([1] * len(want), pa.int32()),
+        "bits": pa.array([1 << 3 | (i % 2) << 5 for i in range(len(want))], pa.int64())})
+    parts = {}
+    for rows in piece_lattice._packed_units(iter([batch]), TABLE.sizes):
+        part, blob = rows.column("part")[0].as_py(), rows.column("blob")
+        known = piece_lattice._known(piece_lattice._unpack(pa.chunked_array([blob])), TABLE)
+        parts[part] = dict(zip(known["unit"].to_pylist(), known["ids"].to_pylist(), strict=True)), len(blob[0].as_py())
+    assert sorted(parts) == [65, 67]
+    assert parts[65][0] == want and parts[67][0] == {u: want[u] for u in [*want][1::2]}
+    assert parts[65][1] < 5 * len(want)
