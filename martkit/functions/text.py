@@ -67,7 +67,9 @@ def fold_case(c) -> Column:
     return F.replace(F.lower(as_col(c)), F.lit("\u03c2"), F.lit("\u03c3"))
 
 
-def without_case(df: DataFrame, shown: Sequence[str] = (), suffix: str = "_shown") -> DataFrame:
-    """Text columns in folded case; those in ``shown`` also with their spelling, as ``<name><suffix>``."""
+def without_case(df: DataFrame, shown: Sequence[str] = (), late: Sequence[str] = (), suffix: str = "_shown") -> DataFrame:
+    """Text columns in folded case; those in ``shown`` also with their spelling, as ``<name><suffix>``, and those in
+    ``late`` with their spelling only, to be folded where they are compared."""
     return df.select(*[fold_case(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-                       for f in df.schema.fields], *[F.col(name).alias(f"{name}{suffix}") for name in shown])
+                       for f in df.schema.fields if f.name not in late],
+                     *[F.col(name).alias(f"{name}{suffix}") for name in [*shown, *late]])

@@ -31,7 +31,7 @@ def ordered_text_agg(item_col: str, order_cols: list[str], sep: str) -> Column:
 
 def group_ordered_texts(df: DataFrame, keys: list[str], texts: dict[str, tuple[Column, str]], order: list[Column],
                         chunk: Column, sums: dict[str, Column] | None = None,
-                        maxes: dict[str, Column] | None = None) -> DataFrame:
+                        maxes: dict[str, Column] | None = None, compared: dict[str, Column] | None = None) -> DataFrame:
     """One row per key with ordered texts: ``texts`` = {name: (item, separator)}.
 
     ``chunk`` is a bucket that never decreases along ``order`` (e.g. ranges of
@@ -39,22 +39,30 @@ def group_ordered_texts(df: DataFrame, keys: list[str], texts: dict[str, tuple[C
     chunk's texts are built on their own; then a key's chunks are joined in
     order. So a key with many rows is spread over as many tasks as it has
     chunks, and only chunk texts meet. A collecting aggregate shrinks nothing
-    map-side, so there is no partial step in the scan task. ``sums`` and
-    ``maxes`` = {name: Column} are added up, or their largest kept, along the way.
+    map-side, so there is no partial step before either shuffle, and items are
+    built after it: rows move with the columns that these are built from.
+    ``sums`` and ``maxes`` = {name: Column} are added up, or their largest kept,
+    along the way. ``compared`` = {key: Column over it}: such keys are equal where
+    that is equal; the greatest of the equal ones is returned.
     """
-    sums, maxes = sums or {}, maxes or {}
-    others = [F.sum(n).alias(n) for n in sums] + [F.max(n).alias(n) for n in maxes]
+    sums, maxes, compared = sums or {}, maxes or {}, compared or {}
+    by = {f"_by_{k}" if k in compared else k: compared.get(k, F.col(k)) for k in keys}
+    alike = [b.alias(k) for k, b in by.items()]
+    others = [F.sum(n).alias(n) for n in sums] + [F.max(n).alias(n) for n in [*maxes, *compared]]
     order_cols = [f"_o{i}" for i in range(len(order))]
-    staged = df.select(*[F.col(k) for k in keys], chunk.alias("_chunk"),
-                       *[o.alias(c) for o, c in zip(order, order_cols)],
-                       *[item.alias(f"_i_{n}") for n, (item, _) in texts.items()],
-                       *[value.alias(n) for n, value in (sums | maxes).items()])
-    chunks = staged.repartition(*keys, "_chunk").groupBy(*keys, "_chunk").agg(
+    staged = df.repartition(*by.values(), chunk).select(
+        *alike, *compared, chunk.alias("_chunk"),
+        *[o.alias(c) for o, c in zip(order, order_cols)],
+        *[item.alias(f"_i_{n}") for n, (item, _) in texts.items()],
+        *[value.alias(n) for n, value in (sums | maxes).items()])
+    chunks = staged.groupBy(*by, "_chunk").agg(
         *[ordered_text_agg(f"_i_{n}", order_cols, sep).alias(n) for n, (_, sep) in texts.items()],
         *others)
-    return chunks.groupBy(*keys).agg(
+    names = ["_chunk", *texts, *sums, *maxes]
+    moved = chunks.select(*keys, *names).repartition(*by.values()).select(*alike, *compared, *names)
+    return moved.groupBy(*by).agg(
         *[ordered_text_agg(n, ["_chunk"], sep).alias(n) for n, (_, sep) in texts.items()],
-        *others)
+        *others).select(*keys, *texts, *sums, *maxes)
 
 
 def group_ordered_text(df: DataFrame, keys: list[str], item: Column, order: list[Column], sep: str, name: str,

@@ -6,10 +6,11 @@ every catalog table carries ``database_id``, ``ServerName`` and
 statement, a key-only select statement, a key match clause, staging file
 names, an active flag and the delta column.
 
-Plan notes: everything keyed by the table alone is joined at table grain; then
-columns, index entries and positions, the largest inputs, are joined one after the
-other by equi-joins that Spark can split at a hot key (no arrays, no windows).
-Ordered texts are built in chunks of column positions. The lookup lists are small
+Plan notes: everything keyed by the table alone is joined at table grain; the
+entries of the best indexes are counted per column and joined to the columns while
+these are narrow; then tables, columns and positions, the largest inputs, are joined one
+after the other by equi-joins (no lists, no windows), and what a row takes along is what
+is still needed. Ordered texts are built in chunks of column positions. The lookup lists are small
 and Spark broadcasts them by size.  "One best index per table" is an aggregate;
 "has no key column" is one flag per name, combined before its shuffle.
 """
@@ -94,13 +95,21 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
         user_table = fold_case(F.lit(USER_TABLE))
         objects, partitions, indexes, index_columns, info_columns, exclusions, inclusions = [
             without_case(df) for df in (objects, partitions, indexes, index_columns, info_columns, exclusions, inclusions)]
-        schemas, tables, columns, delta_columns, source_db = [without_case(df, SHOWN_NAMES[name]) for name, df in (
-            ("schemas", schemas), ("tables", tables), ("columns", columns), ("delta_columns", delta_columns),
-            ("source_db", source_db))]
-
-    def shown(names: dict[str, str]) -> dict[str, str]:
-        """``names`` for :func:`left_lookup`, with the spelling if that is kept apart."""
-        return names | ({f"{new}_shown": f"{name}_shown" for new, name in names.items()} if case_insensitive else {})
+        # Names of the large inputs move as spelt and are folded where they are compared.
+        schemas, tables, columns = [without_case(df, late=SHOWN_NAMES[name]) for name, df in (
+            ("schemas", schemas), ("tables", tables), ("columns", columns))]
+        delta_columns, source_db = [without_case(df, SHOWN_NAMES[name]) for name, df in (
+            ("delta_columns", delta_columns), ("source_db", source_db))]
+
+    def spelt(names: dict[str, str]) -> dict[str, str]:
+        """``names`` for :func:`left_lookup`: the spelling alone, if that is kept apart."""
+        return {f"{new}_shown": f"{name}_shown" for new, name in names.items()} if case_insensitive else names
+
+    def folded(df: DataFrame, name: str, new: str | None = None) -> DataFrame:
+        """``df`` with a name as it is compared."""
+        if case_insensitive:
+            return df.withColumn(new or name, fold_case(f"{name}_shown"))
+        return df.withColumn(new, c(name)) if new else df
 
     if check_lookups:
         delta_columns = require_unique(delta_columns, ["SourceName", "TableName", "DeltaColumn", "ClientName",
@@ -139,23 +148,49 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
         dbs = require_unique(dbs, ["ClientName", "ServerName", "DatabaseName"], "database ids")
         dbs = require_unique(dbs, ["ClientName", "ServerName", "database_id"], "database names")
 
+    by_object = ["object_id"] + DB_KEYS
+    own = [(c(k), k) for k in by_object]
+    obj_on = own[1:]
+
+    # Entries of each column in the best indexes of its object (one, unless the object has several database names), and
+    # how many of these indexes have it; added to the columns before these meet their tables.
+    entries = index_columns.select(*by_object, "index_id", "column_id").join(
+        best.select(*by_object, "index_id", "DatabaseName"), by_object + ["index_id"])
+    entries = (entries.repartition(*by_object, "column_id")
+               .groupBy(*by_object, "column_id", "DatabaseName").agg(F.count(F.lit(1)).alias("entries"))
+               .groupBy(*by_object, "column_id").agg(F.sum("entries").alias("entries"), F.count(F.lit(1)).alias("indexes")))
+    [name] = spelt({"name": "name"}).values()
+    cols = left_lookup(columns.select(*by_object, "column_id", name), entries, own + [(c("column_id"), "column_id")],
+                       {"entries": "entries", "indexes": "indexes"})
+
     # Table grain first: every lookup keyed by the table alone runs before
     # the join that fans out to one row per column (left joins whose
     # conditions only use earlier tables commute, so the rows are the same).
-    obj_on = [(c(k), k) for k in DB_KEYS]
-    t = o.select("object_id", "schema_id", "type_desc", "DatabaseName", *DB_KEYS)
-    t = left_lookup(t, dbs, obj_on, {"d_database_id": "database_id"} | shown(
+    t = o.select("object_id", "schema_id", "DatabaseName", *DB_KEYS)
+    t = left_lookup(t, tables, own, spelt({"t_name": "name"}) | {
+        "t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName", "t_ServerName": "ServerName"})
+
+    # "No key column" is decided per (client, server, database, table name) of the catalog table row, across
+    # schemas: some column of a table of that name belongs to its best index. One flag per object, combined per name
+    # before the shuffle and joined back (objects without a catalog table row share the NULL name), so no name is
+    # gathered in one task. The count looks at the name as well, so that Spark moves the columns once for both uses.
+    keyed = cols.groupBy(*by_object, "column_id").agg(F.count(F.when(c("entries") > 0, F.struct(name))).alias("_keys"))
+    keyed = keyed.filter("_keys > 0").select(*by_object, F.lit(1).alias("_keyed")).distinct()
+    name_keys = ["_t_name", "t_DatabaseName", "t_ServerName", "t_ClientName"]
+    t = folded(t, "t_name", "_t_name")
+    by_name = left_lookup(t, keyed, own, {"_keyed": "_keyed"})
+    by_name = by_name.groupBy(*name_keys).agg(F.max("_keyed").alias("_named_key"))
+    t = left_lookup(t, by_name, [(c(k), k) for k in name_keys], {"_named_key": "_named_key"}, null_safe=True)
+    t = t.withColumn("HasNoPK", F.when(c("_named_key") == 1, 0).otherwise(1)).drop("_named_key", *name_keys)
+
+    t = left_lookup(t, p, own, {"p_rows": "rows"})
+    t = left_lookup(t, best.groupBy(*by_object).agg(F.count(F.lit(1)).alias("n")), own, {"_best": "n"})
+    t = folded(t, "t_name")
+    t = left_lookup(t, dbs, obj_on, {"d_database_id": "database_id", "d_SourceSystemName": "SourceSystemName",
+                                     "d_ServerName": "ServerName", "d_ClientName": "ClientName"} | spelt(
         {f"d_{name}": name for name in SHOWN_NAMES["source_db"]}))
-    t = left_lookup(t, schemas, [(c("schema_id"), "schema_id")] + obj_on,
-                    {"s_schema_id": "schema_id"} | shown({"s_name": "name"}))
-    t = left_lookup(t, tables, [(c("object_id"), "object_id")] + obj_on,
-                    {"t_DatabaseName": "DatabaseName", "t_ClientName": "ClientName",
-                     "t_ServerName": "ServerName"} | shown({"t_name": "name"}))
-    t = left_lookup(t, p, [(c("object_id"), "object_id")] + obj_on, {"p_rows": "rows"})
-    t = left_lookup(t, best,
-                    [(c("object_id"), "object_id"), (c("database_id"), "database_id"),
-                     (c("ServerName"), "ServerName"), (c("ClientName"), "ClientName")],
-                    {"i_index_id": "index_id", "i_name": "name"})
+    t = folded(left_lookup(t, schemas, [(c("schema_id"), "schema_id")] + obj_on,
+                           {"s_schema_id": "schema_id"} | spelt({"s_name": "name"})), "s_name")
 
     # Block list for whole tables, general or per client.
     src, tname = c("d_SourceSystemName"), c("t_name")
@@ -177,46 +212,28 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
     not_allowed = c("_included").isNull() & c("_pair").isNotNull()
     t = t.withColumn("ExcludeTable", F.when((c("_blocked_table") == 1) | not_allowed, 1).otherwise(0))
 
-    # "No key column" is decided per (client, server, database, table name) of the catalog table row, across
-    # schemas: some column of a table of that name belongs to its best index. One flag per object, combined per name
-    # before the shuffle and joined back (objects without a catalog table row share the NULL name), so no name is
-    # gathered in one task.
-    by_object = ["object_id"] + DB_KEYS
-    own = [(c(k), k) for k in by_object]
-    keyed = (index_columns.join(columns.select(*by_object, "column_id"), by_object + ["column_id"], "left_semi")
-             .select(*by_object, "index_id").distinct().withColumn("_keyed", F.lit(1)))
-    names = ["DatabaseName", "ServerName", "ClientName"]
-    by_name = o.select("object_id", *DB_KEYS)
-    by_name = left_lookup(by_name, tables, own, {"t_name": "name"} | {f"t_{k}": k for k in names})
-    by_name = left_lookup(by_name, best, [(c("object_id"), "object_id"), (c("database_id"), "database_id"),
-                                          (c("ServerName"), "ServerName"), (c("ClientName"), "ClientName")],
-                          {"i_index_id": "index_id"})
-    by_name = left_lookup(by_name, keyed, own + [(c("i_index_id"), "index_id")], {"_keyed": "_keyed"})
-    name_keys = ["t_name"] + [f"t_{k}" for k in names]
-    by_name = by_name.groupBy(*name_keys).agg(F.max("_keyed").alias("_named_key"))
-    t = left_lookup(t, by_name, [(c(k), k) for k in name_keys], {"_named_key": "_named_key"}, null_safe=True)
-    t = t.withColumn("HasNoPK", F.when(c("_named_key") == 1, 0).otherwise(1)).drop("_named_key", *name_keys[1:])
-
-    # Column grain: one row per column, per entry it has in the best index and per position listed for its name
-    # (none of them: one row with NULL).
-    t = left_lookup(t, columns, own, {"c_column_id": "column_id"} | shown({"c_name": "name"}))
-    t = left_lookup(t, index_columns, own + [(c("i_index_id"), "index_id"), (c("c_column_id"), "column_id")],
-                    {"ic_column_id": "column_id"})
-    t = left_lookup(t, info_columns, [(c("t_name"), "TABLE_NAME"), (c("c_name"), "COLUMN_NAME"),
-                                      (c("s_name"), "TABLE_SCHEMA"), (c("d_database_id"), "database_id"),
-                                      (c("d_ServerName"), "ServerName"), (c("d_ClientName"), "ClientName")],
-                    {"OrdinalPosition": "ORDINAL_POSITION"})
+    # Column grain: one row per column, per entry it has in each best index (none: one row with NULL) and per position
+    # listed for its name (none: one row with NULL).
+    t = folded(left_lookup(t, cols, own, {"c_column_id": "column_id", "_entries": "entries", "_indexes": "indexes"}
+                           | spelt({"c_name": "name"})), "c_name")
+    found = F.coalesce(c("_entries"), F.lit(0)).cast("int")
+    without = (F.coalesce(c("_best"), F.lit(1)) - F.coalesce(c("_indexes"), F.lit(0))).cast("int")
+    t = t.withColumn("_entry", F.explode(F.concat(F.array_repeat(F.lit(True), found), F.array_repeat(F.lit(False), without))))
+    t = t.withColumn("ic_column_id", F.when(c("_entry"), c("c_column_id"))).drop("_entry", "_entries", "_indexes", "_best")
 
     # Delta column: client-specific, then table-specific, then general.
     col_name = F.trim(c("c_name"))
     dc = delta_columns
-    t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn")], shown({"_gdc": "DeltaColumn"}),
+
+    def delta(name: str) -> dict[str, str]:
+        return {name: "DeltaColumn"} | ({f"{name}_shown": "DeltaColumn_shown"} if case_insensitive else {})
+    t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn")], delta("_gdc"),
                     right_filter=c("TableName").isNull() & c("ClientName").isNull())
     t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn"), (tname, "TableName")],
-                    shown({"_tdc": "DeltaColumn"}), right_filter=c("ClientName").isNull())
+                    delta("_tdc"), right_filter=c("ClientName").isNull())
     t = left_lookup(t, dc, [(src, "SourceName"), (col_name, "DeltaColumn"), (tname, "TableName"),
                             (c("ClientName"), "ClientName"), (c("DatabaseName"), "DatabaseName"),
-                            (c("ServerName"), "ServerName")], shown({"_cdc": "DeltaColumn"}))
+                            (c("ServerName"), "ServerName")], delta("_cdc"))
     t = t.withColumns({f"DeltaColumn{x}": F.coalesce(f"_cdc{x}", f"_tdc{x}", f"_gdc{x}")
                        for x in (["", "_shown"] if case_insensitive else [""])})
 
@@ -228,7 +245,11 @@ def control_columns(objects: DataFrame, schemas: DataFrame, tables: DataFrame, c
               (c("ClientName"), "ClientName")], "ColumnNameForExclusion", None),
     ], "ExcludeColumn")
 
-    return t
+    # Positions come last: their join moves the rows by name, without what the lookups above needed.
+    return left_lookup(t, info_columns, [(c("t_name"), "TABLE_NAME"), (c("c_name"), "COLUMN_NAME"),
+                                         (c("s_name"), "TABLE_SCHEMA"), (c("d_database_id"), "database_id"),
+                                         (c("d_ServerName"), "ServerName"), (c("d_ClientName"), "ClientName")],
+                       {"OrdinalPosition": "ORDINAL_POSITION"})
 
 
 def drop_metrics() -> list[Column]:
@@ -262,32 +283,29 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
     c = F.col
     t = control_columns(objects, schemas, tables, columns, info_columns, partitions, indexes, index_columns, source_db,
                         delta_columns, exclusions, inclusions, check_lookups, case_insensitive)
-    name = c("c_name_shown") if case_insensitive else c("c_name")
+    x = "_shown" if case_insensitive else ""
     if observation is not None:
         t = t.observe(observation, *drop_metrics())
-    # Per-column pieces.
-    has_key_col = c("ic_column_id").isNotNull()
-    t = t.withColumns({
-        "FormattedColumnName": bracket(name),
-        "FormattedPKColumn": F.when(has_key_col, concat_blank("[", name, "]")),
-        "PKClauseColumns": F.when(has_key_col, concat_blank("t.", name, " = s.", name)),
-    })
     # A table without columns has one row here without a column name, which would
     # give the invalid text " AS ": it adds no item, and the table stays with NULL texts.
     t = t.filter(c("ExcludeColumn") == 0)
     groups = {"g_SourceTableName": "t_name", "g_SourceSchemaName": "s_name", "g_SourceServerName": "d_ServerName",
               "g_SourceDatabaseName": "d_DatabaseName", "g_ClientName": "d_ClientName", "g_DataLakeName": "d_DataLakeName",
               "g_SourceDataStructure": "d_SourceDataStructure", "g_SourceSystemName": "d_SourceSystemName"}
-    spellings = {f"{g}_shown": f"{name}_shown" for g, name in groups.items()} if case_insensitive else {}
-    # the greatest name, as spelt
-    delta = F.struct("DeltaColumn", "DeltaColumn_shown") if case_insensitive else c("DeltaColumn")
     t = t.select(
-        *[c(name).alias(g) for g, name in (groups | spellings).items()], c("p_rows").alias("g_SourceRowCount"),
-        c("ExcludeTable").alias("g_ExcludeTable"), c("HasNoPK").alias("g_HasNoPK"),
-        F.when(c("c_name").isNotNull(), select_item(c("FormattedColumnName"))).alias("_sel_item"),
-        F.when(c("FormattedPKColumn").isNotNull(), select_item(c("FormattedPKColumn"))).alias("_key_item"),
-        c("PKClauseColumns").alias("_clause_item"),
-        c("OrdinalPosition").alias("_ord"), c("c_column_id").alias("_colid"), delta.alias("_delta"))
+        *[c(f"{name}{x}").alias(g) for g, name in groups.items()], c("p_rows").alias("g_SourceRowCount"),
+        c("ExcludeTable").alias("g_ExcludeTable"), c("HasNoPK").alias("g_HasNoPK"), c(f"c_name{x}").alias("_name"),
+        c("ic_column_id").isNotNull().alias("_is_key"), c("OrdinalPosition").alias("_ord"),
+        c("c_column_id").alias("_colid"), c(f"DeltaColumn{x}").alias("_delta"))
+    # Per-column pieces, built where the texts are: a row moves with its name alone.
+    name, has_key_col = c("_name"), c("_is_key")
+    key_column = F.when(has_key_col, concat_blank("[", name, "]"))
+    clause = F.when(has_key_col, concat_blank("t.", name, " = s.", name))
+    items = {"_sel": (F.when(name.isNotNull(), select_item(bracket(name))), SELECT_SEP),
+             "_keys": (F.when(key_column.isNotNull(), select_item(key_column)), KEY_SELECT_SEP),
+             "_clauses": (clause, MERGE_SEP)}
+    # the greatest name, as spelt
+    delta = F.struct(fold_case("_delta").alias("name"), c("_delta").alias("shown")) if case_insensitive else c("_delta")
     # One row per (client, source, server, database, schema, table, row
     # count, flags).  The schema-table text and the staging file names are
     # functions of schema and table name, so they are derived after the
@@ -298,11 +316,10 @@ def control_statements(objects: DataFrame, schemas: DataFrame, tables: DataFrame
     # repeatable text.  Texts are built in chunks of that order: missing positions come first, by column id.
     chunk = F.coalesce(F.floor(c("_ord") / CHUNK_COLUMNS), F.floor(c("_colid") / CHUNK_COLUMNS) - (1 << 40),
                        F.lit(-(1 << 41)).cast("long"))
-    g = group_ordered_texts(t, group_cols, {"_sel": (c("_sel_item"), SELECT_SEP), "_keys": (c("_key_item"), KEY_SELECT_SEP),
-                                            "_clauses": (c("_clause_item"), MERGE_SEP)},
-                            [c("_ord"), c("_colid")], chunk, maxes={"_max_delta": c("_delta")} | {x: c(x) for x in spellings})
+    g = group_ordered_texts(t, group_cols, items, [c("_ord"), c("_colid")], chunk, maxes={"_max_delta": delta},
+                            compared={g: fold_case(g) for g in groups} if case_insensitive else None)
     if case_insensitive:
-        g = g.withColumns({name: c(f"{name}_shown") for name in groups} | {"_max_delta": c("_max_delta.DeltaColumn_shown")})
+        g = g.withColumn("_max_delta", c("_max_delta.shown"))
     schema, table = c("g_SourceSchemaName"), c("g_SourceTableName")
     g = g.withColumns({"g_SchemaTable": concat_strict("[", schema, "].[", table, "]"),
                        "g_StagingDataFileName": staging_name(schema, table),

@@ -181,3 +181,60 @@ def test_names_without_case_are_plain_keys(spark):
 def test_rows_are_told_apart_by_the_table_name_first(spark):
     plan = control_statements(**catalog(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(g_SourceTableName") == 2
+
+
+def test_an_object_with_two_database_names_has_a_row_for_each_best_index(spark):
+    """Every column has a row per best index of its object, and per entry that it has there."""
+    from martkit.plans.control import control_columns
+    cat = catalog(spark)
+    more = spark.createDataFrame([(1, 7, "pk", 1, 1, 0, 1, "other", *DBK)], cat["indexes"].schema)
+    cat["indexes"] = cat["indexes"].unionByName(more)
+    entries = spark.createDataFrame([(1, 7, 2, *DBK), (1, 7, 2, *DBK), (1, 3, 2, *DBK)], cat["index_columns"].schema)
+    cat["index_columns"] = cat["index_columns"].unionByName(entries)
+    got = control_columns(**cat).filter("t_name = 'Orders'").select("c_column_id", "ic_column_id").collect()
+    # column 1: an entry in index 1, none in index 7; column 2: none in index 1, two in index 7
+    assert sorted(map(str, got)) == sorted(f"Row(c_column_id={c}, ic_column_id={i})" for c, i in
+                                           ((1, 1), (1, None), (2, None), (2, 2), (2, 2)))
+
+
+def shuffled(df):
+    """Bytes (not compressed) that the run of ``df`` shuffles."""
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("ReusedExchange"):
+            return 0
+        inner = [node.plan()] if name.endswith("QueryStage") else []
+        own = node.metrics().apply("dataSize").value() if name == "Exchange" else 0
+        return own + sum(walk(x) for x in inner + [node.children().apply(i) for i in range(node.children().size())])
+    return walk(df._jdf.queryExecution().executedPlan().executedPlan())
+
+
+def test_shuffles_move_names_once_and_columns_few_times(spark):
+    """Wide rows per column were shuffled for index entries too, and with every name both as spelt and as compared."""
+    cat, tables, wide = catalog(spark), 400, 5
+    ids = spark.range(10, 10 + tables).select(F.col("id").cast("int").alias("object_id"))
+    keys = [F.lit(5).alias("database_id"), F.lit("srv").alias("ServerName"), F.lit("cl").alias("ClientName")]
+    column = F.explode(F.sequence(F.lit(1), F.lit(wide))).alias("column_id")
+    name = F.concat(F.lit("Table "), F.col("object_id"))
+    cat["objects"] = ids.select("object_id", F.lit(1).alias("schema_id"), F.lit("db").alias("DatabaseName"),
+                                F.lit("USER_TABLE").alias("type_desc"), *keys)
+    cat["tables"] = ids.select("object_id", name.alias("name"), F.lit("db").alias("DatabaseName"), *keys)
+    columns = ids.select("object_id", column, *keys)
+    cat["columns"] = columns.withColumn("name", F.concat(F.lit("Column "), F.col("column_id")))
+    cat["info_columns"] = columns.select(F.lit("dbo").alias("TABLE_SCHEMA"), name.alias("TABLE_NAME"),
+                                         F.concat(F.lit("Column "), F.col("column_id")).alias("COLUMN_NAME"),
+                                         F.col("column_id").alias("ORDINAL_POSITION"), *keys)
+    cat["index_columns"] = columns.filter("column_id <= 2").withColumn("index_id", F.lit(1))
+    cat["indexes"] = cat["indexes"].limit(1).drop("object_id").crossJoin(ids)
+    cat["partitions"] = cat["partitions"].limit(1).drop("object_id").crossJoin(ids)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for conf in names:
+            spark.conf.set(conf, 1500)           # the lookup lists only
+        moved = shuffled(control_statements(**cat, case_insensitive=True))
+    finally:
+        for conf in names:
+            spark.conf.unset(conf)
+    assert moved < 1400 * tables * wide          # 1,771 bytes a column before
